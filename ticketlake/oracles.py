@@ -24,3 +24,92 @@ JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_o
 WHERE o.o_orderstatus = 'O' AND o.o_orderpriority = '1-URGENT'
   AND m.last_ship < TIMESTAMP '1999-12-25 00:00:00'
 """)
+
+# ------------------------------------------------------------------ ingest
+oracle("ingest_pages_items", """
+SELECT CAST(c_custkey AS VARCHAR) AS account_id, CAST(c_custkey // 100 AS BIGINT) AS page_no,
+       row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS pos,
+       c_name AS name, c_mktsegment AS segment
+FROM customer
+""")
+
+_PAGES = """
+c AS (SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS run, CAST(c_custkey // 100 AS BIGINT) AS page FROM customer),
+p AS (SELECT run, page, count(*) AS n FROM c GROUP BY run, page),
+f AS (SELECT run, page, CASE WHEN (run + page) % 11 = 0 THEN 0 ELSE n END AS n_items FROM p)"""
+
+
+def _cut_oracle(cont: str) -> str:
+    return f"""
+WITH {_PAGES},
+w AS (SELECT *, coalesce(bool_or(NOT ({cont})) OVER (PARTITION BY run ORDER BY page
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stopped FROM f),
+k AS (SELECT run, page FROM w WHERE NOT stopped AND n_items > 0)
+SELECT CAST(c.run AS VARCHAR) AS run_id, c.page AS page_no,
+       row_number() OVER (PARTITION BY c.run, c.page ORDER BY c.c_custkey) - 1 AS pos,
+       CAST(c.c_custkey AS VARCHAR) AS account_id
+FROM c JOIN k ON c.run = k.run AND c.page = k.page
+WHERE (c.run + c.page) % 11 <> 0
+"""
+
+
+oracle("ingest_cursor_cut", _cut_oracle(
+    "n_items > 0 AND NOT (run % 7 = 0 AND page = 2) AND page <> run % 5 + 3"))
+oracle("ingest_offset_cut", _cut_oracle("n_items > 0 AND page <> run % 4 + 5"))
+
+oracle("ingest_offset_gaps", f"""
+WITH {_PAGES},
+o AS (SELECT run, page, n_items,
+        CAST(coalesce(sum(n_items) OVER (PARTITION BY run ORDER BY page
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             + CASE WHEN run % 6 = 1 AND page = 4 THEN 1 ELSE 0 END AS BIGINT) AS off FROM f),
+g AS (SELECT a.run, a.page, a.off,
+        CAST(CASE WHEN a.page = 0 THEN 0 ELSE b.off + b.n_items END AS BIGINT) AS expected
+      FROM o a LEFT JOIN o b ON b.run = a.run AND b.page = a.page - 1)
+SELECT CAST(run AS VARCHAR) AS run_id, page AS page_no, off AS "offset", expected AS expected_offset
+FROM g WHERE off IS DISTINCT FROM expected
+""")
+
+oracle("ingest_rejects", """
+SELECT 'issues' AS object_type,
+       CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0
+            THEN 'missing_id' ELSE 'ok' END AS reason, count(*) AS n
+FROM orders GROUP BY 1, 2
+UNION ALL
+SELECT 'messages', CASE WHEN l_orderkey % 101 = 0 THEN 'missing_issue_id' ELSE 'ok' END, count(*)
+FROM lineitem GROUP BY 1, 2
+""")
+
+oracle("ingest_contacts_by_account", """
+SELECT 'ct' || CAST(c_custkey AS VARCHAR) AS contact_id, CAST(c_nationkey AS VARCHAR) AS account_id,
+       c_name AS name
+FROM customer WHERE c_custkey % 10 <> 0 AND c_nationkey = 7
+""")
+
+oracle("ingest_issue_messages", """
+SELECT CAST(conv_id AS VARCHAR) AS issue_id, CAST(turn AS VARCHAR) AS message_id,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
+       CASE role WHEN 'user' THEN 'user' || CAST(conv_id AS VARCHAR) || '@customer.example'
+                 WHEN 'assistant' THEN 'agent' || CAST(conv_id % 13 AS VARCHAR) || '@staff.example' END AS author
+FROM conversations WHERE conv_id % 13 <> 0
+""")
+
+ISSUE_STATE = ("CASE o_orderstatus WHEN 'F' THEN 'closed' WHEN 'O' THEN 'waiting_on_customer' "
+               "WHEN 'P' THEN 'on_hold' ELSE o_orderstatus END")
+
+oracle("point_lookup", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS issue_id, {ISSUE_STATE} AS state,
+       strftime(o_orderdate, {TS}) AS created_at
+FROM orders WHERE o_orderkey IN (1, 2)
+""")
+
+oracle("record_cap", """
+SELECT row_number() OVER (ORDER BY o_orderkey) AS rank, CAST(o_orderkey AS VARCHAR) AS issue_id
+FROM (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 500) t
+""")
+
+oracle("ndjson_load", f"""
+SELECT event_id, event_type, strftime(ts, {TS_MICROS}) AS ts,
+       '2024-02-01T12:00:00.000000Z' AS updated_at
+FROM events
+""")

@@ -48,3 +48,202 @@ def q_stale_candidates(spark, d):
     msgs = fx.lineitem_messages(T(spark, d, "lineitem"))
     out = closing.stale_candidates(issues, msgs, as_of=AS_OF)
     return out.select("issue_id", to_text_ts("last_message_time").alias("last_message_time"))
+
+
+def _pages(records: DataFrame, run, page, pos, pagination=None) -> DataFrame:
+    from .sources.pages import page_envelopes
+    return page_envelopes(records, run, page, pos, "record", pagination)
+
+
+# ------------------------------------------------------------------ ingest
+@query("ingest_pages_items")
+def q_ingest_pages_items(spark, d):
+    """S1+J1+J5: account records in 100-record pages -> exploded rows."""
+    from .sources.objects import to_rows
+    from .sources.pages import explode_items, parse_pages
+    from .functions.jsonx import json_value
+    recs = fx.account_records(T(spark, d, "customer"))
+    k = F.col("key")
+    pages = _pages(recs, F.lit("r0"), (k / 100).cast("long"), k)
+    rows = to_rows(explode_items(parse_pages(pages)), "accounts")
+    return rows.select("account_id", "page_no", "pos",
+                       json_value("data", "$.name").alias("name"),
+                       json_value("data", "$.segment").alias("segment"))
+
+
+def _planted_pages(spark, d, kind: str) -> DataFrame:
+    """Customer records paged per nation run (page = key div 100) with planted
+    stops: cursor runs stop on has_next_page=false / missing cursor / empty
+    data; offset runs carry offsets with one planted gap."""
+    recs = fx.account_records(T(spark, d, "customer")).join(
+        T(spark, d, "customer").select(F.col("c_custkey").alias("key"), "c_nationkey"), "key")
+    run, page = F.col("c_nationkey"), (F.col("key") / 100).cast("long")
+    pages = _pages(recs, run.cast("string"), page, F.col("key"))
+    r, p = F.col("run_id").cast("long"), F.col("page_no")
+    empty = (r + p) % 11 == 0
+    body = F.when(empty, F.regexp_replace("body", r'^\{"data":\[.*\],"pagination"', '{"data":[],"pagination"')) \
+            .otherwise(F.col("body"))
+    if kind == "cursor":
+        pag = F.struct((~((r % 7 == 0) & (p == 2))).alias("has_next_page"),
+                       F.when(p != r % 5 + 3, F.concat(F.lit("c"), (p + 1).cast("string"))).alias("cursor"))
+    else:
+        pag = F.struct((p != r % 4 + 5).alias("has_next_page"), F.lit(None).cast("string").alias("cursor"))
+    body = F.regexp_replace(body, r',"pagination":\{.*\}\}$', "")
+    return pages.select("run_id", "page_no",
+                        F.concat(body, F.lit(',"pagination":'), F.to_json(pag), F.lit("}")).alias("body"))
+
+
+@query("ingest_cursor_cut")
+def q_ingest_cursor_cut(spark, d):
+    """Cursor chains cut at the first stopping page of each run."""
+    from .sources.pages import cursor_chain, explode_items, parse_pages
+    from .sources.objects import to_rows
+    kept = cursor_chain(parse_pages(_planted_pages(spark, d, "cursor")))
+    rows = to_rows(explode_items(kept), "accounts")
+    return rows.select("run_id", "page_no", "pos", "account_id")
+
+
+def _offset_pages(spark, d) -> DataFrame:
+    """Offset pages: offset = records of earlier pages of the run, except a
+    planted +1 gap at page 4 of runs with run % 6 = 1."""
+    from .sources.pages import parse_pages
+    pages = parse_pages(_planted_pages(spark, d, "offset"))
+    # offsets are landed values; compute them here from the page sizes
+    from pyspark.sql import Window
+    w = Window.partitionBy("run_id").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+    off = F.coalesce(F.sum("n_items").over(w), F.lit(0)) + \
+        F.when((F.col("run_id").cast("long") % 6 == 1) & (F.col("page_no") == 4), 1).otherwise(0)
+    return pages.withColumn("offset", off.cast("long"))
+
+
+@query("ingest_offset_cut")
+def q_ingest_offset_cut(spark, d):
+    """S3: offset chains cut where data is empty or has_next_page is false."""
+    from .sources.pages import explode_items, offset_chain, parse_pages
+    from .sources.objects import to_rows
+    kept = offset_chain(parse_pages(_planted_pages(spark, d, "offset")))
+    rows = to_rows(explode_items(kept), "accounts")
+    return rows.select("run_id", "page_no", "pos", "account_id")
+
+
+@query("ingest_offset_gaps")
+def q_ingest_offset_gaps(spark, d):
+    """S3 gap report: pages whose offset is not the running item count."""
+    from .sources.pages import offset_gaps
+    return offset_gaps(_offset_pages(spark, d))
+
+
+def _issue_records_with_bad_ids(orders: DataFrame) -> DataFrame:
+    """Issue records with planted falsy ids: absent (key % 97 = 0), '' (key %
+    89 = 0) and number 0 (key % 83 = 0)."""
+    f = fx.issue_frame(orders)
+    k = F.col("key")
+    rec = F.col("record")
+    rid = F.concat(F.lit('"id":"'), k.cast("string"), F.lit('",'))
+    bad = (F.when(k % 97 == 0, F.replace(rec, rid, F.lit("")))
+            .when(k % 89 == 0, F.replace(rec, rid, F.lit('"id":"",')))
+            .when(k % 83 == 0, F.replace(rec, rid, F.lit('"id":0,')))
+            .otherwise(rec))
+    return f.select("key", "issue_id", "page_no", "pos", bad.alias("record"))
+
+
+@query("ingest_rejects")
+def q_ingest_rejects(spark, d):
+    """Records with a falsy id (issues) or without a parent id (messages)
+    are split off with a reason; counts per object and reason."""
+    from .sources.objects import to_rows
+    from .sources.pages import explode_items, parse_pages
+    recs = _issue_records_with_bad_ids(T(spark, d, "orders"))
+    items = explode_items(parse_pages(_pages(recs, F.lit("r0"), F.col("page_no"), F.col("pos"))))
+    iss = to_rows(items, "issues").select(F.lit("issues").alias("object_type"), "reject_reason")
+    li = T(spark, d, "lineitem")
+    parent = F.when(F.col("l_orderkey") % 101 != 0, F.col("l_orderkey").cast("string"))
+    mitems = li.select(parent.alias("issue_id"), F.parse_json(F.to_json(F.struct(
+        F.col("l_linenumber").cast("string").alias("id")))).alias("item"))
+    msg = to_rows(mitems, "messages").select(F.lit("messages").alias("object_type"), "reject_reason")
+    u = iss.unionByName(msg)
+    return (u.groupBy("object_type", F.coalesce("reject_reason", F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).cast("long").alias("n")))
+
+
+@query("ingest_contacts_by_account")
+def q_ingest_contacts_by_account(spark, d):
+    """Contacts (offset pages) with the optional account_id equality."""
+    from .sources.objects import to_rows
+    from .sources.pages import explode_items, offset_chain, parse_pages
+    from .functions.jsonx import json_value
+    recs = fx.contact_records(T(spark, d, "customer"))
+    k = F.col("key")
+    pages = _pages(recs, F.lit("r0"), (k / 100).cast("long"), k)
+    rows = to_rows(explode_items(offset_chain(parse_pages(pages))), "contacts")
+    return rows.where(F.col("account_id") == "7") \
+               .select("contact_id", "account_id", json_value("data", "$.name").alias("name"))
+
+
+@query("ingest_issue_messages")
+def q_ingest_issue_messages(spark, d):
+    """One unpaginated response per issue; the parent id comes from the
+    request (landing partition); a NULL data array gives no rows."""
+    from .sources.objects import to_rows
+    from .sources.pages import explode_items, parse_pages
+    from .functions.text import author_email
+    from .functions.jsonx import json_value
+    conv = T(spark, d, "conversations")
+    m = fx.chat_messages(conv).select("issue_id", F.col("message_id").cast("long").alias("turn"),
+                                      F.to_json("data").alias("record"))
+    g = (m.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("turn", "record"))).alias("rs")))
+    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["record"]), ","), F.lit("]"))
+    body = F.when(F.col("issue_id").cast("long") % 13 == 0, F.lit('{"data":null}')) \
+            .otherwise(F.concat(F.lit('{"data":'), data, F.lit("}")))
+    pages = g.select("issue_id", F.lit(0).cast("long").alias("page_no"), body.alias("body"))
+    rows = to_rows(explode_items(parse_pages(pages), keep=("issue_id", "page_no")), "messages")
+    d_ = F.col("data")
+    return rows.select("issue_id", "message_id", "pos",
+                       author_email(json_value(d_, "$.author.user.email"),
+                                    json_value(d_, "$.author.contact.email")).alias("author"))
+
+
+@query("point_lookup")
+def q_point_lookup(spark, d):
+    """Lookup by id; single-record bodies are unwrapped from ``data``
+    when wrapped (every other issue is landed wrapped)."""
+    from .sources.pages import lookup, unwrap_body
+    from .functions.jsonx import json_value
+    f = fx.issue_frame(T(spark, d, "orders"))
+    body = F.when(F.col("key") % 2 == 0, F.concat(F.lit('{"data":'), F.col("record"), F.lit("}"))) \
+            .otherwise(F.col("record"))
+    bodies = f.select("issue_id", F.parse_json(body).alias("body"))
+    hit = lookup(bodies, "issue_id", "1").unionByName(lookup(bodies, "issue_id", "2"))
+    u = unwrap_body(F.col("body"))
+    return hit.select("issue_id", json_value(u, "$.state").alias("state"),
+                      json_value(u, "$.created_at").alias("created_at"))
+
+
+@query("record_cap")
+def q_record_cap(spark, d):
+    """The first 500 records in landing order (the cap is the feature)."""
+    from .sources.pages import cap_records, explode_items, parse_pages
+    from pyspark.sql import Window
+    recs = fx.issue_frame(T(spark, d, "orders"))
+    items = explode_items(parse_pages(_pages(recs, F.lit("r0"), F.col("page_no"), F.col("pos"))))
+    capped = cap_records(items, 500)
+    w = Window.orderBy("run_id", "page_no", "pos")
+    return capped.select(F.row_number().over(w).cast("long").alias("rank"),
+                         F.try_variant_get("item", "$.id", "string").alias("issue_id"))
+
+
+@query("ndjson_load")
+def q_ndjson_load(spark, d):
+    """S12+J6+J7: typed NDJSON (explicit schema, FAILFAST), one batch stamp,
+    timestamps re-serialised as RFC 3339 with a 'Z'."""
+    from .sources.pages import parse_ndjson
+    ev = T(spark, d, "events")
+    lines = ev.select(F.to_json(F.struct(F.col("event_id"), F.col("event_type"),
+                                         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                                         "user_id")).alias("line"))
+    schema = "event_id bigint, event_type string, ts timestamp, user_id bigint"
+    rows = parse_ndjson(lines, "line", schema)
+    stamp = F.to_timestamp(F.lit("2024-02-01 12:00:00"))
+    rows = rows.withColumn("updated_at", stamp)
+    return rows.select("event_id", "event_type", to_text_ts("ts", micros=True).alias("ts"),
+                       to_text_ts("updated_at", micros=True).alias("updated_at"))

@@ -39,7 +39,7 @@ def get_spark(master: str | None = None, app: str = "ticketlake",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_CONF, **conf}.items():
