@@ -54,14 +54,14 @@ class KeyedTable:
 
     # I2 ------------------------------------------------------------------
     def exists(self) -> bool:
-        local = self.path.replace("file:", "")
-        if "://" in self.path and not self.path.startswith("file:"):
-            try:
-                self.spark.read.parquet(self.path).limit(0).collect()
-                return True
-            except Exception:  # noqa: BLE001
+        """True when the table folder exists (works for any Hadoop path)."""
+        try:
+            self.read()
+            return True
+        except Exception as e:  # noqa: BLE001
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 return False
-        return os.path.exists(os.path.join(local, "_SUCCESS"))
+            raise
 
     def create(self) -> "KeyedTable":
         """Create the table with the registry schema if absent; an existing
@@ -72,7 +72,10 @@ class KeyedTable:
         return self
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """The table with its registry schema (an empty table has no files to
+        infer one from)."""
+        schema = T.StructType(self.schema.fields + [T.StructField("key_bucket", T.IntegerType(), True)])
+        return self.spark.read.schema(schema).parquet(self.path)
 
     # I3/I4 ---------------------------------------------------------------
     def prepare(self, rows: DataFrame, keep: str = "first") -> DataFrame:
@@ -124,7 +127,7 @@ class KeyedTable:
         if not self.exists():
             raise FileNotFoundError(f"table not found: {self.path}")
         before = self.row_count().first()["row_count"]
-        empty = self.spark.createDataFrame([], self.read().schema)
+        empty = self.spark.createDataFrame([], self.read().schema)  # same columns, no rows
         empty.write.mode("overwrite").option("partitionOverwriteMode", "static") \
              .partitionBy("key_bucket").parquet(self.path)
         after = self.row_count().first()["row_count"]

@@ -113,3 +113,138 @@ SELECT event_id, event_type, strftime(ts, {TS_MICROS}) AS ts,
        '2024-02-01T12:00:00.000000Z' AS updated_at
 FROM events
 """)
+
+# ------------------------------------------------------------------ filters
+oracle("filter_equals", "SELECT event_id FROM events WHERE event_type = 'click'")
+oracle("filter_in", "SELECT event_id FROM events WHERE event_type IN ('view', 'purchase')")
+oracle("filter_time_range", """
+SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'
+""")
+oracle("filter_after", "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-25 00:00:00'")
+oracle("filter_before", "SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-05 00:00:00'")
+oracle("filter_and_extra", """
+SELECT event_id FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-22 00:00:00'
+  AND event_type IN ('purchase', 'signup') AND NOT (value < 5)
+""")
+oracle("filter_shaped", "SELECT event_id FROM events WHERE value < 5 AND event_type = 'error'")
+
+oracle("chunk_30d", f"""
+WITH t AS (SELECT o_orderdate + to_days(CAST(o_orderkey % 30 AS INTEGER)) AS m FROM orders),
+c AS (SELECT CASE
+        WHEN m >= TIMESTAMP '1996-01-01' AND m < TIMESTAMP '1999-06-15'
+          THEN CAST(floor((epoch_us(m) - epoch_us(TIMESTAMP '1996-01-01')) / 2592000000000) AS BIGINT)
+        WHEN m = TIMESTAMP '1999-06-15'
+          THEN CAST(ceil((epoch_us(TIMESTAMP '1999-06-15') - epoch_us(TIMESTAMP '1996-01-01')) / 2592000000000) AS BIGINT) - 1
+      END AS chunk_no FROM t)
+SELECT chunk_no,
+       strftime(TIMESTAMP '1996-01-01' + to_days(CAST(30 * chunk_no AS INTEGER)), {TS}) AS chunk_start,
+       strftime(least(TIMESTAMP '1996-01-01' + to_days(CAST(30 * (chunk_no + 1) AS INTEGER)),
+                      TIMESTAMP '1999-06-15'), {TS}) AS chunk_end,
+       count(*) AS n
+FROM c WHERE chunk_no IS NOT NULL GROUP BY chunk_no
+""")
+
+
+def _ids_oracle(window: bool, state: str | None) -> str:
+    lo, hi = "TIMESTAMP '1997-03-01'", "TIMESTAMP '1997-06-30'"
+    fp, jp = ["TRUE"], ["TRUE"]
+    if window:
+        fp.append(f"(o_orderdate BETWEEN {lo} AND {hi} OR ls BETWEEN {lo} AND {hi})")
+        jp.append(f"(o_orderdate BETWEEN {lo} AND {hi} OR "
+                  f"o_orderdate + to_days(CAST(o_orderkey % 90 AS INTEGER)) BETWEEN {lo} AND {hi})")
+    if state:
+        disp = ("CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Waiting on Customer' "
+                "WHEN 'P' THEN 'On Hold' END")
+        fp.append(f"{disp} = '{state}'")
+        jp.append(f"{ISSUE_STATE} = '{state.lower().replace(' ', '_')}'")
+    return f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS issue_id FROM orders o
+LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS ls FROM lineitem GROUP BY l_orderkey) l
+  ON l.l_orderkey = o.o_orderkey
+WHERE {' AND '.join(fp)}
+UNION
+SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE {' AND '.join(jp)}
+"""
+
+
+oracle("issue_ids_window", _ids_oracle(True, None))
+oracle("issue_ids_state", _ids_oracle(False, "Waiting on Customer"))
+oracle("issue_ids_union", _ids_oracle(True, "Closed"))
+
+# ------------------------------------------------------------------ JSON
+oracle("json_scalar", """
+SELECT event_id, json_extract_string(props, '$.k') AS p_k, CAST(NULL AS VARCHAR) AS o,
+       CAST(user_id AS VARCHAR) AS o_x, CAST(NULL AS VARCHAR) AS a, CAST(event_id AS VARCHAR) AS a0,
+       CAST(NULL AS VARCHAR) AS n, event_type AS s,
+       CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS t, '' AS e,
+       CAST(NULL AS VARCHAR) AS missing
+FROM events
+""")
+
+_TEAM_MEMBERS = """
+SELECT 'n' || CAST(n.n_nationkey AS VARCHAR) AS team_id, n.n_name AS team_name, s.s_suppkey
+FROM nation n JOIN supplier s ON s.s_nationkey = n.n_nationkey
+UNION ALL
+SELECT 'r' || CAST(r.r_regionkey AS VARCHAR), r.r_name, s.s_suppkey
+FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey JOIN supplier s ON s.s_nationkey = n.n_nationkey
+"""
+STAFF_EMAIL = "CASE WHEN s_suppkey % 10 <> 9 THEN 'agent' || CAST(s_suppkey AS VARCHAR) || '@staff.example' END"
+
+oracle("json_array_unnest", f"""
+SELECT team_id, 's' || CAST(s_suppkey AS VARCHAR) AS user_id, {STAFF_EMAIL} AS email
+FROM ({_TEAM_MEMBERS}) m
+""")
+
+oracle("json_ts", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS issue_id, strftime(o_orderdate, {TS}) AS created_at,
+       CAST(epoch(o_orderdate) AS BIGINT) AS created_epoch
+FROM orders
+""")
+
+# ------------------------------------------------------------------ dedup
+_LI_TIES = ("l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, "
+            "l_returnflag, l_linestatus")
+
+
+def _dedup_oracle(order: str) -> str:
+    return f"""
+SELECT issue_id, message_id, l_partkey, l_suppkey FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) AS issue_id, CAST(l_linenumber AS VARCHAR) AS message_id,
+         l_partkey, l_suppkey,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) AS rn
+  FROM lineitem) t
+WHERE rn = 1
+"""
+
+
+oracle("dedup_first", _dedup_oracle(f"l_shipdate, {_LI_TIES}"))
+oracle("dedup_latest", _dedup_oracle(f"l_shipdate DESC, {_LI_TIES}"))
+oracle("dedup_counts", """
+SELECT count(*) AS original, CAST(0 AS BIGINT) AS null_keys,
+       (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS kept,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS removed
+FROM lineitem
+""")
+
+# ------------------------------------------------------------------ upsert
+oracle("upsert_merge", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS issue_id,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'closed' ELSE {ISSUE_STATE} END AS state
+FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0
+""")
+oracle("upsert_batches", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS issue_id,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'new' WHEN o_orderkey % 4 = 0 THEN 'closed'
+            WHEN o_orderkey % 3 = 0 THEN 'on_hold' ELSE {ISSUE_STATE} END AS state
+FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 5 = 0
+""")
+oracle("truncate_audit", """
+SELECT 'teams' AS table_name, (SELECT count(*) FROM nation) + (SELECT count(*) FROM region) AS rows_before,
+       CAST(0 AS BIGINT) AS rows_after
+""")
+oracle("high_water_mark", f"SELECT strftime(max(ts), {TS_MICROS}) AS high_water_mark FROM events")
+oracle("incremental_cut", """
+SELECT event_id FROM events
+WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00')
+""")

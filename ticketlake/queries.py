@@ -247,3 +247,254 @@ def q_ndjson_load(spark, d):
     rows = rows.withColumn("updated_at", stamp)
     return rows.select("event_id", "event_type", to_text_ts("ts", micros=True).alias("ts"),
                        to_text_ts("updated_at", micros=True).alias("updated_at"))
+
+
+# ------------------------------------------------------------------ filters
+def _event_issues(spark, d) -> DataFrame:
+    """Events as issue-like records: state = event type, modified_at = ts,
+    bucket = 'low' below value 5 else 'high'."""
+    ev = T(spark, d, "events")
+    rec = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"),
+                             F.col("event_type").alias("state"),
+                             to_text_ts("ts", micros=True).alias("modified_at"),
+                             F.col("user_id").cast("string").alias("user"),
+                             F.when(F.col("value") < 5, "low").otherwise("high").alias("bucket")))
+    return ev.select("event_id", F.parse_json(rec).alias("data"))
+
+
+def _filtered(spark, d, **kw) -> DataFrame:
+    from .operators.filters import body_predicate, json_field, search_body
+    body = search_body(**kw)
+    return _event_issues(spark, d).where(body_predicate(body, json_field())).select("event_id")
+
+
+@query("filter_equals")
+def q_filter_equals(spark, d):
+    """One state -> ``equals``."""
+    return _filtered(spark, d, states=["click"])
+
+
+@query("filter_in")
+def q_filter_in(spark, d):
+    """Several states -> ``in``."""
+    return _filtered(spark, d, states=["view", "purchase"])
+
+
+@query("filter_time_range")
+def q_filter_time_range(spark, d):
+    """Both bounds -> ``time_range`` (inclusive)."""
+    return _filtered(spark, d, modified_start=dt.datetime(2024, 1, 10), modified_end=dt.datetime(2024, 1, 20))
+
+
+@query("filter_after")
+def q_filter_after(spark, d):
+    """Start only -> ``time_is_after`` (strict)."""
+    return _filtered(spark, d, modified_start=dt.datetime(2024, 1, 25))
+
+
+@query("filter_before")
+def q_filter_before(spark, d):
+    """End only -> ``time_is_before`` (strict)."""
+    return _filtered(spark, d, modified_end=dt.datetime(2024, 1, 5))
+
+
+@query("filter_and_extra")
+def q_filter_and_extra(spark, d):
+    """Plain extra mapping -> equals leaf, AND-ed with range and states."""
+    return _filtered(spark, d, modified_start=dt.datetime(2024, 1, 8), modified_end=dt.datetime(2024, 1, 22),
+                     states=["purchase", "signup"], extra_filters={"bucket": "high"})
+
+
+@query("filter_shaped")
+def q_filter_shaped(spark, d):
+    """A shaped extra body passes through, AND-ed with the built leaves."""
+    return _filtered(spark, d, states=["error"],
+                     extra_filters={"filter": {"field": "bucket", "operator": "equals", "values": ["low"]}})
+
+
+CHUNK_START, CHUNK_END = dt.datetime(1996, 1, 1), dt.datetime(1999, 6, 15)
+
+
+@query("chunk_30d")
+def q_chunk_30d(spark, d):
+    """30-day chunks of [start, end] by arithmetic; count per chunk."""
+    from .operators.filters import chunk_index, chunks
+    from .functions.jsonx import json_ts
+    iss = fx.issues_table(T(spark, d, "orders"))
+    tagged = iss.select(chunk_index(json_ts("data", "$.modified_at"), CHUNK_START, CHUNK_END).alias("chunk_no")) \
+                .where(F.col("chunk_no").isNotNull())
+    counts = tagged.groupBy("chunk_no").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    c = chunks(spark, CHUNK_START, CHUNK_END)
+    return counts.join(c, "chunk_no").select("chunk_no", to_text_ts("chunk_start").alias("chunk_start"),
+                                               to_text_ts("chunk_end").alias("chunk_end"), "n")
+
+
+WINDOW_START, WINDOW_END = dt.datetime(1997, 3, 1, 10, 30), dt.datetime(1997, 6, 30, 15, 0)
+
+
+def _ids(spark, d, **kw) -> DataFrame:
+    from .operators.filters import issue_ids
+    o, li = T(spark, d, "orders"), T(spark, d, "lineitem")
+    return issue_ids(spark, fx.flat_issues(o, li), fx.issues_table(o), **kw)
+
+
+@query("issue_ids_window")
+def q_issue_ids_window(spark, d):
+    """P4+U1: created or latest-message time within day-cut bounds."""
+    return _ids(spark, d, start=WINDOW_START, end=WINDOW_END)
+
+
+@query("issue_ids_state")
+def q_issue_ids_state(spark, d):
+    """P5+P6+U1: display-form state on the flat table, code form on JSON."""
+    return _ids(spark, d, state="Waiting on Customer")
+
+
+@query("issue_ids_union")
+def q_issue_ids_union(spark, d):
+    """P4+P5+U1: time window and state together."""
+    return _ids(spark, d, start=WINDOW_START, end=WINDOW_END, state="Closed")
+
+
+# ------------------------------------------------------------------ JSON
+@query("json_scalar")
+def q_json_scalar(spark, d):
+    """JSON_VALUE rules - scalars as text; objects, arrays, JSON null
+    and missing paths as NULL."""
+    from .functions.jsonx import json_value
+    ev = T(spark, d, "events")
+    doc = F.concat(F.lit('{"p":'), F.col("props"), F.lit(',"o":{"x":'), F.col("user_id").cast("string"),
+                   F.lit('},"a":['), F.col("event_id").cast("string"), F.lit('],"n":null,"s":"'),
+                   F.col("event_type"), F.lit('","t":'),
+                   F.when(F.col("event_id") % 2 == 0, "true").otherwise("false"), F.lit(',"e":""}'))
+    v = F.parse_json(doc)
+    cols = {"p_k": "$.p.k", "o": "$.o", "o_x": "$.o.x", "a": "$.a", "a0": "$.a[0]", "n": "$.n",
+            "s": "$.s", "t": "$.t", "e": "$.e", "missing": "$.zz"}
+    return ev.select("event_id", *[json_value(v, p).alias(k) for k, p in cols.items()])
+
+
+@query("json_array_unnest")
+def q_json_array_unnest(spark, d):
+    """J2/JN4: UNNEST of the users array of each team (inner: no users -> no rows)."""
+    from .functions.jsonx import json_array, json_value
+    teams = fx.teams_table(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
+    u = teams.select("team_id", F.explode(json_array("data", "$.users")).alias("u"))
+    return u.select("team_id", json_value("u", "$.id").alias("user_id"), json_value("u", "$.email").alias("email"))
+
+
+@query("json_ts")
+def q_json_ts(spark, d):
+    """RFC 3339 text -> TIMESTAMP (strict), re-emitted as text + epoch."""
+    from .functions.jsonx import json_ts
+    iss = fx.issues_table(T(spark, d, "orders"))
+    ts = json_ts("data", "$.created_at")
+    return iss.select("issue_id", to_text_ts(ts).alias("created_at"),
+                      F.unix_seconds(ts).cast("long").alias("created_epoch"))
+
+
+# ------------------------------------------------------------------ dedup
+@query("dedup_first")
+def q_dedup_first(spark, d):
+    """A5 parity mode: first seen per (issue_id, message_id)."""
+    from .operators.dedup import dedup_first
+    m = fx.lineitem_messages(T(spark, d, "lineitem"))
+    return dedup_first(m, ["issue_id", "message_id"], seen=["seen"]) \
+        .select("issue_id", "message_id", "l_partkey", "l_suppkey")
+
+
+@query("dedup_latest")
+def q_dedup_latest(spark, d):
+    """A5 contract mode: greatest updated_at, ties -> first seen."""
+    from .operators.dedup import dedup_latest
+    m = fx.lineitem_messages(T(spark, d, "lineitem"))
+    return dedup_latest(m, ["issue_id", "message_id"], seen=["seen"]) \
+        .select("issue_id", "message_id", "l_partkey", "l_suppkey")
+
+
+@query("dedup_counts")
+def q_dedup_counts(spark, d):
+    """Original, null-key, kept and removed rows."""
+    from .operators.dedup import dedup_counts
+    return dedup_counts(fx.lineitem_messages(T(spark, d, "lineitem")), ["issue_id", "message_id"])
+
+
+# ------------------------------------------------------------------ upsert (I2-I4, JN5, I7, A2, A3)
+def _state_set(record, new_state: str):
+    return F.regexp_replace(record, r'"state":"[^"]*"', f'"state":"{new_state}"')
+
+
+def _issue_rows(f: DataFrame, record) -> DataFrame:
+    return f.select("issue_id", F.parse_json(record).alias("data"),
+                    F.to_timestamp(F.lit("2024-06-01 00:00:00")).alias("updated_at"), "page_no", "pos")
+
+
+@query("upsert_merge")
+def q_upsert_merge(spark, d):
+    """I3/JN5: target = even keys; source = keys % 3 = 0 now closed; MERGE
+    through the keyed parquet table (touched buckets rewritten)."""
+    from .operators.merge import KeyedTable
+    from .session import scratch_path
+    from .functions.jsonx import json_value
+    f = fx.issue_frame(T(spark, d, "orders"))
+    t = KeyedTable(spark, scratch_path(spark, "upsert_merge"), "issues", buckets=8)
+    t.upsert(_issue_rows(f.where(F.col("key") % 2 == 0), F.col("record")))
+    t.upsert(_issue_rows(f.where(F.col("key") % 3 == 0), _state_set(F.col("record"), "closed")))
+    return t.read().select("issue_id", json_value("data", "$.state").alias("state"))
+
+
+@query("upsert_batches")
+def q_upsert_batches(spark, d):
+    """I4: three batches in one pass - later batch wins, first row inside a
+    batch wins (batch 3 holds every key twice)."""
+    from .operators.merge import KeyedTable
+    from .session import scratch_path
+    from .functions.jsonx import json_value
+    f = fx.issue_frame(T(spark, d, "orders"))
+    t = KeyedTable(spark, scratch_path(spark, "upsert_batches"), "issues", buckets=8)
+    t.upsert(_issue_rows(f.where(F.col("key") % 2 == 0), F.col("record")))
+    k = F.col("key")
+    b1 = _issue_rows(f.where(k % 3 == 0), _state_set(F.col("record"), "on_hold")).withColumn("batch_no", F.lit(1))
+    b2 = _issue_rows(f.where(k % 4 == 0), _state_set(F.col("record"), "closed")).withColumn("batch_no", F.lit(2))
+    b3a = _issue_rows(f.where(k % 5 == 0), _state_set(F.col("record"), "new")).withColumn("batch_no", F.lit(3))
+    b3b = _issue_rows(f.where(k % 5 == 0).withColumn("pos", F.col("pos") + 1000),
+                      _state_set(F.col("record"), "waiting_on_you")).withColumn("batch_no", F.lit(3))
+    t.upsert(b1.unionByName(b2).unionByName(b3a).unionByName(b3b), keep="batches")
+    return t.read().select("issue_id", json_value("data", "$.state").alias("state"))
+
+
+@query("truncate_audit")
+def q_truncate_audit(spark, d):
+    """I7+A2: load the teams table, truncate it, audit rows before/after."""
+    from .operators.merge import KeyedTable
+    from .plans.truncate import truncate
+    from .session import scratch_path
+    teams = fx.teams_table(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
+    rows = teams.select("team_id", "data", F.current_timestamp().alias("updated_at"),
+                        F.lit(0).cast("long").alias("page_no"),
+                        F.xxhash64("team_id").alias("pos"))
+    t = KeyedTable(spark, scratch_path(spark, "teams"), "teams", buckets=4)
+    t.upsert(rows)
+    return truncate(t, "teams")
+
+
+def _event_table(ev: DataFrame) -> DataFrame:
+    return ev.select(F.col("event_id").cast("string").alias("event_id"),
+                     F.col("ts").cast("timestamp").alias("updated_at"))
+
+
+@query("high_water_mark")
+def q_high_water_mark(spark, d):
+    """A3: MAX(updated_at) of a table."""
+    from .streaming.incremental import high_water_mark
+    hwm = high_water_mark(_event_table(T(spark, d, "events")))
+    return hwm.select(to_text_ts("high_water_mark", micros=True).alias("high_water_mark"))
+
+
+@query("incremental_cut")
+def q_incremental_cut(spark, d):
+    """ST2: source rows changed after the target's high-water mark."""
+    from .streaming.incremental import incremental_cut
+    ev = T(spark, d, "events")
+    target = _event_table(ev.where(F.col("ts") <= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")))
+    src = ev.select(F.col("event_id"), F.col("ts").cast("timestamp").alias("changed_at"))
+    return incremental_cut(src, F.col("changed_at"), target).select("event_id")
