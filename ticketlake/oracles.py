@@ -248,3 +248,106 @@ oracle("incremental_cut", """
 SELECT event_id FROM events
 WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00')
 """)
+
+# ------------------------------------------------------------------ text + threads
+from .functions.text import ENTITIES, TAG_PATTERN, WHITESPACE_RUN  # noqa: E402
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_strip(expr: str) -> str:
+    """J8 in DuckDB: same tag pattern, same entity order, same whitespace class."""
+    t = f"regexp_replace(coalesce({expr}, ''), {_q(TAG_PATTERN)}, '', 'g')"
+    for ent, rep in ENTITIES:
+        t = f"replace({t}, {_q(ent)}, {_q(rep)})"
+    t = f"regexp_replace({t}, {_q(WHITESPACE_RUN)}, ' ', 'g')"
+    return f"trim({t}, ' ')"
+
+
+oracle("strip_html", f"SELECT page_id, {sql_strip('html')} AS text FROM pages")
+
+oracle("team_directory", f"""
+SELECT DISTINCT {STAFF_EMAIL} AS email, 's' || CAST(s_suppkey AS VARCHAR) AS user_id, team_name
+FROM ({_TEAM_MEMBERS}) m
+""")
+
+_TEAM_OF = f"""
+SELECT email, min(team_name) AS team_name FROM (
+  SELECT {STAFF_EMAIL} AS email, team_name FROM ({_TEAM_MEMBERS}) m) x
+WHERE email IS NOT NULL GROUP BY email
+"""
+_TEAM_ALL = f"""
+SELECT DISTINCT {STAFF_EMAIL} AS email, 's' || CAST(s_suppkey AS VARCHAR) AS user_id, team_name
+FROM ({_TEAM_MEMBERS}) m
+"""
+_LI_AUTHOR = ("CASE WHEN l_linenumber % 2 = 1 THEN 'agent' || CAST(l_suppkey AS VARCHAR) || '@staff.example' "
+              "ELSE 'c' || CAST(l_partkey AS VARCHAR) || '@customer.example' END")
+
+
+def _message_team_oracle(team_sql: str) -> str:
+    return f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS issue_id, CAST(l_linenumber AS VARCHAR) AS message_id,
+       {_LI_AUTHOR} AS author, coalesce(t.team_name, 'Customer') AS team
+FROM lineitem LEFT JOIN ({team_sql}) t ON t.email = {_LI_AUTHOR}
+"""
+
+
+oracle("message_team", _message_team_oracle(_TEAM_OF))
+oracle("message_team_fanout", _message_team_oracle(_TEAM_ALL))
+
+_EV_AUTHOR = ("CASE WHEN event_type = 'error' THEN NULL "
+              "WHEN event_type = 'purchase' THEN 'agent' || CAST(event_id % 13 AS VARCHAR) || '@staff.example' "
+              "ELSE 'user' || CAST(user_id AS VARCHAR) || '@customer.example' END")
+_EV_BODY = "'<div><p>' || event_type || ' &amp;&nbsp;</p>' || chr(10) || '<b>' || props || '</b></div>'"
+
+
+def _line(ts: str, author: str, body: str, team: str | None) -> str:
+    who = f"coalesce({author}, 'None')"
+    if team:
+        who = f"CASE WHEN {team} <> 'Customer' THEN {who} || '(' || {team} || ')' ELSE {who} END"
+    return f"'[' || coalesce({ts}, 'None') || '] ' || {who} || ': ' || {sql_strip(body)}"
+
+
+def _thread_oracle(head: int, tail: int, team_sql: str | None, fan_out: bool = False) -> str:
+    team_join = ""
+    team_col = "NULL"
+    order = "ts, message_id"
+    if team_sql:
+        team_join = f"LEFT JOIN ({team_sql}) t ON t.email = m.author"
+        team_col = "coalesce(t.team_name, 'Customer')"
+        if fan_out:
+            order = "ts, message_id, t.team_name NULLS FIRST, t.user_id NULLS FIRST"
+    line = _line("ts", "author", "body", "team" if team_sql else None)
+    return f"""
+WITH m AS (SELECT CAST(user_id AS VARCHAR) AS issue_id, CAST(event_id AS VARCHAR) AS message_id,
+                  strftime(ts, {TS_MICROS}) AS ts, {_EV_AUTHOR} AS author, {_EV_BODY} AS body FROM events),
+j AS (SELECT m.*, {team_col} AS team,
+             row_number() OVER (PARTITION BY issue_id ORDER BY {order}) AS rn,
+             count(*) OVER (PARTITION BY issue_id) AS n
+      FROM m {team_join})
+SELECT issue_id, count(*) AS n_lines, string_agg({line}, chr(10) ORDER BY rn) AS conversation
+FROM j WHERE rn <= {head} OR rn > n - {tail}
+GROUP BY issue_id
+"""
+
+
+oracle("thread_triage", _thread_oracle(3, 6, _TEAM_OF))
+oracle("thread_closing", _thread_oracle(5, 15, None))
+oracle("thread_triage_fanout", _thread_oracle(3, 6, _TEAM_ALL, fan_out=True))
+
+_CHAT_AUTHOR = ("CASE role WHEN 'user' THEN 'user' || CAST(conv_id AS VARCHAR) || '@customer.example' "
+                "WHEN 'assistant' THEN 'agent' || CAST(conv_id % 13 AS VARCHAR) || '@staff.example' END")
+_CHAT_TS = ("strftime(TIMESTAMP '2024-03-01 00:00:00' + to_hours(CAST(conv_id % 1000 AS INTEGER)) "
+            f"+ to_minutes(CAST(turn AS INTEGER)), {TS})")
+_CHAT = f"""
+SELECT CAST(conv_id AS VARCHAR) AS issue_id, CAST(turn AS VARCHAR) AS message_id, conv_id, turn,
+       {_CHAT_AUTHOR} AS author, {_CHAT_TS} AS ts, text AS body FROM conversations
+"""
+
+oracle("author_line", f"""
+SELECT c.issue_id, c.message_id,
+       {_line('c.ts', 'c.author', 'c.body', "coalesce(t.team_name, 'Customer')")} AS line
+FROM ({_CHAT}) c LEFT JOIN ({_TEAM_OF}) t ON t.email = c.author
+""")

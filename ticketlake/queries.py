@@ -498,3 +498,80 @@ def q_incremental_cut(spark, d):
     target = _event_table(ev.where(F.col("ts") <= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")))
     src = ev.select(F.col("event_id"), F.col("ts").cast("timestamp").alias("changed_at"))
     return incremental_cut(src, F.col("changed_at"), target).select("event_id")
+
+
+# ------------------------------------------------------------------ text + threads (J4, J8-J10, A4, JN1, W1, W2, A7)
+@query("strip_html")
+def q_strip_html(spark, d):
+    """Tags dropped, six entities decoded in order, Unicode whitespace
+    collapsed, trimmed - over every page."""
+    from .functions.text import strip_html
+    return T(spark, d, "pages").select("page_id", strip_html("html").alias("text"))
+
+
+def _teams(spark, d) -> DataFrame:
+    return fx.teams_table(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
+
+
+@query("team_directory")
+def q_team_directory(spark, d):
+    """A4+J2: DISTINCT (email, user_id, team_name) over all team members."""
+    from .operators.threads import staff_directory
+    return staff_directory(_teams(spark, d))
+
+
+def _message_team(spark, d, fan_out: bool) -> DataFrame:
+    from .operators.threads import message_rows, staff_directory, team_by_email
+    from .functions.text import team_label
+    rows = message_rows(fx.lineitem_messages(T(spark, d, "lineitem")))
+    directory = staff_directory(_teams(spark, d))
+    t = (directory if fan_out else team_by_email(directory)).select(F.col("email").alias("_e"), "team_name")
+    j = rows.join(t, rows.author == t._e, "left")
+    return j.select("issue_id", "message_id", "author", team_label(F.col("team_name")).alias("team"))
+
+
+@query("message_team")
+def q_message_team(spark, d):
+    """JN1+J4+J10: author -> staff team (one per e-mail) or 'Customer'."""
+    return _message_team(spark, d, fan_out=False)
+
+
+@query("message_team_fanout")
+def q_message_team_fanout(spark, d):
+    """JN1 parity mode (Q6): one row per team of a staff author."""
+    return _message_team(spark, d, fan_out=True)
+
+
+@query("thread_triage")
+def q_thread_triage(spark, d):
+    """Triage conversations (first 3 + last 6) for every thread."""
+    from .operators.threads import triage_conversations
+    return triage_conversations(fx.event_messages(T(spark, d, "events")), _teams(spark, d))
+
+
+@query("thread_closing")
+def q_thread_closing(spark, d):
+    """Closing conversations (first 5 + last 15) for every thread."""
+    from .operators.threads import closing_conversations
+    return closing_conversations(fx.event_messages(T(spark, d, "events")))
+
+
+@query("thread_triage_fanout")
+def q_thread_triage_fanout(spark, d):
+    """E6 parity mode (Q6): staff in two teams repeat their lines, and the
+    repeats count towards the 3 + 6 window."""
+    from .operators.threads import triage_conversations
+    return triage_conversations(fx.event_messages(T(spark, d, "events")), _teams(spark, d), fan_out=True)
+
+
+@query("author_line")
+def q_author_line(spark, d):
+    """J4+J9+J10: one formatted line per chat message."""
+    from .operators.threads import message_rows, staff_directory, team_by_email
+    from .functions.text import conversation_line, team_label
+    rows = message_rows(fx.chat_messages(T(spark, d, "conversations")))
+    t = team_by_email(staff_directory(_teams(spark, d))).withColumnRenamed("email", "_e")
+    j = rows.join(t, rows.author == t._e, "left")
+    return j.select("issue_id", "message_id",
+                    conversation_line(F.col("ts"), F.col("author"), F.col("body"),
+                                      team_label(F.col("team_name"))).alias("line"))
