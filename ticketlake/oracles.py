@@ -351,3 +351,135 @@ SELECT c.issue_id, c.message_id,
        {_line('c.ts', 'c.author', 'c.body', "coalesce(t.team_name, 'Customer')")} AS line
 FROM ({_CHAT}) c LEFT JOIN ({_TEAM_OF}) t ON t.email = c.author
 """)
+
+# ------------------------------------------------------------------ triage
+from .functions.labels import CATEGORIES, RESOLUTIONS  # noqa: E402
+from .functions.prompts import system_text  # noqa: E402
+
+
+def _list(rows) -> str:
+    return "[" + ", ".join(_q(r[0]) for r in rows) + "]"
+
+
+K = "o_orderkey"
+RES_LABEL = (f"CASE WHEN {K} % 3 = 0 THEN NULL WHEN {K} % 7 = 4 THEN '' WHEN {K} % 13 = 0 THEN 'bug_fixed' "
+             f"ELSE {_list(RESOLUTIONS)}[{K} % 6 + 1] END")
+CAT_LABEL = (f"CASE WHEN {K} % 5 = 0 THEN NULL WHEN {K} % 17 = 0 THEN 'langgraph_platform' "
+             f"ELSE {_list(CATEGORIES)}[{K} % 26 + 1] END")
+TAGS = (f"CASE {K} % 7 WHEN 0 THEN ['vip', 'auto-classified'] WHEN 1 THEN NULL WHEN 2 THEN []::VARCHAR[] "
+        f"WHEN 3 THEN ['vip', 'vip', 'auto-closed'] ELSE ['p' || substr(o_orderpriority, 1, 1)] END")
+
+
+def _appended(tags: str, tag: str) -> str:
+    return (f"CASE WHEN list_contains(coalesce({tags}, []::VARCHAR[]), {_q(tag)}) THEN {tags} "
+            f"ELSE list_append(coalesce({tags}, []::VARCHAR[]), {_q(tag)}) END")
+
+
+oracle("unclassified", f"""
+SELECT row_number() OVER (ORDER BY o_orderdate DESC, issue_id) AS rank, issue_id, created_at FROM (
+  SELECT CAST({K} AS VARCHAR) AS issue_id, o_orderdate, strftime(o_orderdate, {TS}) AS created_at
+  FROM orders
+  WHERE o_orderstatus = 'F' AND ({K} % 3 = 0 OR {K} % 5 = 0)
+    AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '2000-12-31'
+  ORDER BY o_orderdate DESC, issue_id LIMIT 250) t
+""")
+
+oracle("missing_fields", f"""
+SELECT issue_id, is_closed, missing, missing <> '' AS needs_classification FROM (
+  SELECT CAST({K} AS VARCHAR) AS issue_id, o_orderstatus = 'F' AS is_closed,
+         concat_ws(',', CASE WHEN coalesce({RES_LABEL}, '') = '' THEN 'resolution' END,
+                        CASE WHEN coalesce({CAT_LABEL}, '') = '' THEN 'category' END) AS missing
+  FROM orders) t
+""")
+
+_TAX_VALUES = ", ".join([f"('resolution', {_q(r[0])})" for r in RESOLUTIONS] +
+                        [f"('category', {_q(c[0])})" for c in CATEGORIES])
+oracle("taxonomy_check", f"""
+WITH l AS (SELECT 'resolution' AS field, {RES_LABEL} AS label FROM orders
+           UNION ALL SELECT 'category', {CAT_LABEL} FROM orders),
+t(field, label) AS (VALUES {_TAX_VALUES})
+SELECT field, label, count(*) AS n FROM l
+WHERE label IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.field = l.field AND t.label = l.label)
+GROUP BY field, label
+""")
+
+oracle("label_recode", f"""
+SELECT CAST({K} AS VARCHAR) AS issue_id,
+       CASE WHEN r = 'bug_fix' THEN 'big_fix' ELSE r END AS resolution,
+       CASE WHEN c = 'langgraph_platform' THEN 'langgraph_langgraph_platform' ELSE c END AS category
+FROM (SELECT {K}, {RES_LABEL} AS r, {CAT_LABEL} AS c FROM orders) t
+""")
+
+oracle("tag_append", f"""
+SELECT CAST({K} AS VARCHAR) AS issue_id, array_to_string({_appended(TAGS, 'auto-classified')}, '|') AS tags
+FROM orders
+""")
+
+
+def _chat_thread(head: int, tail: int) -> str:
+    line = _line("ts", "author", "body", "team")
+    return f"""
+SELECT issue_id, conv_id, string_agg({line}, chr(10) ORDER BY rn) AS conversation FROM (
+  SELECT c.*, coalesce(t.team_name, 'Customer') AS team,
+         row_number() OVER (PARTITION BY issue_id ORDER BY ts, message_id) AS rn,
+         count(*) OVER (PARTITION BY issue_id) AS n
+  FROM ({_CHAT}) c LEFT JOIN ({_TEAM_OF}) t ON t.email = c.author) j
+WHERE rn <= {head} OR rn > n - {tail}
+GROUP BY issue_id, conv_id
+"""
+
+
+oracle("request_text", f"""
+SELECT issue_id,
+       CASE conv_id % 3 WHEN 0 THEN {_q(system_text(['resolution']))}
+                        WHEN 1 THEN {_q(system_text(['category']))}
+                        ELSE {_q(system_text(['resolution', 'category']))} END AS system,
+       '<Conversation History>' || chr(10) || conversation || chr(10) || '</Conversation History>' AS "user"
+FROM ({_chat_thread(3, 6)}) x
+""")
+
+oracle("response_gate", """
+SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'low' WHEN 1 THEN 'pass' WHEN 2 THEN 'pass' WHEN 3 THEN 'low'
+                   WHEN 4 THEN 'pass' WHEN 5 THEN 'error' WHEN 6 THEN 'error' ELSE 'none' END AS gate
+FROM labels
+""")
+
+_RES_OUT = "CASE WHEN {q} = 1 THEN 'big_fix' ELSE 'no_action' END"
+_CAT_OUT = "CASE WHEN {t} = 1 THEN 'other_spam' ELSE 'langgraph_langgraph_platform' END"
+oracle("accepted_fields", f"""
+SELECT doc_id, CASE doc_id % 8
+         WHEN 1 THEN 'resolution=' || {_RES_OUT.format(q='quality')}
+         WHEN 2 THEN 'resolution=' || {_RES_OUT.format(q='quality')} || ';category=' || {_CAT_OUT.format(t='toxic')}
+         ELSE '' END AS fields
+FROM labels WHERE doc_id % 8 IN (1, 2, 4)
+""")
+
+_CLASSIFY_OUTCOME = f"""
+WITH t AS (SELECT {K} AS k, * FROM orders WHERE o_orderstatus = 'F' AND ({K} % 3 = 0 OR {K} % 5 = 0)),
+o AS (SELECT t.*, CASE WHEN k NOT IN (SELECT l_orderkey FROM lineitem) THEN 'no_conversation'
+                        WHEN k % 9 = 0 THEN 'skipped'
+                        WHEN k % 8 IN (0, 3, 7) THEN 'skipped'
+                        WHEN k % 8 IN (5, 6) THEN 'exception'
+                        ELSE 'updated' END AS outcome FROM t)"""
+
+oracle("classify_report", f"""
+{_CLASSIFY_OUTCOME}
+SELECT count(*) AS total_processed,
+       CAST(count_if(outcome IN ('updated', 'update_failed')) AS BIGINT) AS total_classified,
+       CAST(count_if(outcome = 'updated') AS BIGINT) AS total_updated,
+       CAST(count_if(outcome IN ('no_conversation', 'update_failed', 'exception')) AS BIGINT) AS total_errors,
+       count_if(outcome IN ('no_conversation', 'update_failed', 'exception')) = 0 AS success
+FROM o
+""")
+oracle("classify_outcomes", f"""
+{_CLASSIFY_OUTCOME}
+SELECT outcome, count(*) AS n FROM o GROUP BY outcome
+""")
+oracle("update_outbox", f"""
+{_CLASSIFY_OUTCOME}
+SELECT CAST(k AS VARCHAR) AS issue_id, 'classify' AS kind,
+       {_RES_OUT.format(q='k % 2')} AS resolution,
+       CASE WHEN k % 8 = 2 THEN {_CAT_OUT.format(t='CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END')} END AS category,
+       array_to_string({_appended(TAGS, 'auto-classified')}, '|') AS tags
+FROM o WHERE outcome = 'updated' AND k % 8 IN (1, 2)
+""")

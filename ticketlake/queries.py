@@ -575,3 +575,182 @@ def q_author_line(spark, d):
     return j.select("issue_id", "message_id",
                     conversation_line(F.col("ts"), F.col("author"), F.col("body"),
                                       team_label(F.col("team_name"))).alias("line"))
+
+
+# ------------------------------------------------------------------ triage
+def _issues(spark, d) -> DataFrame:
+    return fx.issues_table(T(spark, d, "orders"))
+
+
+@query("unclassified")
+def q_unclassified(spark, d):
+    """P8+L1: closed issues missing a label, created in bounds, newest first,
+    capped at 250 records (the cap is the feature)."""
+    from .operators.triage import unclassified
+    from pyspark.sql import Window
+    u = unclassified(_issues(spark, d), created_start="1996-01-01T00:00:00Z",
+                     created_end="2000-12-31T00:00:00Z", limit=250)
+    w = Window.orderBy(F.col("created_at").desc(), F.col("issue_id"))
+    return u.select(F.row_number().over(w).cast("long").alias("rank"), "issue_id",
+                    to_text_ts("created_at").alias("created_at"))
+
+
+@query("missing_fields")
+def q_missing_fields(spark, d):
+    """P11+P12: closed flag and falsy label fields per issue."""
+    from .operators.closing import is_closed, missing_fields
+    i = _issues(spark, d)
+    m = missing_fields(F.col("data"))
+    return i.select("issue_id", is_closed(F.col("data")).alias("is_closed"),
+                    F.array_join(m, ",").alias("missing"), (F.size(m) > 0).alias("needs_classification"))
+
+
+def _labels_long(spark, d) -> DataFrame:
+    from .functions.jsonx import json_value
+    i = _issues(spark, d)
+    return i.select(F.explode(F.array(
+        F.struct(F.lit("resolution").alias("field"), json_value("data", "$.custom_fields.resolution.value").alias("label")),
+        F.struct(F.lit("category").alias("field"), json_value("data", "$.custom_fields.category.value").alias("label")))
+    ).alias("x")).select("x.field", "x.label").where(F.col("label").isNotNull())
+
+
+@query("taxonomy_check")
+def q_taxonomy_check(spark, d):
+    """Labels in use that are not in the taxonomy (anti join against the
+    fixed-size taxonomy table), with counts."""
+    from .functions.labels import taxonomy
+    tax = F.broadcast(taxonomy(spark).select("field", "label"))
+    out = _labels_long(spark, d).join(tax, ["field", "label"], "left_anti")
+    return out.groupBy("field", "label").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+@query("label_recode")
+def q_label_recode(spark, d):
+    """Write-back recoding of labels (unknown labels pass)."""
+    from .functions.jsonx import json_value
+    from .functions.labels import recode_category, recode_resolution
+    i = _issues(spark, d)
+    return i.select("issue_id",
+                    recode_resolution(json_value("data", "$.custom_fields.resolution.value")).alias("resolution"),
+                    recode_category(json_value("data", "$.custom_fields.category.value")).alias("category"))
+
+
+@query("tag_append")
+def q_tag_append(spark, d):
+    """Append 'auto-classified' unless present; order/duplicates kept."""
+    from .functions.labels import TAG_CLASSIFIED, append_tag
+    i = _issues(spark, d)
+    tags = F.try_variant_get("data", "$.tags", "array<string>")
+    return i.select("issue_id", F.array_join(append_tag(tags, TAG_CLASSIFIED), "|").alias("tags"))
+
+
+def _chat_conversations(spark, d) -> DataFrame:
+    from .operators.threads import triage_conversations
+    return triage_conversations(fx.chat_messages(T(spark, d, "conversations")), _teams(spark, d))
+
+
+@query("request_text")
+def q_request_text(spark, d):
+    """Per-issue request (system variant by field set, user text)."""
+    from .operators.triage import requests
+    convs = _chat_conversations(spark, d)
+    k = F.col("issue_id").cast("long") % 3
+    fields = (F.when(k == 0, F.array(F.lit("resolution"))).when(k == 1, F.array(F.lit("category")))
+               .otherwise(F.array(F.lit("resolution"), F.lit("category"))))
+    targets = convs.select("issue_id", fields.alias("fields"))
+    return requests(targets, convs).select("issue_id", "system", "user")
+
+
+def planted_response(key, quality, toxic):
+    """Scorer responses planted by key (8 shapes: low/ok confidences, strong
+    and weak fields, absent, JSON null and text confidence, bad JSON)."""
+    res = F.when(quality == 1, F.lit("bug_fix")).otherwise(F.lit("no_action"))
+    cat = F.when(toxic == 1, F.lit("other_spam")).otherwise(F.lit("langgraph_platform"))
+    q = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
+    v = key % 8
+    return (F.when(v == 0, F.concat(F.lit('{"resolution": '), q(res), F.lit(', "confidence": 0.79}')))
+             .when(v == 1, F.concat(F.lit('{"resolution": '), q(res), F.lit(', "confidence": 0.8}')))
+             .when(v == 2, F.concat(F.lit('{"resolution": '), q(res), F.lit(', "resolution_confidence": 1, "category": '),
+                                    q(cat), F.lit(', "category_confidence": 0.95}')))
+             .when(v == 3, F.concat(F.lit('{"resolution": '), q(res), F.lit(', "resolution_confidence": 0.9, "category": '),
+                                    q(cat), F.lit(', "category_confidence": 0.5}')))
+             .when(v == 4, F.concat(F.lit('{"category": '), q(cat), F.lit("}")))
+             .when(v == 5, F.concat(F.lit('{"resolution": '), q(res), F.lit(', "confidence": null}')))
+             .when(v == 6, F.concat(F.lit('{"resolution": '), q(res), F.lit(', "confidence": "0.9"}')))
+             .otherwise(F.lit("not json {")))
+
+
+def _label_responses(spark, d) -> DataFrame:
+    lab = T(spark, d, "labels")
+    return lab.select(F.col("doc_id").cast("string").alias("issue_id"),
+                      planted_response(F.col("doc_id"), F.col("quality"), F.col("toxic")).alias("response"))
+
+
+@query("response_gate")
+def q_response_gate(spark, d):
+    """J14+J16: parse and gate every scored response."""
+    from .functions.labels import gate
+    from .operators.triage import parse_response
+    r = _label_responses(spark, d)
+    v = parse_response(F.col("response"))
+    return r.select(F.col("issue_id").cast("long").alias("doc_id"),
+                    F.when(v.isNull(), F.lit("none")).otherwise(gate(v)).alias("gate"))
+
+
+@query("accepted_fields")
+def q_accepted_fields(spark, d):
+    """J17+J11: fields taken from passing responses (slug=value list)."""
+    from .functions.labels import accepted_fields, gate
+    from .operators.triage import parse_response
+    r = _label_responses(spark, d)
+    v = parse_response(F.col("response"))
+    ok = r.where(v.isNotNull() & (gate(v) == "pass"))
+    f = accepted_fields(v)
+    return ok.select(F.col("issue_id").cast("long").alias("doc_id"),
+                     F.array_join(F.transform(f, lambda x: F.concat(x["slug"], F.lit("="), x["value"])), ";")
+                     .alias("fields"))
+
+
+def _issue_responses(issues_keys: DataFrame) -> DataFrame:
+    """Landed scorer responses for issues (none when key % 9 = 0)."""
+    k = F.col("key")
+    return issues_keys.select(F.col("issue_id"), F.when(k % 9 != 0, planted_response(
+        k, k % 2, F.when(k % 3 == 0, 1).otherwise(0))).alias("response"))
+
+
+def _classify_run(spark, d) -> dict:
+    from .plans.classify import classify
+    from .operators.scorer import replay
+    iss = _issues(spark, d)
+    msgs = fx.lineitem_messages(T(spark, d, "lineitem"))
+    landed = _issue_responses(iss)
+    return classify(iss, msgs, _teams(spark, d), responder=lambda r: replay(r, landed),
+                    created_at=F.to_timestamp(F.lit("2024-06-02 00:00:00")))
+
+
+@query("classify_report")
+def q_classify_report(spark, d):
+    """E4+A10: counters of the classify run over all unclassified issues."""
+    return _classify_run(spark, d)["counters"]
+
+
+@query("classify_outcomes")
+def q_classify_outcomes(spark, d):
+    """Issues per outcome of the truth table."""
+    dec = _classify_run(spark, d)["decisions"]
+    return dec.groupBy("outcome").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+def _payload_cols(outbox: DataFrame, schema: str) -> DataFrame:
+    return outbox.select("issue_id", "kind", F.from_json("payload", schema).alias("p"))
+
+
+@query("update_outbox")
+def q_update_outbox(spark, d):
+    """J19+I8: classification outbox rows, payload read back into columns."""
+    ob = _payload_cols(_classify_run(spark, d)["outbox"],
+                       "custom_fields array<struct<slug:string,value:string>>, tags array<string>")
+    cf = F.col("p.custom_fields")
+    pick = lambda s: F.try_element_at(F.filter(cf, lambda x: x["slug"] == s), F.lit(1))["value"]
+    return ob.select("issue_id", "kind", pick("resolution").alias("resolution"),
+                     pick("category").alias("category"), F.array_join("p.tags", "|").alias("tags"))
