@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import json_str, json_ts, json_value, parse
-from ..functions.labels import close_payload
+from ..functions.labels import TAG_CLASSIFIED, append_tag, close_payload
 
 WAITING = "waiting_on_customer"
 SLACK = "slack"
@@ -99,7 +99,8 @@ def closing_decisions(candidates: DataFrame, snapshot: DataFrame, conversations:
     cls_updated = F.lit(False)
     if classified is not None:
         k = classified.select("issue_id", F.col("outcome").alias("cls_outcome"),
-                              F.transform("custom_fields", lambda x: x["slug"]).alias("cls_slugs"))
+                              F.transform("custom_fields", lambda x: x["slug"]).alias("cls_slugs"),
+                              F.col("payload").isNotNull().alias("cls_written"))
         c = c.join(k, "issue_id", "left")
         missing = F.filter(missing, lambda f: ~F.coalesce(F.array_contains(F.col("cls_slugs"), f), F.lit(False)))
         cls_updated = F.coalesce(F.col("cls_outcome") == "updated", F.lit(False))
@@ -115,6 +116,9 @@ def closing_decisions(candidates: DataFrame, snapshot: DataFrame, conversations:
                 .when(analysis["all_resolved"], F.lit("closed"))
                 .otherwise(F.lit("not_resolved")))
     tags = F.try_variant_get(data, "$.tags", "array<string>")
+    if classified is not None:   # the classification write-back added its tag first
+        tags = F.when(F.coalesce(F.col("cls_written"), F.lit(False)), append_tag(tags, TAG_CLASSIFIED)) \
+                .otherwise(tags)
     return c.select(
         "issue_id", outcome.alias("outcome"), cls_updated.alias("classified_first"),
         analysis["n_questions"].alias("n_questions"),

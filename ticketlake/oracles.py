@@ -483,3 +483,67 @@ SELECT CAST(k AS VARCHAR) AS issue_id, 'classify' AS kind,
        array_to_string({_appended(TAGS, 'auto-classified')}, '|') AS tags
 FROM o WHERE outcome = 'updated' AND k % 8 IN (1, 2)
 """)
+
+# ------------------------------------------------------------------ closing
+_STALE = f"""
+SELECT o.o_orderkey AS k, o.* FROM orders o
+JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) m
+  ON m.l_orderkey = o.o_orderkey
+WHERE o.o_orderstatus = 'O' AND o.o_orderpriority = '1-URGENT'
+  AND m.last_ship < TIMESTAMP '1999-12-25 00:00:00'
+"""
+oracle("current_state_lookup", f"""
+SELECT CAST(k AS VARCHAR) AS issue_id,
+       CASE WHEN k % 11 = 0 THEN 'closed' ELSE 'waiting_on_customer' END AS state
+FROM ({_STALE}) s
+""")
+
+_CLOSE = f"""
+WITH x AS (SELECT *, k % 11 = 0 AS closed_now, (k % 3 = 0 OR k % 7 = 4) AS res_missing,
+                  (k % 5 = 0) AS cat_missing FROM ({_STALE}) s),
+c AS (SELECT *, (NOT closed_now AND (res_missing OR cat_missing)) AS needs,
+             CASE WHEN k % 9 = 0 THEN 'skipped' WHEN k % 8 IN (0, 3, 7) THEN 'skipped'
+                  WHEN k % 8 IN (5, 6) THEN 'exception' ELSE 'updated' END AS cls FROM x),
+y AS (SELECT *, needs AND cls = 'updated' AS cls_updated,
+             needs AND cls = 'updated' AND k % 8 IN (1, 2) AS cls_written,
+             res_missing AND NOT (needs AND cls = 'updated' AND k % 8 IN (1, 2)) AS res_left,
+             cat_missing AND NOT (needs AND cls = 'updated' AND k % 8 = 2) AS cat_left FROM c),
+o AS (SELECT *, CASE WHEN closed_now THEN 'already_closed'
+                     WHEN res_left OR cat_left THEN 'still_unclassified'
+                     WHEN k % 10 = 0 THEN 'analysis_failed'
+                     WHEN k % 4 IN (0, 1) THEN 'not_resolved'
+                     ELSE 'closed' END AS outcome FROM y)"""
+
+oracle("close_outcomes", f"{_CLOSE}\nSELECT outcome, count(*) AS n FROM o GROUP BY outcome")
+oracle("close_report", f"""
+{_CLOSE}
+SELECT count(*) AS total_processed,
+       CAST(count_if(outcome IN ('closed', 'not_resolved')) AS BIGINT) AS total_analyzed,
+       CAST(count_if(outcome = 'closed') AS BIGINT) AS total_closed,
+       CAST(count_if(cls_updated) AS BIGINT) AS total_classified,
+       CAST(count_if(outcome IN ('still_unclassified', 'no_conversation', 'analysis_failed')) AS BIGINT) AS total_errors,
+       count_if(outcome IN ('still_unclassified', 'no_conversation', 'analysis_failed')) = 0 AS success
+FROM o
+""")
+_TAGS_AFTER_CLS = f"CASE WHEN cls_written THEN {_appended(TAGS, 'auto-classified')} ELSE {TAGS} END"
+oracle("close_outbox", f"""
+{_CLOSE}
+SELECT CAST(k AS VARCHAR) AS issue_id, 'close' AS kind, 'closed' AS state,
+       array_to_string({_appended(_TAGS_AFTER_CLS, 'auto-closed')}, '|') AS tags
+FROM o WHERE outcome = 'closed'
+""")
+
+oracle("question_summary", """
+SELECT CAST(conv_id AS VARCHAR) AS issue_id, CAST(count_if(role = 'user') AS BIGINT) AS n_questions,
+       CASE WHEN conv_id % 10 = 0 THEN false
+            ELSE coalesce(bool_and(CASE WHEN role = 'user' THEN coalesce(turn < last_answer, false) END), true)
+       END AS all_resolved
+FROM (SELECT *, max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS last_answer
+      FROM conversations) c
+GROUP BY conv_id
+""")
+
+oracle("messages_of_selected", f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS issue_id, CAST(l_linenumber AS VARCHAR) AS message_id
+FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) IN ({_ids_oracle(True, None)})
+""")

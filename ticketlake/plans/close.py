@@ -24,18 +24,20 @@ def question_requests(candidates: DataFrame, convs: DataFrame) -> DataFrame:
                     question_user_text(F.col("conversation"), F.col("issue_id")).alias("user"))
 
 
-def close(issues: DataFrame, messages: DataFrame, teams: DataFrame, as_of: dt.datetime,
-          question_responder: Callable[[DataFrame], DataFrame],
+def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams: DataFrame,
+          as_of: dt.datetime, question_responder: Callable[[DataFrame], DataFrame],
           label_responder: Callable[[DataFrame], DataFrame] | None = None,
           max_records: int | None = None, created_at: Column | None = None) -> dict:
-    cand = closing.stale_candidates(issues, messages, as_of, max_records)
-    cur = closing.current_state(cand.select("issue_id"), issues)
+    """Candidates come from the warehouse table; their current state (closed?
+    labels? tags?) from ``current``, the service's latest snapshot."""
+    cand = closing.stale_candidates(warehouse, messages, as_of, max_records)
+    cur = closing.current_state(cand.select("issue_id"), current)
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \
               .where(F.size("fields") > 0)
-    cls = classify(issues, messages, teams, label_responder, targets=need, created_at=created_at)
+    cls = classify(current, messages, teams, label_responder, targets=need, created_at=created_at)
     convs = closing_conversations(messages.join(cand.select("issue_id"), "issue_id", "left_semi"))
     qreq = question_requests(cand, convs)
-    dec = closing.closing_decisions(cand, issues, convs, question_responder(qreq), cls["decisions"])
+    dec = closing.closing_decisions(cand, current, convs, question_responder(qreq), cls["decisions"])
     return {"candidates": cand, "decisions": dec, "classify_outbox": cls["outbox"],
             "outbox": closing.close_outbox(dec, created_at), "counters": closing.close_counters(dec)}

@@ -754,3 +754,109 @@ def q_update_outbox(spark, d):
     pick = lambda s: F.try_element_at(F.filter(cf, lambda x: x["slug"] == s), F.lit(1))["value"]
     return ob.select("issue_id", "kind", pick("resolution").alias("resolution"),
                      pick("category").alias("category"), F.array_join("p.tags", "|").alias("tags"))
+
+
+# ------------------------------------------------------------------ closing (E5, JN6, JN7, J15, J20, A11)
+def _current_snapshot(spark, d) -> DataFrame:
+    """The service's current state: the warehouse issues with keys % 11 = 0
+    closed since the last load (merged on the key)."""
+    from .operators.merge import merge
+    f = fx.issue_frame(T(spark, d, "orders"))
+    base = _issue_rows(f, F.col("record")).select("issue_id", "data")
+    changed = _issue_rows(f.where(F.col("key") % 11 == 0), _state_set(F.col("record"), "closed")) \
+        .select("issue_id", "data")
+    return merge(base, changed, ["issue_id"])
+
+
+def planted_question_response(key):
+    """Question-analysis responses planted by key: none (key % 10 = 0),
+    unresolved (key % 4 = 0), all_resolved as the *string* "true" (key % 4 = 1),
+    resolved otherwise."""
+    qs = F.lit('[{"id": 1, "question": "q", "resolved": true}, {"id": 2, "question": "r", "resolved": true}]')
+    body = lambda ar: F.concat(F.lit('{"pylon_issue_id": "'), key.cast("string"),
+                               F.lit('", "questions": '), qs, F.lit(', "quantity": "2", "all_resolved": '),
+                               F.lit(ar), F.lit("}"))
+    return (F.when(key % 10 == 0, F.lit(None).cast("string"))
+             .when(key % 4 == 0, body("false")).when(key % 4 == 1, body('"true"')).otherwise(body("true")))
+
+
+def _close_run(spark, d) -> dict:
+    from .plans.close import close
+    from .operators.scorer import replay
+    iss = _issues(spark, d)
+    cur = _current_snapshot(spark, d)
+    msgs = fx.lineitem_messages(T(spark, d, "lineitem"))
+    keys = iss.select("issue_id", "key")
+    label_landed = _issue_responses(keys)
+    q_landed = keys.select("issue_id", planted_question_response(F.col("key")).alias("response"))
+    return close(iss, cur.join(keys, "issue_id"), msgs, _teams(spark, d), AS_OF,
+                 question_responder=lambda r: replay(r, q_landed),
+                 label_responder=lambda r: replay(r, label_landed),
+                 created_at=F.to_timestamp(F.lit("2024-06-02 00:00:00")))
+
+
+@query("current_state_lookup")
+def q_current_state_lookup(spark, d):
+    """JN7: candidates joined once with the current snapshot."""
+    from .operators.closing import current_state
+    from .functions.jsonx import json_value
+    cand = closing.stale_candidates(_issues(spark, d), fx.lineitem_messages(T(spark, d, "lineitem")), AS_OF)
+    cs = current_state(cand.select("issue_id"), _current_snapshot(spark, d))
+    return cs.select("issue_id", json_value("current", "$.state").alias("state"))
+
+
+@query("close_report")
+def q_close_report(spark, d):
+    """E5+A11: closing counters over all stale candidates."""
+    return _close_run(spark, d)["counters"]
+
+
+@query("close_outcomes")
+def q_close_outcomes(spark, d):
+    """E5: candidates per outcome of the truth table."""
+    dec = _close_run(spark, d)["decisions"]
+    return dec.groupBy("outcome").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+@query("close_outbox")
+def q_close_outbox(spark, d):
+    """J20+I9: close outbox rows, payload read back into columns."""
+    ob = _payload_cols(_close_run(spark, d)["outbox"], "state string, tags array<string>")
+    return ob.select("issue_id", "kind", F.col("p.state").alias("state"),
+                     F.array_join("p.tags", "|").alias("tags"))
+
+
+@query("question_summary")
+def q_question_summary(spark, d):
+    """J15+A12: question responses (built from the chat turns) parsed into
+    count and all_resolved; a string "true" does not count (Q14)."""
+    from .operators.closing import parse_questions
+    c = T(spark, d, "conversations")
+    g = c.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("role") == "user", F.struct("turn", "text")))).alias("qs"),
+        F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last_answer"))
+    qs = F.transform("qs", lambda x, i: F.struct(
+        (i + 1).alias("id"), F.substring(x["text"], 1, 40).alias("question"),
+        F.coalesce(x["turn"] < F.col("last_answer"), F.lit(False)).alias("resolved")))
+    built = g.select("conv_id", qs.alias("questions"))
+    all_res = F.forall("questions", lambda x: x["resolved"])
+    resp = built.select("conv_id", F.to_json(F.struct(
+        F.col("conv_id").cast("string").alias("pylon_issue_id"), "questions",
+        F.size("questions").cast("string").alias("quantity"),
+        F.when(F.col("conv_id") % 10 == 0, F.when(all_res, "true").otherwise("false"))
+         .alias("all_resolved_text"),
+        F.when(F.col("conv_id") % 10 != 0, all_res).alias("all_resolved"))).alias("response"))
+    resp = resp.select("conv_id", F.regexp_replace("response", '"all_resolved_text":', '"all_resolved":')
+                       .alias("response"))
+    a = parse_questions(F.col("response"))
+    return resp.select(F.col("conv_id").cast("string").alias("issue_id"),
+                       a["n_questions"].alias("n_questions"), a["all_resolved"].alias("all_resolved"))
+
+
+@query("messages_of_selected")
+def q_messages_of_selected(spark, d):
+    """JN6+L3: messages of the issues selected by the time window."""
+    from .plans.replicate import selected_messages
+    ids = _ids(spark, d, start=WINDOW_START, end=WINDOW_END)
+    m = fx.lineitem_messages(T(spark, d, "lineitem")).select("issue_id", "message_id")
+    return selected_messages(m, ids)
