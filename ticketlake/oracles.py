@@ -547,3 +547,69 @@ oracle("messages_of_selected", f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS issue_id, CAST(l_linenumber AS VARCHAR) AS message_id
 FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) IN ({_ids_oracle(True, None)})
 """)
+
+# ------------------------------------------------------------------ replicate
+_BAD_ID = f"({K} % 97 = 0 OR {K} % 89 = 0 OR {K} % 83 = 0)"
+oracle("replicate_report", f"""
+WITH r AS (
+  SELECT 'accounts' AS object_type, 'accounts' AS table_name, count(*) AS total_processed,
+         CAST(0 AS BIGINT) AS total_errors, count(DISTINCT c_custkey // 100) AS total_batches,
+         count(*) AS rows_kept FROM customer
+  UNION ALL
+  SELECT 'issues', 'issues', count_if(NOT {_BAD_ID}), count_if({_BAD_ID}),
+         count(DISTINCT CASE WHEN NOT {_BAD_ID} THEN {K} // 100 END), count_if(NOT {_BAD_ID}) FROM orders
+  UNION ALL
+  SELECT 'messages', 'messages', count(*), 0, count(DISTINCT l_orderkey),
+         (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) FROM lineitem
+  UNION ALL
+  SELECT 'contacts', 'contacts', count(*), 0, count(DISTINCT c_custkey // 100), count(*) FROM customer
+  UNION ALL
+  SELECT 'users', 'users', count(*), 0, count(DISTINCT s_suppkey // 100), count(*) FROM supplier
+  UNION ALL
+  SELECT 'teams', 'teams', (SELECT count(*) FROM nation) + (SELECT count(*) FROM region), 0, 1,
+         (SELECT count(*) FROM nation) + (SELECT count(*) FROM region)),
+a AS (SELECT object_type, table_name, CAST(total_processed AS BIGINT) AS total_processed,
+             CAST(total_errors AS BIGINT) AS total_errors, CAST(total_batches AS BIGINT) AS total_batches,
+             CAST(rows_kept AS BIGINT) AS rows_kept FROM r
+      UNION ALL
+      SELECT 'all', NULL, CAST(sum(total_processed) AS BIGINT), CAST(sum(total_errors) AS BIGINT),
+             CAST(sum(total_batches) AS BIGINT), CAST(sum(rows_kept) AS BIGINT) FROM r)
+SELECT *, total_errors = 0 AS success FROM a
+""")
+
+oracle("load_accounts", "SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS name FROM customer")
+oracle("load_issues", f"""
+SELECT CAST({K} AS VARCHAR) AS issue_id, {ISSUE_STATE} AS state,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'slack' ELSE 'email' END AS source
+FROM orders
+WHERE NOT {_BAD_ID} AND o_orderstatus IN ('F', 'P')
+  AND o_orderdate + to_days(CAST({K} % 30 AS INTEGER)) BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31'
+""")
+oracle("load_users", f"""
+SELECT 's' || CAST(s_suppkey AS VARCHAR) AS user_id, {STAFF_EMAIL} AS email FROM supplier
+""")
+oracle("load_teams", """
+SELECT 'n' || CAST(n_nationkey AS VARCHAR) AS team_id, n_name AS name,
+       (SELECT count(*) FROM supplier s WHERE s.s_nationkey = n.n_nationkey) AS n_users FROM nation n
+UNION ALL
+SELECT 'r' || CAST(r_regionkey AS VARCHAR), r_name,
+       (SELECT count(*) FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+        WHERE n.n_regionkey = r.r_regionkey) FROM region r
+""")
+
+# ------------------------------------------------------------------ scorer
+_KW = sorted({("resolution", r[0], w) for r in RESOLUTIONS for w in r[0].split("_")} |
+             {("category", c[0], w) for c in CATEGORIES for w in c[0].split("_")})
+_KW_VALUES = ", ".join(f"({_q(f)}, {_q(lab)}, {_q(w)})" for f, lab, w in _KW)
+oracle("keyword_scores", f"""
+WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
+k(field, label, word) AS (VALUES {_KW_VALUES})
+SELECT doc_id, field, label, count(*) AS hits FROM w JOIN k ON k.word = w.word GROUP BY doc_id, field, label
+""")
+
+# ------------------------------------------------------------------ streaming
+oracle("stream_upsert", """
+SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS name,
+       CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment || '-v2' ELSE c_mktsegment END AS segment
+FROM customer
+""")

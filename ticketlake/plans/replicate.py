@@ -55,8 +55,13 @@ def replicate_rows(items: DataFrame, object_type: str, max_records: int | None =
     s = spec(object_type)
     valid, rejects = prepare(items, object_type, max_records, stamp)
     kept = dedup_first(valid, s.keys, seen=[c for c in ("run_id", "page_no", "pos") if c in valid.columns])
-    batch_cols = [c for c in ("issue_id", "run_id", "page_no") if c in valid.columns]
-    return kept, object_counters(object_type, s.table, valid, rejects, kept, batch_cols)
+    return kept, object_counters(object_type, s.table, valid, rejects, kept, batch_columns(object_type, valid))
+
+
+def batch_columns(object_type: str, rows: DataFrame) -> list:
+    """A batch is a landed page; message pages are per parent issue."""
+    cols = ("issue_id", "run_id", "page_no") if object_type == "messages" else ("run_id", "page_no")
+    return [c for c in cols if c in rows.columns]
 
 
 def replicate_object(spark: SparkSession, pages: DataFrame, object_type: str, table: KeyedTable,
@@ -68,7 +73,7 @@ def replicate_object(spark: SparkSession, pages: DataFrame, object_type: str, ta
     valid = valid.persist()
     stats = table.upsert(valid, keep="first")
     n_rej = rejects.count()
-    n_batches = valid.select(*[c for c in ("issue_id", "run_id", "page_no") if c in valid.columns]).distinct().count()
+    n_batches = valid.select(*batch_columns(object_type, valid)).distinct().count()
     valid.unpersist()
     return spark.createDataFrame(
         [(object_type, s.table, int(stats["rows_in"]), int(n_rej), int(n_batches), int(stats["rows_kept"]))],

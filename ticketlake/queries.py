@@ -860,3 +860,140 @@ def q_messages_of_selected(spark, d):
     ids = _ids(spark, d, start=WINDOW_START, end=WINDOW_END)
     m = fx.lineitem_messages(T(spark, d, "lineitem")).select("issue_id", "message_id")
     return selected_messages(m, ids)
+
+
+# ------------------------------------------------------------------ replicate
+def _object_pages(spark, d, object_type: str) -> DataFrame:
+    """Landed pages per object type from the small driver tables: 100
+    records per page in key order (messages: one page per parent issue)."""
+    if object_type == "accounts":
+        recs = fx.account_records(T(spark, d, "customer"))
+    elif object_type == "contacts":
+        recs = fx.contact_records(T(spark, d, "customer"))
+    elif object_type == "users":
+        recs = fx.user_records(T(spark, d, "supplier"))
+    elif object_type == "teams":
+        t = fx.teams_frame(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
+        recs = t.select(F.xxhash64("team_id").alias("key"),
+                        F.to_json(F.struct(F.col("team_id").alias("id"), "name", "users")).alias("record"))
+        return _pages(recs, F.lit("r0"), F.lit(0).cast("long"), F.col("key"))
+    elif object_type == "issues":
+        recs = _issue_records_with_bad_ids(T(spark, d, "orders"))
+    else:
+        raise ValueError(object_type)
+    k = F.col("key")
+    pag = F.struct(F.lit(True).alias("has_next_page"),
+                   F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("cursor"))
+    return _pages(recs, F.lit("r0"), (k / 100).cast("long"), k, pag)
+
+
+def _message_pages(spark, d) -> DataFrame:
+    li = T(spark, d, "lineitem")
+    m = fx.lineitem_messages(li).select("issue_id", "seen", F.to_json("data").alias("record"))
+    g = m.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("seen", "record"))).alias("rs"))
+    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["record"]), ","), F.lit("]"))
+    return g.select("issue_id", F.lit("r0").alias("run_id"), F.lit(0).cast("long").alias("page_no"),
+                    F.concat(F.lit('{"data":'), data, F.lit("}")).alias("body"))
+
+
+@query("replicate_report")
+def q_replicate_report(spark, d):
+    """E1-E3+A8+A9: every object type from landed pages -> rows -> rejects ->
+    dedup; per-object counters plus the overall rollup row."""
+    from .operators.runlog import with_overall
+    from .plans.replicate import items_from_pages, replicate_rows
+    from .schema import REPLICATION_ORDER
+    parts = []
+    for t in REPLICATION_ORDER:
+        pages = _message_pages(spark, d) if t == "messages" else _object_pages(spark, d, t)
+        _, counters = replicate_rows(items_from_pages(pages, t), t)
+        parts.append(counters)
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return with_overall(res)
+
+
+def _loaded(spark, d, object_type: str) -> DataFrame:
+    from .plans.replicate import items_from_pages, replicate_rows
+    kept, _ = replicate_rows(items_from_pages(_object_pages(spark, d, object_type), object_type), object_type)
+    return kept
+
+
+@query("load_accounts")
+def q_load_accounts(spark, d):
+    """S4+J5: accounts table rows (cursor pages)."""
+    from .functions.jsonx import json_value
+    return _loaded(spark, d, "accounts").select("account_id", json_value("data", "$.name").alias("name"))
+
+
+@query("load_issues")
+def q_load_issues(spark, d):
+    """S5+P1+J5: issues from search pages, filtered by a modified_at range
+    and states (the search body), then transformed."""
+    from .functions.jsonx import json_value
+    from .operators.filters import body_predicate, json_field, search_body
+    from .plans.replicate import items_from_pages, replicate_rows
+    body = search_body(dt.datetime(1996, 1, 1), dt.datetime(1997, 12, 31), states=["closed", "on_hold"])
+    items = items_from_pages(_object_pages(spark, d, "issues"), "issues")
+    items = items.where(body_predicate(body, json_field("item")))
+    kept, _ = replicate_rows(items, "issues")
+    return kept.select("issue_id", json_value("data", "$.state").alias("state"),
+                       json_value("data", "$.source").alias("source"))
+
+
+@query("load_users")
+def q_load_users(spark, d):
+    """S7+J5: users table rows (offset pages)."""
+    from .functions.jsonx import json_value
+    return _loaded(spark, d, "users").select("user_id", json_value("data", "$.email").alias("email"))
+
+
+@query("load_teams")
+def q_load_teams(spark, d):
+    """S8+J5: teams table rows with their member count."""
+    from .functions.jsonx import json_array, json_value
+    t = _loaded(spark, d, "teams")
+    return t.select("team_id", json_value("data", "$.name").alias("name"),
+                    F.coalesce(F.size(json_array("data", "$.users")), F.lit(0)).cast("long").alias("n_users"))
+
+
+# ------------------------------------------------------------------ scorer (F1)
+@query("keyword_scores")
+def q_keyword_scores(spark, d):
+    """F1 default scorer: taxonomy keyword hits per document and label over
+    the whole text of every document."""
+    from .operators.scorer import keyword_hits, keyword_table
+    h = keyword_hits(T(spark, d, "documents"), "doc_id", "text", keyword_table(spark))
+    return h.select(F.col("id").alias("doc_id"), "field", "label", "hits")
+
+
+# ------------------------------------------------------------------ streaming (ST1)
+@query("stream_upsert")
+def q_stream_upsert(spark, d):
+    """ST1: account pages landed as files are drained by a Structured
+    Streaming query (availableNow, 5 files per micro-batch) into the keyed
+    table; update pages landed afterwards are picked up by a restart from
+    the same checkpoint, and the later batch wins."""
+    from .functions.jsonx import json_value
+    from .operators.merge import KeyedTable
+    from .session import scratch_path
+    from .sources.pages import write_landed
+    from .streaming.pages_stream import stream_upsert
+    recs = fx.account_records(T(spark, d, "customer"))
+    k = F.col("key")
+    pag = F.struct(F.lit(True).alias("has_next_page"),
+                   F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("cursor"))
+    first = _pages(recs, F.lit("r0"), (k / 100).cast("long"), k, pag)
+    upd = recs.where(k % 4 == 0).withColumn(
+        "record", F.regexp_replace("record", r'"segment":"([^"]*)"', '"segment":"$1-v2"'))
+    second = _pages(upd, F.lit("r0"), (k / 100).cast("long") + 1000, k, pag)
+    root, ck = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
+    table = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8)
+    write_landed(first, root)
+    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=5).awaitTermination()
+    write_landed(second, root + "/updates")
+    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=5).awaitTermination()
+    t = table.read()
+    return t.select("account_id", json_value("data", "$.name").alias("name"),
+                    json_value("data", "$.segment").alias("segment"))
