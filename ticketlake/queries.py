@@ -44,8 +44,8 @@ AS_OF = dt.datetime(2000, 1, 1)
 @query("stale_candidates")
 def q_stale_candidates(spark, d):
     """P9+A1+P10+L2+JN2: stale Slack issues waiting on the customer."""
-    issues = fx.issues_table(T(spark, d, "orders"))
-    msgs = fx.lineitem_messages(T(spark, d, "lineitem"))
+    issues = fx.warehouse(spark, d, "issues")
+    msgs = fx.warehouse(spark, d, "li_messages")
     out = closing.stale_candidates(issues, msgs, as_of=AS_OF)
     return out.select("issue_id", to_text_ts("last_message_time").alias("last_message_time"))
 
@@ -133,10 +133,10 @@ def q_ingest_offset_gaps(spark, d):
     return offset_gaps(_offset_pages(spark, d))
 
 
-def _issue_records_with_bad_ids(orders: DataFrame) -> DataFrame:
+def _issue_records_with_bad_ids(spark, d) -> DataFrame:
     """Issue records with planted falsy ids: absent (key % 97 = 0), '' (key %
     89 = 0) and number 0 (key % 83 = 0)."""
-    f = fx.issue_frame(orders)
+    f = fx.warehouse(spark, d, "issue_records")
     k = F.col("key")
     rec = F.col("record")
     rid = F.concat(F.lit('"id":"'), k.cast("string"), F.lit('",'))
@@ -153,7 +153,7 @@ def q_ingest_rejects(spark, d):
     are split off with a reason; counts per object and reason."""
     from .sources.objects import to_rows
     from .sources.pages import explode_items, parse_pages
-    recs = _issue_records_with_bad_ids(T(spark, d, "orders"))
+    recs = _issue_records_with_bad_ids(spark, d)
     items = explode_items(parse_pages(_pages(recs, F.lit("r0"), F.col("page_no"), F.col("pos"))))
     iss = to_rows(items, "issues").select(F.lit("issues").alias("object_type"), "reject_reason")
     li = T(spark, d, "lineitem")
@@ -209,7 +209,7 @@ def q_point_lookup(spark, d):
     when wrapped (every other issue is landed wrapped)."""
     from .sources.pages import lookup, unwrap_body
     from .functions.jsonx import json_value
-    f = fx.issue_frame(T(spark, d, "orders"))
+    f = fx.warehouse(spark, d, "issue_records")
     body = F.when(F.col("key") % 2 == 0, F.concat(F.lit('{"data":'), F.col("record"), F.lit("}"))) \
             .otherwise(F.col("record"))
     bodies = f.select("issue_id", F.parse_json(body).alias("body"))
@@ -224,7 +224,7 @@ def q_record_cap(spark, d):
     """The first 500 records in landing order (the cap is the feature)."""
     from .sources.pages import cap_records, explode_items, parse_pages
     from pyspark.sql import Window
-    recs = fx.issue_frame(T(spark, d, "orders"))
+    recs = fx.warehouse(spark, d, "issue_records")
     items = explode_items(parse_pages(_pages(recs, F.lit("r0"), F.col("page_no"), F.col("pos"))))
     capped = cap_records(items, 500)
     w = Window.orderBy("run_id", "page_no", "pos")
@@ -320,7 +320,7 @@ def q_chunk_30d(spark, d):
     """30-day chunks of [start, end] by arithmetic; count per chunk."""
     from .operators.filters import chunk_index, chunks
     from .functions.jsonx import json_ts
-    iss = fx.issues_table(T(spark, d, "orders"))
+    iss = fx.warehouse(spark, d, "issues")
     tagged = iss.select(chunk_index(json_ts("data", "$.modified_at"), CHUNK_START, CHUNK_END).alias("chunk_no")) \
                 .where(F.col("chunk_no").isNotNull())
     counts = tagged.groupBy("chunk_no").agg(F.count(F.lit(1)).cast("long").alias("n"))
@@ -334,8 +334,7 @@ WINDOW_START, WINDOW_END = dt.datetime(1997, 3, 1, 10, 30), dt.datetime(1997, 6,
 
 def _ids(spark, d, **kw) -> DataFrame:
     from .operators.filters import issue_ids
-    o, li = T(spark, d, "orders"), T(spark, d, "lineitem")
-    return issue_ids(spark, fx.flat_issues(o, li), fx.issues_table(o), **kw)
+    return issue_ids(spark, fx.warehouse(spark, d, "flat_issues"), fx.warehouse(spark, d, "issues"), **kw)
 
 
 @query("issue_ids_window")
@@ -377,7 +376,7 @@ def q_json_scalar(spark, d):
 def q_json_array_unnest(spark, d):
     """J2/JN4: UNNEST of the users array of each team (inner: no users -> no rows)."""
     from .functions.jsonx import json_array, json_value
-    teams = fx.teams_table(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
+    teams = fx.warehouse(spark, d, "teams")
     u = teams.select("team_id", F.explode(json_array("data", "$.users")).alias("u"))
     return u.select("team_id", json_value("u", "$.id").alias("user_id"), json_value("u", "$.email").alias("email"))
 
@@ -386,7 +385,7 @@ def q_json_array_unnest(spark, d):
 def q_json_ts(spark, d):
     """RFC 3339 text -> TIMESTAMP (strict), re-emitted as text + epoch."""
     from .functions.jsonx import json_ts
-    iss = fx.issues_table(T(spark, d, "orders"))
+    iss = fx.warehouse(spark, d, "issues")
     ts = json_ts("data", "$.created_at")
     return iss.select("issue_id", to_text_ts(ts).alias("created_at"),
                       F.unix_seconds(ts).cast("long").alias("created_epoch"))
@@ -397,7 +396,7 @@ def q_json_ts(spark, d):
 def q_dedup_first(spark, d):
     """A5 parity mode: first seen per (issue_id, message_id)."""
     from .operators.dedup import dedup_first
-    m = fx.lineitem_messages(T(spark, d, "lineitem"))
+    m = fx.warehouse(spark, d, "li_messages")
     return dedup_first(m, ["issue_id", "message_id"], seen=["seen"]) \
         .select("issue_id", "message_id", "l_partkey", "l_suppkey")
 
@@ -406,7 +405,7 @@ def q_dedup_first(spark, d):
 def q_dedup_latest(spark, d):
     """A5 contract mode: greatest updated_at, ties -> first seen."""
     from .operators.dedup import dedup_latest
-    m = fx.lineitem_messages(T(spark, d, "lineitem"))
+    m = fx.warehouse(spark, d, "li_messages")
     return dedup_latest(m, ["issue_id", "message_id"], seen=["seen"]) \
         .select("issue_id", "message_id", "l_partkey", "l_suppkey")
 
@@ -415,7 +414,7 @@ def q_dedup_latest(spark, d):
 def q_dedup_counts(spark, d):
     """Original, null-key, kept and removed rows."""
     from .operators.dedup import dedup_counts
-    return dedup_counts(fx.lineitem_messages(T(spark, d, "lineitem")), ["issue_id", "message_id"])
+    return dedup_counts(fx.warehouse(spark, d, "li_messages"), ["issue_id", "message_id"])
 
 
 # ------------------------------------------------------------------ upsert (I2-I4, JN5, I7, A2, A3)
@@ -435,7 +434,7 @@ def q_upsert_merge(spark, d):
     from .operators.merge import KeyedTable
     from .session import scratch_path
     from .functions.jsonx import json_value
-    f = fx.issue_frame(T(spark, d, "orders"))
+    f = fx.warehouse(spark, d, "issue_records")
     t = KeyedTable(spark, scratch_path(spark, "upsert_merge"), "issues", buckets=8)
     t.upsert(_issue_rows(f.where(F.col("key") % 2 == 0), F.col("record")))
     t.upsert(_issue_rows(f.where(F.col("key") % 3 == 0), _state_set(F.col("record"), "closed")))
@@ -449,7 +448,7 @@ def q_upsert_batches(spark, d):
     from .operators.merge import KeyedTable
     from .session import scratch_path
     from .functions.jsonx import json_value
-    f = fx.issue_frame(T(spark, d, "orders"))
+    f = fx.warehouse(spark, d, "issue_records")
     t = KeyedTable(spark, scratch_path(spark, "upsert_batches"), "issues", buckets=8)
     t.upsert(_issue_rows(f.where(F.col("key") % 2 == 0), F.col("record")))
     k = F.col("key")
@@ -468,7 +467,7 @@ def q_truncate_audit(spark, d):
     from .operators.merge import KeyedTable
     from .plans.truncate import truncate
     from .session import scratch_path
-    teams = fx.teams_table(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
+    teams = fx.warehouse(spark, d, "teams")
     rows = teams.select("team_id", "data", F.current_timestamp().alias("updated_at"),
                         F.lit(0).cast("long").alias("page_no"),
                         F.xxhash64("team_id").alias("pos"))
@@ -510,7 +509,7 @@ def q_strip_html(spark, d):
 
 
 def _teams(spark, d) -> DataFrame:
-    return fx.teams_table(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
+    return fx.warehouse(spark, d, "teams")
 
 
 @query("team_directory")
@@ -523,7 +522,7 @@ def q_team_directory(spark, d):
 def _message_team(spark, d, fan_out: bool) -> DataFrame:
     from .operators.threads import message_rows, staff_directory, team_by_email
     from .functions.text import team_label
-    rows = message_rows(fx.lineitem_messages(T(spark, d, "lineitem")))
+    rows = message_rows(fx.warehouse(spark, d, "li_messages"))
     directory = staff_directory(_teams(spark, d))
     t = (directory if fan_out else team_by_email(directory)).select(F.col("email").alias("_e"), "team_name")
     j = rows.join(t, rows.author == t._e, "left")
@@ -546,14 +545,14 @@ def q_message_team_fanout(spark, d):
 def q_thread_triage(spark, d):
     """Triage conversations (first 3 + last 6) for every thread."""
     from .operators.threads import triage_conversations
-    return triage_conversations(fx.event_messages(T(spark, d, "events")), _teams(spark, d))
+    return triage_conversations(fx.warehouse(spark, d, "ev_messages"), _teams(spark, d))
 
 
 @query("thread_closing")
 def q_thread_closing(spark, d):
     """Closing conversations (first 5 + last 15) for every thread."""
     from .operators.threads import closing_conversations
-    return closing_conversations(fx.event_messages(T(spark, d, "events")))
+    return closing_conversations(fx.warehouse(spark, d, "ev_messages"))
 
 
 @query("thread_triage_fanout")
@@ -561,7 +560,7 @@ def q_thread_triage_fanout(spark, d):
     """E6 parity mode (Q6): staff in two teams repeat their lines, and the
     repeats count towards the 3 + 6 window."""
     from .operators.threads import triage_conversations
-    return triage_conversations(fx.event_messages(T(spark, d, "events")), _teams(spark, d), fan_out=True)
+    return triage_conversations(fx.warehouse(spark, d, "ev_messages"), _teams(spark, d), fan_out=True)
 
 
 @query("author_line")
@@ -569,7 +568,7 @@ def q_author_line(spark, d):
     """J4+J9+J10: one formatted line per chat message."""
     from .operators.threads import message_rows, staff_directory, team_by_email
     from .functions.text import conversation_line, team_label
-    rows = message_rows(fx.chat_messages(T(spark, d, "conversations")))
+    rows = message_rows(fx.warehouse(spark, d, "chat_messages"))
     t = team_by_email(staff_directory(_teams(spark, d))).withColumnRenamed("email", "_e")
     j = rows.join(t, rows.author == t._e, "left")
     return j.select("issue_id", "message_id",
@@ -579,7 +578,7 @@ def q_author_line(spark, d):
 
 # ------------------------------------------------------------------ triage
 def _issues(spark, d) -> DataFrame:
-    return fx.issues_table(T(spark, d, "orders"))
+    return fx.warehouse(spark, d, "issues")
 
 
 @query("unclassified")
@@ -646,7 +645,7 @@ def q_tag_append(spark, d):
 
 def _chat_conversations(spark, d) -> DataFrame:
     from .operators.threads import triage_conversations
-    return triage_conversations(fx.chat_messages(T(spark, d, "conversations")), _teams(spark, d))
+    return triage_conversations(fx.warehouse(spark, d, "chat_messages"), _teams(spark, d))
 
 
 @query("request_text")
@@ -722,7 +721,7 @@ def _classify_run(spark, d) -> dict:
     from .plans.classify import classify
     from .operators.scorer import replay
     iss = _issues(spark, d)
-    msgs = fx.lineitem_messages(T(spark, d, "lineitem"))
+    msgs = fx.warehouse(spark, d, "li_messages")
     landed = _issue_responses(iss)
     return classify(iss, msgs, _teams(spark, d), responder=lambda r: replay(r, landed),
                     created_at=F.to_timestamp(F.lit("2024-06-02 00:00:00")))
@@ -761,7 +760,7 @@ def _current_snapshot(spark, d) -> DataFrame:
     """The service's current state: the warehouse issues with keys % 11 = 0
     closed since the last load (merged on the key)."""
     from .operators.merge import merge
-    f = fx.issue_frame(T(spark, d, "orders"))
+    f = fx.warehouse(spark, d, "issue_records")
     base = _issue_rows(f, F.col("record")).select("issue_id", "data")
     changed = _issue_rows(f.where(F.col("key") % 11 == 0), _state_set(F.col("record"), "closed")) \
         .select("issue_id", "data")
@@ -785,7 +784,7 @@ def _close_run(spark, d) -> dict:
     from .operators.scorer import replay
     iss = _issues(spark, d)
     cur = _current_snapshot(spark, d)
-    msgs = fx.lineitem_messages(T(spark, d, "lineitem"))
+    msgs = fx.warehouse(spark, d, "li_messages")
     keys = iss.select("issue_id", "key")
     label_landed = _issue_responses(keys)
     q_landed = keys.select("issue_id", planted_question_response(F.col("key")).alias("response"))
@@ -800,7 +799,7 @@ def q_current_state_lookup(spark, d):
     """JN7: candidates joined once with the current snapshot."""
     from .operators.closing import current_state
     from .functions.jsonx import json_value
-    cand = closing.stale_candidates(_issues(spark, d), fx.lineitem_messages(T(spark, d, "lineitem")), AS_OF)
+    cand = closing.stale_candidates(_issues(spark, d), fx.warehouse(spark, d, "li_messages"), AS_OF)
     cs = current_state(cand.select("issue_id"), _current_snapshot(spark, d))
     return cs.select("issue_id", json_value("current", "$.state").alias("state"))
 
@@ -858,7 +857,7 @@ def q_messages_of_selected(spark, d):
     """JN6+L3: messages of the issues selected by the time window."""
     from .plans.replicate import selected_messages
     ids = _ids(spark, d, start=WINDOW_START, end=WINDOW_END)
-    m = fx.lineitem_messages(T(spark, d, "lineitem")).select("issue_id", "message_id")
+    m = fx.warehouse(spark, d, "li_messages").select("issue_id", "message_id")
     return selected_messages(m, ids)
 
 
@@ -878,7 +877,7 @@ def _object_pages(spark, d, object_type: str) -> DataFrame:
                         F.to_json(F.struct(F.col("team_id").alias("id"), "name", "users")).alias("record"))
         return _pages(recs, F.lit("r0"), F.lit(0).cast("long"), F.col("key"))
     elif object_type == "issues":
-        recs = _issue_records_with_bad_ids(T(spark, d, "orders"))
+        recs = _issue_records_with_bad_ids(spark, d)
     else:
         raise ValueError(object_type)
     k = F.col("key")
@@ -972,7 +971,7 @@ def q_keyword_scores(spark, d):
 @query("stream_upsert")
 def q_stream_upsert(spark, d):
     """ST1: account pages landed as files are drained by a Structured
-    Streaming query (availableNow, 5 files per micro-batch) into the keyed
+    Streaming query (availableNow, 40 files per micro-batch) into the keyed
     table; update pages landed afterwards are picked up by a restart from
     the same checkpoint, and the later batch wins."""
     from .functions.jsonx import json_value
@@ -991,9 +990,9 @@ def q_stream_upsert(spark, d):
     root, ck = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
     table = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8)
     write_landed(first, root)
-    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=5).awaitTermination()
+    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=40).awaitTermination()
     write_landed(second, root + "/updates")
-    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=5).awaitTermination()
+    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=40).awaitTermination()
     t = table.read()
     return t.select("account_id", json_value("data", "$.name").alias("name"),
                     json_value("data", "$.segment").alias("segment"))
