@@ -85,63 +85,93 @@ def recode_category(c: Column) -> Column:
     return _recode(c, CATEGORY_RECODE)
 
 
-def _present(r: Column, key: str) -> Column:
+CONF_KEYS = ("resolution_confidence", "confidence", "category_confidence")
+
+
+def response_features(r: Column) -> list:
+    """Stage the response members the gate needs as plain columns (one
+    extraction per member): ``_t_<key>`` type name (NULL = absent, VOID =
+    JSON null), ``_n_<key>`` numeric value, ``_l_<field>`` label text."""
+    cols = []
+    for k in CONF_KEYS:
+        cols += [json_type(r, f"$.{k}").alias(f"_t_{k}"), json_number(r, f"$.{k}").alias(f"_n_{k}")]
+    for f in FIELDS:
+        cols += [json_type(r, f"$.{f}").alias(f"_t_{f}"), json_value(r, f"$.{f}").alias(f"_l_{f}")]
+    return cols
+
+
+FEATURE_COLS = [f"_t_{k}" for k in CONF_KEYS] + [f"_n_{k}" for k in CONF_KEYS] + \
+               [f"_t_{f}" for f in FIELDS] + [f"_l_{f}" for f in FIELDS]
+
+
+def _present(key: str) -> Column:
     """Key present in the response object (a JSON null counts as present)."""
-    return json_type(r, f"$.{key}").isNotNull()
+    return F.col(f"_t_{key}").isNotNull()
 
 
-def _cmp_state(r: Column, key: str) -> Column:
+def _cmp_state(key: str) -> Column:
     """'low' / 'ok' / 'error' for a present confidence: a non-number (JSON
     null, text, object) cannot be compared, which the reference raises on."""
-    num = json_number(r, f"$.{key}")
-    return (F.when(~is_number(r, f"$.{key}"), F.lit("error"))
-             .when(num < F.lit(CONFIDENCE_THRESHOLD), F.lit("low"))
+    return (F.when(F.col(f"_n_{key}").isNull(), F.lit("error"))
+             .when(F.col(f"_n_{key}") < F.lit(CONFIDENCE_THRESHOLD), F.lit("low"))
              .otherwise(F.lit("ok")))
 
 
-def gate(r: Column) -> Column:
-    """Confidence gate (J16): 'pass', 'low' or 'error'.
+def gate_staged() -> Column:
+    """Confidence gate (J16) over staged features: 'pass', 'low' or 'error'.
 
     The resolution check uses ``resolution_confidence`` or else ``confidence``;
     the category check uses ``category_confidence``. An absent confidence
     passes; the first failing check decides.
     """
-    res = (F.when(_present(r, "resolution_confidence"), _cmp_state(r, "resolution_confidence"))
-            .when(_present(r, "confidence"), _cmp_state(r, "confidence")))
-    cat = F.when(_present(r, "category_confidence"), _cmp_state(r, "category_confidence"))
+    res = (F.when(_present("resolution_confidence"), _cmp_state("resolution_confidence"))
+            .when(_present("confidence"), _cmp_state("confidence")))
+    cat = F.when(_present("category_confidence"), _cmp_state("category_confidence"))
     return (F.when(res.isin("low", "error"), res)
              .when(cat.isin("low", "error"), cat)
              .otherwise(F.lit("pass")))
 
 
-def _own_confidence_state(r: Column, field: str) -> Column:
+def _own_state(field: str) -> Column:
     """State of ``{field}_confidence``, else ``confidence``, else 0 (-> 'low')."""
-    own, common = f"{field}_confidence", "confidence"
-    return (F.when(_present(r, own), _cmp_state(r, own))
-             .when(_present(r, common), _cmp_state(r, common))
+    own = f"{field}_confidence"
+    return (F.when(_present(own), _cmp_state(own))
+             .when(_present("confidence"), _cmp_state("confidence"))
              .otherwise(F.lit("low")))
 
 
-def accepted_fields(r: Column) -> Column:
+def accepted_staged() -> Column:
     """Fields to write (J17): ``array<struct<slug,value>>``, possibly empty.
     A label is taken when present and its confidence is >= 0.8."""
-    res = F.when(_present(r, "resolution") & (_own_confidence_state(r, "resolution") == "ok"),
-                 F.struct(F.lit("resolution").alias("slug"),
-                          recode_resolution(json_value(r, "$.resolution")).alias("value")))
-    cat = F.when(_present(r, "category") & (_own_confidence_state(r, "category") == "ok"),
-                 F.struct(F.lit("category").alias("slug"),
-                          recode_category(json_value(r, "$.category")).alias("value")))
-    return F.array_compact(F.array(res, cat))
+    recode = {"resolution": recode_resolution, "category": recode_category}
+    parts = [F.when(_present(f) & (_own_state(f) == "ok"),
+                    F.struct(F.lit(f).alias("slug"), recode[f](F.col(f"_l_{f}")).alias("value")))
+             for f in FIELDS]
+    return F.array_compact(F.array(*parts))
 
 
-def accept_error(r: Column) -> Column:
+def accept_error_staged() -> Column:
     """True when choosing the fields would compare a non-number confidence."""
     bad = F.lit(False)
-    for field in FIELDS:
-        bad = bad | (_present(r, field) & (_own_confidence_state(r, field) == "error"))
+    for f in FIELDS:
+        bad = bad | (_present(f) & (_own_state(f) == "error"))
     return bad
 
 
+def _with_features(df: DataFrame, r: Column) -> DataFrame:
+    return df.select("*", *response_features(r))
+
+
+def gate(df: DataFrame, r: Column, name: str = "gate") -> DataFrame:
+    """Add the gate column for response VARIANT ``r`` (features staged)."""
+    return _with_features(df, r).withColumn(name, gate_staged()).drop(*FEATURE_COLS)
+
+
+def accepted_fields(df: DataFrame, r: Column, name: str = "custom_fields") -> DataFrame:
+    """Add the accepted-fields column for response VARIANT ``r``."""
+    return _with_features(df, r).withColumn(name, accepted_staged()).drop(*FEATURE_COLS)
+
+
 def append_tag(tags: Column, tag: str) -> Column:
     """Append ``tag`` unless present; existing order and duplicates are kept;
     NULL tags count as empty (J18)."""

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import json_str, json_ts, json_type, json_value, parse
-from ..functions.labels import FIELDS, accept_error, accepted_fields, gate, update_payload
+from ..functions.labels import (FIELDS, accept_error_staged, accepted_staged, gate_staged,
+                               response_features, update_payload)
 from ..functions.prompts import system_for, user_text
 
 CLOSED = "closed"
@@ -65,24 +66,30 @@ def decisions(reqs: DataFrame, responses: DataFrame, snapshot: DataFrame) -> Dat
     """Decision per request (E4 truth table).
 
     ``responses``: (issue_id, response text); ``snapshot``: current issue rows
-    (issue_id, data) whose tags the payload keeps.
+    (issue_id, data) whose tags the payload keeps. The response is parsed once
+    and its members staged as columns, so every rule below is plain column
+    logic (small generated code, no repeated parsing).
     """
     r = responses.select("issue_id", F.col("response"))
     s = snapshot.select("issue_id", F.try_variant_get(F.col("data"), "$.tags", "array<string>").alias("tags"))
     j = reqs.select("issue_id", "conversation").join(r, "issue_id", "left").join(s, "issue_id", "left")
-    v = parse_response(F.col("response"))
-    g = gate(v)
+    j = j.select("issue_id", "conversation", "tags", parse_response(F.col("response")).alias("_v"))
+    j = j.select("issue_id", "conversation", "tags", F.col("_v").isNull().alias("_none"),
+                 *response_features(F.col("_v")))
+    g = j.select("issue_id", "conversation", "tags", "_none", gate_staged().alias("_gate"),
+                 accept_error_staged().alias("_aerr"), accepted_staged().alias("_fields"))
     outcome = (F.when(F.col("conversation") == "", F.lit("no_conversation"))
-                .when(v.isNull(), F.lit("skipped"))
-                .when(g == "error", F.lit("exception"))
-                .when(g == "low", F.lit("skipped"))
-                .when(accept_error(v), F.lit("update_failed"))
+                .when(F.col("_none"), F.lit("skipped"))
+                .when(F.col("_gate") == "error", F.lit("exception"))
+                .when(F.col("_gate") == "low", F.lit("skipped"))
+                .when(F.col("_aerr"), F.lit("update_failed"))
                 .otherwise(F.lit("updated")))
-    fields = F.when(outcome == "updated", accepted_fields(v))
-    return j.select("issue_id", outcome.alias("outcome"), fields.alias("custom_fields"), "tags") \
-            .withColumn("payload", F.when(F.size("custom_fields") > 0,
-                                          update_payload(F.col("custom_fields"), F.col("tags")))) \
-            .drop("tags")
+    out = g.select("issue_id", outcome.alias("outcome"), "_fields", "tags")
+    fields = F.when(F.col("outcome") == "updated", F.col("_fields"))
+    out = out.select("issue_id", "outcome", fields.alias("custom_fields"), "tags")
+    return out.select("issue_id", "outcome", "custom_fields",
+                      F.when(F.size("custom_fields") > 0,
+                             update_payload(F.col("custom_fields"), F.col("tags"))).alias("payload"))
 
 
 def update_outbox(dec: DataFrame, created_at: Column | None = None) -> DataFrame:

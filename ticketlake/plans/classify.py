@@ -17,7 +17,8 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
              fields=FIELDS, targets: DataFrame | None = None, created_start: str | None = None,
              created_end: str | None = None, max_records: int | None = None, debug: bool = False,
              created_at: Column | None = None) -> dict:
-    """Returns ``{"decisions", "outbox", "counters", "requests"}`` DataFrames.
+    """Returns ``{"decisions", "outbox", "counters", "requests"}`` DataFrames
+    (``decisions`` is persisted; unpersist it when done).
 
     ``responder(requests) -> (issue_id, response)``; default: keyword scorer.
     ``targets`` (issue_id[, fields]) replaces the unclassified selection (the
@@ -32,6 +33,9 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
         kw = scorer.keyword_table(issues.sparkSession)
         responder = lambda r: scorer.keyword_responses(r, kw)
     resp = responder(reqs)
-    dec = triage.decisions(reqs, resp, issues)
+    # The decision table feeds the outbox, the counters and the closing flow:
+    # computed once (executor loss -> recomputed from lineage). Persisting also
+    # keeps a filter on its outputs from being inlined into the parse chain.
+    dec = triage.decisions(reqs, resp, issues).persist()
     return {"requests": reqs, "decisions": dec,
             "outbox": triage.update_outbox(dec, created_at), "counters": triage.counters(dec)}

@@ -38,6 +38,6 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     cls = classify(current, messages, teams, label_responder, targets=need, created_at=created_at)
     convs = closing_conversations(messages.join(cand.select("issue_id"), "issue_id", "left_semi"))
     qreq = question_requests(cand, convs)
-    dec = closing.closing_decisions(cand, current, convs, question_responder(qreq), cls["decisions"])
+    dec = closing.closing_decisions(cand, current, convs, question_responder(qreq), cls["decisions"]).persist()
     return {"candidates": cand, "decisions": dec, "classify_outbox": cls["outbox"],
             "outbox": closing.close_outbox(dec, created_at), "counters": closing.close_counters(dec)}

@@ -690,10 +690,10 @@ def q_response_gate(spark, d):
     """J14+J16: parse and gate every scored response."""
     from .functions.labels import gate
     from .operators.triage import parse_response
-    r = _label_responses(spark, d)
-    v = parse_response(F.col("response"))
-    return r.select(F.col("issue_id").cast("long").alias("doc_id"),
-                    F.when(v.isNull(), F.lit("none")).otherwise(gate(v)).alias("gate"))
+    r = _label_responses(spark, d).select("issue_id", parse_response(F.col("response")).alias("v"))
+    g = gate(r, F.col("v"), "g")
+    return g.select(F.col("issue_id").cast("long").alias("doc_id"),
+                    F.when(F.col("v").isNull(), F.lit("none")).otherwise(F.col("g")).alias("gate"))
 
 
 @query("accepted_fields")
@@ -701,12 +701,11 @@ def q_accepted_fields(spark, d):
     """J17+J11: fields taken from passing responses (slug=value list)."""
     from .functions.labels import accepted_fields, gate
     from .operators.triage import parse_response
-    r = _label_responses(spark, d)
-    v = parse_response(F.col("response"))
-    ok = r.where(v.isNotNull() & (gate(v) == "pass"))
-    f = accepted_fields(v)
+    r = _label_responses(spark, d).select("issue_id", parse_response(F.col("response")).alias("v"))
+    a = accepted_fields(gate(r, F.col("v"), "g"), F.col("v"), "f")
+    ok = a.where(F.col("v").isNotNull() & (F.col("g") == "pass"))
     return ok.select(F.col("issue_id").cast("long").alias("doc_id"),
-                     F.array_join(F.transform(f, lambda x: F.concat(x["slug"], F.lit("="), x["value"])), ";")
+                     F.array_join(F.transform("f", lambda x: F.concat(x["slug"], F.lit("="), x["value"])), ";")
                      .alias("fields"))
 
 
@@ -971,7 +970,7 @@ def q_keyword_scores(spark, d):
 @query("stream_upsert")
 def q_stream_upsert(spark, d):
     """ST1: account pages landed as files are drained by a Structured
-    Streaming query (availableNow, 40 files per micro-batch) into the keyed
+    Streaming query (availableNow, 100 files per micro-batch) into the keyed
     table; update pages landed afterwards are picked up by a restart from
     the same checkpoint, and the later batch wins."""
     from .functions.jsonx import json_value
@@ -990,9 +989,9 @@ def q_stream_upsert(spark, d):
     root, ck = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
     table = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8)
     write_landed(first, root)
-    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=40).awaitTermination()
+    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=100).awaitTermination()
     write_landed(second, root + "/updates")
-    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=40).awaitTermination()
+    stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=100).awaitTermination()
     t = table.read()
     return t.select("account_id", json_value("data", "$.name").alias("name"),
                     json_value("data", "$.segment").alias("segment"))
