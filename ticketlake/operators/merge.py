@@ -10,6 +10,13 @@ all messages, because messages hash on (issue_id, message_id).
 
 Parquet has no MERGE; the upsert is ``source ∪ (target ▷ source)`` per touched
 bucket. One writer per table at a time.
+
+Stream tables (``landing=True``) also store each row's landing position
+``(landed_run, landed_page, landed_pos)``; their upsert keeps, per key, the
+row landed last (later run, then later page; inside a page the first item),
+so the result does not depend on the order in which page files reach the
+stream, and a replayed micro-batch changes nothing. Run ids must sort in run
+order (the lander names runs by start time).
 """
 
 from __future__ import annotations
@@ -21,9 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import spec, table_schema
-from .dedup import dedup_batches, dedup_first, dedup_latest
+from .dedup import dedup, dedup_batches, dedup_first, dedup_latest
 
 DEFAULT_BUCKETS = 64
+LANDED = (("landed_run", "run_id", T.StringType()), ("landed_page", "page_no", T.LongType()),
+          ("landed_pos", "pos", T.LongType()))
 
 
 def key_bucket(keys, n: int) -> Column:
@@ -43,13 +52,16 @@ class KeyedTable:
     """A registry table stored as parquet under ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, object_type: str | None = None,
-                 keys=None, schema: T.StructType | None = None, buckets: int = DEFAULT_BUCKETS):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+                 keys=None, schema: T.StructType | None = None, buckets: int = DEFAULT_BUCKETS,
+                 landing: bool = False):
+        self.spark, self.path, self.buckets, self.landing = spark, path.rstrip("/"), buckets, landing
         if object_type:
             s = spec(object_type)
             self.keys, self.schema = list(s.keys), table_schema(object_type)
         else:
             self.keys, self.schema = list(keys), schema
+        if landing:
+            self.schema = T.StructType(self.schema.fields + [T.StructField(c, t, True) for c, _, t in LANDED])
         self.columns = [f.name for f in self.schema.fields]
 
     # I2 ------------------------------------------------------------------
@@ -80,8 +92,11 @@ class KeyedTable:
     # I3/I4 ---------------------------------------------------------------
     def prepare(self, rows: DataFrame, keep: str = "first") -> DataFrame:
         """Dedup a source batch: ``first`` (landing order, parity), ``latest``
-        (greatest updated_at) or ``batches`` (later batch_no wins)."""
-        if keep == "first":
+        (greatest updated_at), ``batches`` (later batch_no wins) or
+        ``landed`` (stream tables: the row landed last wins)."""
+        if keep == "landed":
+            src = dedup(rows, self.keys, self.landed_order())
+        elif keep == "first":
             src = dedup_first(rows, self.keys)
         elif keep == "latest":
             src = dedup_latest(rows, self.keys)
@@ -91,6 +106,38 @@ class KeyedTable:
             raise ValueError(keep)
         return src
 
+    @staticmethod
+    def landed_order() -> list:
+        """Later run, then later page wins; inside a page the first item."""
+        return [F.col("landed_run").desc_nulls_last(), F.col("landed_page").desc_nulls_last(),
+                F.col("landed_pos").asc_nulls_last()]
+
+    def upsert_landed(self, rows: DataFrame, batch_ts: Column | None = None) -> dict:
+        """Order-aware upsert for stream tables: source and the touched target
+        buckets compete per key on landing position in one shuffle on the
+        keys, so a late-arriving older page cannot overwrite a newer row."""
+        if not self.landing:
+            raise ValueError("upsert_landed needs a table created with landing=True")
+        self.create()
+        if batch_ts is not None:
+            rows = rows.withColumn("updated_at", batch_ts)
+        for c, src_col, t in LANDED:
+            rows = rows.withColumn(c, F.col(src_col).cast(t))
+        obs_in = Observation("rows_in")
+        rows = rows.observe(obs_in, F.count(F.lit(1)).alias("n"))
+        src = rows.select(*self.columns).withColumn("key_bucket", key_bucket(self.keys, self.buckets)).persist()
+        touched = src.select("key_bucket").distinct()          # <= n_buckets rows
+        target = self.read().join(F.broadcast(touched), "key_bucket", "left_semi")
+        both = src.withColumn("_src", F.lit(1)).unionByName(target.withColumn("_src", F.lit(0)))
+        out = dedup(both, self.keys, self.landed_order() + [F.col("_src").desc()])
+        obs_out = Observation("rows_written")
+        out = out.observe(obs_out, F.count(F.lit(1)).alias("n"),
+                          F.coalesce(F.sum("_src"), F.lit(0)).alias("from_source")).drop("_src")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("key_bucket").parquet(self.path))
+        src.unpersist()
+        return {"rows_in": obs_in.get.get("n", 0), "rows_kept": obs_out.get.get("from_source", 0)}
+
     def upsert(self, rows: DataFrame, keep: str = "first", batch_ts: Column | None = None) -> dict:
         """Stamp, dedup, merge on the keys, rewrite the touched buckets.
 

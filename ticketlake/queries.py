@@ -133,27 +133,13 @@ def q_ingest_offset_gaps(spark, d):
     return offset_gaps(_offset_pages(spark, d))
 
 
-def _issue_records_with_bad_ids(spark, d) -> DataFrame:
-    """Issue records with planted falsy ids: absent (key % 97 = 0), '' (key %
-    89 = 0) and number 0 (key % 83 = 0)."""
-    f = fx.warehouse(spark, d, "issue_records")
-    k = F.col("key")
-    rec = F.col("record")
-    rid = F.concat(F.lit('"id":"'), k.cast("string"), F.lit('",'))
-    bad = (F.when(k % 97 == 0, F.replace(rec, rid, F.lit("")))
-            .when(k % 89 == 0, F.replace(rec, rid, F.lit('"id":"",')))
-            .when(k % 83 == 0, F.replace(rec, rid, F.lit('"id":0,')))
-            .otherwise(rec))
-    return f.select("key", "issue_id", "page_no", "pos", bad.alias("record"))
-
-
 @query("ingest_rejects")
 def q_ingest_rejects(spark, d):
     """Records with a falsy id (issues) or without a parent id (messages)
     are split off with a reason; counts per object and reason."""
     from .sources.objects import to_rows
     from .sources.pages import explode_items, parse_pages
-    recs = _issue_records_with_bad_ids(spark, d)
+    recs = fx.bad_id_records(fx.warehouse(spark, d, "issue_records"))
     items = explode_items(parse_pages(_pages(recs, F.lit("r0"), F.col("page_no"), F.col("pos"))))
     iss = to_rows(items, "issues").select(F.lit("issues").alias("object_type"), "reject_reason")
     li = T(spark, d, "lineitem")
@@ -174,7 +160,8 @@ def q_ingest_contacts_by_account(spark, d):
     from .functions.jsonx import json_value
     recs = fx.contact_records(T(spark, d, "customer"))
     k = F.col("key")
-    pages = _pages(recs, F.lit("r0"), (k / 100).cast("long"), k)
+    run = F.concat(F.lit("r"), (k / 1000).cast("long").cast("string"))   # one offset run per 1000 keys
+    pages = _pages(recs, run, (k / 100).cast("long"), k)
     rows = to_rows(explode_items(offset_chain(parse_pages(pages))), "contacts")
     return rows.where(F.col("account_id") == "7") \
                .select("contact_id", "account_id", json_value("data", "$.name").alias("name"))
@@ -861,39 +848,6 @@ def q_messages_of_selected(spark, d):
 
 
 # ------------------------------------------------------------------ replicate
-def _object_pages(spark, d, object_type: str) -> DataFrame:
-    """Landed pages per object type from the small driver tables: 100
-    records per page in key order (messages: one page per parent issue)."""
-    if object_type == "accounts":
-        recs = fx.account_records(T(spark, d, "customer"))
-    elif object_type == "contacts":
-        recs = fx.contact_records(T(spark, d, "customer"))
-    elif object_type == "users":
-        recs = fx.user_records(T(spark, d, "supplier"))
-    elif object_type == "teams":
-        t = fx.teams_frame(T(spark, d, "nation"), T(spark, d, "region"), T(spark, d, "supplier"))
-        recs = t.select(F.xxhash64("team_id").alias("key"),
-                        F.to_json(F.struct(F.col("team_id").alias("id"), "name", "users")).alias("record"))
-        return _pages(recs, F.lit("r0"), F.lit(0).cast("long"), F.col("key"))
-    elif object_type == "issues":
-        recs = _issue_records_with_bad_ids(spark, d)
-    else:
-        raise ValueError(object_type)
-    k = F.col("key")
-    pag = F.struct(F.lit(True).alias("has_next_page"),
-                   F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("cursor"))
-    return _pages(recs, F.lit("r0"), (k / 100).cast("long"), k, pag)
-
-
-def _message_pages(spark, d) -> DataFrame:
-    li = T(spark, d, "lineitem")
-    m = fx.lineitem_messages(li).select("issue_id", "seen", F.to_json("data").alias("record"))
-    g = m.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("seen", "record"))).alias("rs"))
-    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["record"]), ","), F.lit("]"))
-    return g.select("issue_id", F.lit("r0").alias("run_id"), F.lit(0).cast("long").alias("page_no"),
-                    F.concat(F.lit('{"data":'), data, F.lit("}")).alias("body"))
-
-
 @query("replicate_report")
 def q_replicate_report(spark, d):
     """E1-E3+A8+A9: every object type from landed pages -> rows -> rejects ->
@@ -903,7 +857,7 @@ def q_replicate_report(spark, d):
     from .schema import REPLICATION_ORDER
     parts = []
     for t in REPLICATION_ORDER:
-        pages = _message_pages(spark, d) if t == "messages" else _object_pages(spark, d, t)
+        pages = fx.warehouse(spark, d, f"pages_{t}")
         _, counters = replicate_rows(items_from_pages(pages, t), t)
         parts.append(counters)
     res = parts[0]
@@ -914,7 +868,8 @@ def q_replicate_report(spark, d):
 
 def _loaded(spark, d, object_type: str) -> DataFrame:
     from .plans.replicate import items_from_pages, replicate_rows
-    kept, _ = replicate_rows(items_from_pages(_object_pages(spark, d, object_type), object_type), object_type)
+    kept, _ = replicate_rows(items_from_pages(fx.warehouse(spark, d, f"pages_{object_type}"), object_type),
+                             object_type)
     return kept
 
 
@@ -933,7 +888,7 @@ def q_load_issues(spark, d):
     from .operators.filters import body_predicate, json_field, search_body
     from .plans.replicate import items_from_pages, replicate_rows
     body = search_body(dt.datetime(1996, 1, 1), dt.datetime(1997, 12, 31), states=["closed", "on_hold"])
-    items = items_from_pages(_object_pages(spark, d, "issues"), "issues")
+    items = items_from_pages(fx.warehouse(spark, d, "pages_issues"), "issues")
     items = items.where(body_predicate(body, json_field("item")))
     kept, _ = replicate_rows(items, "issues")
     return kept.select("issue_id", json_value("data", "$.state").alias("state"),
@@ -987,7 +942,7 @@ def q_stream_upsert(spark, d):
         "record", F.regexp_replace("record", r'"segment":"([^"]*)"', '"segment":"$1-v2"'))
     second = _pages(upd, F.lit("r0"), (k / 100).cast("long") + 1000, k, pag)
     root, ck = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
-    table = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8)
+    table = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8, landing=True)
     write_landed(first, root)
     stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=100).awaitTermination()
     write_landed(second, root + "/updates")

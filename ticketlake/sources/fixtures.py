@@ -233,6 +233,46 @@ def user_records(supplier: DataFrame) -> DataFrame:
     return supplier.select(F.col("s_suppkey").alias("key"), rec.alias("record"))
 
 
+# ---------------------------------------------------------------- landed pages
+def bad_id_records(records: DataFrame) -> DataFrame:
+    """Issue records with planted falsy ids: absent (key % 97 = 0), '' (key %
+    89 = 0) and number 0 (key % 83 = 0)."""
+    k, rec = F.col("key"), F.col("record")
+    rid = F.concat(F.lit('"id":"'), k.cast("string"), F.lit('",'))
+    bad = (F.when(k % 97 == 0, F.replace(rec, rid, F.lit("")))
+            .when(k % 89 == 0, F.replace(rec, rid, F.lit('"id":"",')))
+            .when(k % 83 == 0, F.replace(rec, rid, F.lit('"id":0,')))
+            .otherwise(rec))
+    return records.select("key", "issue_id", "page_no", "pos", bad.alias("record"))
+
+
+def landed_pages(spark: SparkSession, d: str, object_type: str) -> DataFrame:
+    """API responses as landed pages per object type: 100 records per page in
+    key order with a cursor chain (teams: one page; messages: one
+    unpaginated response per parent issue)."""
+    from .pages import page_envelopes
+    t = lambda n: table(spark, d, n)
+    k = F.col("key")
+    pag = F.struct(F.lit(True).alias("has_next_page"),
+                   F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("cursor"))
+    if object_type == "messages":
+        m = warehouse(spark, d, "li_messages").select("issue_id", "seen", F.to_json("data").alias("record"))
+        g = m.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("seen", "record"))).alias("rs"))
+        data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["record"]), ","), F.lit("]"))
+        return g.select("issue_id", F.lit("r0").alias("run_id"), F.lit(0).cast("long").alias("page_no"),
+                        F.concat(F.lit('{"data":'), data, F.lit("}")).alias("body"))
+    if object_type == "teams":
+        tf = teams_frame(t("nation"), t("region"), t("supplier"))
+        recs = tf.select(F.xxhash64("team_id").alias("key"),
+                         F.to_json(F.struct(F.col("team_id").alias("id"), "name", "users")).alias("record"))
+        return page_envelopes(recs, F.lit("r0"), F.lit(0).cast("long"), k, "record")
+    recs = {"accounts": lambda: account_records(t("customer")),
+            "contacts": lambda: contact_records(t("customer")),
+            "users": lambda: user_records(t("supplier")),
+            "issues": lambda: bad_id_records(warehouse(spark, d, "issue_records"))}[object_type]()
+    return page_envelopes(recs, F.lit("r0"), (k / 100).cast("long"), k, "record", pag)
+
+
 # ---------------------------------------------------------------- warehouse tables
 # The warehouse tables of the reference are stored tables with a parsed
 # payload. The fixtures are built once per session and data folder, written
@@ -254,6 +294,8 @@ def _build(spark: SparkSession, d: str, name: str) -> DataFrame:
         return teams_table(t("nation"), t("region"), t("supplier"))
     if name == "flat_issues":
         return flat_issues(t("orders"), t("lineitem"))
+    if name.startswith("pages_"):
+        return landed_pages(spark, d, name[len("pages_"):])
     raise ValueError(name)
 
 
@@ -276,3 +318,6 @@ def warehouse(spark: SparkSession, d: str, name: str) -> DataFrame:
 def prepare_warehouse(spark: SparkSession, d: str) -> None:
     for n in ("issues", "issue_records", "li_messages", "ev_messages", "chat_messages", "teams", "flat_issues"):
         warehouse(spark, d, n)
+    from ..schema import REPLICATION_ORDER
+    for t in REPLICATION_ORDER:
+        warehouse(spark, d, f"pages_{t}")

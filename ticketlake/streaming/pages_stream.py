@@ -2,9 +2,12 @@
 
 ``readStream`` over the landing folder (whole-file text, one file per page),
 ``foreachBatch`` merges each micro-batch into the keyed table, and the
-checkpoint makes the run restartable. The merge is keyed, so a replayed
-micro-batch after a failure writes the same result (idempotent). Later
-micro-batches beat earlier ones, as later flushes do in the reference.
+checkpoint makes the run restartable. The file source hands files over in
+modification-time order, which is not page order when pages are landed by a
+parallel job, so the merge is order-aware: the table keeps each row's landing
+position and the row landed last wins (a later page beats an earlier one, as
+a later flush does in the batch path). A replayed micro-batch after a failure
+therefore writes the same result (idempotent).
 """
 
 from __future__ import annotations
@@ -33,12 +36,14 @@ def page_stream(spark: SparkSession, root: str, max_files_per_trigger: int = 100
 def stream_upsert(spark: SparkSession, root: str, object_type: str, table: KeyedTable,
                   checkpoint: str, max_files_per_trigger: int = 100, available_now: bool = True):
     """Start the stream; with ``available_now`` it drains the folder and stops."""
+    if not table.landing:
+        raise ValueError("stream tables must be created with landing=True")
     table.create()
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         items = items_from_pages(batch, object_type)
         valid, _ = prepare(items, object_type, stamp=F.current_timestamp())
-        table.upsert(valid.withColumn("batch_no", F.lit(batch_id)), keep="first")
+        table.upsert_landed(valid)
 
     w = (page_stream(spark, root, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch).option("checkpointLocation", checkpoint))
