@@ -30,13 +30,16 @@ def last_message_times(messages: DataFrame) -> DataFrame:
 
 
 def stale_candidates(issues: DataFrame, messages: DataFrame, as_of: dt.datetime,
-                     limit: int | None = None, stale_after: dt.timedelta = STALE_AFTER) -> DataFrame:
+                     limit: int | None = None, stale_after: dt.timedelta = STALE_AFTER,
+                     ordered: bool = True) -> DataFrame:
     """Candidates for closing (P9, P10, L2, JN2).
 
     Slack issues waiting on the customer whose last message is strictly older
     than ``as_of - stale_after``; issues without messages drop out. Messages
     are aggregated *before* the join (one row per issue), ordered by last
-    message time (issue id breaks ties); ``limit`` is the record cap.
+    message time (issue id breaks ties); ``limit`` is the record cap (a
+    top-k, planned as TakeOrderedAndProject). ``ordered=False`` skips the
+    global sort when the set only feeds joins (a cap always sorts).
     """
     d = F.col("data")
     cand = issues.where((json_str(d, "$.state") == WAITING) & (json_str(d, "$.source") == SLACK)) \
@@ -45,8 +48,9 @@ def stale_candidates(issues: DataFrame, messages: DataFrame, as_of: dt.datetime,
     cutoff = F.lit(as_of - stale_after).cast("timestamp")
     out = (cand.join(last, "issue_id", "left")
            .where(F.col("last_message_time") < cutoff)
-           .select("issue_id", "last_message_time")
-           .orderBy(F.col("last_message_time").asc(), F.col("issue_id").asc()))
+           .select("issue_id", "last_message_time"))
+    if ordered or limit:
+        out = out.orderBy(F.col("last_message_time").asc(), F.col("issue_id").asc())
     return out.limit(limit) if limit else out
 
 

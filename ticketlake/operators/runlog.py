@@ -26,6 +26,25 @@ def object_counters(object_type: str, table_name: str, valid: DataFrame, rejects
                       *COUNTER_COLS)
 
 
+def counters_from_rows(object_type: str, table_name: str, rows: DataFrame, keys,
+                       batch_cols=("run_id", "page_no")) -> DataFrame:
+    """A8 in one pass over the transformed rows (valid and rejected, told
+    apart by ``reject_reason``): the pages are parsed once, and the two
+    distinct counts are planned as partial aggregates on their own columns,
+    so duplicates are combined map-side before the shuffle."""
+    ok = F.col("reject_reason").isNull()
+    has_key = ok
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    a = rows.agg(
+        F.count(F.when(ok, 1)).cast("long").alias("total_processed"),
+        F.count(F.when(~ok, 1)).cast("long").alias("total_errors"),
+        F.count_distinct(F.when(ok, F.struct(*[F.col(c) for c in batch_cols]))).cast("long").alias("total_batches"),
+        F.count_distinct(F.when(has_key, F.struct(*[F.col(k) for k in keys]))).cast("long").alias("rows_kept"))
+    return a.select(F.lit(object_type).alias("object_type"), F.lit(table_name).alias("table_name"),
+                    *COUNTER_COLS)
+
+
 def with_overall(results: DataFrame) -> DataFrame:
     """Per-object rows plus an ``all`` rollup row; success = no errors."""
     r = results.rollup("object_type").agg(*[F.sum(c).cast("long").alias(c) for c in COUNTER_COLS],

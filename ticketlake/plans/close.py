@@ -30,7 +30,9 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
           max_records: int | None = None, created_at: Column | None = None) -> dict:
     """Candidates come from the warehouse table; their current state (closed?
     labels? tags?) from ``current``, the service's latest snapshot."""
-    cand = closing.stale_candidates(warehouse, messages, as_of, max_records)
+    # The candidate set feeds the state lookup, both conversation builds and
+    # the decisions: computed once (executor loss -> recomputed from lineage).
+    cand = closing.stale_candidates(warehouse, messages, as_of, max_records, ordered=False).persist()
     cur = closing.current_state(cand.select("issue_id"), current)
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \
@@ -39,5 +41,5 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     convs = closing_conversations(messages.join(cand.select("issue_id"), "issue_id", "left_semi"))
     qreq = question_requests(cand, convs)
     dec = closing.closing_decisions(cand, current, convs, question_responder(qreq), cls["decisions"]).persist()
-    return {"candidates": cand, "decisions": dec, "classify_outbox": cls["outbox"],
+    return {"candidates": cand.orderBy("last_message_time", "issue_id"), "decisions": dec, "classify_outbox": cls["outbox"],
             "outbox": closing.close_outbox(dec, created_at), "counters": closing.close_counters(dec)}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_first
 from ..operators.merge import KeyedTable
-from ..operators.runlog import object_counters, with_overall
+from ..operators.runlog import counters_from_rows, with_overall
 from ..schema import REPLICATION_ORDER, spec
 from ..sources.objects import split_rejects, to_rows
 from ..sources.pages import cap_records, cursor_chain, explode_items, offset_chain, parse_pages
@@ -35,17 +35,24 @@ def selected_messages(items: DataFrame, issue_ids: DataFrame) -> DataFrame:
     return items.join(issue_ids.select("issue_id"), "issue_id", "left_semi")
 
 
-def prepare(items: DataFrame, object_type: str, max_records: int | None = None,
-            stamp: Column | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Items -> (valid rows, rejects). The record cap is applied in landing
-    order before the transform (messages: issue order across issues)."""
+def prepare_rows(items: DataFrame, object_type: str, max_records: int | None = None,
+                 stamp: Column | None = None, strict: bool = False) -> DataFrame:
+    """Items -> registry rows with ``reject_reason`` (NULL when valid). The
+    record cap is applied in landing order before the transform (messages:
+    issue order across issues)."""
     order = ("issue_id", "page_no", "pos") if object_type == "messages" else ("run_id", "page_no", "pos")
     capped = cap_records(items, max_records, order=[c for c in order if c in items.columns])
     rows = to_rows(capped, object_type, stamp=stamp, strict=strict,
                    keep=("run_id", "page_no", "pos"))
     if object_type == "messages" and "page_no" not in rows.columns:
         rows = rows.withColumn("page_no", F.lit(0).cast("long"))
-    return split_rejects(rows)
+    return rows
+
+
+def prepare(items: DataFrame, object_type: str, max_records: int | None = None,
+            stamp: Column | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Items -> (valid rows, rejects)."""
+    return split_rejects(prepare_rows(items, object_type, max_records, stamp, strict))
 
 
 def replicate_rows(items: DataFrame, object_type: str, max_records: int | None = None,
@@ -53,9 +60,10 @@ def replicate_rows(items: DataFrame, object_type: str, max_records: int | None =
     """(deduplicated rows, counters) without writing - the relation a merge
     into an empty table would produce."""
     s = spec(object_type)
-    valid, rejects = prepare(items, object_type, max_records, stamp)
+    rows = prepare_rows(items, object_type, max_records, stamp)
+    valid, _ = split_rejects(rows)
     kept = dedup_first(valid, s.keys, seen=[c for c in ("run_id", "page_no", "pos") if c in valid.columns])
-    return kept, object_counters(object_type, s.table, valid, rejects, kept, batch_columns(object_type, valid))
+    return kept, counters_from_rows(object_type, s.table, rows, s.keys, batch_columns(object_type, rows))
 
 
 def batch_columns(object_type: str, rows: DataFrame) -> list:
@@ -69,12 +77,12 @@ def replicate_object(spark: SparkSession, pages: DataFrame, object_type: str, ta
     """E1/E2 with the write: merge into ``table`` and return counters."""
     s = spec(object_type)
     items = items_from_pages(pages, object_type)
-    valid, rejects = prepare(items, object_type, max_records, F.current_timestamp(), strict)
-    valid = valid.persist()
+    rows = prepare_rows(items, object_type, max_records, F.current_timestamp(), strict).persist()
+    valid, rejects = split_rejects(rows)        # both read the one parse of the pages
     stats = table.upsert(valid, keep="first")
     n_rej = rejects.count()
     n_batches = valid.select(*batch_columns(object_type, valid)).distinct().count()
-    valid.unpersist()
+    rows.unpersist()
     return spark.createDataFrame(
         [(object_type, s.table, int(stats["rows_in"]), int(n_rej), int(n_batches), int(stats["rows_kept"]))],
         "object_type string, table_name string, total_processed bigint, total_errors bigint, "
