@@ -230,14 +230,15 @@ FROM lineitem
 # ------------------------------------------------------------------ upsert
 oracle("upsert_merge", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS issue_id,
-       CASE WHEN o_orderkey % 3 = 0 THEN 'closed' ELSE {ISSUE_STATE} END AS state
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0
+       CASE WHEN o_orderdate >= DATE '1995-01-01' THEN 'closed' ELSE {ISSUE_STATE} END AS state
+FROM orders
 """)
 oracle("upsert_batches", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS issue_id,
-       CASE WHEN o_orderkey % 5 = 0 THEN 'new' WHEN o_orderkey % 4 = 0 THEN 'closed'
-            WHEN o_orderkey % 3 = 0 THEN 'on_hold' ELSE {ISSUE_STATE} END AS state
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 5 = 0
+       CASE WHEN o_orderdate >= DATE '1996-06-01' THEN 'new'
+            WHEN o_orderdate >= DATE '1995-01-01' THEN 'closed'
+            WHEN o_orderdate >= DATE '1994-01-01' THEN 'on_hold' ELSE {ISSUE_STATE} END AS state
+FROM orders
 """)
 oracle("truncate_audit", """
 SELECT 'teams' AS table_name, (SELECT count(*) FROM nation) + (SELECT count(*) FROM region) AS rows_before,
@@ -610,6 +611,7 @@ SELECT doc_id, field, label, count(*) AS hits FROM w JOIN k ON k.word = w.word G
 # ------------------------------------------------------------------ streaming
 oracle("stream_upsert", """
 SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS name,
-       CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment || '-v2' ELSE c_mktsegment END AS segment
+       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN c_mktsegment || '-v2'
+            ELSE c_mktsegment END AS segment
 FROM customer
 """)

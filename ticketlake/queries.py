@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.jsonx import to_text_ts
@@ -38,6 +38,7 @@ def T(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 AS_OF = dt.datetime(2000, 1, 1)
+UPDATED_SEGMENTS = ("AUTOMOBILE", "BUILDING")   # accounts re-landed by the stream scenario
 
 
 # ------------------------------------------------------------------ closing
@@ -414,36 +415,43 @@ def _issue_rows(f: DataFrame, record) -> DataFrame:
                     F.to_timestamp(F.lit("2024-06-01 00:00:00")).alias("updated_at"), "page_no", "pos")
 
 
+def _created(since: str) -> Column:
+    return F.col("created_day") >= F.lit(since).cast("date")
+
+
 @query("upsert_merge")
 def q_upsert_merge(spark, d):
-    """I3/JN5: target = even keys; source = keys % 3 = 0 now closed; MERGE
-    through the keyed parquet table (touched buckets rewritten)."""
+    """I3/JN5: a first load of the issues created before 1996, then a second
+    load of every issue created since 1995, now closed: the overlap is
+    updated, the rest inserted. MERGE through the keyed parquet table
+    (touched buckets rewritten); the result holds every issue."""
     from .operators.merge import KeyedTable
     from .session import scratch_path
     from .functions.jsonx import json_value
     f = fx.warehouse(spark, d, "issue_records")
     t = KeyedTable(spark, scratch_path(spark, "upsert_merge"), "issues", buckets=8)
-    t.upsert(_issue_rows(f.where(F.col("key") % 2 == 0), F.col("record")))
-    t.upsert(_issue_rows(f.where(F.col("key") % 3 == 0), _state_set(F.col("record"), "closed")))
+    t.upsert(_issue_rows(f.where(~_created("1996-01-01")), F.col("record")))
+    t.upsert(_issue_rows(f.where(_created("1995-01-01")), _state_set(F.col("record"), "closed")))
     return t.read().select("issue_id", json_value("data", "$.state").alias("state"))
 
 
 @query("upsert_batches")
 def q_upsert_batches(spark, d):
-    """I4: three batches in one pass - later batch wins, first row inside a
-    batch wins (batch 3 holds every key twice)."""
+    """I4: after a first load (issues created before 1996), three batches of
+    overlapping creation ranges in one pass - later batch wins, first row
+    inside a batch wins (batch 3 holds each of its keys twice)."""
     from .operators.merge import KeyedTable
     from .session import scratch_path
     from .functions.jsonx import json_value
     f = fx.warehouse(spark, d, "issue_records")
     t = KeyedTable(spark, scratch_path(spark, "upsert_batches"), "issues", buckets=8)
-    t.upsert(_issue_rows(f.where(F.col("key") % 2 == 0), F.col("record")))
-    k = F.col("key")
-    b1 = _issue_rows(f.where(k % 3 == 0), _state_set(F.col("record"), "on_hold")).withColumn("batch_no", F.lit(1))
-    b2 = _issue_rows(f.where(k % 4 == 0), _state_set(F.col("record"), "closed")).withColumn("batch_no", F.lit(2))
-    b3a = _issue_rows(f.where(k % 5 == 0), _state_set(F.col("record"), "new")).withColumn("batch_no", F.lit(3))
-    b3b = _issue_rows(f.where(k % 5 == 0).withColumn("pos", F.col("pos") + 1000),
-                      _state_set(F.col("record"), "waiting_on_you")).withColumn("batch_no", F.lit(3))
+    t.upsert(_issue_rows(f.where(~_created("1996-01-01")), F.col("record")))
+    rec = F.col("record")
+    b1 = _issue_rows(f.where(_created("1994-01-01")), _state_set(rec, "on_hold")).withColumn("batch_no", F.lit(1))
+    b2 = _issue_rows(f.where(_created("1995-01-01")), _state_set(rec, "closed")).withColumn("batch_no", F.lit(2))
+    b3a = _issue_rows(f.where(_created("1996-06-01")), _state_set(rec, "new")).withColumn("batch_no", F.lit(3))
+    b3b = _issue_rows(f.where(_created("1996-06-01")).withColumn("pos", F.col("pos") + 1000),
+                      _state_set(rec, "waiting_on_you")).withColumn("batch_no", F.lit(3))
     t.upsert(b1.unionByName(b2).unionByName(b3a).unionByName(b3b), keep="batches")
     return t.read().select("issue_id", json_value("data", "$.state").alias("state"))
 
@@ -927,18 +935,20 @@ def q_stream_upsert(spark, d):
     """ST1: account pages landed as files are drained by a Structured
     Streaming query (availableNow, 100 files per micro-batch) into the keyed
     table; update pages landed afterwards are picked up by a restart from
-    the same checkpoint, and the later batch wins."""
+    the same checkpoint, and the later batch wins. The update pages re-land
+    every account of two market segments with a changed segment."""
     from .functions.jsonx import json_value
     from .operators.merge import KeyedTable
     from .session import scratch_path
     from .sources.pages import write_landed
     from .streaming.pages_stream import stream_upsert
-    recs = fx.account_records(T(spark, d, "customer"))
+    cust = T(spark, d, "customer")
+    recs = fx.account_records(cust)
     k = F.col("key")
     pag = F.struct(F.lit(True).alias("has_next_page"),
                    F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("cursor"))
     first = _pages(recs, F.lit("r0"), (k / 100).cast("long"), k, pag)
-    upd = recs.where(k % 4 == 0).withColumn(
+    upd = fx.account_records(cust.where(F.col("c_mktsegment").isin(*UPDATED_SEGMENTS))).withColumn(
         "record", F.regexp_replace("record", r'"segment":"([^"]*)"', '"segment":"$1-v2"'))
     second = _pages(upd, F.lit("r0"), (k / 100).cast("long") + 1000, k, pag)
     root, ck = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")

@@ -102,7 +102,7 @@ def issue_frame(orders: DataFrame) -> DataFrame:
     return orders.select(
         _s(k).alias("issue_id"), k.alias("key"),
         (k / 100).cast("long").alias("page_no"), (k % 100).alias("pos"),
-        record.alias("record"))
+        record.alias("record"), created.alias("created_day"))
 
 
 def issues_table(orders: DataFrame, stamp: Column | None = None) -> DataFrame:
