@@ -29,17 +29,27 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
           label_responder: Callable[[DataFrame], DataFrame] | None = None,
           max_records: int | None = None, created_at: Column | None = None) -> dict:
     """Candidates come from the warehouse table; their current state (closed?
-    labels? tags?) from ``current``, the service's latest snapshot."""
-    # The candidate set feeds the state lookup, both conversation builds and
-    # the decisions: computed once (executor loss -> recomputed from lineage).
+    labels? tags?) from ``current``, the service's latest snapshot.
+
+    The big tables are read twice in all: messages once for the last
+    activity per issue and once for the candidates' own messages, and the
+    snapshot once for the candidates' current rows. Those two candidate-sized
+    sets are persisted (executor loss -> recomputed from lineage) and feed
+    the classification, both conversation forms and the decisions, so every
+    later step scales with the number of candidates, not with the tables.
+    """
     cand = closing.stale_candidates(warehouse, messages, as_of, max_records, ordered=False).persist()
-    cur = closing.current_state(cand.select("issue_id"), current)
+    ids = cand.select("issue_id")
+    cur = closing.current_state(ids, current).persist()
+    cand_msgs = messages.join(ids, "issue_id", "left_semi").persist()
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \
               .where(F.size("fields") > 0)
-    cls = classify(current, messages, teams, label_responder, targets=need, created_at=created_at)
-    convs = closing_conversations(messages.join(cand.select("issue_id"), "issue_id", "left_semi"))
+    cur_rows = cur.select("issue_id", F.col("current").alias("data"))
+    cls = classify(cur_rows, cand_msgs, teams, label_responder, targets=need, created_at=created_at)
+    convs = closing_conversations(cand_msgs)
     qreq = question_requests(cand, convs)
-    dec = closing.closing_decisions(cand, current, convs, question_responder(qreq), cls["decisions"]).persist()
-    return {"candidates": cand.orderBy("last_message_time", "issue_id"), "decisions": dec, "classify_outbox": cls["outbox"],
-            "outbox": closing.close_outbox(dec, created_at), "counters": closing.close_counters(dec)}
+    dec = closing.closing_decisions(cand, cur_rows, convs, question_responder(qreq), cls["decisions"]).persist()
+    return {"candidates": cand.orderBy("last_message_time", "issue_id"), "decisions": dec,
+            "classify_outbox": cls["outbox"], "outbox": closing.close_outbox(dec, created_at),
+            "counters": closing.close_counters(dec)}
