@@ -2,12 +2,14 @@
 
 Plan shape (per issue, whatever the skew):
 
-1. first ``head`` and last ``tail`` messages by ``(ts, message_id)`` - two
-   ``row_number() <= k`` windows. Spark plans each as a *partial*
-   WindowGroupLimit before the shuffle, so even an issue holding a third of
-   all messages sends at most k rows per map partition to one task.
-   Keeping ``rn_asc <= head OR rn_desc <= tail`` equals the reference's
-   "all when n <= head+tail, else first head + last tail" for every n.
+1. first ``head`` and last ``tail`` messages by ``(ts, message_id)`` - one
+   ``row_number()`` over (issue, direction) on a doubled row stream (one
+   scan, one shuffle). Spark plans it with a *partial* WindowGroupLimit
+   before the shuffle, so even an issue holding a third of all messages
+   sends at most max(head, tail) rows per direction and map partition.
+   Keeping the head copy's ``rn <= head`` and the tail copy's ``rn <= tail``
+   equals the reference's "all when n <= head+tail, else first head + last
+   tail" for every n.
 2. the staff directory is joined *after* truncation (<= head+tail rows per
    issue), one team per e-mail; AQE turns the join into a broadcast when the
    directory's measured size is under the threshold and keeps a shuffle join
@@ -60,14 +62,24 @@ def truncate_thread(rows: DataFrame, head: int, tail: int,
                     order: tuple = ("ts", "message_id"), by: str = "issue_id") -> DataFrame:
     """Rows among the first ``head`` or the last ``tail`` of each thread.
 
-    The result is the union of two group-limited windows; a row can appear in
-    both (threads shorter than head+tail) - callers take distinct rows.
+    One scan, one shuffle: every row is emitted twice, tagged with a
+    direction, and one ``row_number`` runs over ``(thread, direction)``; the
+    sort keys are conditional, so the head copy orders ascending and the tail
+    copy descending. The explicit ``rn <= max(head, tail)`` conjunct lets
+    Spark infer a partial WindowGroupLimit before the shuffle, so a thread
+    holding a third of all rows still sends at most ``max(head, tail)`` rows
+    per direction and map task. A row can come back twice (threads shorter
+    than head+tail); callers take distinct rows.
     """
-    asc = Window.partitionBy(by).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    desc = Window.partitionBy(by).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    first = rows.withColumn("_rn", F.row_number().over(asc)).where(F.col("_rn") <= head).drop("_rn")
-    last = rows.withColumn("_rn", F.row_number().over(desc)).where(F.col("_rn") <= tail).drop("_rn")
-    return first.unionByName(last)
+    is_head = F.col("_dir") == 0
+    keys = []
+    for c in order:
+        keys += [F.when(is_head, F.col(c)).asc_nulls_first(), F.when(~is_head, F.col(c)).desc_nulls_last()]
+    w = Window.partitionBy(by, "_dir").orderBy(*keys)
+    rn = F.col("_rn")
+    keep = (rn <= max(head, tail)) & (rn <= F.when(is_head, F.lit(head)).otherwise(F.lit(tail)))
+    return (rows.withColumn("_dir", F.explode(F.array(F.lit(0), F.lit(1))))
+            .withColumn("_rn", F.row_number().over(w)).where(keep).drop("_rn", "_dir"))
 
 
 def assemble(kept: DataFrame, line: Column, order: tuple, by: str = "issue_id") -> DataFrame:

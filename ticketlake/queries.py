@@ -694,11 +694,17 @@ def q_response_gate(spark, d):
 @query("accepted_fields")
 def q_accepted_fields(spark, d):
     """J17+J11: fields taken from passing responses (slug=value list)."""
-    from .functions.labels import accepted_fields, gate
+    from .functions.labels import accepted_staged, gate_staged, response_features
     from .operators.triage import parse_response
     r = _label_responses(spark, d).select("issue_id", parse_response(F.col("response")).alias("v"))
-    a = accepted_fields(gate(r, F.col("v"), "g"), F.col("v"), "f")
-    ok = a.where(F.col("v").isNotNull() & (F.col("g") == "pass"))
+    # features staged once; gate and fields are plain column logic over them
+    st = r.select("issue_id", F.col("v").isNull().alias("_none"), *response_features(F.col("v")))
+    a = st.select("issue_id", "_none", gate_staged().alias("g"), accepted_staged().alias("f"))
+    # keep passing responses: exploding a one-element array (NULL when the row
+    # fails) keeps the rule in the projection; a Filter on ``g`` would be
+    # pushed below it and inline the whole staged chain into one method
+    ok = a.select("issue_id", F.explode(F.when(~F.col("_none") & (F.col("g") == "pass"),
+                                               F.array(F.col("f")))).alias("f"))
     return ok.select(F.col("issue_id").cast("long").alias("doc_id"),
                      F.array_join(F.transform("f", lambda x: F.concat(x["slug"], F.lit("="), x["value"])), ";")
                      .alias("fields"))
