@@ -59,3 +59,31 @@ def test_hot_issue_is_group_limited(spark):
     assert got == {"hot": 9, "cold": 4}
     plan = conversations(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def _brute_truncate(rows, head, tail):
+    """Reference rule per thread: all rows when n <= head+tail, else the first
+    head and last tail by (ts, message_id), NULLs first."""
+    out = []
+    for issue in sorted({r[0] for r in rows}):
+        t = sorted([r for r in rows if r[0] == issue],
+                   key=lambda r: ((r[2] is not None, r[2] or ""), (r[1] is not None, r[1] or "")))
+        out += t if len(t) <= head + tail else t[:head] + t[-tail:]
+    return sorted(out, key=str)
+
+
+def test_truncate_matches_brute_force(spark):
+    import random
+    from ticketlake.operators.threads import truncate_thread
+    rnd = random.Random(7)
+    rows = []
+    for i in range(12):
+        n = rnd.choice([0, 1, 3, 8, 9, 10, 19, 20, 21, 40])
+        for k in range(n):
+            ts = None if rnd.random() < 0.1 else f"2024-01-01T00:00:{rnd.randint(0, 9):02d}Z"   # ties and NULLs
+            rows.append((f"i{i}", f"m{k:02d}", ts))
+    df = spark.createDataFrame(rows, "issue_id string, message_id string, ts string").repartition(5)
+    for head, tail in [(3, 6), (5, 15), (1, 1)]:
+        got = sorted({tuple(r) for r in truncate_thread(df, head, tail).select("issue_id", "message_id", "ts").collect()},
+                     key=str)
+        assert got == _brute_truncate(rows, head, tail), (head, tail)
