@@ -21,10 +21,14 @@ CLOSED = "closed"
 
 
 def unclassified(issues: DataFrame, fields=FIELDS, created_start: str | None = None,
-                 created_end: str | None = None, limit: int | None = None) -> DataFrame:
+                 created_end: str | None = None, limit: int | None = None,
+                 ordered: bool = True, with_tags: bool = False) -> DataFrame:
     """P8 + L1: closed issues with a NULL label among ``fields`` (no fields ->
     none), optional inclusive created_at bounds, newest first (issue id
-    breaks ties), optional record cap (top-n, not a global sort)."""
+    breaks ties), optional record cap (top-n, not a global sort).
+    ``ordered=False`` skips the global sort when the set only feeds joins (a
+    cap always sorts); ``with_tags`` carries the issue's tags along, so the
+    decision step needs no second read of the issues table."""
     d = F.col("data")
     conds = [json_value(d, f"$.custom_fields.{f}.value").isNull() for f in fields if f in FIELDS]
     missing = reduce(or_, conds) if conds else F.lit(False)
@@ -34,9 +38,12 @@ def unclassified(issues: DataFrame, fields=FIELDS, created_start: str | None = N
         pred = pred & (created >= F.lit(created_start).cast("timestamp"))
     if created_end:
         pred = pred & (created <= F.lit(created_end).cast("timestamp"))
-    out = (issues.where(pred)
-           .select(json_value(d, "$.id").alias("issue_id"), created.alias("created_at"))
-           .orderBy(F.col("created_at").desc_nulls_last(), F.col("issue_id").asc()))
+    cols = [json_value(d, "$.id").alias("issue_id"), created.alias("created_at")]
+    if with_tags:
+        cols.append(F.try_variant_get(d, "$.tags", "array<string>").alias("tags"))
+    out = issues.where(pred).select(*cols)
+    if ordered or limit:
+        out = out.orderBy(F.col("created_at").desc_nulls_last(), F.col("issue_id").asc())
     return out.limit(limit) if limit else out
 
 
@@ -66,12 +73,15 @@ def decisions(reqs: DataFrame, responses: DataFrame, snapshot: DataFrame) -> Dat
     """Decision per request (E4 truth table).
 
     ``responses``: (issue_id, response text); ``snapshot``: current issue rows
-    (issue_id, data) whose tags the payload keeps. The response is parsed once
+    (issue_id, data) - or (issue_id, tags) - whose tags the payload keeps.
+    The response is parsed once
     and its members staged as columns, so every rule below is plain column
     logic (small generated code, no repeated parsing).
     """
     r = responses.select("issue_id", F.col("response"))
-    s = snapshot.select("issue_id", F.try_variant_get(F.col("data"), "$.tags", "array<string>").alias("tags"))
+    tags = F.col("tags") if "tags" in snapshot.columns \
+        else F.try_variant_get(F.col("data"), "$.tags", "array<string>").alias("tags")
+    s = snapshot.select("issue_id", tags)
     j = reqs.select("issue_id", "conversation").join(r, "issue_id", "left").join(s, "issue_id", "left")
     j = j.select("issue_id", "conversation", "tags", parse_response(F.col("response")).alias("_v"))
     j = j.select("issue_id", "conversation", "tags", F.col("_v").isNull().alias("_none"),

@@ -24,9 +24,16 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
     ``targets`` (issue_id[, fields]) replaces the unclassified selection (the
     single-issue form and the closing flow).
     """
+    snapshot = issues
     if targets is None:
-        targets = triage.unclassified(issues, fields, created_start, created_end, max_records) \
-                        .select("issue_id", F.array(*[F.lit(f) for f in fields]).alias("fields"))
+        # one read of the issues table: the target set (with tags) is
+        # persisted and feeds the message semi join, the requests and the
+        # decisions; unsorted unless a record cap needs the order
+        targets = triage.unclassified(issues, fields, created_start, created_end, max_records,
+                                      ordered=False, with_tags=True) \
+                        .select("issue_id", F.array(*[F.lit(f) for f in fields]).alias("fields"), "tags") \
+                        .persist()
+        snapshot = targets.select("issue_id", "tags")
     convs = triage_conversations(messages.join(targets.select("issue_id"), "issue_id", "left_semi"), teams)
     reqs = triage.requests(targets, convs, debug=debug)
     if responder is None:
@@ -36,6 +43,6 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
     # The decision table feeds the outbox, the counters and the closing flow:
     # computed once (executor loss -> recomputed from lineage). Persisting also
     # keeps a filter on its outputs from being inlined into the parse chain.
-    dec = triage.decisions(reqs, resp, issues).persist()
+    dec = triage.decisions(reqs, resp, snapshot).persist()
     return {"requests": reqs, "decisions": dec,
             "outbox": triage.update_outbox(dec, created_at), "counters": triage.counters(dec)}
