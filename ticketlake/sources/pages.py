@@ -40,7 +40,15 @@ def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
 
 def _cut(pages: DataFrame, cont: Column, run: str, page: str) -> DataFrame:
     """Pages up to the first non-continuing page of each run (that page's
-    own rows still count when it has any); later pages are ignored."""
+    own rows still count when it has any); later pages are ignored.
+
+    The stop page is one hash aggregate per run (partial, map-side), joined
+    back on the run. That join is skew-safe without a hint. The stop table
+    has one row per run, so a run holding most pages means there are few
+    runs, and AQE measures the table far below the broadcast threshold and
+    broadcasts it (no shuffle of the pages). Many runs mean no hot run, and
+    a shuffle join on the run is balanced. No window over a whole run is
+    used."""
     stop = pages.groupBy(run).agg(F.min(F.when(~cont, F.col(page))).alias("_stop"))
     s = F.col("_stop")
     return (pages.join(stop, run)
