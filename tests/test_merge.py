@@ -75,3 +75,27 @@ def test_keyed_table_upsert_truncate(spark):
 def test_truncate_missing_table(spark):
     with pytest.raises(FileNotFoundError):
         KeyedTable(spark, scratch_path(spark, "nope") + "/absent", "teams").truncate()
+
+
+def test_upsert_landed_is_order_free_and_idempotent(spark):
+    import json as _json
+    from pyspark.sql import functions as _F
+    from ticketlake.operators.merge import KeyedTable as _KT
+    from ticketlake.session import scratch_path as _sp
+    # three pages of one run; a1 appears on pages 0 and 2, a2 twice on page 1 (first item wins)
+    pages = {0: [("a0", 0), ("a1", 0)], 1: [("a2", 1), ("a2", 99), ("a3", 1)], 2: [("a1", 2)]}
+
+    def batch(p):
+        rows = [("r0", p, pos, k, _json.dumps({"id": k, "v": v})) for pos, (k, v) in enumerate(pages[p])]
+        df = spark.createDataFrame(rows, "run_id string, page_no long, pos long, account_id string, j string")
+        return df.select("account_id", _F.parse_json("j").alias("data"),
+                         _F.current_timestamp().alias("updated_at"), "run_id", "page_no", "pos")
+
+    expected = {"a0": 0, "a1": 2, "a2": 1, "a3": 1}
+    for order in [(0, 1, 2), (2, 1, 0), (1, 2, 0, 2, 1)]:          # in order, reversed, with replays
+        t = _KT(spark, _sp(spark, "landed"), "accounts", buckets=3, landing=True)
+        for p in order:
+            t.upsert_landed(batch(p))
+        got = {r.account_id: r.v for r in t.read().select(
+            "account_id", _F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
+        assert got == expected, order
