@@ -22,6 +22,11 @@ CLOSED = "closed"
 STALE_AFTER = dt.timedelta(weeks=1)
 
 
+# Largest waiting-on-customer pool whose ids are broadcast (ids are short
+# strings: ~500k ids is a few tens of MB); above it the pool is joined by shuffle.
+BROADCAST_ID_LIMIT = 500_000
+
+
 def last_message_times(messages: DataFrame) -> DataFrame:
     """A1: MAX(message timestamp) per issue. Hash aggregate with a partial
     (map-side) step, so a hot issue is combined before the shuffle."""
@@ -29,29 +34,57 @@ def last_message_times(messages: DataFrame) -> DataFrame:
             .groupBy("issue_id").agg(F.max("ts").alias("last_message_time")))
 
 
+def waiting_pool(issues: DataFrame) -> DataFrame:
+    """Ids of Slack issues waiting on the customer (both predicates reach
+    the parquet scan as VARIANT field filters)."""
+    d = F.col("data")
+    return issues.where((json_str(d, "$.state") == WAITING) & (json_str(d, "$.source") == SLACK)) \
+                 .select("issue_id")
+
+
+def pool_messages(messages: DataFrame, pool: DataFrame,
+                  broadcast_limit: int = BROADCAST_ID_LIMIT) -> tuple[DataFrame, bool]:
+    """Messages that can matter for closing, and whether they were cut to
+    the pool. The pool's size is checked first (one count over the filtered
+    issue scan). Under the limit its ids are broadcast and the messages are
+    semi-joined map-side before any aggregation. Above it the messages stay
+    whole, and the caller aggregates them (partial aggregates) and joins the
+    pool by shuffle."""
+    if pool.count() <= broadcast_limit:
+        return messages.join(F.broadcast(pool), "issue_id", "left_semi"), True
+    return messages, False
+
+
+def stale_from(pool: DataFrame, messages: DataFrame, as_of: dt.datetime, limit: int | None = None,
+               stale_after: dt.timedelta = STALE_AFTER, ordered: bool = True) -> DataFrame:
+    """P10, L2, JN2 over a candidate pool: last message strictly older than
+    ``as_of - stale_after``; issues without messages drop out."""
+    last = last_message_times(messages)
+    cutoff = F.lit(as_of - stale_after).cast("timestamp")
+    out = (pool.join(last, "issue_id")
+           .where(F.col("last_message_time") < cutoff)
+           .select("issue_id", "last_message_time"))
+    if ordered or limit:
+        out = out.orderBy(F.col("last_message_time").asc(), F.col("issue_id").asc())
+    return out.limit(limit) if limit else out
+
+
 def stale_candidates(issues: DataFrame, messages: DataFrame, as_of: dt.datetime,
                      limit: int | None = None, stale_after: dt.timedelta = STALE_AFTER,
-                     ordered: bool = True) -> DataFrame:
+                     ordered: bool = True, broadcast_limit: int = BROADCAST_ID_LIMIT) -> DataFrame:
     """Candidates for closing (P9, P10, L2, JN2).
 
     Slack issues waiting on the customer whose last message is strictly older
     than ``as_of - stale_after``; issues without messages drop out. Messages
-    are aggregated *before* the join (one row per issue), ordered by last
+    are cut to the pool when its size allows (``pool_messages``) and
+    aggregated *before* the join (one row per issue), ordered by last
     message time (issue id breaks ties); ``limit`` is the record cap (a
     top-k, planned as TakeOrderedAndProject). ``ordered=False`` skips the
     global sort when the set only feeds joins (a cap always sorts).
     """
-    d = F.col("data")
-    cand = issues.where((json_str(d, "$.state") == WAITING) & (json_str(d, "$.source") == SLACK)) \
-                 .select("issue_id")
-    last = last_message_times(messages)
-    cutoff = F.lit(as_of - stale_after).cast("timestamp")
-    out = (cand.join(last, "issue_id", "left")
-           .where(F.col("last_message_time") < cutoff)
-           .select("issue_id", "last_message_time"))
-    if ordered or limit:
-        out = out.orderBy(F.col("last_message_time").asc(), F.col("issue_id").asc())
-    return out.limit(limit) if limit else out
+    pool = waiting_pool(issues)
+    msgs, _ = pool_messages(messages, pool, broadcast_limit)
+    return stale_from(pool, msgs, as_of, limit, stale_after, ordered)
 
 
 def missing_fields(data: Column) -> Column:

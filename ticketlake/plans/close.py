@@ -31,17 +31,24 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     """Candidates come from the warehouse table; their current state (closed?
     labels? tags?) from ``current``, the service's latest snapshot.
 
-    The big tables are read twice in all: messages once for the last
-    activity per issue and once for the candidates' own messages, and the
-    snapshot once for the candidates' current rows. Those two candidate-sized
-    sets are persisted (executor loss -> recomputed from lineage) and feed
-    the classification, both conversation forms and the decisions, so every
-    later step scales with the number of candidates, not with the tables.
+    Messages are read once when the waiting pool is small enough to
+    broadcast (``closing.pool_messages``): the pool's messages are persisted
+    and give both the last activity and the candidates' own messages.
+    Otherwise they are read twice (a partial aggregate over all of them, then
+    a semi join). The snapshot is read once, for the candidates' current rows.
+    The candidate-sized sets are persisted (executor loss -> recomputed from
+    lineage) and feed the classification, both conversation forms and the
+    decisions, so every later step scales with the number of candidates, not
+    with the tables.
     """
-    cand = closing.stale_candidates(warehouse, messages, as_of, max_records, ordered=False).persist()
+    pool = closing.waiting_pool(warehouse)
+    msgs, bounded = closing.pool_messages(messages, pool)
+    if bounded:       # the pool's messages: read once, shared by both uses below
+        msgs = msgs.persist()
+    cand = closing.stale_from(pool, msgs, as_of, max_records, ordered=False).persist()
     ids = cand.select("issue_id")
     cur = closing.current_state(ids, current).persist()
-    cand_msgs = messages.join(ids, "issue_id", "left_semi").persist()
+    cand_msgs = msgs.join(ids, "issue_id", "left_semi").persist()
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \
               .where(F.size("fields") > 0)
