@@ -99,3 +99,14 @@ def test_upsert_landed_is_order_free_and_idempotent(spark):
         got = {r.account_id: r.v for r in t.read().select(
             "account_id", _F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
         assert got == expected, order
+
+
+def test_restrict_to_both_branches(spark):
+    from ticketlake.operators.keysets import restrict_to
+    msgs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "issue_id string, n int")
+    ids = spark.createDataFrame([("a",), ("c",), ("z",)], "issue_id string")
+    small, b1 = restrict_to(msgs, ids)
+    big, b2 = restrict_to(msgs, ids, limit=0)
+    assert b1 and not b2
+    assert sorted(r.n for r in small.collect()) == sorted(r.n for r in big.collect()) == [1, 2, 4]
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import json_str, json_ts, json_value, parse
 from ..functions.labels import TAG_CLASSIFIED, append_tag, close_payload
+from .keysets import BROADCAST_ID_LIMIT, restrict_to
 
 WAITING = "waiting_on_customer"
 SLACK = "slack"
@@ -22,11 +23,6 @@ CLOSED = "closed"
 STALE_AFTER = dt.timedelta(weeks=1)
 
 
-# Largest waiting-on-customer pool whose ids are broadcast (ids are short
-# strings: ~500k ids is a few tens of MB); above it the pool is joined by shuffle.
-BROADCAST_ID_LIMIT = 500_000
-
-
 def last_message_times(messages: DataFrame) -> DataFrame:
     """A1: MAX(message timestamp) per issue. Hash aggregate with a partial
     (map-side) step, so a hot issue is combined before the shuffle."""
@@ -50,9 +46,8 @@ def pool_messages(messages: DataFrame, pool: DataFrame,
     semi-joined map-side before any aggregation. Above it the messages stay
     whole, and the caller aggregates them (partial aggregates) and joins the
     pool by shuffle."""
-    if pool.count() <= broadcast_limit:
-        return messages.join(F.broadcast(pool), "issue_id", "left_semi"), True
-    return messages, False
+    cut, bounded = restrict_to(messages, pool, limit=broadcast_limit)
+    return (cut, True) if bounded else (messages, False)
 
 
 def stale_from(pool: DataFrame, messages: DataFrame, as_of: dt.datetime, limit: int | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import FIELDS
 from ..operators import scorer, triage
+from ..operators.keysets import restrict_to
 from ..operators.threads import triage_conversations
 
 
@@ -34,7 +35,7 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
                         .select("issue_id", F.array(*[F.lit(f) for f in fields]).alias("fields"), "tags") \
                         .persist()
         snapshot = targets.select("issue_id", "tags")
-    convs = triage_conversations(messages.join(targets.select("issue_id"), "issue_id", "left_semi"), teams)
+    convs = triage_conversations(restrict_to(messages, targets)[0], teams)
     reqs = triage.requests(targets, convs, debug=debug)
     if responder is None:
         kw = scorer.keyword_table(issues.sparkSession)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.prompts import QUESTION_SYSTEM, question_user_text
 from ..operators import closing
+from ..operators.keysets import restrict_to
 from ..operators.threads import closing_conversations
 from .classify import classify
 
@@ -48,7 +49,7 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     cand = closing.stale_from(pool, msgs, as_of, max_records, ordered=False).persist()
     ids = cand.select("issue_id")
     cur = closing.current_state(ids, current).persist()
-    cand_msgs = msgs.join(ids, "issue_id", "left_semi").persist()
+    cand_msgs = restrict_to(msgs, ids)[0].persist()
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \
               .where(F.size("fields") > 0)

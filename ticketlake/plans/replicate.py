@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_first
 from ..operators.merge import KeyedTable
+from ..operators.keysets import restrict_to
 from ..operators.runlog import counters_from_rows, with_overall
 from ..schema import REPLICATION_ORDER, spec
 from ..sources.objects import split_rejects, to_rows
@@ -31,8 +32,9 @@ def items_from_pages(pages: DataFrame, object_type: str) -> DataFrame:
 
 
 def selected_messages(items: DataFrame, issue_ids: DataFrame) -> DataFrame:
-    """JN6: only messages whose parent issue was selected."""
-    return items.join(issue_ids.select("issue_id"), "issue_id", "left_semi")
+    """JN6: only messages whose parent issue was selected (the selected ids
+    are broadcast when their count allows, else shuffled)."""
+    return restrict_to(items, issue_ids)[0]
 
 
 def prepare_rows(items: DataFrame, object_type: str, max_records: int | None = None,
