@@ -110,3 +110,21 @@ def test_landing_round_trip(spark, tmp_path):
     back = read_landed(spark, str(tmp_path / "land"))
     assert sorted((r["run_id"], r["page_no"]) for r in back.collect()) == [("r1", 0), ("r1", 1)]
     assert len(ids(cursor_chain(parse_pages(back)))) == 2
+
+
+def test_response_pages_split_hot_groups(spark):
+    from ticketlake.sources.pages import response_pages
+    rows = [("hot", f"m{k % 40}", k, f'"{k}"') for k in range(50)]            # m0-m9 repeat
+    rows += [("cold", f"c{k}", k, f'"c{k}"') for k in range(3)]
+    df = spark.createDataFrame(rows, "issue_id string, message_id string, seen long, record string")
+    pages = response_pages(df, "issue_id", "seen", "message_id", max_records=10).collect()
+    hot = [p for p in pages if p.issue_id == "hot"]
+    cold = [p for p in pages if p.issue_id == "cold"]
+    assert len(cold) == 1 and cold[0].page_no == 0 and json.loads(cold[0].data) == ["c0", "c1", "c2"]
+    assert len(hot) > 1 and {p.page_no for p in hot} <= set(range(5))
+    items = [json.loads(p.data) for p in hot]
+    assert sorted(int(x) for page in items for x in page) == list(range(50))   # every record once
+    for page in items:                                                          # landing order inside a page
+        assert [int(x) for x in page] == sorted(int(x) for x in page)
+    for k in range(10):                                                         # repeats of one id share a page
+        assert len({i for i, page in enumerate(items) if str(k) in page or str(k + 40) in page}) == 1

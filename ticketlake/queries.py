@@ -173,17 +173,16 @@ def q_ingest_issue_messages(spark, d):
     """One unpaginated response per issue; the parent id comes from the
     request (landing partition); a NULL data array gives no rows."""
     from .sources.objects import to_rows
-    from .sources.pages import explode_items, parse_pages
+    from .sources.pages import explode_items, parse_pages, response_pages
     from .functions.text import author_email
     from .functions.jsonx import json_value
     conv = T(spark, d, "conversations")
-    m = fx.chat_messages(conv).select("issue_id", F.col("message_id").cast("long").alias("turn"),
+    m = fx.chat_messages(conv).select("issue_id", "message_id", F.col("message_id").cast("long").alias("turn"),
                                       F.to_json("data").alias("record"))
-    g = (m.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("turn", "record"))).alias("rs")))
-    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["record"]), ","), F.lit("]"))
+    g = response_pages(m, "issue_id", "turn", "message_id")
     body = F.when(F.col("issue_id").cast("long") % 13 == 0, F.lit('{"data":null}')) \
-            .otherwise(F.concat(F.lit('{"data":'), data, F.lit("}")))
-    pages = g.select("issue_id", F.lit(0).cast("long").alias("page_no"), body.alias("body"))
+            .otherwise(F.concat(F.lit('{"data":'), F.col("data"), F.lit("}")))
+    pages = g.select("issue_id", "page_no", body.alias("body"))
     rows = to_rows(explode_items(parse_pages(pages), keep=("issue_id", "page_no")), "messages")
     d_ = F.col("data")
     return rows.select("issue_id", "message_id", "pos",

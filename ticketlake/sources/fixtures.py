@@ -249,18 +249,19 @@ def bad_id_records(records: DataFrame) -> DataFrame:
 def landed_pages(spark: SparkSession, d: str, object_type: str) -> DataFrame:
     """API responses as landed pages per object type: 100 records per page in
     key order with a cursor chain (teams: one page; messages: one
-    unpaginated response per parent issue)."""
-    from .pages import page_envelopes
+    unpaginated response per parent issue, split into pages only when an
+    issue exceeds ``PAGE_RECORDS_MAX`` messages)."""
+    from .pages import page_envelopes, response_pages
     t = lambda n: table(spark, d, n)
     k = F.col("key")
     pag = F.struct(F.lit(True).alias("has_next_page"),
                    F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")).alias("cursor"))
     if object_type == "messages":
-        m = warehouse(spark, d, "li_messages").select("issue_id", "seen", F.to_json("data").alias("record"))
-        g = m.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("seen", "record"))).alias("rs"))
-        data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["record"]), ","), F.lit("]"))
-        return g.select("issue_id", F.lit("r0").alias("run_id"), F.lit(0).cast("long").alias("page_no"),
-                        F.concat(F.lit('{"data":'), data, F.lit("}")).alias("body"))
+        m = warehouse(spark, d, "li_messages").select("issue_id", "message_id", "seen",
+                                                      F.to_json("data").alias("record"))
+        g = response_pages(m, "issue_id", "seen", "message_id")
+        return g.select("issue_id", F.lit("r0").alias("run_id"), "page_no",
+                        F.concat(F.lit('{"data":'), F.col("data"), F.lit("}")).alias("body"))
     if object_type == "teams":
         tf = teams_frame(t("nation"), t("region"), t("supplier"))
         recs = tf.select(F.xxhash64("team_id").alias("key"),

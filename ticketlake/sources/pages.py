@@ -130,6 +130,32 @@ def page_envelopes(records: DataFrame, run: Column, page: Column, pos: Column,
                     .alias("body"))
 
 
+# Largest number of records landed in one response page.
+PAGE_RECORDS_MAX = 1000
+
+
+def response_pages(records: DataFrame, group: str, order: str, id_col: str, record: str = "record",
+                   max_records: int = PAGE_RECORDS_MAX) -> DataFrame:
+    """``(group, page_no, data)``: each group's records as a JSON array text
+    in ``order`` (landing helper for per-issue responses).
+
+    No group is collected whole. Group sizes come from a partial count joined
+    back on the group (AQE splits a hot group's partition). A group above
+    ``max_records`` is spread over ceil(n / max_records) pages by a hash of
+    ``id_col``, so repeats of one id stay on one page, in order. Smaller
+    groups are one page (``page_no`` 0), exactly the unpaginated response.
+    """
+    n = records.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    r = records.join(n, group)
+    pages_n = F.ceil(F.col("_n") / F.lit(max_records))
+    page = F.when(F.col("_n") <= max_records, F.lit(0)) \
+            .otherwise(F.pmod(F.xxhash64(F.col(id_col)), pages_n)).cast("long")
+    g = (r.select(group, page.alias("page_no"), F.struct(F.col(order).alias("o"), F.col(record).alias("r")).alias("e"))
+         .groupBy(group, "page_no").agg(F.array_sort(F.collect_list("e")).alias("rs")))
+    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]"))
+    return g.select(group, "page_no", data.alias("data"))
+
+
 def write_landed(pages: DataFrame, root: str, run: str = "run_id") -> None:
     """Land page bodies as ``<root>/<run>=…/page_no=…/`` text files."""
     pages.select(run, "page_no", "body").write.mode("overwrite").partitionBy(run, "page_no").text(root)
