@@ -540,7 +540,10 @@ SELECT CAST(conv_id AS VARCHAR) AS issue_id, CAST(count_if(role = 'user') AS BIG
             ELSE coalesce(bool_and(CASE WHEN role = 'user' THEN coalesce(turn < last_answer, false) END), true)
        END AS all_resolved
 FROM (SELECT *, max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS last_answer
-      FROM conversations) c
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ra,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rd
+            FROM conversations) w
+      WHERE ra <= 5 OR rd <= 15) c
 GROUP BY conv_id
 """)
 

@@ -826,10 +826,14 @@ def q_close_outbox(spark, d):
 
 @query("question_summary")
 def q_question_summary(spark, d):
-    """J15+A12: question responses (built from the chat turns) parsed into
-    count and all_resolved; a string "true" does not count (Q14)."""
+    """J15+A12: question responses parsed into count and all_resolved; a
+    string "true" does not count (Q14). Each response is built from the
+    turns the responder sees - the closing window (first 5 + last 15, W2) -
+    so no conversation is collected whole."""
     from .operators.closing import parse_questions
-    c = T(spark, d, "conversations")
+    from .operators.threads import CLOSING_WINDOW, truncate_thread
+    turns = T(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    c = truncate_thread(turns, *CLOSING_WINDOW, order=("turn",), by="conv_id").dropDuplicates(["conv_id", "turn"])
     g = c.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("role") == "user", F.struct("turn", "text")))).alias("qs"),
         F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last_answer"))
