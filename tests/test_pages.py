@@ -128,3 +128,17 @@ def test_response_pages_split_hot_groups(spark):
         assert [int(x) for x in page] == sorted(int(x) for x in page)
     for k in range(10):                                                         # repeats of one id share a page
         assert len({i for i, page in enumerate(items) if str(k) in page or str(k + 40) in page}) == 1
+
+
+def test_items_before_two_level_prefix(spark):
+    from ticketlake.sources.pages import items_before
+    import random as _r
+    rnd = _r.Random(3)
+    rows = [(f"r{r}", p, rnd.randint(0, 5)) for r in range(3) for p in range(rnd.randint(1, 40))]
+    df = spark.createDataFrame(rows, "run_id string, page_no long, n_items int")
+    got = {(x.run_id, x.page_no): x.items_before for x in items_before(df, block=4).collect()}
+    exp, acc = {}, {}
+    for r, p, n in sorted(rows):
+        exp[(r, p)] = acc.get(r, 0)
+        acc[r] = acc.get(r, 0) + n
+    assert got == exp

@@ -108,13 +108,12 @@ def _offset_pages(spark, d) -> DataFrame:
     """Offset pages: offset = records of earlier pages of the run, except a
     planted +1 gap at page 4 of runs with run % 6 = 1."""
     from .sources.pages import parse_pages
+    from .sources.pages import items_before
     pages = parse_pages(_planted_pages(spark, d, "offset"))
     # offsets are landed values; compute them here from the page sizes
-    from pyspark.sql import Window
-    w = Window.partitionBy("run_id").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
-    off = F.coalesce(F.sum("n_items").over(w), F.lit(0)) + \
-        F.when((F.col("run_id").cast("long") % 6 == 1) & (F.col("page_no") == 4), 1).otherwise(0)
-    return pages.withColumn("offset", off.cast("long"))
+    planted = F.when((F.col("run_id").cast("long") % 6 == 1) & (F.col("page_no") == 4), 1).otherwise(0)
+    return items_before(pages).withColumn("offset", (F.col("items_before") + planted).cast("long")) \
+                              .drop("items_before")
 
 
 @query("ingest_offset_cut")

@@ -82,6 +82,26 @@ def offset_gaps(pages: DataFrame, run: str = "run_id", page: str = "page_no") ->
             .where(~F.col("offset").eqNullSafe(F.col("expected_offset"))))
 
 
+def items_before(pages: DataFrame, run: str = "run_id", page: str = "page_no",
+                 n: str = "n_items", block: int = 1024) -> DataFrame:
+    """Adds ``items_before``: items on the earlier pages of the same run (the
+    offset a page should start at). A two-level prefix sum, so no window
+    spans a whole run: per-block totals (``block`` pages) get a running sum
+    over the blocks of a run (a few rows), pages a running sum inside their
+    block, and the block prefix is joined back on (run, block)."""
+    from pyspark.sql import Window
+    b = (F.col(page) / F.lit(block)).cast("long")
+    with_block = pages.withColumn("_blk", b)
+    totals = with_block.groupBy(run, "_blk").agg(F.sum(n).alias("_t"))
+    before_blk = Window.partitionBy(run).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = totals.select(run, "_blk", F.coalesce(F.sum("_t").over(before_blk), F.lit(0)).alias("_bp"))
+    in_blk = Window.partitionBy(run, "_blk").orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
+    inner = with_block.withColumn("_ip", F.coalesce(F.sum(n).over(in_blk), F.lit(0)))
+    return (inner.join(prefix, [run, "_blk"])
+            .withColumn("items_before", (F.col("_bp") + F.col("_ip")).cast("long"))
+            .drop("_blk", "_bp", "_ip"))
+
+
 def explode_items(pages: DataFrame, keep=("run_id", "page_no")) -> DataFrame:
     """One row per element of ``data`` in page order ``(…, page_no, pos)``."""
     return pages.select(*keep, F.posexplode("data").alias("pos", "item")) \
