@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .jsonx import is_number, json_number, json_type, json_value
+from .jsonx import json_number, json_type, json_value
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for identical results).
