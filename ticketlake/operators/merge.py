@@ -9,7 +9,10 @@ matches on the full key - no hot bucket even when one issue holds a third of
 all messages, because messages hash on (issue_id, message_id).
 
 Parquet has no MERGE; the upsert is ``source ∪ (target ▷ source)`` per touched
-bucket. One writer per table at a time.
+bucket. The touched buckets (at most ``n_buckets`` rows) are broadcast, and the
+semi join on the partition column becomes dynamic partition pruning: the
+target scan lists and reads only those buckets. One writer per table at a
+time.
 
 Stream tables (``landing=True``) also store each row's landing position
 ``(landed_run, landed_page, landed_pos)``; their upsert keeps, per key, the
