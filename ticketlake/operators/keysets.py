@@ -3,8 +3,9 @@
 Messages are the largest table. Cutting them to the issues a command needs
 is a semi join. A shuffle semi join would move every message body across the
 network, and a broadcast one filters them map-side, but only an id set of
-known size may be broadcast. ``restrict_to`` counts the ids first (callers
-pass persisted or cheaply filtered sets, so the count is one small job).
+known size may be broadcast. ``restrict_to`` checks the size first: it
+counts at most ``limit + 1`` ids, so the check stops early on a large set
+(callers pass persisted or cheaply filtered sets).
 Under the limit the ids are broadcast. Above it the semi join is left to the
 planner, which shuffles both sides on the key and lets AQE split skewed
 partitions.
@@ -24,6 +25,6 @@ def restrict_to(df: DataFrame, ids: DataFrame, key: str = "issue_id",
                 limit: int = BROADCAST_ID_LIMIT) -> tuple[DataFrame, bool]:
     """(rows of ``df`` whose ``key`` is in ``ids``, whether ids were broadcast)."""
     k = ids.select(key)
-    if k.count() <= limit:
+    if k.limit(limit + 1).count() <= limit:      # stops early on a large set
         return df.join(F.broadcast(k), key, "left_semi"), True
     return df.join(k, key, "left_semi"), False
