@@ -160,7 +160,8 @@ def response_pages(records: DataFrame, group: str, order: str, id_col: str, reco
     in ``order`` (landing helper for per-issue responses).
 
     No group is collected whole. Group sizes come from a partial count joined
-    back on the group (AQE splits a hot group's partition). A group above
+    back on the group (AQE can split a hot group's join partition, since the
+    pages get an exchange on (group, page) of their own). A group above
     ``max_records`` is spread over ceil(n / max_records) pages by a hash of
     ``id_col``, so repeats of one id stay on one page, in order. Smaller
     groups are one page (``page_no`` 0), exactly the unpaginated response.
@@ -170,7 +171,10 @@ def response_pages(records: DataFrame, group: str, order: str, id_col: str, reco
     pages_n = F.ceil(F.col("_n") / F.lit(max_records))
     page = F.when(F.col("_n") <= max_records, F.lit(0)) \
             .otherwise(F.pmod(F.xxhash64(F.col(id_col)), pages_n)).cast("long")
+    # an exchange on (group, page) of its own: a hot group's pages spread over
+    # tasks, and AQE may split the join's skewed partition (no extra shuffle)
     g = (r.select(group, page.alias("page_no"), F.struct(F.col(order).alias("o"), F.col(record).alias("r")).alias("e"))
+         .repartition(group, "page_no")
          .groupBy(group, "page_no").agg(F.array_sort(F.collect_list("e")).alias("rs")))
     data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]"))
     return g.select(group, "page_no", data.alias("data"))
