@@ -66,3 +66,23 @@ def test_run_log_appends(spark):
     log = spark.read.parquet(path)
     assert log.count() == 2
     assert {"command", "run_at", "total_processed"} <= set(log.columns)
+
+
+def test_unknown_object_type_is_an_error(spark):
+    import pytest
+    pages = _pages(spark, [[{"id": "x"}]])
+    with pytest.raises(ValueError, match="Unknown object type"):
+        replicate_object(spark, pages, "widgets", None)
+    with pytest.raises(ValueError, match="Unknown object type"):
+        replicate_rows(items_from_pages(pages, "widgets"), "widgets")
+
+
+def test_messages_replicate_with_parent_from_landing(spark):
+    # The parent id comes from the landing partition, not the record
+    rows = [("r0", "i1", 0, json.dumps({"data": [{"id": "m1"}, {"id": "m2"}, {"id": "m1"}]})),
+            ("r0", "i2", 0, json.dumps({"data": None}))]
+    pages = spark.createDataFrame(rows, "run_id string, issue_id string, page_no long, body string")
+    kept, counters = replicate_rows(items_from_pages(pages, "messages"), "messages")
+    assert sorted((r.issue_id, r.message_id) for r in kept.collect()) == [("i1", "m1"), ("i1", "m2")]
+    c = counters.first()
+    assert (c.total_processed, c.total_errors, c.total_batches, c.rows_kept) == (3, 0, 1, 2)
