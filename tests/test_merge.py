@@ -92,13 +92,14 @@ def test_upsert_landed_is_order_free_and_idempotent(spark):
                          _F.current_timestamp().alias("updated_at"), "run_id", "page_no", "pos")
 
     expected = {"a0": 0, "a1": 2, "a2": 1, "a3": 1}
-    for order in [(0, 1, 2), (2, 1, 0), (1, 2, 0, 2, 1)]:          # in order, reversed, with replays
+    for order, limit in [((0, 1, 2), 10), ((2, 1, 0), 10), ((1, 2, 0, 2, 1), 10),   # broadcast path
+                         ((2, 1, 0), 0), ((1, 2, 0, 2, 1), 0)]:                    # shuffle path
         t = _KT(spark, _sp(spark, "landed"), "accounts", buckets=3, landing=True)
         for p in order:
-            t.upsert_landed(batch(p))
+            t.upsert_landed(batch(p), broadcast_limit=limit)
         got = {r.account_id: r.v for r in t.read().select(
             "account_id", _F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
-        assert got == expected, order
+        assert got == expected, (order, limit)
 
 
 def test_restrict_to_both_branches(spark):

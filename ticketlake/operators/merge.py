@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from ..schema import spec, table_schema
 from .dedup import dedup, dedup_batches, dedup_first, dedup_latest
+from .keysets import BROADCAST_ID_LIMIT
 
 DEFAULT_BUCKETS = 64
 LANDED = (("landed_run", "run_id", T.StringType()), ("landed_page", "page_no", T.LongType()),
@@ -115,10 +116,19 @@ class KeyedTable:
         return [F.col("landed_run").desc_nulls_last(), F.col("landed_page").desc_nulls_last(),
                 F.col("landed_pos").asc_nulls_last()]
 
-    def upsert_landed(self, rows: DataFrame, batch_ts: Column | None = None) -> dict:
-        """Order-aware upsert for stream tables: source and the touched target
-        buckets compete per key on landing position in one shuffle on the
-        keys, so a late-arriving older page cannot overwrite a newer row."""
+    def upsert_landed(self, rows: DataFrame, batch_ts: Column | None = None,
+                      broadcast_limit: int = BROADCAST_ID_LIMIT) -> dict:
+        """Order-aware upsert for stream tables: per key, the source rows and
+        the target row compete on landing position, so a late-arriving older
+        page cannot overwrite a newer row.
+
+        A batch of at most ``broadcast_limit`` rows (counted on the staged
+        batch) has its keys broadcast. Target rows without a batch key pass
+        through a map-side anti join, and only the matched target rows join
+        the batch in the per-key window, so the table is never shuffled.
+        A larger batch competes with the touched buckets in one shuffle on
+        the keys.
+        """
         if not self.landing:
             raise ValueError("upsert_landed needs a table created with landing=True")
         self.create()
@@ -129,10 +139,19 @@ class KeyedTable:
         obs_in = Observation("rows_in")
         rows = rows.observe(obs_in, F.count(F.lit(1)).alias("n"))
         src = rows.select(*self.columns).withColumn("key_bucket", key_bucket(self.keys, self.buckets)).persist()
+        n_src = src.count()                                    # stages the batch; size check
         touched = src.select("key_bucket").distinct()          # <= n_buckets rows
         target = self.read().join(F.broadcast(touched), "key_bucket", "left_semi")
-        both = src.withColumn("_src", F.lit(1)).unionByName(target.withColumn("_src", F.lit(0)))
-        out = dedup(both, self.keys, self.landed_order() + [F.col("_src").desc()])
+        order = self.landed_order() + [F.col("_src").desc()]
+        if n_src <= broadcast_limit:
+            batch_keys = F.broadcast(src.select(*self.keys))
+            matched = target.join(batch_keys, self.keys, "left_semi")
+            rest = target.join(batch_keys, self.keys, "left_anti").withColumn("_src", F.lit(0))
+            both = src.withColumn("_src", F.lit(1)).unionByName(matched.withColumn("_src", F.lit(0)))
+            out = dedup(both, self.keys, order).unionByName(rest)
+        else:
+            both = src.withColumn("_src", F.lit(1)).unionByName(target.withColumn("_src", F.lit(0)))
+            out = dedup(both, self.keys, order)
         obs_out = Observation("rows_written")
         out = out.observe(obs_out, F.count(F.lit(1)).alias("n"),
                           F.coalesce(F.sum("_src"), F.lit(0)).alias("from_source")).drop("_src")
@@ -141,11 +160,15 @@ class KeyedTable:
         src.unpersist()
         return {"rows_in": obs_in.get.get("n", 0), "rows_kept": obs_out.get.get("from_source", 0)}
 
-    def upsert(self, rows: DataFrame, keep: str = "first", batch_ts: Column | None = None) -> dict:
+    def upsert(self, rows: DataFrame, keep: str = "first", batch_ts: Column | None = None,
+               broadcast_limit: int = BROADCAST_ID_LIMIT) -> dict:
         """Stamp, dedup, merge on the keys, rewrite the touched buckets.
 
-        Returns ``{"rows_in", "rows_kept"}`` read from an Observation of the
-        write (no extra pass). Empty input is a no-op.
+        The staged source is counted: up to ``broadcast_limit`` keys are
+        broadcast, so the target's touched buckets are filtered map-side by
+        the anti join; a larger source is joined by shuffle. Returns
+        ``{"rows_in", "rows_kept"}`` from Observations. Empty input is a
+        no-op.
         """
         self.create()
         if batch_ts is not None:
@@ -154,9 +177,13 @@ class KeyedTable:
         rows = rows.observe(obs_in, F.count(F.lit(1)).alias("n"))
         src = self.prepare(rows, keep).select(*self.columns) \
                   .withColumn("key_bucket", key_bucket(self.keys, self.buckets)).persist()  # I6 staging
+        n_src = src.count()                                    # stages the source; size check
         touched = src.select("key_bucket").distinct()          # <= n_buckets rows
         target = self.read().join(F.broadcast(touched), "key_bucket", "left_semi")
-        kept = target.join(src.select(*self.keys), self.keys, "left_anti")
+        src_keys = src.select(*self.keys)
+        if n_src <= broadcast_limit:
+            src_keys = F.broadcast(src_keys)
+        kept = target.join(src_keys, self.keys, "left_anti")
         obs_out = Observation("rows_kept")
         out = src.observe(obs_out, F.count(F.lit(1)).alias("n")).unionByName(kept.select(*src.columns))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
