@@ -241,8 +241,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS issue_id,
 FROM orders
 """)
 oracle("truncate_audit", """
-SELECT 'teams' AS table_name, (SELECT count(*) FROM nation) + (SELECT count(*) FROM region) AS rows_before,
-       CAST(0 AS BIGINT) AS rows_after
+SELECT 'accounts' AS table_name, CAST(count(*) AS BIGINT) AS rows_before, CAST(0 AS BIGINT) AS rows_after
+FROM customer
 """)
 oracle("high_water_mark", f"SELECT strftime(max(ts), {TS_MICROS}) AS high_water_mark FROM events")
 oracle("incremental_cut", """

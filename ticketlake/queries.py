@@ -456,17 +456,18 @@ def q_upsert_batches(spark, d):
 
 @query("truncate_audit")
 def q_truncate_audit(spark, d):
-    """I7+A2: load the teams table, truncate it, audit rows before/after."""
+    """I7+A2: load the accounts table (every customer), truncate it, audit
+    rows before/after."""
     from .operators.merge import KeyedTable
     from .plans.truncate import truncate
     from .session import scratch_path
-    teams = fx.warehouse(spark, d, "teams")
-    rows = teams.select("team_id", "data", F.current_timestamp().alias("updated_at"),
-                        F.lit(0).cast("long").alias("page_no"),
-                        F.xxhash64("team_id").alias("pos"))
-    t = KeyedTable(spark, scratch_path(spark, "teams"), "teams", buckets=4)
+    recs = fx.account_records(T(spark, d, "customer"))
+    rows = recs.select(F.col("key").cast("string").alias("account_id"), F.parse_json("record").alias("data"),
+                       F.current_timestamp().alias("updated_at"), (F.col("key") / 100).cast("long").alias("page_no"),
+                       F.col("key").alias("pos"))
+    t = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8)
     t.upsert(rows)
-    return truncate(t, "teams")
+    return truncate(t, "accounts")
 
 
 def _event_table(ev: DataFrame) -> DataFrame:
