@@ -41,8 +41,9 @@ def waiting_pool(issues: DataFrame) -> DataFrame:
 def pool_messages(messages: DataFrame, pool: DataFrame,
                   broadcast_limit: int = BROADCAST_ID_LIMIT) -> tuple[DataFrame, bool]:
     """Messages that can matter for closing, and whether they were cut to
-    the pool. The pool's size is checked first (one count over the filtered
-    issue scan). Under the limit its ids are broadcast and the messages are
+    the pool. The pool's size is checked first (at most ``limit + 1`` ids
+    counted over the filtered issue scan). Under the limit its ids are
+    broadcast and the messages are
     semi-joined map-side before any aggregation. Above it the messages stay
     whole, and the caller aggregates them (partial aggregates) and joins the
     pool by shuffle."""
