@@ -81,10 +81,14 @@ class KeyedTable:
 
     def create(self) -> "KeyedTable":
         """Create the table with the registry schema if absent; an existing
-        table is left unchanged."""
+        table is left unchanged. Remembered once done, so a stream's
+        micro-batches do not list the folder again."""
+        if getattr(self, "_created", False):
+            return self
         if not self.exists():
             empty = self.spark.createDataFrame([], self.schema).withColumn("key_bucket", F.lit(0).cast("int"))
             empty.write.mode("overwrite").partitionBy("key_bucket").parquet(self.path)
+        self._created = True
         return self
 
     def read(self) -> DataFrame:
