@@ -111,3 +111,24 @@ def test_restrict_to_both_branches(spark):
     assert b1 and not b2
     assert sorted(r.n for r in small.collect()) == sorted(r.n for r in big.collect()) == [1, 2, 4]
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_broadcast_and_shuffle_paths_agree(spark):
+    from pyspark.sql import functions as _F
+    from ticketlake.operators.merge import KeyedTable as _KT
+    from ticketlake.session import scratch_path as _sp
+
+    def rows(ids, v):
+        df = spark.createDataFrame([(f"i{k}", k) for k in ids], "issue_id string, pos long")
+        return df.select("issue_id", _F.parse_json(_F.concat(_F.lit('{"v":'), _F.lit(v), _F.lit("}"))).alias("data"),
+                         _F.current_timestamp().alias("updated_at"), _F.lit(0).cast("long").alias("page_no"), "pos")
+
+    results = []
+    for limit in (1000, 0):
+        t = _KT(spark, _sp(spark, "paths"), "issues", buckets=4)
+        t.upsert(rows(range(0, 20), 1), broadcast_limit=limit)
+        t.upsert(rows(range(10, 30), 2), broadcast_limit=limit)
+        results.append(sorted((r.issue_id, r.v) for r in t.read().select(
+            "issue_id", _F.try_variant_get("data", "$.v", "int").alias("v")).collect()))
+    assert results[0] == results[1]
+    assert len(results[0]) == 30 and dict(results[0])["i5"] == 1 and dict(results[0])["i15"] == 2
