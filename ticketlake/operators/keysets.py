@@ -22,9 +22,11 @@ BROADCAST_ID_LIMIT = 500_000
 
 
 def restrict_to(df: DataFrame, ids: DataFrame, key: str = "issue_id",
-                limit: int = BROADCAST_ID_LIMIT) -> tuple[DataFrame, bool]:
-    """(rows of ``df`` whose ``key`` is in ``ids``, whether ids were broadcast)."""
+                limit: int = BROADCAST_ID_LIMIT, bounded: bool = False) -> tuple[DataFrame, bool]:
+    """(rows of ``df`` whose ``key`` is in ``ids``, whether ids were broadcast).
+    ``bounded=True`` states that ``ids`` is a subset of a set that already
+    passed the check (no second count)."""
     k = ids.select(key)
-    if k.limit(limit + 1).count() <= limit:      # stops early on a large set
+    if bounded or k.limit(limit + 1).count() <= limit:      # stops early on a large set
         return df.join(F.broadcast(k), key, "left_semi"), True
     return df.join(k, key, "left_semi"), False

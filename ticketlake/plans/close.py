@@ -49,12 +49,13 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     cand = closing.stale_from(pool, msgs, as_of, max_records, ordered=False).persist()
     ids = cand.select("issue_id")
     cur = closing.current_state(ids, current).persist()
-    cand_msgs = restrict_to(msgs, ids)[0].persist()
+    cand_msgs = restrict_to(msgs, ids, bounded=bounded)[0].persist()    # candidates are pool members
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \
               .where(F.size("fields") > 0)
     cur_rows = cur.select("issue_id", F.col("current").alias("data"))
-    cls = classify(cur_rows, cand_msgs, teams, label_responder, targets=need, created_at=created_at)
+    cls = classify(cur_rows, cand_msgs, teams, label_responder, targets=need, created_at=created_at,
+                   targets_bounded=bounded)
     convs = closing_conversations(cand_msgs)
     qreq = question_requests(cand, convs)
     dec = closing.closing_decisions(cand, cur_rows, convs, question_responder(qreq), cls["decisions"]).persist()
