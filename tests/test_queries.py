@@ -54,3 +54,14 @@ def test_query_matches_oracle(spark, sf, con, name):
 def test_plan_has_no_cartesian(spark, sf, name):
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_flagship_cuts_messages_before_aggregating(spark, sf):
+    import __spark_entry__ as entry
+    df = entry.entry(spark)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    semi = plan.find("LeftSemi")
+    partial = plan.find("partial_max")
+    assert "BroadcastHashJoin" in plan and semi != -1 and partial != -1
+    assert semi > partial       # printed top-down: the semi join sits below the partial aggregate
