@@ -7,7 +7,9 @@ modification-time order, which is not page order when pages are landed by a
 parallel job, so the merge is order-aware: the table keeps each row's landing
 position and the row landed last wins (a later page beats an earlier one, as
 a later flush does in the batch path). A replayed micro-batch after a failure
-therefore writes the same result (idempotent).
+therefore writes the same result (idempotent). The cursor/offset chain cut
+applies within each micro-batch; the lander stops at a chain's end, so no
+pages beyond a stop page are expected in the landing folder.
 """
 
 from __future__ import annotations
