@@ -98,3 +98,13 @@ def test_keyword_scorer_and_pandas_scorer(spark):
     def boom(b):
         raise RuntimeError("scorer down")
     assert all(r.response is None for r in score_with(reqs, boom).collect())
+
+
+def test_release_unpersists_command_intermediates(spark, sf):
+    from ticketlake import queries as q
+    from ticketlake.plans import release
+    run = q._close_run(spark, sf)
+    run["counters"].collect()
+    assert run["persisted"] and all(df.is_cached for df in run["persisted"])
+    release(run)
+    assert not any(df.is_cached for df in run["persisted"])

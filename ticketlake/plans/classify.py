@@ -19,7 +19,8 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
              created_end: str | None = None, max_records: int | None = None, debug: bool = False,
              created_at: Column | None = None, targets_bounded: bool = False) -> dict:
     """Returns ``{"decisions", "outbox", "counters", "requests"}`` DataFrames
-    (``decisions`` is persisted; unpersist it when done).
+    and ``"persisted"``, the cached intermediates (``plans.release`` them
+    once the outputs are written).
 
     ``responder(requests) -> (issue_id, response)``; default: keyword scorer.
     ``targets`` (issue_id[, fields]) replaces the unclassified selection (the
@@ -27,6 +28,7 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
     they come from an id set that already passed the broadcast size check.
     """
     snapshot = issues
+    persisted = []
     if targets is None:
         # one read of the issues table: the target set (with tags) is
         # persisted and feeds the message semi join, the requests and the
@@ -35,6 +37,7 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
                                       ordered=False, with_tags=True) \
                         .select("issue_id", F.array(*[F.lit(f) for f in fields]).alias("fields"), "tags") \
                         .persist()
+        persisted.append(targets)
         snapshot = targets.select("issue_id", "tags")
     convs = triage_conversations(restrict_to(messages, targets, bounded=targets_bounded)[0], teams)
     reqs = triage.requests(targets, convs, debug=debug)
@@ -47,4 +50,5 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
     # keeps a filter on its outputs from being inlined into the parse chain.
     dec = triage.decisions(reqs, resp, snapshot).persist()
     return {"requests": reqs, "decisions": dec,
-            "outbox": triage.update_outbox(dec, created_at), "counters": triage.counters(dec)}
+            "outbox": triage.update_outbox(dec, created_at), "counters": triage.counters(dec),
+            "persisted": persisted + [dec]}

@@ -59,6 +59,7 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     convs = closing_conversations(cand_msgs)
     qreq = question_requests(cand, convs)
     dec = closing.closing_decisions(cand, cur_rows, convs, question_responder(qreq), cls["decisions"]).persist()
+    persisted = ([msgs] if bounded else []) + [cand, cur, cand_msgs, dec] + cls["persisted"]
     return {"candidates": cand.orderBy("last_message_time", "issue_id"), "decisions": dec,
             "classify_outbox": cls["outbox"], "outbox": closing.close_outbox(dec, created_at),
-            "counters": closing.close_counters(dec)}
+            "counters": closing.close_counters(dec), "persisted": persisted}
