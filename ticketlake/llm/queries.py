@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import rules, sharding
+from . import decontam, rules, sharding
 from .common import table
 
 QUERIES = {
+    "op2_decontaminate": decontam.op2,
     "op3_shard_hash_tree": lambda s, d: sharding.shard_documents(table(s, d, "documents")),
     "op7_quality_forest": rules.op7,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": decontam.OP2_SQL,
+}
