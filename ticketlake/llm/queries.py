@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontam, pii, rules, sharding
+from . import decontam, packing, pii, rules, sharding
 from .common import table
 
 QUERIES = {
     "op2_decontaminate": decontam.op2,
     "op3_shard_hash_tree": lambda s, d: sharding.shard_documents(table(s, d, "documents")),
+    "op6_pack_linear_grouping": packing.op6,
     "op7_quality_forest": rules.op7,
     "op8_pseudonyms": pii.op8,
 }
