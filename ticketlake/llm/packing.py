@@ -7,8 +7,9 @@ documents there are:
 1. Large lengths (over capacity / SMALL) are cut into groups of about equal
    cardinality and rounded up to their group's largest length.
 2. For these few sizes the best mix of configurations (multisets of sizes that
-   fit a sequence) is found by linear programming with column generation;
-   whole multiples are used, the remainder is packed largest first.
+   fit a sequence, less some slack for small pieces) is found by linear
+   programming with column generation; whole multiples are used, the remainder
+   is packed largest first.
 3. Every group's actual pieces are numbered and take the group's slots.
 4. What a sequence then has left is known exactly; the histogram of these rests
    is filled with the small lengths, largest first, always into the smallest
@@ -35,8 +36,10 @@ from .common import doc_bytes, stored, table
 from .sharding import numbered
 
 CAPACITY, END_ID = 4096, 1
-#: A length is small up to capacity / SMALL; groups of large lengths.
-SMALL, GROUPS = 8, 120
+#: A length is small up to capacity / SMALL; groups of large lengths;
+#: configurations of large lengths leave capacity / SLACK for small ones, or
+#: less where there are few small ones.
+SMALL, GROUPS, SLACK = 4, 40, 10
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 300_000
 
@@ -136,8 +139,15 @@ def _best_configuration(sizes: np.ndarray, values: np.ndarray, capacity: int) ->
 
 def configurations(counts: dict[int, int], capacity: int, rounds: int = 400) -> list[tuple[dict[int, int], int]]:
     """[(size -> slots in a sequence, sequences)] with a slot for each of
-    ``counts``. Linear program over configurations, columns generated by
-    knapsack; its whole parts are used and the rest goes largest first."""
+    ``counts``; a size over ``capacity`` gets a sequence of its own. Linear
+    program over configurations, columns generated by knapsack; its whole
+    parts are used and the rest goes largest first."""
+    alone = [({s: 1}, n) for s, n in counts.items() if s > capacity]
+    counts = {s: n for s, n in counts.items() if s <= capacity}
+    return alone + _shared_configurations(counts, capacity, rounds)
+
+
+def _shared_configurations(counts: dict[int, int], capacity: int, rounds: int) -> list[tuple[dict[int, int], int]]:
     if not counts:
         return []
     sizes = np.array(sorted(counts, reverse=True), dtype=np.int64)
@@ -177,15 +187,15 @@ def configurations(counts: dict[int, int], capacity: int, rounds: int = 400) ->
     return [({int(s): int(k) for s, k in zip(sizes, c, strict=True) if k}, n) for c, n in used.items()]
 
 
-def plan_slots(counts: dict[int, int], capacity: int, groups: int = GROUPS):
+def plan_slots(counts: dict[int, int], capacity: int, groups: int = GROUPS, slack: int = 0):
     """(length -> rounded length, {rounded length: [(first rank, slots in a
-    sequence, first sequence)]}, sequences)."""
+    sequence, first sequence)]}, sequences). Configurations leave ``slack``."""
     grouped = group_lengths(counts, groups)
     rounded = {n: top for top, own in grouped.items() for n in own}
     slots: dict[int, list] = defaultdict(list)
     taken: dict[int, int] = defaultdict(int)
     sequences = 0
-    for column, times in configurations({t: sum(counts[n] for n in own) for t, own in grouped.items()}, capacity):
+    for column, times in configurations({t: sum(counts[n] for n in own) for t, own in grouped.items()}, capacity - slack):
         for s, k in column.items():
             slots[s].append((taken[s], k, sequences))
             taken[s] += k * times
@@ -260,8 +270,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUP
     spark, by = pieces.sparkSession, ["doc_id", "piece", "start", "length", "ids_crc32"]
     counts = _histogram(pieces, "length")
     limit = capacity // SMALL
-    rounded, slots, sequences = plan_slots({n: c for n, c in counts.items() if n > limit}, capacity, groups)
     small = {n: c for n, c in counts.items() if n <= limit}
+    tokens = lambda h: sum(n * c for n, c in h.items())
+    slack = min(capacity // SLACK, capacity * tokens(small) // max(2 * tokens(counts), 1))
+    rounded, slots, sequences = plan_slots({n: c for n, c in counts.items() if n > limit}, capacity, groups, slack)
 
     round_up = spark.createDataFrame([(n, t) for n, t in rounded.items()], "length long, size long")
     large = numbered(pieces.join(F.broadcast(round_up), "length").select(*by, "size"), "size", by)
