@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontam, packing, pii, rules, sharding
+from . import decontam, langid, packing, pii, rules, sharding
 from .common import table
 
 QUERIES = {
+    "op1_language_id": langid.op1,
     "op2_decontaminate": decontam.op2,
     "op3_shard_hash_tree": lambda s, d: sharding.shard_documents(table(s, d, "documents")),
     "op6_pack_linear_grouping": packing.op6,
