@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, packing, pii, rules, sharding
+from . import decontam, htmltext, langid, packing, pii, rules, sharding
 from .common import table
 
 QUERIES = {
     "op1_language_id": langid.op1,
     "op2_decontaminate": decontam.op2,
     "op3_shard_hash_tree": lambda s, d: sharding.shard_documents(table(s, d, "documents")),
+    "op4_html_tree_scoring": htmltext.op4,
     "op6_pack_linear_grouping": packing.op6,
     "op7_quality_forest": rules.op7,
     "op8_pseudonyms": pii.op8,
