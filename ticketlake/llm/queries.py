@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, htmltext, langid, packing, pii, rules, sharding
+from . import decontam, htmltext, langid, ngram_join, packing, pii, rules, sharding
 from .common import table
 
 QUERIES = {
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_pack_linear_grouping": packing.op6,
     "op7_quality_forest": rules.op7,
     "op8_pseudonyms": pii.op8,
+    "op9_jaccard_join": ngram_join.op9,
 }
 
 ORACLES: dict[str, str] = {
