@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, htmltext, langid, ngram_join, packing, pii, rules, sharding
+from . import decontam, htmltext, langid, lm, ngram_join, packing, pii, rules, sharding
 from .common import table
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_decontaminate": decontam.op2,
     "op3_shard_hash_tree": lambda s, d: sharding.shard_documents(table(s, d, "documents")),
     "op4_html_tree_scoring": htmltext.op4,
+    "op5_gru_scores": lm.op5,
     "op6_pack_linear_grouping": packing.op6,
     "op7_quality_forest": rules.op7,
     "op8_pseudonyms": pii.op8,
