@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, htmltext, langid, lm, ngram_join, packing, pii, rules, sharding
+from . import decontam, htmltext, langid, lm, ngram_join, packing, pii, rules, sharding, suffix
 from .common import table
 
 QUERIES = {
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_quality_forest": rules.op7,
     "op8_pseudonyms": pii.op8,
     "op9_jaccard_join": ngram_join.op9,
+    "op10_sparse_suffix_array": suffix.op10,
 }
 
 ORACLES: dict[str, str] = {
