@@ -6,9 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketlake.llm.common import table
+from ticketlake.llm.common import stored, table
 from ticketlake.llm.stages import STAGES
-from ticketlake.llm.common import stored
 
 #: SQL cannot express the forest, the pseudonyms or the packing.
 ORACLE_SQL = None

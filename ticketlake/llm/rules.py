@@ -219,6 +219,36 @@ def calibrate(scored: DataFrame, labels: DataFrame | None, keep_good: float = KE
     return float(flat[len(flat) // 2]) / BINS
 
 
+def _fit(docs: DataFrame, labels: DataFrame | None):
+    """(statistics, trees, subsample, cut)."""
+    stats = stored(rule_statistics(docs), "rules")
+    trees, size = train_forest(stats.where(~base_failed()))
+    scored = stored(with_scores(stats, trees, size), "rules-scored")
+    return scored, trees, size, calibrate(scored, labels)
+
+
+def keep_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``judge_documents`` keeps, with all columns.
+    Every row is judged by its own text (no join, so NULL or repeated doc_ids
+    need no rule)."""
+    _, trees, size, cut = _fit(docs, labels)
+    forest = docs.sparkSession.sparkContext.broadcast(trees)
+    names = [k for k, _ in STAT_FIELDS]
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary())
+            stats = [text_statistics(x.as_py() or b"") for x in texts]
+            cols = {k: np.array(v, dtype=np.int64) for k, v in zip(names, zip(*stats, strict=True), strict=True)} if stats else {}
+            if stats:
+                ok = ~((cols["n_words"] < 50) | (100 * cols["n_repeat_words"] > 50 * cols["n_words"]))
+                ok &= forest_scores(forest.value, features(cols), size) < cut
+                yield batch.filter(pa.array(ok))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Every document with its statistics, ``base_failed``, ``anomaly`` and
     ``kept`` (false if the base rules fail, else whether the forest's score is
@@ -228,10 +258,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFra
     words. Repeated rows get equal verdicts. Extra columns are not read. An
     empty table gives no rows; without labels only the base rules decide.
     """
-    stats = stored(rule_statistics(docs), "rules")
-    trees, size = train_forest(stats.where(~base_failed()))
-    scored = stored(with_scores(stats, trees, size), "rules-scored")
-    cut = calibrate(scored, labels)
+    scored, _, _, cut = _fit(docs, labels)
     failed = base_failed()
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

@@ -1,19 +1,51 @@
-"""Stages of the corpus pipeline (see corpus_pipeline.py)."""
+"""Stages of the corpus pipeline (see corpus_pipeline.py).
+
+Every stage takes documents as its predecessor left them. A verdict on a
+document holds for all rows of its doc_id; rows without a doc_id are judged by
+their text where the operator allows it and stay otherwise.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import rules
-from .common import table
+from . import decontam, ngram_join, packing, pii, rules
+from .common import stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep (operator 7), all columns."""
-    verdict = rules.judge_documents(docs, table(spark, sf_dir, "labels"))
-    kept = verdict.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long") == kept["__kept"], "left_semi")
+    """Operator 7: documents that the quality rules reject go."""
+    return rules.keep_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: of each group of linked documents the one with the smallest
+    doc_id stays; of equal rows one."""
+    found = ngram_join.linked_documents(docs)
+    gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct(),
+                  "near-copies")
+    key = [c for c in docs.columns if c in ("doc_id", "text")]
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti").dropDuplicates(key)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents that hold a window of a test item go."""
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    hit = stored(found.where("contaminated").select(F.col("doc_id").alias("__hit")).distinct(), "contaminated")
+    return docs.join(hit, docs["doc_id"] == hit["__hit"], "left_anti")
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: personal data become pseudonyms; ``n_chars`` follows."""
+    out = pii.pseudonymize(docs, count=None)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: the documents that are left, packed into sequences."""
+    return packing.pack_documents(docs)
 
 
-STAGES = [("quality", quality)]
+STAGES = [("quality_rules", quality), ("ngram_jaccard_join", near_duplicates), ("decontamination", decontaminate),
+          ("pii", pseudonyms), ("packing", packed)]
