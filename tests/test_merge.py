@@ -54,7 +54,7 @@ def _issue_rows(spark, data):
 
 
 def test_keyed_table_upsert_truncate(spark):
-    t = KeyedTable(spark, scratch_path(spark, "t-issues") + "/issues", "issues", buckets=4)
+    t = KeyedTable(spark, scratch_path(spark, "t-issues") + "/issues", "issues")
     assert not t.exists()
     t.create()
     assert t.exists() and t.read().count() == 0
@@ -92,43 +92,68 @@ def test_upsert_landed_is_order_free_and_idempotent(spark):
                          _F.current_timestamp().alias("updated_at"), "run_id", "page_no", "pos")
 
     expected = {"a0": 0, "a1": 2, "a2": 1, "a3": 1}
-    for order, limit in [((0, 1, 2), 10), ((2, 1, 0), 10), ((1, 2, 0, 2, 1), 10),   # broadcast path
-                         ((2, 1, 0), 0), ((1, 2, 0, 2, 1), 0)]:                    # shuffle path
-        t = _KT(spark, _sp(spark, "landed"), "accounts", buckets=3, landing=True)
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0, 2, 1)):
+        t = _KT(spark, _sp(spark, "landed"), "accounts", landing=True)
         for p in order:
-            t.upsert_landed(batch(p), broadcast_limit=limit)
+            t.upsert_landed(batch(p))
         got = {r.account_id: r.v for r in t.read().select(
             "account_id", _F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
-        assert got == expected, (order, limit)
+        assert got == expected, order
 
 
-def test_restrict_to_both_branches(spark):
-    from ticketlake.operators.keysets import restrict_to
-    msgs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "issue_id string, n int")
-    ids = spark.createDataFrame([("a",), ("c",), ("z",)], "issue_id string")
-    small, b1 = restrict_to(msgs, ids)
-    big, b2 = restrict_to(msgs, ids, limit=0)
-    assert b1 and not b2
-    assert sorted(r.n for r in small.collect()) == sorted(r.n for r in big.collect()) == [1, 2, 4]
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+def _v(table):
+    return {r.issue_id: r.v for r in table.read().select("issue_id", F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
 
 
-def test_upsert_broadcast_and_shuffle_paths_agree(spark):
-    from pyspark.sql import functions as _F
-    from ticketlake.operators.merge import KeyedTable as _KT
-    from ticketlake.session import scratch_path as _sp
+def _versioned(spark, ids, v):
+    return _issue_rows(spark, [(f"i{k}", f'{{"v": {v}}}', 0, k) for k in ids])
+
+
+def test_small_upsert_leaves_all_files_alone(spark):
+    import os
+    path = scratch_path(spark, "append")
+    t = KeyedTable(spark, path, "issues")
+    t.upsert(_versioned(spark, range(200), 1))
+    files = lambda: {(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs}
+    before = files()
+    t.upsert(_versioned(spark, range(195, 205), 2))
+    assert before.items() <= files().items()
+    assert _v(t) == {f"i{k}": 1 if k < 195 else 2 for k in range(205)}
+
 
-    def rows(ids, v):
-        df = spark.createDataFrame([(f"i{k}", k) for k in ids], "issue_id string, pos long")
-        return df.select("issue_id", _F.parse_json(_F.concat(_F.lit('{"v":'), _F.lit(v), _F.lit("}"))).alias("data"),
-                         _F.current_timestamp().alias("updated_at"), _F.lit(0).cast("long").alias("page_no"), "pos")
-
-    results = []
-    for limit in (1000, 0):
-        t = _KT(spark, _sp(spark, "paths"), "issues", buckets=4)
-        t.upsert(rows(range(0, 20), 1), broadcast_limit=limit)
-        t.upsert(rows(range(10, 30), 2), broadcast_limit=limit)
-        results.append(sorted((r.issue_id, r.v) for r in t.read().select(
-            "issue_id", _F.try_variant_get("data", "$.v", "int").alias("v")).collect()))
-    assert results[0] == results[1]
-    assert len(results[0]) == 30 and dict(results[0])["i5"] == 1 and dict(results[0])["i15"] == 2
+def test_open_with_other_keys_is_an_error(spark):
+    path = scratch_path(spark, "keys")
+    KeyedTable(spark, path, "issues").create()
+    with pytest.raises(ValueError, match="was created with"):
+        KeyedTable(spark, path, "accounts").create()
+
+
+def test_compaction_and_vacuum_keep_the_rows(spark):
+    t = KeyedTable(spark, scratch_path(spark, "compact"), "issues")
+    for v in range(12):
+        t.upsert(_versioned(spark, range(v, v + 5), v))
+    expected = {f"i{k}": min(k, 11) for k in range(16)}
+    assert len(t.versions()) < 12 and _v(t) == expected
+    assert t.vacuum() > 0 and _v(t) == expected and t.vacuum() == 0
+    t.compact(max_deltas=0)
+    assert _v(t) == expected
+
+
+def test_failed_write_is_not_read(spark):
+    import os
+    path = scratch_path(spark, "failed")
+    t = KeyedTable(spark, path, "issues")
+    t.upsert(_versioned(spark, range(3), 1))
+    os.makedirs(f"{path}/v-00000001-00000001")                      # no _SUCCESS: never committed
+    assert _v(t) == {"i0": 1, "i1": 1, "i2": 1}
+    t.upsert(_versioned(spark, range(2, 4), 2))
+    assert _v(t) == {"i0": 1, "i1": 1, "i2": 2, "i3": 2}
+
+
+def test_restrict_to_has_no_count_and_no_single_partition(spark):
+    from ticketlake.operators.keysets import restrict_to
+    msgs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "issue_id string, n int")
+    ids = spark.createDataFrame([("a",), ("c",), ("z",)], "issue_id string")
+    out = restrict_to(msgs, ids)
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.n for r in out.collect()) == [1, 2, 4]

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from ticketlake.sources.objects import split_rejects, to_rows
-from ticketlake.sources.pages import (cursor_chain, explode_items, offset_chain, offset_gaps, parse_pages,
+from ticketlake.sources.pages import (bad_pages, cursor_chain, explode_items, offset_chain, offset_gaps, parse_pages,
                                       read_landed, write_landed)
 
 
@@ -112,26 +112,39 @@ def test_landing_round_trip(spark, tmp_path):
     assert len(ids(cursor_chain(parse_pages(back)))) == 2
 
 
-def test_response_pages_split_hot_groups(spark):
-    from ticketlake.sources.pages import response_pages
-    rows = [("hot", f"m{k % 40}", k, f'"{k}"') for k in range(50)]            # m0-m9 repeat
-    rows += [("cold", f"c{k}", k, f'"c{k}"') for k in range(3)]
-    df = spark.createDataFrame(rows, "issue_id string, message_id string, seen long, record string")
-    pages = response_pages(df, "issue_id", "seen", "message_id", max_records=10).collect()
-    hot = [p for p in pages if p.issue_id == "hot"]
-    cold = [p for p in pages if p.issue_id == "cold"]
-    assert len(cold) == 1 and cold[0].page_no == 0 and json.loads(cold[0].data) == ["c0", "c1", "c2"]
-    assert len(hot) > 1 and {p.page_no for p in hot} <= set(range(5))
-    items = [json.loads(p.data) for p in hot]
-    assert sorted(int(x) for page in items for x in page) == list(range(50))   # every record once
-    for page in items:                                                          # landing order inside a page
-        assert [int(x) for x in page] == sorted(int(x) for x in page)
-    for k in range(10):                                                         # repeats of one id share a page
-        assert len({i for i, page in enumerate(items) if str(k) in page or str(k + 40) in page}) == 1
+def test_response_pages_by_message_number(spark):
+    from ticketlake.sources.fixtures import response_pages
+    rows = [("hot", k % 2500, k, f'"{k}"') for k in range(3000)] + [("cold", k, k, f'"c{k}"') for k in range(3)]
+    df = spark.createDataFrame(rows, "issue_id string, number long, seen long, record string")
+    pages = {(p.issue_id, p.page_no): json.loads(p.data) for p in response_pages(df, "issue_id", "seen", F.col("number")).collect()}
+    assert set(pages) == {("hot", 0), ("hot", 1), ("hot", 2), ("cold", 0)} and pages["cold", 0] == ["c0", "c1", "c2"]
+    assert sorted(int(x) for p in range(3) for x in pages["hot", p]) == list(range(3000))      # every record once
+    assert all([int(x) for x in pages["hot", p]] == sorted(int(x) for x in pages["hot", p]) for p in range(3))
+
+
+def test_bad_pages_do_not_end_a_run(spark):
+    rows = [("a", 0, body([{"id": 1}])), ("a", 1, "not json"), ("a", 2, '{"data":[{"id":2}'), ("a", 3, body([{"id": 3, "x": 1}])),
+            ("a", 4, '{"data":[{"id":4,"id":5}],"pagination":{"has_next_page":true,"cursor":"c"}}'), ("a", 5, ""), ("a", 6, body([{"id": 6}])),
+            ("b", 0, '{"data":{"id":1}}'), ("b", 1, None), ("b", 2, body([{"id": 7}]))]
+    df = pages_df(spark, rows)
+    assert ids(cursor_chain(parse_pages(df))) == [("a", p, 0) for p in (0, 3, 4, 6)]     # b stops at its empty page 1
+    assert sorted((r.run_id, r.page_no) for r in bad_pages(df).collect()) == [("a", 1), ("a", 2), ("a", 5), ("b", 0)]
+
+
+def test_one_parse_and_no_exchange_of_payloads_on_the_run(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = cursor_chain(parse_pages(pages_df(spark, [("a", 0, body([{"id": 1}]))])))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("from_json") == 3                      # payload, and the narrow flags on both sides of the stop join
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning(run_id" in line and "page_no" not in line.split(")")[0]:
+            assert "data" not in line
 
 
 def test_items_before_two_level_prefix(spark):
-    from ticketlake.sources.pages import items_before
+    from ticketlake.sources.fixtures import items_before
     import random as _r
     rnd = _r.Random(3)
     rows = [(f"r{r}", p, rnd.randint(0, 5)) for r in range(3) for p in range(rnd.randint(1, 40))]

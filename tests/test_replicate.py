@@ -25,11 +25,11 @@ def _counters(df):
 
 
 def test_replicate_object_matches_one_shot(spark):
-    # a0 repeats across pages (first seen wins), one record has a falsy id
+    # a0 repeats across pages (the later page wins), one record has a falsy id
     pages = _pages(spark, [[{"id": "a0", "v": 0}, {"id": "a1", "v": 0}],
                            [{"id": "a0", "v": 1}, {"id": "", "v": 1}, {"id": "a2", "v": 1}],
                            [{"id": "a3", "v": 2}]])
-    table = KeyedTable(spark, scratch_path(spark, "acc"), "accounts", buckets=4)
+    table = KeyedTable(spark, scratch_path(spark, "acc"), "accounts")
     got = replicate_object(spark, pages, "accounts", table).first()
     kept, counters = replicate_rows(items_from_pages(pages, "accounts"), "accounts")
     c = counters.first()
@@ -39,14 +39,14 @@ def test_replicate_object_matches_one_shot(spark):
         "account_id", F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
     assert written == {r.account_id: r.v for r in kept.select(
         "account_id", F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
-    assert written["a0"] == 0
+    assert written["a0"] == 1
 
 
 def test_replicate_all_isolates_failures_and_rolls_up(spark):
     acc = _pages(spark, [[{"id": "a0"}, {"id": "a1"}]])
     users = _pages(spark, [[{"id": "u0"}], [{"id": "u1"}]])
     bad = spark.createDataFrame([("r0", 0, "not json")], "run_id string, page_no long, body string")
-    tables = {t: KeyedTable(spark, scratch_path(spark, t), t, buckets=2) for t in ("accounts", "users", "teams")}
+    tables = {t: KeyedTable(spark, scratch_path(spark, t), t) for t in ("accounts", "users", "teams")}
     # teams fails: its table path holds a NUL character, so the write cannot succeed
     tables["teams"].path = scratch_path(spark, "teams") + "/\0bad"
     res = _counters(replicate_all(spark, {"accounts": acc, "users": users, "teams": bad}, tables))
@@ -86,3 +86,47 @@ def test_messages_replicate_with_parent_from_landing(spark):
     assert sorted((r.issue_id, r.message_id) for r in kept.collect()) == [("i1", "m1"), ("i1", "m2")]
     c = counters.first()
     assert (c.total_processed, c.total_errors, c.total_batches, c.rows_kept) == (3, 0, 1, 2)
+
+
+def test_bad_page_loses_nothing_else_and_later_run_wins(spark):
+    pages = _pages(spark, [[{"id": f"p{p}"}, {"id": "all", "v": p}] for p in range(6)]).where("page_no <> 2").union(
+        spark.createDataFrame([("r0", 2, '{"data":[{"id":"lost"},')], "run_id string, page_no long, body string")).union(
+        _pages(spark, [[{"id": "p1", "v": 7, "v": 8}, {"id": ""}]], run="r1"))
+    paths = {k: scratch_path(spark, k) for k in ("rejects", "bad")}
+    batch = KeyedTable(spark, scratch_path(spark, "acc"), "accounts")
+    stream = KeyedTable(spark, scratch_path(spark, "acc-landed"), "accounts", landing=True)
+    for table in (batch, stream):
+        got = replicate_object(spark, pages, "accounts", table, rejects_path=paths["rejects"], bad_pages_path=paths["bad"]).first()
+        assert (got.total_processed, got.total_errors) == (11, 2)
+        v = {r.account_id: r.v for r in table.read().select("account_id", F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
+        assert v == {"p0": None, "p1": 8, "p3": None, "p4": None, "p5": None, "all": 5}
+    assert [(r.run_id, r.page_no, r.object_type) for r in spark.read.parquet(paths["bad"]).collect()] == [("r0", 2, "accounts")] * 2
+    assert [(r.run_id, r.reject_reason) for r in spark.read.parquet(paths["rejects"]).collect()] == [("r1", "missing_id")] * 2
+
+
+def test_filters_and_selection(spark):
+    issues = _pages(spark, [[{"id": f"i{k}", "state": s, "modified_at": f"2024-01-0{k}T00:00:00Z"} for k, s in
+                             ((1, "new"), (2, "closed"), (3, "closed"))]])
+    import datetime as dt
+    t = KeyedTable(spark, scratch_path(spark, "iss"), "issues")
+    replicate_object(spark, issues, "issues", t, issue_filter={"states": ["closed"], "modified_start": dt.datetime(2024, 1, 2)})
+    assert [r.issue_id for r in t.read().collect()] == ["i3"]
+    rows = [("r0", i, 0, json.dumps({"data": [{"id": "m1"}, {"id": "m2"}]})) for i in ("i1", "i2")]
+    pages = spark.createDataFrame(rows, "run_id string, issue_id string, page_no long, body string")
+    t = KeyedTable(spark, scratch_path(spark, "msg"), "messages")
+    replicate_object(spark, pages, "messages", t, issue_ids=spark.createDataFrame([("i2",)], "issue_id string"))
+    assert sorted((r.issue_id, r.message_id) for r in t.read().collect()) == [("i2", "m1"), ("i2", "m2")]
+    contacts = _pages(spark, [[{"id": "c1", "account_id": "a"}, {"id": "c2", "account_id": "b"}]])
+    t = KeyedTable(spark, scratch_path(spark, "con"), "contacts")
+    replicate_object(spark, contacts, "contacts", t, account_id="b")
+    assert [r.contact_id for r in t.read().collect()] == ["c2"]
+
+
+def test_replicate_all_logs_failures(spark):
+    log = scratch_path(spark, "log")
+    tables = {t: KeyedTable(spark, scratch_path(spark, t), t) for t in ("accounts", "users")}
+    tables["users"].path += "/\0bad"
+    pages = _pages(spark, [[{"id": "x"}]])
+    replicate_all(spark, {"accounts": pages, "users": pages}, tables, log_path=log)
+    got = {r.object_type: r for r in spark.read.parquet(log).collect()}
+    assert got["accounts"].error is None and got["users"].error and got["users"].total_errors == 1

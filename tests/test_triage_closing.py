@@ -57,11 +57,6 @@ def test_stale_candidates_and_missing(spark):
              .select("issue_id", F.parse_json("j").alias("data"))
     got = [r.issue_id for r in closing.stale_candidates(iss, msgs, dt.datetime(2024, 1, 15)).collect()]
     assert got == ["1"]       # 3 is exactly one week old (not strictly older); 4 has no messages
-    # above the broadcast limit the pool is joined by shuffle: same candidates
-    big = closing.stale_candidates(iss, msgs, dt.datetime(2024, 1, 15), broadcast_limit=0)
-    assert [r.issue_id for r in big.collect()] == ["1"]
-    cut, bounded = closing.pool_messages(msgs, closing.waiting_pool(iss))
-    assert bounded and sorted(r.issue_id for r in cut.collect()) == ["1", "1", "3"]
     d = _snapshot(spark, [("x", '{"custom_fields": {"resolution": {"value": ""}, "category": {"value": "c"}}}')])
     assert d.select(closing.missing_fields(F.col("data")).alias("m")).first().m == ["resolution"]
 
@@ -97,7 +92,15 @@ def test_keyword_scorer_and_pandas_scorer(spark):
 
     def boom(b):
         raise RuntimeError("scorer down")
-    assert all(r.response is None for r in score_with(reqs, boom).collect())
+    assert [(r.response, r.error) for r in score_with(reqs, boom).collect()] == [(None, "RuntimeError: scorer down")] * 2
+
+    def one_fails(b):
+        if (b["issue_id"] == "b").any():
+            raise ValueError("bad request")
+        return b["issue_id"] + "!"
+    many = spark.createDataFrame([(c, "s", "u") for c in "abcde"], reqs.schema).coalesce(1)
+    got = {r.issue_id: (r.response, r.error) for r in score_with(many, one_fails).collect()}
+    assert got == {**{c: (c + "!", None) for c in "acde"}, "b": (None, "ValueError: bad request")}
 
 
 def test_release_unpersists_command_intermediates(spark, sf):

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import json_str, json_ts, json_value, parse
 from ..functions.labels import TAG_CLASSIFIED, append_tag, close_payload
-from .keysets import BROADCAST_ID_LIMIT, restrict_to
 
 WAITING = "waiting_on_customer"
 SLACK = "slack"
@@ -38,19 +37,6 @@ def waiting_pool(issues: DataFrame) -> DataFrame:
                  .select("issue_id")
 
 
-def pool_messages(messages: DataFrame, pool: DataFrame,
-                  broadcast_limit: int = BROADCAST_ID_LIMIT) -> tuple[DataFrame, bool]:
-    """Messages that can matter for closing, and whether they were cut to
-    the pool. The pool's size is checked first (at most ``limit + 1`` ids
-    counted over the filtered issue scan). Under the limit its ids are
-    broadcast and the messages are
-    semi-joined map-side before any aggregation. Above it the messages stay
-    whole, and the caller aggregates them (partial aggregates) and joins the
-    pool by shuffle."""
-    cut, bounded = restrict_to(messages, pool, limit=broadcast_limit)
-    return (cut, True) if bounded else (messages, False)
-
-
 def stale_from(pool: DataFrame, messages: DataFrame, as_of: dt.datetime, limit: int | None = None,
                stale_after: dt.timedelta = STALE_AFTER, ordered: bool = True) -> DataFrame:
     """P10, L2, JN2 over a candidate pool: last message strictly older than
@@ -67,20 +53,18 @@ def stale_from(pool: DataFrame, messages: DataFrame, as_of: dt.datetime, limit:
 
 def stale_candidates(issues: DataFrame, messages: DataFrame, as_of: dt.datetime,
                      limit: int | None = None, stale_after: dt.timedelta = STALE_AFTER,
-                     ordered: bool = True, broadcast_limit: int = BROADCAST_ID_LIMIT) -> DataFrame:
+                     ordered: bool = True) -> DataFrame:
     """Candidates for closing (P9, P10, L2, JN2).
 
     Slack issues waiting on the customer whose last message is strictly older
     than ``as_of - stale_after``; issues without messages drop out. Messages
-    are cut to the pool when its size allows (``pool_messages``) and
-    aggregated *before* the join (one row per issue), ordered by last
+    are aggregated *before* the join (partial maxima of one narrow field
+    map-side, then one row per issue), ordered by last
     message time (issue id breaks ties); ``limit`` is the record cap (a
     top-k, planned as TakeOrderedAndProject). ``ordered=False`` skips the
     global sort when the set only feeds joins (a cap always sorts).
     """
-    pool = waiting_pool(issues)
-    msgs, _ = pool_messages(messages, pool, broadcast_limit)
-    return stale_from(pool, msgs, as_of, limit, stale_after, ordered)
+    return stale_from(waiting_pool(issues), messages, as_of, limit, stale_after, ordered)
 
 
 def missing_fields(data: Column) -> Column:

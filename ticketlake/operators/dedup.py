@@ -43,6 +43,20 @@ def dedup_batches(df: DataFrame, keys, batch: str = "batch_no", seen=("page_no",
     return dedup(df, keys, [F.col(batch).desc()] + [F.col(c).asc() for c in seen])
 
 
+#: Landing position: run, page (one flushed batch), place in the page.
+LANDED_COLS = ("run_id", "page_no", "pos")
+
+
+def dedup_landed(df: DataFrame, keys, position=LANDED_COLS) -> DataFrame:
+    """The one winner rule of replication, batch and stream: a later run
+    beats an earlier one, in a run a later page, inside a page the first item.
+    Columns that ``df`` lacks do not take part."""
+    run, page, pos = position
+    order = [*[F.col(c).desc_nulls_last() for c in (run, page) if c in df.columns],
+             *[F.col(pos).asc_nulls_last() for _ in (1,) if pos in df.columns]]
+    return dedup(df, keys, order)
+
+
 def dedup_counts(df: DataFrame, keys) -> DataFrame:
     """Duplicate accounting (A6): original, null-key, kept and removed rows in
     one aggregate (the distinct count is planned as a partial aggregate on

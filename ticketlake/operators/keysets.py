@@ -1,32 +1,18 @@
-"""Semi joins against an id set whose size is checked before it is broadcast.
+"""Semi joins that cut the messages table to the issues a command needs.
 
-Messages are the largest table. Cutting them to the issues a command needs
-is a semi join. A shuffle semi join would move every message body across the
-network, and a broadcast one filters them map-side, but only an id set of
-known size may be broadcast. ``restrict_to`` checks the size first: it
-counts at most ``limit + 1`` ids, so the check stops early on a large set
-(callers pass persisted or cheaply filtered sets).
-Under the limit the ids are broadcast. Above it the semi join is left to the
-planner, which shuffles both sides on the key and lets AQE split skewed
-partitions.
+One plan at every size: a plain semi join on the key. Nothing is counted while
+the plan is built. The optimizer broadcasts an id set that it knows to be
+small, adaptive execution does so for one that turns out to be, and a large
+set is joined by shuffle with skewed keys split. Callers cut message rows and
+columns first (partial aggregates, thread truncation), so what is shuffled is
+bounded by what the command keeps of each issue.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest id set that is broadcast: ids are short strings, so ~500k ids is a
-# few tens of MB per executor.
-BROADCAST_ID_LIMIT = 500_000
 
-
-def restrict_to(df: DataFrame, ids: DataFrame, key: str = "issue_id",
-                limit: int = BROADCAST_ID_LIMIT, bounded: bool = False) -> tuple[DataFrame, bool]:
-    """(rows of ``df`` whose ``key`` is in ``ids``, whether ids were broadcast).
-    ``bounded=True`` states that ``ids`` is a subset of a set that already
-    passed the check (no second count)."""
-    k = ids.select(key)
-    if bounded or k.limit(limit + 1).count() <= limit:      # stops early on a large set
-        return df.join(F.broadcast(k), key, "left_semi"), True
-    return df.join(k, key, "left_semi"), False
+def restrict_to(df: DataFrame, ids: DataFrame, key: str = "issue_id") -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``ids``."""
+    return df.join(ids.select(key), key, "left_semi")

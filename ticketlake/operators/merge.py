@@ -1,48 +1,49 @@
 """Keyed tables: create, upsert (MERGE), sequential batches, truncate, counts
 (I1-I4, I6, I7, A2, A3, JN5).
 
-Layout: ``key_bucket = pmod(xxhash64(keys), n_buckets)`` is the partition
-column. ``updated_at`` is load time, so a day layout would move every changed
-row to a new partition; with key buckets an upsert reads and rewrites only the
-buckets its source touches (dynamic partition overwrite), and the anti-join
-matches on the full key - no hot bucket even when one issue holds a third of
-all messages, because messages hash on (issue_id, message_id).
-
-Parquet has no MERGE; the upsert is ``source ∪ (target ▷ source)`` per touched
-bucket. The touched buckets (at most ``n_buckets`` rows) are broadcast, and the
-semi join on the partition column becomes dynamic partition pruning: the
-target scan lists and reads only those buckets. One writer per table at a
-time.
+A table is a log of versions. An upsert writes its deduplicated rows as one
+new version and touches nothing else, so its cost follows the batch, not the
+table. A read unions the active versions and keeps, per key, the row of the
+newest one (``row_number`` over the key, cut map-side by the group limit; a
+key holding a third of all versions' rows reaches one task as one row per map
+task). A table of a single version is read as it is.
+
+Versions are folders ``v-<n>-<lo>``: version ``n`` stands for everything from
+``lo`` to ``n``. Spark's committer marks a folder with ``_SUCCESS`` when all
+its files are in place, and only marked folders are read: a failed write
+leaves the table as it was. ``compact`` folds versions: when there are more
+than MAX_DELTAS, the deltas become one delta, or, once they hold more than
+FOLD of the base's bytes, a new base.
 
 Stream tables (``landing=True``) also store each row's landing position
-``(landed_run, landed_page, landed_pos)``; their upsert keeps, per key, the
-row landed last (later run, then later page; inside a page the first item),
-so the result does not depend on the order in which page files reach the
-stream, and a replayed micro-batch changes nothing. Run ids must sort in run
-order (the lander names runs by start time).
+``(landed_run, landed_page, landed_pos)``; on read the row landed last wins
+(later run, then later page, inside a page the first item), whatever order the
+versions were written in, so replaying a micro-batch changes nothing. Run ids
+must sort in run order (the lander names runs by start time).
+
+The keys are stored beside the data; opening a table with other keys fails.
+One writer per table at a time.
 """
 
 from __future__ import annotations
 
-import os
+import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import spec, table_schema
-from .dedup import dedup, dedup_batches, dedup_first, dedup_latest
-from .keysets import BROADCAST_ID_LIMIT
+from .dedup import LANDED_COLS, dedup, dedup_batches, dedup_first, dedup_landed, dedup_latest
 
-DEFAULT_BUCKETS = 64
+#: Versions above the base before compaction; share of the base's bytes at
+#: which the deltas are folded into it.
+MAX_DELTAS, FOLD = 8, 0.25
 LANDED = (("landed_run", "run_id", T.StringType()), ("landed_page", "page_no", T.LongType()),
           ("landed_pos", "pos", T.LongType()))
 
 
-def key_bucket(keys, n: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
-
-
 def merge(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """MERGE semantics as a relation: matched target rows are replaced by the
     source row, the rest of the target is kept, new keys are inserted."""
@@ -53,12 +54,11 @@ def merge(target: DataFrame, source: DataFrame, keys) -> DataFrame:
 
 
 class KeyedTable:
-    """A registry table stored as parquet under ``path``."""
+    """A registry table stored under ``path`` (any Hadoop file system)."""
 
     def __init__(self, spark: SparkSession, path: str, object_type: str | None = None,
-                 keys=None, schema: T.StructType | None = None, buckets: int = DEFAULT_BUCKETS,
-                 landing: bool = False):
-        self.spark, self.path, self.buckets, self.landing = spark, path.rstrip("/"), buckets, landing
+                 keys=None, schema: T.StructType | None = None, landing: bool = False):
+        self.spark, self.path, self.landing = spark, path.rstrip("/"), landing
         if object_type:
             s = spec(object_type)
             self.keys, self.schema = list(s.keys), table_schema(object_type)
@@ -68,51 +68,101 @@ class KeyedTable:
             self.schema = T.StructType(self.schema.fields + [T.StructField(c, t, True) for c, _, t in LANDED])
         self.columns = [f.name for f in self.schema.fields]
 
+    # layout ----------------------------------------------------------------
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _meta(self) -> dict | None:
+        fs, p = self._fs(f"{self.path}/_table.json")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def versions(self) -> list[tuple[int, int, str]]:
+        """Active versions ``(n, lo, folder)``, oldest first: from the newest
+        down, each with the newest one below its ``lo``."""
+        fs, p = self._fs(self.path)
+        found = []
+        for st in fs.listStatus(p) if fs.exists(p) else ():
+            name = st.getPath().getName()
+            if name.startswith("v-") and fs.exists(self._fs(f"{self.path}/{name}/_SUCCESS")[1]):
+                n, lo = map(int, name[2:].split("-"))
+                found.append((n, lo, name))
+        active, below = [], None
+        for n, lo, name in sorted(found, key=lambda v: (-v[0], v[1])):
+            if below is None or n < below:
+                active.append((n, lo, name))
+                below = lo
+        return active[::-1]
+
+    def _size(self, name: str) -> int:
+        fs, p = self._fs(f"{self.path}/{name}")
+        return int(fs.getContentSummary(p).getLength())
+
+    def _write(self, rows: DataFrame, n: int, lo: int) -> None:
+        """A new version. What a failed attempt of it left is replaced."""
+        rows.select(*self.columns).write.mode("overwrite").parquet(f"{self.path}/v-{n:08d}-{lo:08d}")
+
     # I2 ------------------------------------------------------------------
     def exists(self) -> bool:
-        """True when the table folder exists (works for any Hadoop path)."""
-        try:
-            self.read()
-            return True
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return False
-            raise
+        return self._meta() is not None
 
     def create(self) -> "KeyedTable":
         """Create the table with the registry schema if absent; an existing
-        table is left unchanged. Remembered once done, so a stream's
-        micro-batches do not list the folder again."""
+        table is left unchanged. Other keys than the stored ones are an error."""
         if getattr(self, "_created", False):
             return self
-        if not self.exists():
-            empty = self.spark.createDataFrame([], self.schema).withColumn("key_bucket", F.lit(0).cast("int"))
-            empty.write.mode("overwrite").partitionBy("key_bucket").parquet(self.path)
+        meta = self._meta()
+        if meta is None:
+            fs, p = self._fs(f"{self.path}/_table.json")
+            out = fs.create(p, True)
+            out.write(bytearray(json.dumps({"keys": self.keys, "landing": self.landing}).encode()))
+            out.close()
+        elif meta != {"keys": self.keys, "landing": self.landing}:
+            raise ValueError(f"{self.path} was created with {meta}, opened with keys {self.keys}, landing {self.landing}")
         self._created = True
         return self
 
+    def _union(self, versions) -> DataFrame:
+        parts = [self.spark.read.schema(self.schema).parquet(f"{self.path}/{name}").withColumn("_v", F.lit(n).cast("long"))
+                 for n, _, name in versions]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _newest(self, versions) -> DataFrame:
+        """One row per key of these versions."""
+        if not versions:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self._union(versions)
+        if len(versions) > 1:
+            rows = dedup(rows, self.keys, [*(self.landed_order() if self.landing else []), F.col("_v").desc()])
+        return rows.drop("_v")
+
     def read(self) -> DataFrame:
-        """The table with its registry schema (an empty table has no files to
-        infer one from)."""
-        schema = T.StructType(self.schema.fields + [T.StructField("key_bucket", T.IntegerType(), True)])
-        return self.spark.read.schema(schema).parquet(self.path)
+        """The table with its registry schema."""
+        if not self.exists():
+            raise FileNotFoundError(f"table not found: {self.path}")
+        return self._newest(self.versions())
 
     # I3/I4 ---------------------------------------------------------------
     def prepare(self, rows: DataFrame, keep: str = "first") -> DataFrame:
         """Dedup a source batch: ``first`` (landing order, parity), ``latest``
         (greatest updated_at), ``batches`` (later batch_no wins) or
-        ``landed`` (stream tables: the row landed last wins)."""
+        ``landed`` (later run, later page, first item of the page)."""
         if keep == "landed":
-            src = dedup(rows, self.keys, self.landed_order())
-        elif keep == "first":
-            src = dedup_first(rows, self.keys)
-        elif keep == "latest":
-            src = dedup_latest(rows, self.keys)
-        elif keep == "batches":
-            src = dedup_batches(rows, self.keys)
-        else:
+            return dedup_landed(rows, self.keys, self.landed_names() if self.landing else LANDED_COLS)
+        if keep not in ("first", "latest", "batches"):
             raise ValueError(keep)
-        return src
+        return {"first": dedup_first, "latest": dedup_latest, "batches": dedup_batches}[keep](rows, self.keys)
+
+    @staticmethod
+    def landed_names() -> list[str]:
+        return [c for c, _, _ in LANDED]
 
     @staticmethod
     def landed_order() -> list:
@@ -120,81 +170,50 @@ class KeyedTable:
         return [F.col("landed_run").desc_nulls_last(), F.col("landed_page").desc_nulls_last(),
                 F.col("landed_pos").asc_nulls_last()]
 
-    def upsert_landed(self, rows: DataFrame, batch_ts: Column | None = None,
-                      broadcast_limit: int = BROADCAST_ID_LIMIT) -> dict:
-        """Order-aware upsert for stream tables: per key, the source rows and
-        the target row compete on landing position, so a late-arriving older
-        page cannot overwrite a newer row.
-
-        A batch of at most ``broadcast_limit`` rows (counted on the staged
-        batch) has its keys broadcast. Target rows without a batch key pass
-        through a map-side anti join, and only the matched target rows join
-        the batch in the per-key window, so the table is never shuffled.
-        A larger batch competes with the touched buckets in one shuffle on
-        the keys.
-        """
+    def upsert_landed(self, rows: DataFrame, batch_ts: Column | None = None) -> dict:
+        """Upsert of a stream table: the batch's rows with their landing
+        positions become a version; which row wins is settled on read."""
         if not self.landing:
             raise ValueError("upsert_landed needs a table created with landing=True")
-        self.create()
-        if batch_ts is not None:
-            rows = rows.withColumn("updated_at", batch_ts)
         for c, src_col, t in LANDED:
             rows = rows.withColumn(c, F.col(src_col).cast(t))
-        obs_in = Observation("rows_in")
-        rows = rows.observe(obs_in, F.count(F.lit(1)).alias("n"))
-        src = rows.select(*self.columns).withColumn("key_bucket", key_bucket(self.keys, self.buckets)).persist()
-        n_src = src.count()                                    # stages the batch; size check
-        touched = src.select("key_bucket").distinct()          # <= n_buckets rows
-        target = self.read().join(F.broadcast(touched), "key_bucket", "left_semi")
-        order = self.landed_order() + [F.col("_src").desc()]
-        if n_src <= broadcast_limit:
-            batch_keys = F.broadcast(src.select(*self.keys))
-            matched = target.join(batch_keys, self.keys, "left_semi")
-            rest = target.join(batch_keys, self.keys, "left_anti").withColumn("_src", F.lit(0))
-            both = src.withColumn("_src", F.lit(1)).unionByName(matched.withColumn("_src", F.lit(0)))
-            out = dedup(both, self.keys, order).unionByName(rest)
-        else:
-            both = src.withColumn("_src", F.lit(1)).unionByName(target.withColumn("_src", F.lit(0)))
-            out = dedup(both, self.keys, order)
-        obs_out = Observation("rows_written")
-        out = out.observe(obs_out, F.count(F.lit(1)).alias("n"),
-                          F.coalesce(F.sum("_src"), F.lit(0)).alias("from_source")).drop("_src")
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("key_bucket").parquet(self.path))
-        src.unpersist()
-        return {"rows_in": obs_in.get.get("n", 0), "rows_kept": obs_out.get.get("from_source", 0)}
-
-    def upsert(self, rows: DataFrame, keep: str = "first", batch_ts: Column | None = None,
-               broadcast_limit: int = BROADCAST_ID_LIMIT) -> dict:
-        """Stamp, dedup, merge on the keys, rewrite the touched buckets.
-
-        The staged source is counted: up to ``broadcast_limit`` keys are
-        broadcast, so the target's touched buckets are filtered map-side by
-        the anti join; a larger source is joined by shuffle. Returns
-        ``{"rows_in", "rows_kept"}`` from Observations. Empty input is a
-        no-op.
-        """
+        return self.upsert(rows, keep="landed", batch_ts=batch_ts)
+
+    def upsert(self, rows: DataFrame, keep: str = "first", batch_ts: Column | None = None) -> dict:
+        """Stamp, dedup, append as a new version. Returns ``{"rows_in",
+        "rows_kept"}`` from Observations. The target is not read."""
         self.create()
         if batch_ts is not None:
             rows = rows.withColumn("updated_at", batch_ts)
-        obs_in = Observation("rows_in")
-        rows = rows.observe(obs_in, F.count(F.lit(1)).alias("n"))
-        src = self.prepare(rows, keep).select(*self.columns) \
-                  .withColumn("key_bucket", key_bucket(self.keys, self.buckets)).persist()  # I6 staging
-        n_src = src.count()                                    # stages the source; size check
-        touched = src.select("key_bucket").distinct()          # <= n_buckets rows
-        target = self.read().join(F.broadcast(touched), "key_bucket", "left_semi")
-        src_keys = src.select(*self.keys)
-        if n_src <= broadcast_limit:
-            src_keys = F.broadcast(src_keys)
-        kept = target.join(src_keys, self.keys, "left_anti")
-        obs_out = Observation("rows_kept")
-        out = src.observe(obs_out, F.count(F.lit(1)).alias("n")).unionByName(kept.select(*src.columns))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("key_bucket").parquet(self.path))
-        src.unpersist()
+        obs_in, obs_out = Observation("rows_in"), Observation("rows_kept")
+        src = self.prepare(rows.observe(obs_in, F.count(F.lit(1)).alias("n")), keep)
+        versions = self.versions()
+        n = versions[-1][0] + 1 if versions else 0
+        self._write(src.select(*self.columns).observe(obs_out, F.count(F.lit(1)).alias("n")), n, n)
+        self.compact()
         return {"rows_in": obs_in.get.get("n", 0), "rows_kept": obs_out.get.get("n", 0)}
 
+    def compact(self, max_deltas: int = MAX_DELTAS, fold: float = FOLD) -> bool:
+        """Fold versions when there are more than ``max_deltas`` above the
+        base. Superseded folders stay until ``vacuum``."""
+        versions = self.versions()
+        base, deltas = versions[:1], versions[1:]
+        if len(deltas) <= max_deltas:
+            return False
+        whole = sum(self._size(v[2]) for v in deltas) > fold * self._size(base[0][2])
+        folded = versions if whole else deltas
+        self._write(self._newest(folded), folded[-1][0] + 1, folded[0][1])
+        return True
+
+    def vacuum(self) -> int:
+        """Delete the folders that no read uses (no reader may be under way)."""
+        active = {name for _, _, name in self.versions()}
+        fs, p = self._fs(self.path)
+        gone = [st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith("v-") and st.getPath().getName() not in active]
+        for path in gone:
+            fs.delete(path, True)
+        return len(gone)
+
     # I7 / A2 / A3 ----------------------------------------------------------
     def row_count(self) -> DataFrame:
         return self.read().agg(F.count(F.lit(1)).cast("long").alias("row_count"))
@@ -203,15 +222,12 @@ class KeyedTable:
         return self.read().agg(F.max(col).alias("high_water_mark"))
 
     def truncate(self, name: str | None = None) -> DataFrame:
-        """Empty the table; returns the audit row (table, rows_before,
-        rows_after). A missing table is an error."""
-        if not self.exists():
-            raise FileNotFoundError(f"table not found: {self.path}")
+        """Empty the table: an empty version that stands for all before it.
+        Returns the audit row (table, rows_before, rows_after). A missing table
+        is an error."""
         before = self.row_count().first()["row_count"]
-        empty = self.spark.createDataFrame([], self.read().schema)  # same columns, no rows
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-             .partitionBy("key_bucket").parquet(self.path)
+        versions = self.versions()
+        self._write(self.spark.createDataFrame([], self.schema), versions[-1][0] + 1 if versions else 0, 0)
         after = self.row_count().first()["row_count"]
-        return self.spark.createDataFrame(
-            [(name or os.path.basename(self.path), int(before), int(after))],
-            "table_name string, rows_before bigint, rows_after bigint")
+        return self.spark.createDataFrame([(name or self.path.rpartition("/")[2], int(before), int(after))],
+                                          "table_name string, rows_before bigint, rows_after bigint")

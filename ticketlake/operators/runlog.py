@@ -11,21 +11,6 @@ from pyspark.sql import functions as F
 COUNTER_COLS = ("total_processed", "total_errors", "total_batches", "rows_kept")
 
 
-def object_counters(object_type: str, table_name: str, valid: DataFrame, rejects: DataFrame,
-                    kept: DataFrame, batch_cols=("run_id", "page_no")) -> DataFrame:
-    """A8 for one object: processed = rows sent to the merge (before dedup,
-    Q17), errors = rejected records, batches = landed pages with rows,
-    rows_kept = distinct keys after dedup."""
-    v = valid.agg(F.count(F.lit(1)).cast("long").alias("total_processed"),
-                  F.count_distinct(*[F.col(c) for c in batch_cols]).cast("long").alias("total_batches"))
-    r = rejects.agg(F.count(F.lit(1)).cast("long").alias("total_errors"))
-    k = kept.agg(F.count(F.lit(1)).cast("long").alias("rows_kept"))
-    one = v.unionByName(r, allowMissingColumns=True).unionByName(k, allowMissingColumns=True)
-    return one.agg(*[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in COUNTER_COLS]) \
-              .select(F.lit(object_type).alias("object_type"), F.lit(table_name).alias("table_name"),
-                      *COUNTER_COLS)
-
-
 def counters_from_rows(object_type: str, table_name: str, rows: DataFrame, keys,
                        batch_cols=("run_id", "page_no")) -> DataFrame:
     """A8 in one pass over the transformed rows (valid and rejected, told

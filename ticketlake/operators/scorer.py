@@ -61,16 +61,33 @@ def keyword_responses(reqs: DataFrame, keywords: DataFrame) -> DataFrame:
 
 def score_with(reqs: DataFrame, fn: Callable[[pd.DataFrame], pd.Series]) -> DataFrame:
     """Run ``fn(batch[issue_id, system, user]) -> Series of response text`` on
-    Arrow batches. A batch whose call raises yields NULL responses (the
-    reference logs and moves on)."""
+    Arrow batches: ``issue_id, response, error``. When a batch's call raises,
+    its requests are tried one by one, so one failing request loses only its
+    own response, and ``error`` tells why."""
+    cols = ["issue_id", "system", "user"]
+
+    def attempt(b: pd.DataFrame) -> list:
+        out = list(fn(b[cols]))
+        if len(out) != len(b):
+            raise ValueError(f"{len(out)} responses for {len(b)} requests")
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            errors: list = [None] * len(b)
             try:
-                out = pd.Series(fn(b[["issue_id", "system", "user"]]), index=b.index).astype(object)
+                out = attempt(b)
             except Exception:  # noqa: BLE001
-                out = pd.Series([None] * len(b), index=b.index, dtype=object)
-            yield pd.DataFrame({"issue_id": b["issue_id"], "response": out})
-    return reqs.select("issue_id", "system", "user").mapInPandas(run, "issue_id string, response string")
+                out = []
+                for i in range(len(b)):
+                    try:
+                        out += attempt(b.iloc[i:i + 1])
+                    except Exception as e:  # noqa: BLE001
+                        out.append(None)
+                        errors[i] = f"{type(e).__name__}: {e}"
+            yield pd.DataFrame({"issue_id": b["issue_id"], "response": pd.Series(out, index=b.index, dtype=object),
+                                "error": pd.Series(errors, index=b.index, dtype=object)})
+    return reqs.select(*cols).mapInPandas(run, "issue_id string, response string, error string")
 
 
 def replay(reqs: DataFrame, landed: DataFrame) -> DataFrame:

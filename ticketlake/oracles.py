@@ -539,11 +539,7 @@ SELECT CAST(conv_id AS VARCHAR) AS issue_id, CAST(count_if(role = 'user') AS BIG
        CASE WHEN conv_id % 10 = 0 THEN false
             ELSE coalesce(bool_and(CASE WHEN role = 'user' THEN coalesce(turn < last_answer, false) END), true)
        END AS all_resolved
-FROM (SELECT *, max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS last_answer
-      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ra,
-                      row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rd
-            FROM conversations) w
-      WHERE ra <= 5 OR rd <= 15) c
+FROM (SELECT *, max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS last_answer FROM conversations) c
 GROUP BY conv_id
 """)
 
@@ -570,7 +566,8 @@ WITH r AS (
   UNION ALL
   SELECT 'users', 'users', count(*), 0, count(DISTINCT s_suppkey // 100), count(*) FROM supplier
   UNION ALL
-  SELECT 'teams', 'teams', (SELECT count(*) FROM nation) + (SELECT count(*) FROM region), 0, 1,
+  SELECT 'teams', 'teams', (SELECT count(*) FROM nation) + (SELECT count(*) FROM region), 0,
+         (SELECT count(DISTINCT n_nationkey // 5) FROM nation) + (SELECT count(DISTINCT r_regionkey // 5) FROM region),
          (SELECT count(*) FROM nation) + (SELECT count(*) FROM region)),
 a AS (SELECT object_type, table_name, CAST(total_processed AS BIGINT) AS total_processed,
              CAST(total_errors AS BIGINT) AS total_errors, CAST(total_batches AS BIGINT) AS total_batches,
@@ -581,6 +578,42 @@ a AS (SELECT object_type, table_name, CAST(total_processed AS BIGINT) AS total_p
 SELECT *, total_errors = 0 AS success FROM a
 """)
 
+# The planted account pages: run, page, place, id, name (see the fixture).
+_PLANTED = """p AS (
+  SELECT c_custkey AS k, 'r0' AS run, c_custkey // 100 AS page, c_custkey % 100 AS pos, 'a' AS mark FROM customer
+  UNION ALL SELECT c_custkey, 'r0', c_custkey // 100 + 1, 100, 'b' FROM customer WHERE c_custkey % 100 = 0
+  UNION ALL SELECT c_custkey, 'r0', c_custkey // 100, 200, 'c' FROM customer WHERE c_custkey % 100 = 7
+  UNION ALL SELECT c_custkey, 'r1', c_custkey // 500, c_custkey % 500, 'd' FROM customer WHERE c_custkey % 5 = 0),
+g AS (SELECT *, k % 50 = 49 AND mark = 'a' AS no_id FROM p WHERE NOT (run = 'r0' AND page % 6 = 3))"""
+oracle("replicate_write", f"""
+WITH {_PLANTED}
+SELECT CAST(k AS VARCHAR) AS account_id, run || '-' || CAST(page AS VARCHAR) || mark AS name
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY run DESC, page DESC, pos) AS rn FROM g WHERE NOT no_id) t WHERE rn = 1
+""")
+oracle("replicate_counters", f"""
+WITH {_PLANTED}
+SELECT 'accounts' AS object_type, 'accounts' AS table_name, CAST(count_if(NOT no_id) AS BIGINT) AS total_processed,
+       CAST(count_if(no_id) + (SELECT count(DISTINCT page) FROM p WHERE run = 'r0' AND page % 6 = 3) AS BIGINT) AS total_errors,
+       CAST(count(DISTINCT CASE WHEN NOT no_id THEN run || CAST(page AS VARCHAR) END) AS BIGINT) AS total_batches,
+       CAST(count(DISTINCT CASE WHEN NOT no_id THEN k END) AS BIGINT) AS rows_kept FROM g
+""")
+oracle("bad_pages", f"""
+WITH {_PLANTED}
+SELECT DISTINCT 'accounts' AS object_type, run AS run_id, CAST(page AS BIGINT) AS page_no FROM p WHERE run = 'r0' AND page % 6 = 3
+""")
+oracle("reject_rows", f"""
+WITH {_PLANTED}
+SELECT 'accounts' AS object_type, run AS run_id, CAST(page AS BIGINT) AS page_no, 'missing_id' AS reject_reason FROM g WHERE no_id
+""")
+oracle("replicate_issues_filtered", f"""
+SELECT CAST({K} AS VARCHAR) AS issue_id, {ISSUE_STATE} AS state FROM orders
+WHERE NOT {_BAD_ID} AND o_orderstatus IN ('F', 'O') AND o_orderpriority = '1-URGENT'
+  AND o_orderdate + to_days(CAST({K} % 30 AS INTEGER)) BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '1998-01-15'
+""")
+oracle("replicate_messages_selected", f"""
+SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS issue_id, CAST(l_linenumber AS VARCHAR) AS message_id
+FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) IN ({_ids_oracle(True, None)})
+""")
 oracle("load_accounts", "SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS name FROM customer")
 oracle("load_issues", f"""
 SELECT CAST({K} AS VARCHAR) AS issue_id, {ISSUE_STATE} AS state,
@@ -601,6 +634,14 @@ SELECT 'r' || CAST(r_regionkey AS VARCHAR), r_name,
         WHERE n.n_regionkey = r.r_regionkey) FROM region r
 """)
 
+oracle("ndjson_reload", "SELECT event_id, event_type, user_id FROM events")
+oracle("batch_scores", """
+SELECT CAST(doc_id AS VARCHAR) AS issue_id,
+       CASE WHEN doc_id % 17 <> 0 THEN CAST(len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS VARCHAR) END AS response,
+       CASE WHEN doc_id % 17 = 0 THEN 'RuntimeError: scorer down' END AS error
+FROM documents
+""")
+
 # ------------------------------------------------------------------ scorer
 _KW = sorted({("resolution", r[0], w) for r in RESOLUTIONS for w in r[0].split("_")} |
              {("category", c[0], w) for c in CATEGORIES for w in c[0].split("_")})

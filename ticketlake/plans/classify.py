@@ -17,15 +17,14 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
              responder: Callable[[DataFrame], DataFrame] | None = None,
              fields=FIELDS, targets: DataFrame | None = None, created_start: str | None = None,
              created_end: str | None = None, max_records: int | None = None, debug: bool = False,
-             created_at: Column | None = None, targets_bounded: bool = False) -> dict:
+             created_at: Column | None = None) -> dict:
     """Returns ``{"decisions", "outbox", "counters", "requests"}`` DataFrames
     and ``"persisted"``, the cached intermediates (``plans.release`` them
     once the outputs are written).
 
     ``responder(requests) -> (issue_id, response)``; default: keyword scorer.
     ``targets`` (issue_id[, fields]) replaces the unclassified selection (the
-    single-issue form and the closing flow); ``targets_bounded`` states that
-    they come from an id set that already passed the broadcast size check.
+    single-issue form and the closing flow).
     """
     snapshot = issues
     persisted = []
@@ -39,7 +38,7 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
                         .persist()
         persisted.append(targets)
         snapshot = targets.select("issue_id", "tags")
-    convs = triage_conversations(restrict_to(messages, targets, bounded=targets_bounded)[0], teams)
+    convs = triage_conversations(restrict_to(messages, targets), teams)
     reqs = triage.requests(targets, convs, debug=debug)
     if responder is None:
         kw = scorer.keyword_table(issues.sparkSession)

@@ -32,34 +32,27 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     """Candidates come from the warehouse table; their current state (closed?
     labels? tags?) from ``current``, the service's latest snapshot.
 
-    Messages are read once when the waiting pool is small enough to
-    broadcast (``closing.pool_messages``): the pool's messages are persisted
-    and give both the last activity and the candidates' own messages.
-    Otherwise they are read twice (a partial aggregate over all of them, then
-    a semi join). The snapshot is read once, for the candidates' current rows.
+    Messages are read twice: partial maxima of one narrow field over all of
+    them, then the candidates' own messages by a semi join. The snapshot is
+    read once, for the candidates' current rows.
     The candidate-sized sets are persisted (executor loss -> recomputed from
     lineage) and feed the classification, both conversation forms and the
     decisions, so every later step scales with the number of candidates, not
     with the tables.
     """
-    pool = closing.waiting_pool(warehouse)
-    msgs, bounded = closing.pool_messages(messages, pool)
-    if bounded:       # the pool's messages: read once, shared by both uses below
-        msgs = msgs.persist()
-    cand = closing.stale_from(pool, msgs, as_of, max_records, ordered=False).persist()
+    cand = closing.stale_candidates(warehouse, messages, as_of, max_records, ordered=False).persist()
     ids = cand.select("issue_id")
     cur = closing.current_state(ids, current).persist()
-    cand_msgs = restrict_to(msgs, ids, bounded=bounded)[0].persist()    # candidates are pool members
+    cand_msgs = restrict_to(messages, ids).persist()
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \
               .where(F.size("fields") > 0)
     cur_rows = cur.select("issue_id", F.col("current").alias("data"))
-    cls = classify(cur_rows, cand_msgs, teams, label_responder, targets=need, created_at=created_at,
-                   targets_bounded=bounded)
+    cls = classify(cur_rows, cand_msgs, teams, label_responder, targets=need, created_at=created_at)
     convs = closing_conversations(cand_msgs)
     qreq = question_requests(cand, convs)
     dec = closing.closing_decisions(cand, cur_rows, convs, question_responder(qreq), cls["decisions"]).persist()
-    persisted = ([msgs] if bounded else []) + [cand, cur, cand_msgs, dec] + cls["persisted"]
+    persisted = [cand, cur, cand_msgs, dec] + cls["persisted"]
     return {"candidates": cand.orderBy("last_message_time", "issue_id"), "decisions": dec,
             "classify_outbox": cls["outbox"], "outbox": closing.close_outbox(dec, created_at),
             "counters": closing.close_counters(dec), "persisted": persisted}

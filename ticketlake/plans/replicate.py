@@ -7,16 +7,20 @@ from the landing partition and the issue-id selection (P4-P7, U1, JN6).
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import dedup_first
+from ..functions.jsonx import json_str
+from ..operators.dedup import dedup_landed
+from ..operators.filters import issue_predicate, json_field
 from ..operators.merge import KeyedTable
 from ..operators.keysets import restrict_to
-from ..operators.runlog import counters_from_rows, with_overall
+from ..operators.runlog import append_run_log, counters_from_rows, with_overall
 from ..schema import REPLICATION_ORDER, spec
 from ..sources.objects import split_rejects, to_rows
-from ..sources.pages import cap_records, cursor_chain, explode_items, offset_chain, parse_pages
+from ..sources.pages import bad_pages, cap_records, cursor_chain, explode_items, offset_chain, parse_pages
 
 
 def items_from_pages(pages: DataFrame, object_type: str) -> DataFrame:
@@ -32,9 +36,22 @@ def items_from_pages(pages: DataFrame, object_type: str) -> DataFrame:
 
 
 def selected_messages(items: DataFrame, issue_ids: DataFrame) -> DataFrame:
-    """JN6: only messages whose parent issue was selected (the selected ids
-    are broadcast when their count allows, else shuffled)."""
-    return restrict_to(items, issue_ids)[0]
+    """JN6: only messages whose parent issue was selected."""
+    return restrict_to(items, issue_ids)
+
+
+def select_items(items: DataFrame, object_type: str, issue_filter: dict | None = None,
+                 issue_ids: DataFrame | None = None, account_id: str | None = None) -> DataFrame:
+    """What the user asked for, before the transform: issues by P1-P2
+    (``issue_filter``: arguments of ``issue_predicate``), messages by their
+    parent issue, contacts by account (S6)."""
+    if issue_filter and object_type == "issues":
+        items = items.where(issue_predicate(json_field("item"), **issue_filter))
+    if issue_ids is not None and object_type == "messages":
+        items = selected_messages(items, issue_ids)
+    if account_id and object_type == "contacts":
+        items = items.where(json_str("item", "$.account_id") == F.lit(account_id))
+    return items
 
 
 def prepare_rows(items: DataFrame, object_type: str, max_records: int | None = None,
@@ -64,7 +81,7 @@ def replicate_rows(items: DataFrame, object_type: str, max_records: int | None =
     s = spec(object_type)
     rows = prepare_rows(items, object_type, max_records, stamp)
     valid, _ = split_rejects(rows)
-    kept = dedup_first(valid, s.keys, seen=[c for c in ("run_id", "page_no", "pos") if c in valid.columns])
+    kept = dedup_landed(valid, s.keys)
     return kept, counters_from_rows(object_type, s.table, rows, s.keys, batch_columns(object_type, rows))
 
 
@@ -74,37 +91,70 @@ def batch_columns(object_type: str, rows: DataFrame) -> list:
     return [c for c in cols if c in rows.columns]
 
 
+COUNTERS = ("object_type string, table_name string, total_processed bigint, total_errors bigint, "
+            "total_batches bigint, rows_kept bigint")
+
+
+def store_rejects(rejects: DataFrame, object_type: str, path: str) -> None:
+    """Rejected records with their reason and place, appended."""
+    place = [F.col(c) if c in rejects.columns else F.lit(None).cast(t).alias(c)
+             for c, t in (("run_id", "string"), ("page_no", "long"), ("pos", "long"))]
+    rejects.select(F.lit(object_type).alias("object_type"), *place, "reject_reason", F.to_json("data").alias("record")) \
+           .write.mode("append").parquet(path)
+
+
+def store_bad_pages(pages: DataFrame, object_type: str, path: str) -> None:
+    """Pages that do not parse, as landed, appended."""
+    bad_pages(pages).select(F.lit(object_type).alias("object_type"), "run_id", F.col("page_no").cast("long").alias("page_no"), "body") \
+                    .write.mode("append").parquet(path)
+
+
 def replicate_object(spark: SparkSession, pages: DataFrame, object_type: str, table: KeyedTable,
-                     max_records: int | None = None, strict: bool = False) -> DataFrame:
-    """E1/E2 with the write: merge into ``table`` and return counters."""
+                     max_records: int | None = None, strict: bool = False, issue_filter: dict | None = None,
+                     issue_ids: DataFrame | None = None, account_id: str | None = None,
+                     rejects_path: str | None = None, bad_pages_path: str | None = None) -> DataFrame:
+    """E1/E2 with the write: merge into ``table`` and return counters. Per key
+    the later run wins, then the later page, then the first item of the page,
+    as in the stream. Rejected records and bad pages are counted as errors and
+    stored where a path is given; nothing else of their run is lost."""
     s = spec(object_type)
-    items = items_from_pages(pages, object_type)
+    items = select_items(items_from_pages(pages, object_type), object_type, issue_filter, issue_ids, account_id)
     rows = prepare_rows(items, object_type, max_records, F.current_timestamp(), strict).persist()
-    valid, rejects = split_rejects(rows)        # both read the one parse of the pages
-    stats = table.upsert(valid, keep="first")
-    n_rej = rejects.count()
-    n_batches = valid.select(*batch_columns(object_type, valid)).distinct().count()
-    rows.unpersist()
+    try:
+        valid, rejects = split_rejects(rows)        # both read the one parse of the pages
+        upsert = table.upsert_landed if table.landing else partial(table.upsert, keep="landed")
+        stats = upsert(valid)
+        n_rej, n_bad = rejects.count(), bad_pages(pages).count()
+        n_batches = valid.select(*batch_columns(object_type, valid)).distinct().count()
+        if rejects_path and n_rej:
+            store_rejects(rejects, object_type, rejects_path)
+        if bad_pages_path and n_bad:
+            store_bad_pages(pages, object_type, bad_pages_path)
+    finally:
+        rows.unpersist()
     return spark.createDataFrame(
-        [(object_type, s.table, int(stats["rows_in"]), int(n_rej), int(n_batches), int(stats["rows_kept"]))],
-        "object_type string, table_name string, total_processed bigint, total_errors bigint, "
-        "total_batches bigint, rows_kept bigint")
+        [(object_type, s.table, int(stats["rows_in"]), int(n_rej + n_bad), int(n_batches), int(stats["rows_kept"]))], COUNTERS)
 
 
-def replicate_all(spark: SparkSession, pages_by_type: dict, tables: dict) -> DataFrame:
+def replicate_all(spark: SparkSession, pages_by_type: dict, tables: dict, log_path: str | None = None,
+                  **options) -> DataFrame:
     """Every type in registry order; one failure does not stop the rest
-    (it counts one error)."""
-    out = []
+    (it counts one error, and its text is in ``error``). The counters go to
+    the run log where ``log_path`` is given (I10)."""
+    out, failed = [], {}
     for t in REPLICATION_ORDER:
         if t not in pages_by_type:
             continue
         try:
-            out.append(replicate_object(spark, pages_by_type[t], t, tables[t]))
-        except Exception:  # noqa: BLE001 - per-object isolation, as in the reference
-            out.append(spark.createDataFrame([(t, spec(t).table, 0, 1, 0, 0)],
-                                             "object_type string, table_name string, total_processed bigint, "
-                                             "total_errors bigint, total_batches bigint, rows_kept bigint"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return with_overall(res)
+            out.append(replicate_object(spark, pages_by_type[t], t, tables[t], **options))
+        except Exception as e:  # noqa: BLE001 - one object's failure is its own
+            failed[t] = str(e).splitlines()[0][:500] if str(e) else type(e).__name__
+            out.append(spark.createDataFrame([(t, spec(t).table, 0, 1, 0, 0)], COUNTERS))
+    res = with_overall(reduce(DataFrame.unionByName, out))
+    text = F.lit(None).cast("string")
+    for t, e in failed.items():
+        text = F.when(F.col("object_type") == t, F.lit(e)).otherwise(text)
+    res = res.withColumn("error", text)
+    if log_path:
+        append_run_log(res, log_path, "replicate all")
+    return res

@@ -52,8 +52,7 @@ def q_stale_candidates(spark, d):
 
 
 def _pages(records: DataFrame, run, page, pos, pagination=None) -> DataFrame:
-    from .sources.pages import page_envelopes
-    return page_envelopes(records, run, page, pos, "record", pagination)
+    return fx.page_envelopes(records, run, page, pos, "record", pagination)
 
 
 # ------------------------------------------------------------------ ingest
@@ -108,11 +107,10 @@ def _offset_pages(spark, d) -> DataFrame:
     """Offset pages: offset = records of earlier pages of the run, except a
     planted +1 gap at page 4 of runs with run % 6 = 1."""
     from .sources.pages import parse_pages
-    from .sources.pages import items_before
     pages = parse_pages(_planted_pages(spark, d, "offset"))
     # offsets are landed values; compute them here from the page sizes
     planted = F.when((F.col("run_id").cast("long") % 6 == 1) & (F.col("page_no") == 4), 1).otherwise(0)
-    return items_before(pages).withColumn("offset", (F.col("items_before") + planted).cast("long")) \
+    return fx.items_before(pages).withColumn("offset", (F.col("items_before") + planted).cast("long")) \
                               .drop("items_before")
 
 
@@ -172,13 +170,13 @@ def q_ingest_issue_messages(spark, d):
     """One unpaginated response per issue; the parent id comes from the
     request (landing partition); a NULL data array gives no rows."""
     from .sources.objects import to_rows
-    from .sources.pages import explode_items, parse_pages, response_pages
+    from .sources.pages import explode_items, parse_pages
     from .functions.text import author_email
     from .functions.jsonx import json_value
     conv = T(spark, d, "conversations")
     m = fx.chat_messages(conv).select("issue_id", "message_id", F.col("message_id").cast("long").alias("turn"),
                                       F.to_json("data").alias("record"))
-    g = response_pages(m, "issue_id", "turn", "message_id")
+    g = fx.response_pages(m, "issue_id", "turn", F.col("turn"))
     body = F.when(F.col("issue_id").cast("long") % 13 == 0, F.lit('{"data":null}')) \
             .otherwise(F.concat(F.lit('{"data":'), F.col("data"), F.lit("}")))
     pages = g.select("issue_id", "page_no", body.alias("body"))
@@ -235,6 +233,26 @@ def q_ndjson_load(spark, d):
                        to_text_ts("updated_at", micros=True).alias("updated_at"))
 
 
+@query("ndjson_reload")
+def q_ndjson_reload(spark, d):
+    """S12+J6: a table holding every order is truncated and loaded again from
+    NDJSON files of the events, then read back."""
+    from .operators.merge import KeyedTable
+    from .plans.load import reload_ndjson
+    from .session import scratch_path
+    schema = "event_id bigint, event_type string, user_id bigint"
+    t = KeyedTable(spark, scratch_path(spark, "ndjson-table"), keys=["event_id"],
+                   schema=spark.createDataFrame([], schema + ", updated_at timestamp").schema)
+    o = T(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("event_id"), F.col("o_orderstatus").alias("event_type"),
+                                     F.col("o_custkey").cast("long").alias("user_id"), F.current_timestamp().alias("updated_at"),
+                                     F.lit(0).cast("long").alias("page_no"), F.lit(0).cast("long").alias("pos"))
+    t.upsert(o)
+    path = scratch_path(spark, "ndjson-files")
+    T(spark, d, "events").select("event_id", "event_type", "user_id").write.mode("overwrite").json(path)
+    reload_ndjson(spark, path, schema, t)
+    return t.read().select("event_id", "event_type", "user_id")
+
+
 # ------------------------------------------------------------------ filters
 def _event_issues(spark, d) -> DataFrame:
     """Events as issue-like records: state = event type, modified_at = ts,
@@ -249,9 +267,8 @@ def _event_issues(spark, d) -> DataFrame:
 
 
 def _filtered(spark, d, **kw) -> DataFrame:
-    from .operators.filters import body_predicate, json_field, search_body
-    body = search_body(**kw)
-    return _event_issues(spark, d).where(body_predicate(body, json_field())).select("event_id")
+    from .operators.filters import issue_predicate, json_field
+    return _event_issues(spark, d).where(issue_predicate(json_field(), **kw)).select("event_id")
 
 
 @query("filter_equals")
@@ -288,14 +305,14 @@ def q_filter_before(spark, d):
 def q_filter_and_extra(spark, d):
     """Plain extra mapping -> equals leaf, AND-ed with range and states."""
     return _filtered(spark, d, modified_start=dt.datetime(2024, 1, 8), modified_end=dt.datetime(2024, 1, 22),
-                     states=["purchase", "signup"], extra_filters={"bucket": "high"})
+                     states=["purchase", "signup"], extra={"bucket": "high"})
 
 
 @query("filter_shaped")
 def q_filter_shaped(spark, d):
     """A shaped extra body passes through, AND-ed with the built leaves."""
     return _filtered(spark, d, states=["error"],
-                     extra_filters={"filter": {"field": "bucket", "operator": "equals", "values": ["low"]}})
+                     extra={"filter": {"field": "bucket", "operator": "equals", "values": ["low"]}})
 
 
 CHUNK_START, CHUNK_END = dt.datetime(1996, 1, 1), dt.datetime(1999, 6, 15)
@@ -421,13 +438,13 @@ def _created(since: str) -> Column:
 def q_upsert_merge(spark, d):
     """I3/JN5: a first load of the issues created before 1996, then a second
     load of every issue created since 1995, now closed: the overlap is
-    updated, the rest inserted. MERGE through the keyed parquet table
-    (touched buckets rewritten); the result holds every issue."""
+    updated, the rest inserted. MERGE through the keyed table (the second
+    load is a version of its own); the result holds every issue."""
     from .operators.merge import KeyedTable
     from .session import scratch_path
     from .functions.jsonx import json_value
     f = fx.warehouse(spark, d, "issue_records")
-    t = KeyedTable(spark, scratch_path(spark, "upsert_merge"), "issues", buckets=8)
+    t = KeyedTable(spark, scratch_path(spark, "upsert_merge"), "issues")
     t.upsert(_issue_rows(f.where(~_created("1996-01-01")), F.col("record")))
     t.upsert(_issue_rows(f.where(_created("1995-01-01")), _state_set(F.col("record"), "closed")))
     return t.read().select("issue_id", json_value("data", "$.state").alias("state"))
@@ -442,7 +459,7 @@ def q_upsert_batches(spark, d):
     from .session import scratch_path
     from .functions.jsonx import json_value
     f = fx.warehouse(spark, d, "issue_records")
-    t = KeyedTable(spark, scratch_path(spark, "upsert_batches"), "issues", buckets=8)
+    t = KeyedTable(spark, scratch_path(spark, "upsert_batches"), "issues")
     t.upsert(_issue_rows(f.where(~_created("1996-01-01")), F.col("record")))
     rec = F.col("record")
     b1 = _issue_rows(f.where(_created("1994-01-01")), _state_set(rec, "on_hold")).withColumn("batch_no", F.lit(1))
@@ -465,7 +482,7 @@ def q_truncate_audit(spark, d):
     rows = recs.select(F.col("key").cast("string").alias("account_id"), F.parse_json("record").alias("data"),
                        F.current_timestamp().alias("updated_at"), (F.col("key") / 100).cast("long").alias("page_no"),
                        F.col("key").alias("pos"))
-    t = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8)
+    t = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts")
     t.upsert(rows)
     return truncate(t, "accounts")
 
@@ -824,21 +841,23 @@ def q_close_outbox(spark, d):
                      F.array_join("p.tags", "|").alias("tags"))
 
 
+QUESTION_SLICE = 100
+
+
 @query("question_summary")
 def q_question_summary(spark, d):
     """J15+A12: question responses parsed into count and all_resolved; a
-    string "true" does not count (Q14). Each response is built from the
-    turns the responder sees - the closing window (first 5 + last 15, W2) -
-    so no conversation is collected whole."""
+    string "true" does not count (Q14). Every user turn of a conversation is a
+    question, with its whole text; responses are landed in slices of
+    QUESTION_SLICE turn numbers (as a responder answers long threads), so no
+    conversation is collected whole, and a conversation's slices are summed."""
     from .operators.closing import parse_questions
-    from .operators.threads import CLOSING_WINDOW, truncate_thread
-    turns = T(spark, d, "conversations").select("conv_id", "turn", "role", "text")
-    c = truncate_thread(turns, *CLOSING_WINDOW, order=("turn",), by="conv_id").dropDuplicates(["conv_id", "turn"])
-    g = c.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("role") == "user", F.struct("turn", "text")))).alias("qs"),
-        F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last_answer"))
+    turns = T(spark, d, "conversations").select("conv_id", "turn", "role", "text").dropDuplicates(["conv_id", "turn"])
+    last = turns.groupBy("conv_id").agg(F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last_answer"))
+    g = (turns.join(last, "conv_id").groupBy("conv_id", F.floor(F.col("turn") / QUESTION_SLICE).alias("slice"), "last_answer")
+         .agg(F.array_sort(F.collect_list(F.when(F.col("role") == "user", F.struct("turn", "text")))).alias("qs")))
     qs = F.transform("qs", lambda x, i: F.struct(
-        (i + 1).alias("id"), F.substring(x["text"], 1, 40).alias("question"),
+        (i + 1).alias("id"), x["text"].alias("question"),
         F.coalesce(x["turn"] < F.col("last_answer"), F.lit(False)).alias("resolved")))
     built = g.select("conv_id", qs.alias("questions"))
     all_res = F.forall("questions", lambda x: x["resolved"])
@@ -851,8 +870,8 @@ def q_question_summary(spark, d):
     resp = resp.select("conv_id", F.regexp_replace("response", '"all_resolved_text":', '"all_resolved":')
                        .alias("response"))
     a = parse_questions(F.col("response"))
-    return resp.select(F.col("conv_id").cast("string").alias("issue_id"),
-                       a["n_questions"].alias("n_questions"), a["all_resolved"].alias("all_resolved"))
+    return resp.groupBy(F.col("conv_id").cast("string").alias("issue_id")).agg(
+        F.sum(a["n_questions"]).cast("long").alias("n_questions"), F.every(a["all_resolved"]).alias("all_resolved"))
 
 
 @query("messages_of_selected")
@@ -883,6 +902,78 @@ def q_replicate_report(spark, d):
     return with_overall(res)
 
 
+def _replicated(spark, d) -> dict:
+    """The planted account pages replicated into a keyed table, with stored
+    rejects and bad pages."""
+    from .operators.merge import KeyedTable
+    from .plans.replicate import replicate_object
+    from .session import scratch_path
+    out = {k: scratch_path(spark, f"replicate-{k}") for k in ("rejects", "bad")}
+    out["table"] = KeyedTable(spark, scratch_path(spark, "replicate"), "accounts")
+    out["counters"] = replicate_object(spark, fx.warehouse(spark, d, "replicate_pages"), "accounts", out["table"],
+                                       rejects_path=out["rejects"], bad_pages_path=out["bad"])
+    return out
+
+
+@query("replicate_write")
+def q_replicate_write(spark, d):
+    """E1 with the write: landed pages (a run that comes again, keys on two
+    pages and twice on one, cut pages mid-run, empty ids) into a keyed table,
+    read back."""
+    from .functions.jsonx import json_value
+    return _replicated(spark, d)["table"].read().select("account_id", json_value("data", "$.name").alias("name"))
+
+
+@query("replicate_counters")
+def q_replicate_counters(spark, d):
+    """A8 of the write: rejects and bad pages are the errors."""
+    return _replicated(spark, d)["counters"]
+
+
+@query("bad_pages")
+def q_bad_pages(spark, d):
+    """Pages that do not parse, as the write stored them."""
+    path = _replicated(spark, d)["bad"]
+    return spark.read.schema("object_type string, run_id string, page_no long, body string").parquet(path) \
+                .select("object_type", "run_id", "page_no")
+
+
+@query("reject_rows")
+def q_reject_rows(spark, d):
+    """Rejected records, as the write stored them."""
+    path = _replicated(spark, d)["rejects"]
+    return spark.read.schema("object_type string, run_id string, page_no long, pos long, reject_reason string, record string") \
+                .parquet(path).select("object_type", "run_id", "page_no", "reject_reason")
+
+
+@query("replicate_issues_filtered")
+def q_replicate_issues_filtered(spark, d):
+    """E1+P1+P2: issues replicated under a time range, states and a field
+    filter, written and read back."""
+    from .functions.jsonx import json_value
+    from .operators.merge import KeyedTable
+    from .plans.replicate import replicate_object
+    from .session import scratch_path
+    t = KeyedTable(spark, scratch_path(spark, "issues-filtered"), "issues")
+    replicate_object(spark, fx.warehouse(spark, d, "pages_issues"), "issues", t, issue_filter={
+        "modified_start": dt.datetime(1995, 6, 1), "modified_end": dt.datetime(1998, 1, 15),
+        "states": ["closed", "waiting_on_customer"], "extra": {"source": ["slack", 5, True]}})
+    return t.read().select("issue_id", json_value("data", "$.state").alias("state"))
+
+
+@query("replicate_messages_selected")
+def q_replicate_messages_selected(spark, d):
+    """E2+P4+JN6: messages of the issues that the time window selects, written
+    and read back."""
+    from .operators.merge import KeyedTable
+    from .plans.replicate import replicate_object
+    from .session import scratch_path
+    t = KeyedTable(spark, scratch_path(spark, "messages-selected"), "messages")
+    replicate_object(spark, fx.warehouse(spark, d, "pages_messages"), "messages", t,
+                     issue_ids=_ids(spark, d, start=WINDOW_START, end=WINDOW_END))
+    return t.read().select("issue_id", "message_id")
+
+
 def _loaded(spark, d, object_type: str) -> DataFrame:
     from .plans.replicate import items_from_pages, replicate_rows
     kept, _ = replicate_rows(items_from_pages(fx.warehouse(spark, d, f"pages_{object_type}"), object_type),
@@ -902,11 +993,9 @@ def q_load_issues(spark, d):
     """S5+P1+J5: issues from search pages, filtered by a modified_at range
     and states (the search body), then transformed."""
     from .functions.jsonx import json_value
-    from .operators.filters import body_predicate, json_field, search_body
-    from .plans.replicate import items_from_pages, replicate_rows
-    body = search_body(dt.datetime(1996, 1, 1), dt.datetime(1997, 12, 31), states=["closed", "on_hold"])
-    items = items_from_pages(fx.warehouse(spark, d, "pages_issues"), "issues")
-    items = items.where(body_predicate(body, json_field("item")))
+    from .plans.replicate import items_from_pages, replicate_rows, select_items
+    items = select_items(items_from_pages(fx.warehouse(spark, d, "pages_issues"), "issues"), "issues", issue_filter={
+        "modified_start": dt.datetime(1996, 1, 1), "modified_end": dt.datetime(1997, 12, 31), "states": ["closed", "on_hold"]})
     kept, _ = replicate_rows(items, "issues")
     return kept.select("issue_id", json_value("data", "$.state").alias("state"),
                        json_value("data", "$.source").alias("source"))
@@ -929,6 +1018,23 @@ def q_load_teams(spark, d):
 
 
 # ------------------------------------------------------------------ scorer (F1)
+def _count_words(batch):
+    """A scorer that fails for whole batches: on every 17th request."""
+    if (batch["issue_id"].astype(int) % 17 == 0).any():
+        raise RuntimeError("scorer down")
+    return batch["user"].map(lambda t: str(len(t.split())))
+
+
+@query("batch_scores")
+def q_batch_scores(spark, d):
+    """F1 as Arrow batches: an external scorer over every document's whole
+    text; a failing request loses its own response only, with the reason."""
+    from .operators.scorer import score_with
+    reqs = T(spark, d, "documents").select(F.col("doc_id").cast("string").alias("issue_id"), F.lit("count").alias("system"),
+                                           F.coalesce("text", F.lit("")).alias("user"))
+    return score_with(reqs, _count_words)
+
+
 @query("keyword_scores")
 def q_keyword_scores(spark, d):
     """F1 default scorer: taxonomy keyword hits per document and label over
@@ -961,7 +1067,7 @@ def q_stream_upsert(spark, d):
         "record", F.regexp_replace("record", r'"segment":"([^"]*)"', '"segment":"$1-v2"'))
     second = _pages(upd, F.lit("r0"), (k / 100).cast("long") + 1000, k, pag)
     root, ck = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
-    table = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", buckets=8, landing=True)
+    table = KeyedTable(spark, scratch_path(spark, "accounts"), "accounts", landing=True)
     write_landed(first, root)
     stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=100).awaitTermination()
     write_landed(second, root + "/updates")

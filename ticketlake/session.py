@@ -20,7 +20,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.variant.allowDuplicateKeys": "true",     # a repeated key: the last value holds
 }
 
 

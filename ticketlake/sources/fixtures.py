@@ -234,6 +234,58 @@ def user_records(supplier: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- landed pages
+def page_envelopes(records: DataFrame, run: Column, page: Column, pos: Column,
+                   record: str = "record", pagination: Column | None = None) -> DataFrame:
+    """Group JSON records into landed page bodies (test/bench landing helper).
+    Each page holds a bounded number of records; order inside is ``pos``."""
+    g = (records.select(run.alias("run_id"), page.alias("page_no"), pos.alias("pos"), F.col(record).alias("r"))
+         .groupBy("run_id", "page_no")
+         .agg(F.array_sort(F.collect_list(F.struct("pos", "r"))).alias("rs")))
+    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]"))
+    pag = pagination if pagination is not None else F.struct(F.lit(True).alias("has_next_page"))
+    return g.select("run_id", "page_no",
+                    F.concat(F.lit('{"data":'), data, F.lit(',"pagination":'), F.to_json(pag), F.lit("}"))
+                    .alias("body"))
+
+
+#: Teams of one kind are landed in pages of so many team numbers.
+TEAMS_A_PAGE = 5
+#: Messages of an issue are landed in pages of so many message numbers.
+PAGE_MESSAGES = 1000
+
+
+def response_pages(records: DataFrame, group: str, order: str, number: Column, record: str = "record") -> DataFrame:
+    """``(group, page_no, data)``: each group's records as JSON array texts in
+    ``order``, a page for every PAGE_MESSAGES message numbers (a rule on the
+    message alone, whatever the group's size). A page is bounded, so no group
+    is collected whole."""
+    g = (records.select(group, F.floor(number / F.lit(PAGE_MESSAGES)).cast("long").alias("page_no"),
+                        F.struct(F.col(order).alias("o"), F.col(record).alias("r")).alias("e"))
+         .groupBy(group, "page_no").agg(F.array_sort(F.collect_list("e")).alias("rs")))
+    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]"))
+    return g.select(group, "page_no", data.alias("data"))
+
+
+def items_before(pages: DataFrame, run: str = "run_id", page: str = "page_no",
+                 n: str = "n_items", block: int = 1024) -> DataFrame:
+    """Adds ``items_before``: items on the earlier pages of the same run (the
+    offset a page should start at). A two-level prefix sum, so no window
+    spans a whole run: per-block totals (``block`` pages) get a running sum
+    over the blocks of a run (a few rows), pages a running sum inside their
+    block, and the block prefix is joined back on (run, block)."""
+    from pyspark.sql import Window
+    b = (F.col(page) / F.lit(block)).cast("long")
+    with_block = pages.withColumn("_blk", b)
+    totals = with_block.groupBy(run, "_blk").agg(F.sum(n).alias("_t"))
+    before_blk = Window.partitionBy(run).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = totals.select(run, "_blk", F.coalesce(F.sum("_t").over(before_blk), F.lit(0)).alias("_bp"))
+    in_blk = Window.partitionBy(run, "_blk").orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
+    inner = with_block.withColumn("_ip", F.coalesce(F.sum(n).over(in_blk), F.lit(0)))
+    return (inner.join(prefix, [run, "_blk"])
+            .withColumn("items_before", (F.col("_bp") + F.col("_ip")).cast("long"))
+            .drop("_blk", "_bp", "_ip"))
+
+
 def bad_id_records(records: DataFrame) -> DataFrame:
     """Issue records with planted falsy ids: absent (key % 97 = 0), '' (key %
     89 = 0) and number 0 (key % 83 = 0)."""
@@ -248,10 +300,8 @@ def bad_id_records(records: DataFrame) -> DataFrame:
 
 def landed_pages(spark: SparkSession, d: str, object_type: str) -> DataFrame:
     """API responses as landed pages per object type: 100 records per page in
-    key order with a cursor chain (teams: one page; messages: one
-    unpaginated response per parent issue, split into pages only when an
-    issue exceeds ``PAGE_RECORDS_MAX`` messages)."""
-    from .pages import page_envelopes, response_pages
+    key order with a cursor chain (teams: pages of TEAMS_A_PAGE numbers; messages: one
+    unpaginated response per parent issue and PAGE_MESSAGES message numbers)."""
     t = lambda n: table(spark, d, n)
     k = F.col("key")
     pag = F.struct(F.lit(True).alias("has_next_page"),
@@ -259,14 +309,16 @@ def landed_pages(spark: SparkSession, d: str, object_type: str) -> DataFrame:
     if object_type == "messages":
         m = warehouse(spark, d, "li_messages").select("issue_id", "message_id", "seen",
                                                       F.to_json("data").alias("record"))
-        g = response_pages(m, "issue_id", "seen", "message_id")
+        g = response_pages(m, "issue_id", "seen", F.col("message_id").cast("long"))
         return g.select("issue_id", F.lit("r0").alias("run_id"), "page_no",
                         F.concat(F.lit('{"data":'), F.col("data"), F.lit("}")).alias("body"))
     if object_type == "teams":
         tf = teams_frame(t("nation"), t("region"), t("supplier"))
-        recs = tf.select(F.xxhash64("team_id").alias("key"),
+        recs = tf.select("team_id", F.xxhash64("team_id").alias("key"),
                          F.to_json(F.struct(F.col("team_id").alias("id"), "name", "users")).alias("record"))
-        return page_envelopes(recs, F.lit("r0"), F.lit(0).cast("long"), k, "record")
+        number = F.regexp_extract("team_id", "[0-9]+", 0).cast("long")
+        page = F.floor(number / F.lit(TEAMS_A_PAGE)).cast("long") + F.when(F.col("team_id").startswith("r"), 1000).otherwise(0)
+        return page_envelopes(recs, F.lit("r0"), page, k, "record")
     recs = {"accounts": lambda: account_records(t("customer")),
             "contacts": lambda: contact_records(t("customer")),
             "users": lambda: user_records(t("supplier")),
@@ -274,6 +326,29 @@ def landed_pages(spark: SparkSession, d: str, object_type: str) -> DataFrame:
     return page_envelopes(recs, F.lit("r0"), (k / 100).cast("long"), k, "record", pag)
 
 
+def replicate_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Account pages with everything that replication must survive, planted by
+    key (k, page k div 100): in run r0 the first key of a page comes again on
+    the next page, key % 100 = 7 twice on its page, ids are empty where
+    key % 50 = 49, and pages with page % 6 = 3 are cut in the middle; run r1
+    lands every fifth key again, in pages of 500 keys."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    k = F.col("k")
+    page = F.floor(k / 100).cast("long")
+    own = c.select("k", F.lit("r0").alias("run"), page.alias("page"), (k % 100).alias("pos"), F.lit("a").alias("mark"))
+    later = c.where(k % 100 == 0).select("k", F.lit("r0"), page + 1, F.lit(100).cast("long"), F.lit("b"))
+    twice = c.where(k % 100 == 7).select("k", F.lit("r0"), page, F.lit(200).cast("long"), F.lit("c"))
+    again = c.where(k % 5 == 0).select("k", F.lit("r1"), F.floor(k / 500).cast("long"), k % 500, F.lit("d"))
+    every = own.union(later).union(twice).union(again)
+    rec = _json(F.when((k % 50 == 49) & (F.col("mark") == "a"), F.lit("")).otherwise(_s("k")).alias("id"),
+                F.concat("run", F.lit("-"), _s("page"), "mark").alias("name"))
+    recs = every.select("run", "page", "pos", rec.alias("record"))
+    pag = F.struct(F.lit(True).alias("has_next_page"), F.lit("c").alias("cursor"))
+    pages = page_envelopes(recs, F.col("run"), F.col("page"), F.col("pos"), "record", pag)
+    cut = (F.col("run_id") == "r0") & (F.col("page_no") % 6 == 3)
+    return pages.withColumn("body", F.when(cut, F.substr("body", F.lit(1), F.length("body") - 30)).otherwise(F.col("body")))
+
+
 # ---------------------------------------------------------------- warehouse tables
 # The warehouse tables of the reference are stored tables with a parsed
 # payload. The fixtures are built once per session and data folder, written
@@ -295,6 +370,8 @@ def _build(spark: SparkSession, d: str, name: str) -> DataFrame:
         return teams_table(t("nation"), t("region"), t("supplier"))
     if name == "flat_issues":
         return flat_issues(t("orders"), t("lineitem"))
+    if name == "replicate_pages":
+        return replicate_pages(spark, d)
     if name.startswith("pages_"):
         return landed_pages(spark, d, name[len("pages_"):])
     raise ValueError(name)

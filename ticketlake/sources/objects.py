@@ -52,8 +52,3 @@ def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows without the reason column, reject rows)."""
     valid = rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return valid, rows.where(F.col("reject_reason").isNotNull())
-
-
-def stamp_batch(rows: DataFrame, batch_ts: Column) -> DataFrame:
-    """One load stamp for every row of a batch (overrides J5's)."""
-    return rows.withColumn("updated_at", batch_ts)

@@ -6,8 +6,9 @@ Spark's partition discovery yields ``run_id``/``page_no`` without parsing file
 names. Pages are parsed with ``from_json`` into ``array<variant>`` items.
 
 The chain cuts do not sort a run's pages: the first stopping page of each run
-is a ``min`` aggregate (partial, map-side), joined back to the pages. A run
-holding a third of all pages therefore never lands in one task.
+is a ``min`` aggregate over narrow rows, and the pages behind it are
+anti-joined by (run, page). A run holding a third of all pages therefore never
+lands in one task.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import json_str, unwrap
+from ..functions.jsonx import unwrap
 from ..schema import PAGE_SCHEMA
 
 
@@ -25,35 +26,52 @@ def read_landed(spark: SparkSession, root: str) -> DataFrame:
     return df.withColumnRenamed("value", "body")
 
 
+#: Column that catches a body that does not parse.
+_CORRUPT = "_corrupt"
+
+
 def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Envelope -> data (array<variant>), has_next_page, cursor, offset, n_items.
-    Missing or NULL ``data`` gives no items."""
-    p = F.from_json(F.col(body), PAGE_SCHEMA)
+    """Envelope -> data (array<variant>), has_next_page, cursor, offset,
+    n_items, bad. Missing or NULL ``data`` gives no items; ``bad`` marks a body
+    that is no page (malformed, cut, or of another shape). The body is parsed
+    once: a one-element explode keeps the parsed struct from being inlined
+    into every field."""
     keep = [c for c in pages.columns if c != body]
-    return pages.select(
-        *keep, p["data"].alias("data"),
+    parsed = F.from_json(F.col(body), f"{PAGE_SCHEMA}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    one = pages.select(*keep, F.explode(F.array(F.struct(parsed.alias("p"), F.col(body).isNotNull().alias("has")))).alias("e"))
+    p = F.col("e.p")
+    bad = F.col("e.has") & (p.isNull() | p[_CORRUPT].isNotNull())
+    data = F.when(~bad, p["data"])
+    return one.select(
+        *keep, data.alias("data"),
         p["pagination"]["has_next_page"].alias("has_next_page"),
         p["pagination"]["cursor"].alias("cursor"),
         p["pagination"]["offset"].alias("offset"),
-        F.coalesce(F.size(p["data"]), F.lit(0)).cast("long").alias("n_items"))
+        F.coalesce(F.size(data), F.lit(0)).cast("long").alias("n_items"), bad.alias("bad"))
+
+
+def bad_pages(pages: DataFrame, body: str = "body") -> DataFrame:
+    """Pages whose body is no page, as landed (for the bad-page table)."""
+    keep = [c for c in pages.columns if c != body]
+    p = F.from_json(F.col(body), f"{PAGE_SCHEMA}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    return pages.where(F.col(body).isNotNull() & (p.isNull() | p[_CORRUPT].isNotNull())).select(*keep, body)
 
 
 def _cut(pages: DataFrame, cont: Column, run: str, page: str) -> DataFrame:
     """Pages up to the first non-continuing page of each run (that page's
-    own rows still count when it has any); later pages are ignored.
-
-    The stop page is one hash aggregate per run (partial, map-side), joined
-    back on the run. That join is skew-safe without a hint. The stop table
-    has one row per run, so a run holding most pages means there are few
-    runs, and AQE measures the table far below the broadcast threshold and
-    broadcasts it (no shuffle of the pages). Many runs mean no hot run, and
-    a shuffle join on the run is balanced. No window over a whole run is
-    used."""
-    stop = pages.groupBy(run).agg(F.min(F.when(~cont, F.col(page))).alias("_stop"))
-    s = F.col("_stop")
-    return (pages.join(stop, run)
-            .where(s.isNull() | (F.col(page) < s) | ((F.col(page) == s) & (F.col("n_items") > 0)))
-            .drop("_stop"))
+    own rows still count when it has any); later pages are ignored. A bad page
+    never ends a run: what follows it is kept.
+
+    Stops are a min aggregate over (run, page, two flags); the pages behind a
+    stop are listed as (run, page) and anti-joined. Payloads are therefore
+    never exchanged on the run: the list is usually empty or small and gets
+    broadcast, and a shuffled anti join spreads a hot run over its pages."""
+    flags = pages.select(run, page, (cont | F.col("bad")).alias("_c"), (F.col("n_items") > 0).alias("_has"))
+    stop = flags.where(~F.col("_c")).groupBy(run).agg(F.min(page).alias("_stop"))
+    behind = (flags.join(stop, run)
+              .where((F.col(page) > F.col("_stop")) | ((F.col(page) == F.col("_stop")) & ~F.col("_has")))
+              .select(run, page))
+    return pages.join(behind, [run, page], "left_anti")
 
 
 def cursor_chain(pages: DataFrame, run: str = "run_id", page: str = "page_no") -> DataFrame:
@@ -82,26 +100,6 @@ def offset_gaps(pages: DataFrame, run: str = "run_id", page: str = "page_no") ->
             .where(~F.col("offset").eqNullSafe(F.col("expected_offset"))))
 
 
-def items_before(pages: DataFrame, run: str = "run_id", page: str = "page_no",
-                 n: str = "n_items", block: int = 1024) -> DataFrame:
-    """Adds ``items_before``: items on the earlier pages of the same run (the
-    offset a page should start at). A two-level prefix sum, so no window
-    spans a whole run: per-block totals (``block`` pages) get a running sum
-    over the blocks of a run (a few rows), pages a running sum inside their
-    block, and the block prefix is joined back on (run, block)."""
-    from pyspark.sql import Window
-    b = (F.col(page) / F.lit(block)).cast("long")
-    with_block = pages.withColumn("_blk", b)
-    totals = with_block.groupBy(run, "_blk").agg(F.sum(n).alias("_t"))
-    before_blk = Window.partitionBy(run).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(run, "_blk", F.coalesce(F.sum("_t").over(before_blk), F.lit(0)).alias("_bp"))
-    in_blk = Window.partitionBy(run, "_blk").orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
-    inner = with_block.withColumn("_ip", F.coalesce(F.sum(n).over(in_blk), F.lit(0)))
-    return (inner.join(prefix, [run, "_blk"])
-            .withColumn("items_before", (F.col("_bp") + F.col("_ip")).cast("long"))
-            .drop("_blk", "_bp", "_ip"))
-
-
 def explode_items(pages: DataFrame, keep=("run_id", "page_no")) -> DataFrame:
     """One row per element of ``data`` in page order ``(…, page_no, pos)``."""
     return pages.select(*keep, F.posexplode("data").alias("pos", "item")) \
@@ -136,54 +134,6 @@ def parse_ndjson(lines: DataFrame, col: str, schema) -> DataFrame:
     return lines.select(F.from_json(F.col(col), schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
-def page_envelopes(records: DataFrame, run: Column, page: Column, pos: Column,
-                   record: str = "record", pagination: Column | None = None) -> DataFrame:
-    """Group JSON records into landed page bodies (test/bench landing helper).
-    Each page holds a bounded number of records; order inside is ``pos``."""
-    g = (records.select(run.alias("run_id"), page.alias("page_no"), pos.alias("pos"), F.col(record).alias("r"))
-         .groupBy("run_id", "page_no")
-         .agg(F.array_sort(F.collect_list(F.struct("pos", "r"))).alias("rs")))
-    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]"))
-    pag = pagination if pagination is not None else F.struct(F.lit(True).alias("has_next_page"))
-    return g.select("run_id", "page_no",
-                    F.concat(F.lit('{"data":'), data, F.lit(',"pagination":'), F.to_json(pag), F.lit("}"))
-                    .alias("body"))
-
-
-# Largest number of records landed in one response page.
-PAGE_RECORDS_MAX = 1000
-
-
-def response_pages(records: DataFrame, group: str, order: str, id_col: str, record: str = "record",
-                   max_records: int = PAGE_RECORDS_MAX) -> DataFrame:
-    """``(group, page_no, data)``: each group's records as a JSON array text
-    in ``order`` (landing helper for per-issue responses).
-
-    No group is collected whole. Group sizes come from a partial count joined
-    back on the group (AQE can split a hot group's join partition, since the
-    pages get an exchange on (group, page) of their own). A group above
-    ``max_records`` is spread over ceil(n / max_records) pages by a hash of
-    ``id_col``, so repeats of one id stay on one page, in order. Smaller
-    groups are one page (``page_no`` 0), exactly the unpaginated response.
-    """
-    n = records.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    r = records.join(n, group)
-    pages_n = F.ceil(F.col("_n") / F.lit(max_records))
-    page = F.when(F.col("_n") <= max_records, F.lit(0)) \
-            .otherwise(F.pmod(F.xxhash64(F.col(id_col)), pages_n)).cast("long")
-    # an exchange on (group, page) of its own: a hot group's pages spread over
-    # tasks, and AQE may split the join's skewed partition (no extra shuffle)
-    g = (r.select(group, page.alias("page_no"), F.struct(F.col(order).alias("o"), F.col(record).alias("r")).alias("e"))
-         .repartition(group, "page_no")
-         .groupBy(group, "page_no").agg(F.array_sort(F.collect_list("e")).alias("rs")))
-    data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]"))
-    return g.select(group, "page_no", data.alias("data"))
-
-
 def write_landed(pages: DataFrame, root: str, run: str = "run_id") -> None:
     """Land page bodies as ``<root>/<run>=…/page_no=…/`` text files."""
     pages.select(run, "page_no", "body").write.mode("overwrite").partitionBy(run, "page_no").text(root)
-
-
-def item_id(item: Column) -> Column:
-    return json_str(item, "$.id")

@@ -7,9 +7,10 @@ modification-time order, which is not page order when pages are landed by a
 parallel job, so the merge is order-aware: the table keeps each row's landing
 position and the row landed last wins (a later page beats an earlier one, as
 a later flush does in the batch path). A replayed micro-batch after a failure
-therefore writes the same result (idempotent). The cursor/offset chain cut
-applies within each micro-batch; the lander stops at a chain's end, so no
-pages beyond a stop page are expected in the landing folder.
+therefore writes the same result (idempotent). Rejected records and bad pages
+of a micro-batch are appended to their tables where paths are given. The
+cursor/offset chain cut applies within each micro-batch; the lander stops at a
+chain's end, so no pages beyond a stop page are expected in the landing folder.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import KeyedTable
-from ..plans.replicate import items_from_pages, prepare
+from ..plans.replicate import items_from_pages, prepare, store_bad_pages, store_rejects
 
 PAGE_FILE = r"page_no=(\d+)"
 RUN_DIR = r"run_id=([^/]+)"
@@ -36,7 +37,8 @@ def page_stream(spark: SparkSession, root: str, max_files_per_trigger: int = 100
 
 
 def stream_upsert(spark: SparkSession, root: str, object_type: str, table: KeyedTable,
-                  checkpoint: str, max_files_per_trigger: int = 100, available_now: bool = True):
+                  checkpoint: str, max_files_per_trigger: int = 100, available_now: bool = True,
+                  rejects_path: str | None = None, bad_pages_path: str | None = None):
     """Start the stream; with ``available_now`` it drains the folder and stops."""
     if not table.landing:
         raise ValueError("stream tables must be created with landing=True")
@@ -44,8 +46,12 @@ def stream_upsert(spark: SparkSession, root: str, object_type: str, table: Keyed
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         items = items_from_pages(batch, object_type)
-        valid, _ = prepare(items, object_type, stamp=F.current_timestamp())
+        valid, rejects = prepare(items, object_type, stamp=F.current_timestamp())
         table.upsert_landed(valid)
+        if rejects_path:
+            store_rejects(rejects, object_type, rejects_path)
+        if bad_pages_path:
+            store_bad_pages(batch, object_type, bad_pages_path)
 
     w = (page_stream(spark, root, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch).option("checkpointLocation", checkpoint))
