@@ -61,6 +61,16 @@ def test_plan_has_no_cartesian(spark, sf, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_commands_have_no_cartesian(spark, sf):
+    from ticketlake import queries as q
+    from ticketlake.plans import release
+    for run in (q._classify_run(spark, sf), q._close_run(spark, sf)):
+        for df in [v for k, v in run.items() if k != "persisted"]:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        release(run)
+
+
 def test_flagship_aggregates_messages_before_the_join(spark, sf):
     df = entry.entry(spark)
     df.collect()

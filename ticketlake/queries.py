@@ -743,16 +743,28 @@ def _classify_run(spark, d) -> dict:
                     created_at=F.to_timestamp(F.lit("2024-06-02 00:00:00")))
 
 
+def _output(spark, run: dict, key: str) -> DataFrame:
+    """One output of a command, stored; the command's caches are released."""
+    from .plans import release
+    from .session import scratch_path
+    path = scratch_path(spark, key)
+    try:
+        run[key].write.parquet(path)
+    finally:
+        release(run)
+    return spark.read.schema(run[key].schema).parquet(path)
+
+
 @query("classify_report")
 def q_classify_report(spark, d):
     """E4+A10: counters of the classify run over all unclassified issues."""
-    return _classify_run(spark, d)["counters"]
+    return _output(spark, _classify_run(spark, d), "counters")
 
 
 @query("classify_outcomes")
 def q_classify_outcomes(spark, d):
     """Issues per outcome of the truth table."""
-    dec = _classify_run(spark, d)["decisions"]
+    dec = _output(spark, _classify_run(spark, d), "decisions")
     return dec.groupBy("outcome").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
@@ -763,7 +775,7 @@ def _payload_cols(outbox: DataFrame, schema: str) -> DataFrame:
 @query("update_outbox")
 def q_update_outbox(spark, d):
     """J19+I8: classification outbox rows, payload read back into columns."""
-    ob = _payload_cols(_classify_run(spark, d)["outbox"],
+    ob = _payload_cols(_output(spark, _classify_run(spark, d), "outbox"),
                        "custom_fields array<struct<slug:string,value:string>>, tags array<string>")
     cf = F.col("p.custom_fields")
     pick = lambda s: F.try_element_at(F.filter(cf, lambda x: x["slug"] == s), F.lit(1))["value"]
@@ -823,20 +835,20 @@ def q_current_state_lookup(spark, d):
 @query("close_report")
 def q_close_report(spark, d):
     """E5+A11: closing counters over all stale candidates."""
-    return _close_run(spark, d)["counters"]
+    return _output(spark, _close_run(spark, d), "counters")
 
 
 @query("close_outcomes")
 def q_close_outcomes(spark, d):
     """E5: candidates per outcome of the truth table."""
-    dec = _close_run(spark, d)["decisions"]
+    dec = _output(spark, _close_run(spark, d), "decisions")
     return dec.groupBy("outcome").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
 @query("close_outbox")
 def q_close_outbox(spark, d):
     """J20+I9: close outbox rows, payload read back into columns."""
-    ob = _payload_cols(_close_run(spark, d)["outbox"], "state string, tags array<string>")
+    ob = _payload_cols(_output(spark, _close_run(spark, d), "outbox"), "state string, tags array<string>")
     return ob.select("issue_id", "kind", F.col("p.state").alias("state"),
                      F.array_join("p.tags", "|").alias("tags"))
 

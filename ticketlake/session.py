@@ -7,7 +7,6 @@ location the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,32 +48,18 @@ def get_spark(master: str | None = None, app: str = "ticketlake",
     return configure(spark)
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Read from the session; only a local-mode session (tests, the bench) gets a
-    private folder when none is set. On a cluster an unset value is an error,
-    because a machine-local folder would not survive executor loss.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, read from the
+    session. Where it is unset (tests, the bench) a folder is made and set; a
+    cluster names its own."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
-    if not _is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
-    d = tempfile.mkdtemp(prefix="ticketlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if not d:
+        d = tempfile.mkdtemp(prefix="ticketlake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(d)
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    p = f"{base}/ticketlake/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in p or p.startswith("file:"):
-        os.makedirs(p.replace("file:", ""), exist_ok=True)
-    return p
+    """A unique sub-folder of the shared folder; whoever writes makes it."""
+    return f"{checkpoint_dir(spark)}/ticketlake/{name}-{uuid.uuid4().hex[:12]}"

@@ -394,7 +394,7 @@ def warehouse(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def prepare_warehouse(spark: SparkSession, d: str) -> None:
-    for n in ("issues", "issue_records", "li_messages", "ev_messages", "chat_messages", "teams", "flat_issues"):
+    for n in ("issues", "issue_records", "li_messages", "ev_messages", "chat_messages", "teams", "flat_issues", "replicate_pages"):
         warehouse(spark, d, n)
     from ..schema import REPLICATION_ORDER
     for t in REPLICATION_ORDER:
