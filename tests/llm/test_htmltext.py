@@ -20,6 +20,12 @@ def test_pages(page, want):
     assert htmltext.main_text(page) == want
 
 
+def test_very_deep_nesting():
+    deep = "<div>" * 5000 + f"<p>{P}</p>" + "</div>" * 5000
+    assert htmltext.main_text(deep) == P
+    assert P in htmltext.main_text("<b>" * 5000 + f"<article><p>{P}</p></article>")
+
+
 def test_query_edges(spark):
     long_ = "<article>" + f"<p>{P}</p>" * 3000 + "</article>"
     rows = [(1, "u", None, "e"), (2, None, "", "e"), (None, "u", f"<article><p>{P}</p></article>", "e"), (4, "u", long_, "e"), (4, "u", long_, "e")]

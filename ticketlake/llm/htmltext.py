@@ -36,7 +36,9 @@ ENDS_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html
 SELF_ENDING = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
                "th": {"tr", "table"}, "option": {"select"}}
 #: Words of a class or id that mark what is no main text.
-NOT_CONTENT = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner
+NOT_#: Elements nested deeper than this are siblings.
+DEEPEST = 300
+CONTENT = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner
     sidebar aside menu nav navbar navigation topbar toolbar footer header masthead comment comments reply replies
     respond discussion disqus social share sharing related recommended recommendations cookie cookies consent gdpr
     notice notices alert popup modal overlay newsletter subscribe subscription signup login breadcrumb breadcrumbs
@@ -50,12 +52,13 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "marks", "role", "hidden", "points", "chars", "linked", "links")
+    __slots__ = ("tag", "parent", "children", "marks", "role", "hidden", "points", "chars", "linked", "links", "depth")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
         self.marks, self.role, self.hidden = frozenset(), "", False
         self.points, self.chars, self.linked, self.links = 0.0, 0, 0, 0
+        self.depth = parent.depth + 1 if parent else 0
         if attributes:
             a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
             self.marks = frozenset(w.lower() for w in _WORD.findall(f"{a.get('class', '')} {a.get('id', '')}"))
@@ -97,8 +100,8 @@ def parse(page: str) -> Node:
                 close(tag, SELF_ENDING[tag])
             node = Node(tag, at, m[3])
             at.children.append(node)
-            if tag not in VOID and not m[3].rstrip().endswith("/"):
-                at = node
+            if tag not in VOID and not m[3].rstrip().endswith("/") and node.depth < DEEPEST:
+                at = node                         # deeper elements lose their nesting, not their text
     if pos < len(page):
         at.children.append(html.unescape(page[pos:]))
     return root
