@@ -36,14 +36,14 @@ ENDS_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html
 SELF_ENDING = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
                "th": {"tr", "table"}, "option": {"select"}}
 #: Words of a class or id that mark what is no main text.
-NOT_#: Elements nested deeper than this are siblings.
-DEEPEST = 300
-CONTENT = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner
+NOT_CONTENT = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner
     sidebar aside menu nav navbar navigation topbar toolbar footer header masthead comment comments reply replies
     respond discussion disqus social share sharing related recommended recommendations cookie cookies consent gdpr
     notice notices alert popup modal overlay newsletter subscribe subscription signup login breadcrumb breadcrumbs
     pagination pager widget widgets skip copyright outbrain taboola""".split())
 NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
+#: Elements nested deeper than this are siblings.
+DEEPEST = 300
 CONTENT = frozenset("article main content post entry story body text".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
