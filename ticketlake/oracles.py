@@ -171,6 +171,7 @@ SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE {' AND '.join(jp)}
 oracle("issue_ids_window", _ids_oracle(True, None))
 oracle("issue_ids_state", _ids_oracle(False, "Waiting on Customer"))
 oracle("issue_ids_union", _ids_oracle(True, "Closed"))
+oracle("issue_ids_by_code", _ids_oracle(False, "On Hold"))
 
 # ------------------------------------------------------------------ JSON
 oracle("json_scalar", """

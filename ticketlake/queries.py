@@ -352,6 +352,12 @@ def q_issue_ids_state(spark, d):
     return _ids(spark, d, state="Waiting on Customer")
 
 
+@query("issue_ids_by_code")
+def q_issue_ids_by_code(spark, d):
+    """P6+L3: the state given as a code; ids in order."""
+    return _ids(spark, d, state="on_hold", ordered=True)
+
+
 @query("issue_ids_union")
 def q_issue_ids_union(spark, d):
     """P4+P5+U1: time window and state together."""
