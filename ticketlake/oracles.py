@@ -440,6 +440,19 @@ SELECT issue_id,
 FROM ({_chat_thread(3, 6)}) x
 """)
 
+# md5 of the instruction texts (field set; plain, debug) and of the question text.
+_DIGESTS = {0: ("9ff8cd46726fede12501ecceaf6ba1d0", "6f086c0c548779d7e6750328eda87b61"),
+            1: ("5c842a90f95afada74921f57d3ce3993", "3c922d6f1017ba5cdca7d7be62b81e30"),
+            2: ("8b7fb5ea03df257441b2f96ae2465486", "8372930bf8cbac8b84bb1a12dc8ccd65")}
+_QUESTION_DIGEST = "575aaa75c29cad083e403e00814a2be6"
+_CHAT_USER = "'<Conversation History>' || chr(10) || conversation || chr(10) || '</Conversation History>'"
+oracle("request_digests", " UNION ALL ".join(
+    f"SELECT issue_id, '{form}' AS form, CASE conv_id % 3 WHEN 0 THEN '{_DIGESTS[0][i]}' WHEN 1 THEN '{_DIGESTS[1][i]}' "
+    f"ELSE '{_DIGESTS[2][i]}' END AS system_md5, {_CHAT_USER} AS \"user\" FROM ({_chat_thread(3, 6)}) x"
+    for i, form in enumerate(("plain", "debug"))) + f"""
+UNION ALL SELECT issue_id, 'question', '{_QUESTION_DIGEST}', {_CHAT_USER} || '' || chr(10) || '' || chr(10) || 'Pylon Issue ID: ' || issue_id FROM ({_chat_thread(3, 6)}) x
+""")
+
 oracle("response_gate", """
 SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'low' WHEN 1 THEN 'pass' WHEN 2 THEN 'pass' WHEN 3 THEN 'low'
                    WHEN 4 THEN 'pass' WHEN 5 THEN 'error' WHEN 6 THEN 'error' ELSE 'none' END AS gate

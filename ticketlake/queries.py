@@ -677,6 +677,22 @@ def q_request_text(spark, d):
     return requests(targets, convs).select("issue_id", "system", "user")
 
 
+@query("request_digests")
+def q_request_digests(spark, d):
+    """J13 in all variants: every chat as a plain, a debug and a question
+    request; the system text as its digest."""
+    from .operators.triage import requests
+    from .plans.close import question_requests
+    convs = _chat_conversations(spark, d)
+    k = F.col("issue_id").cast("long") % 3
+    fields = (F.when(k == 0, F.array(F.lit("resolution"))).when(k == 1, F.array(F.lit("category")))
+               .otherwise(F.array(F.lit("resolution"), F.lit("category"))))
+    targets = convs.select("issue_id", fields.alias("fields"))
+    told = lambda df, form: df.select("issue_id", F.lit(form).alias("form"), F.md5(F.col("system").cast("binary")).alias("system_md5"), "user")
+    return told(requests(targets, convs), "plain").unionByName(told(requests(targets, convs, debug=True), "debug")) \
+        .unionByName(told(question_requests(convs, convs), "question"))
+
+
 def planted_response(key, quality, toxic):
     """Scorer responses planted by key (8 shapes: low/ok confidences, strong
     and weak fields, absent, JSON null and text confidence, bad JSON)."""
