@@ -14,8 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch: a worker holds few texts at a time, and the JVM
+#: few bytes outside its heap.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Every query of this package runs with BATCH_BYTES batches."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) != f"{BATCH_BYTES}b":
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read by Spark only (any file system Spark knows)."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared folder and read back."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -42,6 +56,30 @@ def doc_bytes(text: str = "text"):
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
-def lower_ascii(b: bytes) -> bytes:
-    """A-Z to a-z, all other bytes as they are (``bytes.lower`` does just that)."""
-    return b.lower()
+#: Logarithmic bins for a doubling of a count.
+_BINS = 64
+
+
+def most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows with the largest counts, ``most`` at most. The cut is a bin of a
+    logarithmic histogram (some thousand bins at any size), and equal counts
+    are kept or left out together: no task and not the driver sorts the rows."""
+    bin_ = F.floor(F.log2(F.col(column)) * _BINS).cast("int")
+    sizes = counts.groupBy(bin_.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    cut, have = None, 0
+    for r in sorted(sizes, key=lambda r: -r["b"]):
+        have += r["n"]
+        if have > most:
+            break
+        cut = r["b"]
+    return counts.where(bin_ >= cut) if cut is not None else counts.where("false")
+
+
+def hash_sample(rows: DataFrame, n: int, *by) -> DataFrame:
+    """About ``n`` rows, never over 2 ``n`` but for chance: those whose hash
+    over the columns ``by`` is small enough for the table's size. Which rows
+    they are depends on the data alone."""
+    total = rows.count()
+    share = 1 << 30
+    keep = share if total <= n else int(share * n / total)
+    return rows.where(F.pmod(F.xxhash64(*by), F.lit(share)) < keep)

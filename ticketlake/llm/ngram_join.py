@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, stored, table
+from .common import doc_bytes, most_frequent, stored, table
 
 #: Words of a shingle; similarity in hundredths.
 WORDS, SIMILAR = 5, 80
@@ -48,7 +48,7 @@ class WordHashes(dict):
     """word -> 64-bit hash, for a bounded number of words at a time."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -114,8 +114,9 @@ def frequent_columns(docs: DataFrame, words: int, sample: int = SAMPLE, most: in
             yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["h"])
 
     chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).select("text").distinct()
-    counted = (chosen.select(doc_bytes().alias("b")).mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-               .where("c >= 2").orderBy(F.desc("c"), "h").limit(most).toPandas())
+    counted = stored(chosen.select(doc_bytes().alias("b")).mapInArrow(run, "h long").groupBy("h")
+                     .agg(F.count(F.lit(1)).alias("c")).where("c >= 2"), "frequent-shingles")
+    counted = most_frequent(counted, "c", most).toPandas()
     h = counted["h"].to_numpy(dtype=np.int64).view(np.uint64) if len(counted) else np.zeros(0, np.uint64)
     at = np.argsort(h)
     return h[at], counted["c"].to_numpy(dtype=np.int64)[at] if len(counted) else np.zeros(0, np.int64)

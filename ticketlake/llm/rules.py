@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, stored, table
+from .common import doc_bytes, hash_sample, stored, table
 
 SYMBOLS = b"#*$%&|<>"
 #: Trees, and rows from which one tree is grown.
@@ -77,7 +77,7 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = [text_statistics(x) for x in batch.column(1).to_pylist()]
+            stats = [text_statistics(x.as_py()) for x in batch.column(1)]
             cols = list(zip(*stats, strict=True)) if stats else [[] for _ in STAT_FIELDS]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in cols]], names=names)
@@ -162,11 +162,10 @@ def forest_scores(trees: list[dict[str, np.ndarray]], points: np.ndarray, subsam
 
 
 def train_forest(stats: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = 7):
-    """Trees from ``trees * subsample`` rows at most, those with the smallest
-    hashes of their key and statistics (equal rows at every run)."""
+    """Trees from about ``trees * subsample`` rows, drawn by a hash of their key
+    and statistics (the same rows at every run)."""
     names = [k for k, _ in STAT_FIELDS]
-    rows = (stats.orderBy(F.xxhash64(F.lit(seed), "doc_id", *names), "doc_id").limit(trees * subsample)
-            .select(*names).toPandas())
+    rows = hash_sample(stats, trees * subsample, F.lit(seed), "doc_id", *names).select(*names).toPandas().sort_values(names)
     points = features({k: rows[k].to_numpy() for k in names}) if len(rows) else np.zeros((0, FEATURES))
     rng = np.random.default_rng(seed)
     points = points[rng.permutation(len(points))]
@@ -238,8 +237,7 @@ def keep_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary())
-            stats = [text_statistics(x.as_py() or b"") for x in texts]
+            stats = [text_statistics((x.as_py() or "").encode()) for x in batch.column(at)]
             cols = {k: np.array(v, dtype=np.int64) for k, v in zip(names, zip(*stats, strict=True), strict=True)} if stats else {}
             if stats:
                 ok = ~((cols["n_words"] < 50) | (100 * cols["n_repeat_words"] > 50 * cols["n_words"]))
