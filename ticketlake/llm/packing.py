@@ -22,6 +22,7 @@ Only the two histograms reach the driver. Pieces are numbered in hash buckets
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ CAPACITY, END_ID = 4096, 1
 #: less where there are few small ones.
 SMALL, GROUPS, SLACK = 4, 40, 10
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -49,31 +50,73 @@ _TOKENIZERS: dict[str, tuple] = {}
 
 
 def word_ids(path: str):
-    """(tokenizer, ids of each word seen), once per worker and file. The
-    tokenizer drops white space and joins nothing across it, so a text's ids
-    are the ids of its words one after the other."""
+    """(tokenizer, ids of each word seen, which ids end a word), once per
+    worker and file. The tokenizer drops white space and joins nothing across
+    it, so a text's ids are the ids of its words one after the other."""
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), {})
+        tokenizer = Tokenizer.from_file(path)
+        vocabulary = tokenizer.get_vocab()
+        last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        _TOKENIZERS[path] = (tokenizer, {}, last)
     return _TOKENIZERS[path]
 
 
+#: Words encoded as one text.
+WORDS_AT_ONCE = 2000
+_POINT = re.compile(rb"([a-z])([,.])(?=[ \n])")
+
+
+def split_words(b: bytes) -> list[bytes]:
+    """Pieces of a text whose ids, one after the other, are the text's: the
+    tokenizer lower-cases, drops white space, and parts a letter from the point
+    or comma after it."""
+    return _POINT.sub(rb"\1 \2", b.lower()).split()
+
+
+def _one_by_one(tokenizer, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    for w, e in zip(words, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False), strict=True):
+        yield w, np.array(e.ids, dtype="<u4").tobytes()
+
+
+def _encode_words(tokenizer, last: np.ndarray, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """(word, its ids as little-endian 32-bit numbers). Words of letters only
+    are encoded many at a time: each ends at the only one of its ids that ends a
+    word. Other words are encoded one by one."""
+    letters, others = [], []
+    for w in words:
+        t = w.decode("utf-8", "replace")
+        (letters if t.isalpha() and t.lower().isalpha() else others).append(w)
+    yield from _one_by_one(tokenizer, others)
+    parts = [letters[i:i + WORDS_AT_ONCE] for i in range(0, len(letters), WORDS_AT_ONCE)]
+    texts = [b" ".join(part).decode("utf-8", "replace") for part in parts]
+    for part, e in zip(parts, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, dtype="<u4")
+        ends = (np.flatnonzero(last[ids]) + 1).tolist()
+        if len(ends) != len(part) or ends[-1] != len(ids):
+            yield from _one_by_one(tokenizer, part)
+            continue
+        raw, at = ids.tobytes(), 0
+        for w, end in zip(part, ends, strict=True):
+            yield w, raw[4 * at:4 * end]
+            at = end
+
+
 def encode(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
     """For each text its ids and the end id as little-endian 32-bit numbers."""
-    tokenizer, known = word_ids(path)
+    tokenizer, known, last = word_ids(path)
     if len(known) > CACHE_WORDS:
         known.clear()
+    split = [split_words(b) for b in texts]
     new: set[bytes] = set()
-    for b in texts:
-        new.update(b.split())
+    for words in split:
+        new.update(words)
     new.difference_update(known)
-    words = list(new)
-    if words:
-        got = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(words, got, strict=True))
+    known.update(_encode_words(tokenizer, last, list(new)))
     end = np.array([end_id], dtype="<u4").tobytes()
-    return [b"".join(map(known.__getitem__, b.split())) + end for b in texts]
+    return [b"".join(map(known.__getitem__, words)) + end for words in split]
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
