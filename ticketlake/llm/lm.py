@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, stored, table
+from .common import doc_bytes, most_frequent, stored, table
 
 #: Network vocabulary, state width, classes; tokens with counts that workers hold.
 VOCABULARY, WIDTH, CLASSES, HELD = 8191, 24, 64, 200_000
@@ -38,10 +38,13 @@ VOCABULARY, WIDTH, CLASSES, HELD = 8191, 24, 64, 200_000
 #: of a training window; step size; lanes and steps of a scoring window.
 SHARE, ROUNDS, LANES, STEPS, RATE = 24, 2, 32, 16, 0.08
 SCORE_LANES, SCORE_STEPS = 256, 64
+#: Tokens of the documents that are put into lanes together.
+TOKENS_AT_ONCE = 1 << 21
 #: Floats of a row of the distributed average; tokens a worker counts at once.
 CHUNK, COUNT_AT_ONCE = 4096, 400_000
 
-END = b""
+#: The end token, and a byte that no token holds.
+END, SEPARATOR = b"", b"\n"
 
 
 def tokens(b: bytes) -> list[bytes]:
@@ -300,7 +303,7 @@ class Scorer:
     """What workers need: the tokens with counts they hold, and the network."""
 
     def __init__(self, held: list[tuple[bytes, int]], total: int, distinct: int, vocabulary: int = VOCABULARY):
-        self.tokens = [t for t, _ in held]
+        self.tokens = SEPARATOR.join(t for t, _ in held)              # one string: small to keep and to send
         c = np.array([n for _, n in held], dtype=np.int64)
         self.log_c = np.log10(c + 1.0)
         self.vocabulary = min(vocabulary, len(held))
@@ -315,7 +318,8 @@ class Scorer:
     @property
     def places(self) -> Places:
         if self._places is None:
-            self._places = Places(zip(self.tokens, range(len(self.tokens)), strict=True))
+            names = self.tokens.split(SEPARATOR) if len(self.log_c) else []
+            self._places = Places(zip(names, range(len(names)), strict=True))
         return self._places
 
     def ranks(self, words: list[bytes]) -> np.ndarray:
@@ -331,9 +335,13 @@ def train_round(docs: DataFrame, scorer, width: int = WIDTH) -> DataFrame:
         own = scorer.value
         net = own.network
         net.load(net.flat())                              # a private copy: the broadcast value is shared
-        seen = 0
+        seen, texts = 0, []
         for batch in batches:
-            seen += train_texts(net, [own.symbols(own.ranks(tokens(x.as_py()))) for x in batch.column(0)])
+            texts += [own.symbols(own.ranks(tokens(x.as_py()))) for x in batch.column(0)]
+            if sum(map(len, texts)) >= TOKENS_AT_ONCE:
+                seen += train_texts(net, texts)
+                texts = []
+        seen += train_texts(net, texts)
         if seen:
             flat = net.flat()
             parts = [flat[i:i + CHUNK] for i in range(0, len(flat), CHUNK)]
@@ -350,9 +358,10 @@ def learn(train: DataFrame, counts: DataFrame, share: int = SHARE, rounds: int =
     document in ``share``, another part of them each round."""
     spark = train.sparkSession
     totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(held).toPandas()
-    scorer = Scorer(list(zip(map(bytes, top["token"]), map(int, top["c"]), strict=True)), int(totals["n"] or 0), int(totals["v"]),
-                    vocabulary)
+    top = most_frequent(counts, "c", held).select("token", "c").toArrow()
+    pairs = sorted(zip(top.column("token").to_pylist(), top.column("c").to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
+    scorer = Scorer(pairs, int(totals["n"] or 0), int(totals["v"]), vocabulary)
+    del top, pairs
     part = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(share * rounds))
     for k in range(rounds):
         sent = spark.sparkContext.broadcast(scorer)
@@ -381,15 +390,21 @@ def score_documents(docs: DataFrame, train: DataFrame, **settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, row = sent.value, TaskContext.get().partitionId() << 40
+        cols: dict[str, list] = {k: [] for k in kinds}
+        texts, held_tokens = [], 0
+
+        def flush() -> pa.RecordBatch:
+            cols["net"] = (score_texts(own.network, texts) / np.log(10)).tolist()
+            return pa.RecordBatch.from_arrays([pa.array(cols[k], t) for k, t in kinds.items()], names=list(kinds))
+
         for batch in batches:
-            cols: dict[str, list] = {k: [] for k in kinds}
-            texts = []
             for doc_id, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = tokens(x.as_py())
                 rank = own.ranks(words)
                 held = rank[rank >= 0]
                 symbols = own.symbols(rank)
                 texts.append(symbols)
+                held_tokens += len(words)
                 logs = own.log_c[held]
                 for k, v in (("row", row), ("doc_id", doc_id), ("n_tokens", len(words)), ("n_known", len(held)),
                              ("n_rare", int((symbols == 0).sum())), ("base", float(logs.sum())),
@@ -397,8 +412,12 @@ def score_documents(docs: DataFrame, train: DataFrame, **settings) -> DataFrame:
                              ("others", [words[i] for i in np.flatnonzero(rank < 0)])):
                     cols[k].append(v)
                 row += 1
-            cols["net"] = (score_texts(own.network, texts) / np.log(10)).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(cols[k], t) for k, t in kinds.items()], names=list(kinds))
+                if held_tokens >= TOKENS_AT_ONCE:
+                    yield flush()
+                    cols = {k: [] for k in kinds}
+                    texts, held_tokens = [], 0
+        if texts:
+            yield flush()
 
     part = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_bytes().alias("b")).mapInArrow(
         run, "row long, doc_id long, n_tokens long, n_known long, n_rare long, base double, rare double, net double, "
