@@ -1,6 +1,6 @@
 """Benchmark decontamination over a positional inverted index.
 
-``build_index`` cuts the corpus into index shards (some 260,000 tokens each)
+``build_index`` cuts the corpus into index shards (some 130,000 tokens each)
 and stores, shard by shard, every term with the sorted list of its positions.
 The index is partitioned by document, so building it moves no token across
 the network, and a phrase never crosses a shard.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import doc_bytes, stored, table
 
 #: Words of a window, tokens of an index shard, bytes of test text in a block.
-WINDOW, SHARD_TOKENS, BLOCK_BYTES = 10, 1 << 18, 8 << 20
+WINDOW, SHARD_TOKENS, BLOCK_BYTES = 10, 1 << 17, 8 << 20
 
 INDEX_SCHEMA = ("shard long, doc_ids array<long>, n_words array<int>, terms binary, counts binary, "
                 "postings binary")
@@ -69,8 +69,8 @@ def build_index(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
             return pa.RecordBatch.from_pylist([_shard_row(shard, ids, sizes, words)], schema=schema)
 
         for batch in batches:
-            for doc_id, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = index_words(b)
+            for doc_id, b in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = index_words(b.as_py())
                 ids.append(doc_id), sizes.append(len(own))
                 words += own
                 if len(words) + len(ids) >= shard_tokens:
