@@ -35,7 +35,7 @@ from .common import doc_bytes, stored, table
 from .ngram_join import _HASHES
 
 #: Words of a passage, words of a k-gram, entries of one k-gram sorted at once.
-LENGTH, GRAM, RANGE = 50, 8, 1 << 16
+LENGTH, GRAM, RANGE = 50, 8, 1 << 10
 #: Bits of the set of shared k-grams that workers hold (a superset).
 BITMAP = 26
 
@@ -109,7 +109,7 @@ def suffixes(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             rows, words, kept = [], [], []
             for x in batch.column(1):
                 h = word_hashes(x.as_py())
