@@ -97,3 +97,14 @@ def test_training_lowers_the_loss_of_held_out_texts():
 def test_average(spark):
     rows = [(0, 1.0, np.array([1, 2], np.float32).tobytes()), (0, 3.0, np.array([5, 2], np.float32).tobytes()), (1, 2.0, np.array([9], np.float32).tobytes())]
     assert lm.average(spark.createDataFrame(rows, "chunk int, weight double, values binary")).tolist() == [4.0, 2.0, 9.0]
+
+
+def test_every_training_document_trains_the_network(spark):
+    rows = documents(spark, [(7 if i % 3 else i, words(20 + i % 30, i, 60)) for i in range(90)])
+    counts = lm.token_counts(rows)
+    for partitions in (1, 5):
+        got = lm.learn(rows.repartition(partitions), counts, copies=3, round_tokens=300, vocabulary=40)
+        assert got.learned == got.total == counts.agg({"c": "sum"}).first()[0]
+        slices = lm.training_symbols(rows.repartition(partitions), spark.sparkContext.broadcast(got), 2, 3).groupBy("round", "copy").count().collect()
+        assert len(slices) == 6 and max(r["count"] for r in slices) < 30   # no slice follows the key or the input's partitions
+    assert lm.learn(rows, counts, share=3, vocabulary=40).learned < got.total

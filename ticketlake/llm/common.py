@@ -42,12 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under the shared folder and read back."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` written as Parquet under the shared folder (a folder for each value
+    of the column ``by``) and read back."""
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,9 +9,11 @@ The network is a gated recurrent unit with a class-factored softmax: classes
 hold about equal shares of the square roots of the counts, a token's
 probability is its class's times its own inside the class, and all output
 biases start at the logarithms of the counts. It is trained in numpy by
-truncated backpropagation through time, on a fixed share of the training
-documents (so the work grows with the corpus): every task trains a copy on its
-documents, and the copies are averaged by a distributed sum, in rounds.
+truncated backpropagation through time, on every training document once. The
+documents are stored as symbols and dealt, row by row, to rounds of COPIES
+slices: each slice trains a copy, and the round's copies are averaged by a
+distributed sum (step sizes too). Rounds follow the token count, so a copy
+never goes far alone; the number of copies is the same for any input files.
 
 Scoring puts the documents of an Arrow batch into lanes that run in step.
 Windows bound the memory; the state goes on from window to window, so a score
@@ -34,9 +36,11 @@ from .common import doc_bytes, most_frequent, stored, table
 
 #: Network vocabulary, state width, classes; tokens with counts that workers hold.
 VOCABULARY, WIDTH, CLASSES, HELD = 8191, 24, 64, 200_000
-#: One training document in SHARE trains the network; rounds; lanes and steps
-#: of a training window; step size; lanes and steps of a scoring window.
-SHARE, ROUNDS, LANES, STEPS, RATE = 24, 2, 32, 16, 0.08
+#: One training document in SHARE trains the network (1: all of them); lanes and
+#: steps of a training window; step size; lanes and steps of a scoring window.
+SHARE, LANES, STEPS, RATE = 1, 32, 16, 0.08
+#: Copies trained side by side, and about the tokens of each in a round.
+COPIES, ROUND_TOKENS = 12, 1 << 20
 SCORE_LANES, SCORE_STEPS = 256, 64
 #: Tokens of the documents that are put into lanes together.
 TOKENS_AT_ONCE = 1 << 21
@@ -101,16 +105,19 @@ class Network:
                   "bc": np.log(total / total.sum()).astype(np.float32), "w": small(n, width) * np.float32(0.3),
                   "b": np.log(mass / total[self.cls]).astype(np.float32)}
         self.p["x"][:, :width] += 1.0                                      # keep the state at first
+        # squared gradients so far (Adagrad), by row for the layers that have a row of each symbol
+        self.past = {k: np.full(v.shape if k in ("u", "wc", "bc") else v.shape[:1], 1e-4, np.float32) for k, v in self.p.items()}
         self.width = width
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([v.ravel() for v in self.p.values()])
+        return np.concatenate([v.ravel() for part in (self.p, self.past) for v in part.values()])
 
     def load(self, flat: np.ndarray) -> None:
         at = 0
-        for k, v in self.p.items():
-            self.p[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
-            at += v.size
+        for part in (self.p, self.past):
+            for k, v in part.items():
+                part[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
 
     def step(self, h: np.ndarray, symbol: np.ndarray):
         """One step of all lanes: (new state, gates for the way back)."""
@@ -219,8 +226,7 @@ def train_texts(net: Network, texts: list[np.ndarray], rate: float = RATE, n_lan
     if not texts:
         return 0
     symbols, owner = lanes(texts, n_lanes)
-    d, p = net.width, net.p
-    past = {k: np.full(v.shape if k in ("u", "wc", "bc") else v.shape[:1], 1e-4, np.float32) for k, v in p.items()}
+    d, p, past = net.width, net.p, net.past
     carried = np.zeros((len(symbols), d), np.float32)
     seen = 0
 
@@ -280,8 +286,13 @@ def train_texts(net: Network, texts: list[np.ndarray], rate: float = RATE, n_lan
 
 
 def average(copies: DataFrame) -> np.ndarray | None:
-    """The copies' weighted mean. Rows: chunk, weight (symbols seen), values.
-    Summed chunk by chunk in tasks; the driver gets one network."""
+    """The copies' weighted mean. Rows: chunk, weight (symbols seen), values."""
+    return weighed(copies)[0]
+
+
+def weighed(copies: DataFrame) -> tuple[np.ndarray | None, float]:
+    """``average`` and the weight of all copies. Summed chunk by chunk in tasks;
+    the driver gets one network."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}                        # a task's chunks of one network
         for batch in batches:
@@ -296,7 +307,10 @@ def average(copies: DataFrame) -> np.ndarray | None:
 
     schema = "chunk int, weight double, values binary"
     rows = copies.repartition("chunk").mapInArrow(run, schema).collect()
-    return np.concatenate([np.frombuffer(r["values"], np.float32) for r in sorted(rows, key=lambda r: r["chunk"])]) if rows else None
+    if not rows:
+        return None, 0.0
+    rows.sort(key=lambda r: r["chunk"])
+    return np.concatenate([np.frombuffer(r["values"], np.float32) for r in rows]), rows[0]["weight"]
 
 
 class Scorer:
@@ -310,6 +324,8 @@ class Scorer:
         self.total, self.distinct = total, distinct
         self.rare_total, self.rare_distinct = total - int(c[:self.vocabulary].sum()), distinct - self.vocabulary
         self.network = Network(c[:self.vocabulary], self.rare_total)
+        self.kind = np.uint16 if self.vocabulary < 1 << 16 else np.int32   # of a stored symbol
+        self.learned = 0                                              # tokens that trained the network
         self._places = None
 
     def __getstate__(self):
@@ -329,18 +345,35 @@ class Scorer:
         return np.where((ranks >= 0) & (ranks < self.vocabulary), ranks + 1, 0).astype(np.int32)
 
 
-def train_round(docs: DataFrame, scorer, width: int = WIDTH) -> DataFrame:
-    """Rows of ``average``: a copy of the network trained on each partition."""
+def training_symbols(docs: DataFrame, scorer, rounds: int, copies: int) -> DataFrame:
+    """``symbols, copy, round`` of every row of ``docs``, stored by round. Rows
+    are dealt one by one, so repeated keys spread."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = scorer.value
-        net = own.network
+        for batch in batches:
+            got = [own.symbols(own.ranks(tokens(x.as_py()))).astype(own.kind).tobytes() for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary()), batch.column(1), batch.column(2)], names=["symbols", "copy", "round"])
+
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(rounds * copies))
+    dealt = docs.select(doc_bytes().alias("b"), place.alias("place")).select(
+        "b", (F.col("place") % copies).cast("int").alias("copy"), F.floor(F.col("place") / copies).cast("int").alias("round"))
+    # a round's rows in few files: their number follows the rounds, not rounds times input files
+    return stored(dealt.mapInArrow(run, "symbols binary, copy int, round int").repartition("round", "copy"), "train-symbols", by="round")
+
+
+def train_round(symbols: DataFrame, network, kind, copies: int) -> DataFrame:
+    """Rows for ``average``: a copy of the network trained on each slice."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = network.value
         net.load(net.flat())                              # a private copy: the broadcast value is shared
-        seen, texts = 0, []
+        seen, texts, held = 0, [], 0
         for batch in batches:
-            texts += [own.symbols(own.ranks(tokens(x.as_py()))) for x in batch.column(0)]
-            if sum(map(len, texts)) >= TOKENS_AT_ONCE:
-                seen += train_texts(net, texts)
-                texts = []
+            for x in batch.column(0):
+                texts.append(np.frombuffer(x.as_py(), kind))
+                held += len(texts[-1])
+                if held >= TOKENS_AT_ONCE:
+                    seen += train_texts(net, texts)
+                    texts, held = [], 0
         seen += train_texts(net, texts)
         if seen:
             flat = net.flat()
@@ -349,25 +382,30 @@ def train_round(docs: DataFrame, scorer, width: int = WIDTH) -> DataFrame:
                 [pa.array(range(len(parts)), pa.int32()), pa.array([float(seen)] * len(parts), pa.float64()),
                  pa.array([v.tobytes() for v in parts], pa.binary())], names=["chunk", "weight", "values"])
 
-    return docs.select(doc_bytes().alias("b")).mapInArrow(run, "chunk int, weight double, values binary")
+    return symbols.repartitionById(copies, "copy").select("symbols").mapInArrow(run, "chunk int, weight double, values binary")
 
 
-def learn(train: DataFrame, counts: DataFrame, share: int = SHARE, rounds: int = ROUNDS, held: int = HELD,
-          vocabulary: int = VOCABULARY) -> Scorer:
-    """A scorer with counts from all of ``train`` and a network trained on one
-    document in ``share``, another part of them each round."""
+def learn(train: DataFrame, counts: DataFrame, share: int = SHARE, copies: int = COPIES, round_tokens: int = ROUND_TOKENS,
+          held: int = HELD, vocabulary: int = VOCABULARY) -> Scorer:
+    """A scorer with counts from all of ``train`` and a network trained on all
+    of it (with ``share``, on one document in so many), slice by slice."""
     spark = train.sparkSession
     totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = most_frequent(counts, "c", held).select("token", "c").toArrow()
     pairs = sorted(zip(top.column("token").to_pylist(), top.column("c").to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
     scorer = Scorer(pairs, int(totals["n"] or 0), int(totals["v"]), vocabulary)
     del top, pairs
-    part = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(share * rounds))
+    rounds = max(1, round(scorer.total / (share * copies * round_tokens)))
+    own = train if share == 1 else train.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(share)) == 0)
+    sent = spark.sparkContext.broadcast(scorer)
+    symbols = training_symbols(own, sent, rounds, copies)
+    sent.unpersist()
     for k in range(rounds):
-        sent = spark.sparkContext.broadcast(scorer)
-        flat = average(train_round(train.where(part.between(k, k)), sent))
+        sent = spark.sparkContext.broadcast(scorer.network)
+        flat, seen = weighed(train_round(symbols.where(F.col("round") == k), sent, scorer.kind, copies))
         if flat is not None:
             scorer.network.load(flat)
+            scorer.learned += int(seen)
         sent.unpersist()
     return scorer
 
