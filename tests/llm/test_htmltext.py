@@ -20,6 +20,16 @@ def test_pages(page, want):
     assert htmltext.main_text(page) == want
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_prose_one_element_below_the_article(tag):
+    body = (f"<header><h1>T</h1></header><div>{f'<p>{P}</p>' * 20}</div><h2>More</h2><ul><li>one</li><li>two</li></ul>"
+            "<blockquote><p>Short quote.</p></blockquote><section><p>A second, short section</p></section>")
+    want = ["T", *[P] * 20, "More", "one", "two", "Short quote.", "A second, short section"]
+    page = f"<body><nav>Home</nav><{tag}>{body}<div class='comments'>{P}</div></{tag}><div>Beside</div></body>"
+    assert htmltext.main_blocks(page) == want
+    assert htmltext.main_blocks(f"<main><div>Beside</div><article>{body}</article></main>") == want
+
+
 def test_very_deep_nesting():
     deep = "<div>" * 5000 + f"<p>{P}</p>" + "</div>" * 5000
     assert htmltext.main_text(deep) == P

@@ -202,6 +202,15 @@ def score(root: Node) -> list[Node]:
     return list(found.values())
 
 
+def _whole(n: Node) -> Node:
+    """The outermost article around ``n``, else the nearest main, else ``n``."""
+    around = [n]
+    while around[-1].parent:
+        around.append(around[-1].parent)
+    articles = [e for e in around if e.tag == "article"]
+    return articles[-1] if articles else next((e for e in around if e.tag == "main"), n)
+
+
 def main_blocks(page: str) -> list[str]:
     """The main text's blocks."""
     root = parse(page)
@@ -211,6 +220,7 @@ def main_blocks(page: str) -> list[str]:
         return [t for _, t in blocks(root)]
     best = max(found, key=lambda n: n.points)
     least = max(10.0, 0.2 * best.points)
+    best = _whole(best)                           # an article is kept whole; points only judge what is beside it
     out = []
     for s in best.parent.children if best.tag not in ("body", "html") else [best]:
         if isinstance(s, str):
