@@ -42,6 +42,19 @@ def test_nothing_to_learn(spark):
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)]
 
 
+def test_training_rows_are_bounded_when_a_document_repeats(spark):
+    rows = [(i, text(v, 30, i), v) for i in range(40) for v in SYLLABLES]
+    rows += [(i, text("aa", 5 + k % 50, k), "aa") for i in range(40) for k in range(30)] + [(7, None, "aa"), (7, "1 2", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = langid.train_rows(docs, 10).collect()
+    assert {v: sum(r["lang"] == v for r in got) for v in SYLLABLES} == dict.fromkeys(SYLLABLES, 10)
+    assert len({(r["doc_id"], r["lang"]) for r in got}) == len(got)
+    again = langid.train_rows(docs.repartition(2), 10).collect()
+    assert {(r["doc_id"], r["lang"]): bytes(r["bag"]) for r in got} == {(r["doc_id"], r["lang"]): bytes(r["bag"]) for r in again}
+    long_ = langid.train_rows(spark.createDataFrame([(1, text("bb", 200_000, 1), "bb")], docs.schema)).first()
+    assert "text" not in long_ and len(long_["bag"]) <= 8 << langid.BITS
+
+
 def test_rejection_bound():
     m = langid.train([text(v, 40, i) for i in range(60) for v in SYLLABLES], [v for _ in range(60) for v in SYLLABLES])
     assert 0 < m.reject_under <= 1 and m.predict(text("aa", 40, 999))[0] == "aa"

@@ -4,8 +4,8 @@ A text is lower-cased, everything but letters becomes a word boundary, and all
 its byte n-grams (2 to 4 bytes, over word ends too) are hashed to embedding
 rows. The text's vector is the mean of these rows and a linear softmax gives
 the languages. Both layers are trained by stochastic gradient descent in numpy
-on a bounded number of documents of each language. On training documents that
-were held back, a temperature is fitted to the softmax and a rejection bound to
+on a bounded number of documents of each language, which reach the driver as
+bags of embedding rows. On training documents that were held back, a temperature is fitted to the softmax and a rejection bound to
 its largest probability.
 
 Prediction needs one row of class values for each n-gram (embedding times
@@ -77,17 +77,25 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def bag(text: str) -> np.ndarray:
+    """Embedding rows of ``text`` and their counts: at most 2^BITS columns."""
+    return np.stack(np.unique(subwords(text), return_counts=True)).astype(np.uint32)
+
+
 def train(texts: list[str], labels: list[str], seed: int = 3) -> Model:
+    kept = [i for i, t in enumerate(texts) if t and has_letter(t)]
+    return train_bags([bag(texts[i]) for i in kept], [labels[i] for i in kept], seed)
+
+
+def train_bags(bags: list[np.ndarray], labels: list[str], seed: int = 3) -> Model:
     """Stochastic gradient descent, one document at a time; rare languages
     step further, so that each weighs the same."""
     rng = np.random.default_rng(seed)
-    kept = [i for i, t in enumerate(texts) if t and has_letter(t)]
-    languages = sorted({labels[i] for i in kept})
+    languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
     code = {v: k for k, v in enumerate(languages)}
-    y = np.array([code[labels[i]] for i in kept])
-    bags = [np.unique(subwords(texts[i]), return_counts=True) for i in kept]
+    y = np.array([code[v] for v in labels])
     weight = len(y) / (len(languages) * np.bincount(y, minlength=len(languages)))
     order = rng.permutation(len(y))
     held = order[:int(len(y) * HELD_BACK)]
@@ -130,13 +138,34 @@ def calibrate(model: Model, logits: np.ndarray, y: np.ndarray) -> None:
 
 
 def train_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(text, lang) of at most ``per_language`` documents of each language:
-    those with the smallest hashes. The choice is made without the texts."""
-    own = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    """``doc_id, lang, bag`` of at most ``per_language`` documents of each
+    language: those with the smallest hashes, one row of each (of repeated
+    rows with a letter, the text with the smallest hash). The choice is made
+    without the texts, and texts become bags in tasks."""
+    own = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).distinct()
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = own.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_language).select("doc_id").distinct()
+    chosen = own.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_language).select("doc_id", "lang")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple, tuple[int, bytes]] = {}         # a task's chosen documents
+        for batch in batches:
+            ids, langs, hashes = (batch.column(c).to_pylist() for c in range(3))
+            for i, x in enumerate(batch.column(3)):
+                key = ids[i], langs[i]
+                if key in best and best[key][0] <= hashes[i]:
+                    continue
+                text = x.as_py().decode("utf-8", "replace")
+                if has_letter(text):
+                    best[key] = hashes[i], bag(text).tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in best], pa.int64()), pa.array([k[1] for k in best], pa.string()),
+             pa.array([v[0] for v in best.values()], pa.int64()), pa.array([v[1] for v in best.values()], pa.binary())],
+            names=["doc_id", "lang", "h", "bag"])
+
     # languages x per_language ids
-    return docs.join(F.broadcast(chosen), "doc_id", "left_semi").where("lang is not null").select("text", "lang")
+    rows = docs.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", F.xxhash64("text").alias("h"), doc_bytes().alias("b"))
+    return rows.mapInArrow(run, "doc_id long, lang string, h long, bag binary").groupBy("doc_id", "lang").agg(F.min_by("bag", "h").alias("bag"))
 
 
 def identify(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
@@ -147,8 +176,9 @@ def identify(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
     every text if nothing could be learned. Texts are read whole. Repeated
     rows get equal answers. Extra columns are not read.
     """
-    rows = train_rows(learn_from).orderBy("lang", "text").collect()
-    model = docs.sparkSession.sparkContext.broadcast(train([r["text"] for r in rows], [r["lang"] for r in rows]))
+    rows = sorted(train_rows(learn_from).collect(), key=lambda r: (r["lang"], r["doc_id"]))
+    bags = [np.frombuffer(r["bag"], np.uint32).reshape(2, -1) for r in rows]
+    model = docs.sparkSession.sparkContext.broadcast(train_bags(bags, [r["lang"] for r in rows]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
