@@ -63,6 +63,45 @@ def test_secrets(spark):
     assert re.search(r'"[0-9A-F]{40}"', r.text) and r.n_pseudonyms == 2
 
 
+def test_phones_of_other_countries(spark):
+    phones = ["+44 20 7946 0958", "+49 30 123456", "+33 1 23 45 67 89", "+34 912 345 678", "+34912345678", "+44 (0)20 7946 0958",
+              "+49 (30) 123-456/78", "+39\u00a006\u00a01234\u00a05678", "0049 30 123456", "555 123 4567", "(555) 123 4567"]
+    got = pii.pseudonymize(documents(spark, [(i, f"Call {v}, or {v}.") for i, v in enumerate(phones)])).collect()
+    for r in got:
+        v = phones[r.doc_id]
+        m = re.fullmatch(r"Call (.*), or (.*)\.", r.text)
+        assert m and m[1] == m[2] != v and re.sub(r"\d", "9", m[1]) == re.sub(r"\d", "9", v) and r.n_pseudonyms == 2, (v, r.text)
+    same = "+1. 2 and 12 345 678 or 1 + 2345, 1.5 2.5"
+    assert pii.pseudonymize(documents(spark, [(1, same)])).first().text == same
+
+
+def test_ibans_before_other_words(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "BE68 5390 0754 7034", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00"]
+    texts = [(k * 10 + i, f"{v} {w}") for i, v in enumerate(ibans) for k, w in enumerate(["EUR", "BIC", "IBAN", "12", "GB82 WEST 1234 5698 7654 32"])]
+    for r in pii.pseudonymize(documents(spark, texts)).collect():
+        v, text = ibans[r.doc_id % 10], r.text
+        new, rest = text[:len(v)], text[len(v):]
+        assert iban(new) and new[:2] == v[:2] and new != v, (v, text)
+        if r.doc_id < 40:
+            assert rest == dict(texts)[r.doc_id][len(v):] and r.n_pseudonyms == 1
+        else:
+            assert iban(rest[1:]) and rest[:5] == " GB" + rest[3:5] and "1234 5698" not in rest and r.n_pseudonyms == 2
+    assert all(len(c) == 2 for v in pii.IBAN_LENGTHS.values() for c in v.split())
+
+
+def test_long_secrets_and_other_characters(spark):
+    secrets = ["a1B2" * 100, "ab12" * 700, "sk-live_9aZ8bY7c-X6dW5e", "eyJhbGciOi.eyJzdWIiOiIx.c2ln-bmF0_dXJl", "q1W2e3R4t5Y6u7I8+/o9P0a==",
+               "550e8400-e29b-41d4-a716-446655440000", "Tr0ub4dor!and#3more"]
+    texts = [(i, f"my token = '{v}' and password: {v}") for i, v in enumerate(secrets)] + [(90, f'"{"0f" * 200}"'), (91, "key: state-of-the-art-methods and token: https://example.com/p1")]
+    got = {r.doc_id: r for r in pii.pseudonymize(documents(spark, texts)).collect()}
+    for i, v in enumerate(secrets):
+        m = re.fullmatch(r"my token = '(.*)' and password: (.*)", got[i].text)
+        assert m and m[1] == m[2] != v and got[i].n_pseudonyms == 2 and v[:12] not in got[i].text
+        assert re.sub("[A-Za-z0-9]", "", m[1]) == re.sub("[A-Za-z0-9]", "", v) and len(m[1]) == len(v)
+    assert re.fullmatch('"[0-9a-f]{400}"', got[90].text) and got[90].n_pseudonyms == 1
+    assert got[91].text == dict(texts)[91] and got[91].n_pseudonyms == 0
+
+
 def test_edges(spark):
     docs = documents(spark, edge_texts()).withColumnsRenamed({"row": "__pm", "n": "n_pseudonyms"})
     got = pii.pseudonymize(docs, count=None).collect()

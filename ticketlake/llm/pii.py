@@ -25,20 +25,36 @@ from pyspark.sql import functions as F
 from .common import table
 
 ROUNDS = 10
+#: Characters of a secret that are permuted together.
+SECRET_BLOCK = 256
 DEFAULT_KEY = "change-me"
 
 _L, _R = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+#: Characters of a secret; it has a digit or begins with 16 letters and digits.
+_SECRET = r"[A-Za-z0-9_~+/=.:@!#$%^*?\-]"
+_NAMED = r"(?i:token|secret|password|passwd|api_?key|key)\s{0,3}[=:]\s{0,3}[\"']?"
+#: Length of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + _R
+                 for n, c in IBAN_LENGTHS.items())
+_ELSEWHERE = "(?!" + "|".join(IBAN_LENGTHS.values()).replace(" ", "|") + r")[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _R
+#: What may stand between two digits of a phone number.
+_GAP = r"(?:[ \u00A0]?\(|\)[ \u00A0.\-]?|[ \u00A0./\-])"
 #: Candidates by kind, in the order in which they are tried at a place.
 KINDS = {
-    "secret": r"(?:(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api_?key|key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9]{16,256}"
-              + _R + r"|(?<=[\"'])[0-9A-Fa-f]{32,128}(?=[\"']))",
+    "secret": "(?:" + _L + _NAMED + rf"(?!https?://)(?=[A-Za-z0-9]{{16}}|{_SECRET}*[0-9]){_SECRET}{{16,}}+"
+              + r"|(?<=[\"'])[0-9A-Fa-f]{32,}+(?=[\"']))",
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@(?:[\p{L}\p{N}\-]{1,63}+\.){1,8}\p{L}{2,24}" + _R,
-    "iban": _L + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _R,
+    "iban": _L + r"(?=[A-Z]{2}\d{2})(?:" + _IBAN + "|" + _ELSEWHERE + ")",
     "date": _L + r"(?:(?:19|20)\d{2}([\-/.])\d{2}\1\d{2}|\d{2}([\-/.])\d{2}\2(?:19|20)\d{2})" + r"(?![\p{L}\p{N}]|[\-/.]\d)",
     "ip": r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
-    "phone": r"(?:\+\d{1,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}|" + _L + r"\(\d{3}\) ?\d{3}[\-.]\d{4}|"
-             + r"(?<![\p{L}\p{N}\-.])\d{3}[\-.]\d{3}[\-.]\d{4})" + _R,
+    "phone": rf"(?:\+\d(?:{_GAP}?\d){{6,14}}|(?<![\p{{L}}\p{{N}}\-.])00[1-9]\d{{0,2}}{_GAP}\d(?:{_GAP}?\d){{5,11}}|"
+             + _L + r"\(\d{3}\) ?\d{3}[\-. ]\d{4}|(?<![\p{L}\p{N}\-.])\d{3}[\-. ]\d{3}[\-. ]\d{4})" + _R,
     "card": _L + r"(?:\d{13,19}|\d{4}([ \-])\d{4}\3\d{4}\3\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})" + _R,
 }
 #: All kinds as one pattern (the back references count groups over the whole).
@@ -52,6 +68,11 @@ def _hash_number(*parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("|", *parts).cast("binary"), 256), 1, 15), 16, 10).cast("long")
 
 
+def bound(v: Column, f) -> Column:
+    """``f(v)`` with ``v`` evaluated once (a lambda would evaluate it for each element)."""
+    return F.element_at(F.transform(F.array(v), f), 1)
+
+
 def feistel_pair(a: Column, b: Column, n_a: int, n_b: int, tweak: str, key: str) -> Column:
     """struct(a, b) permuted inside n_a x n_b."""
     def step(s: Column, i: Column) -> Column:
@@ -69,16 +90,18 @@ def feistel_chars(values: Column, radix: Column, tweak: str, key: str) -> Column
     n = F.size(values)
     h = (n / 2).cast("int")
 
-    def shifted(xs: Column, other: Column, at: Column, i: Column) -> Column:
-        stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), n, i, F.array_join(other.cast("array<string>"), ",")).cast("binary"), 512)
-        return F.transform(xs, lambda x, k: (x + F.conv(F.substr(stream, (k % 42) * 3 + 1, F.lit(3)), 16, 10).cast("long"))
-                           % F.element_at(radix, at + k + 1))
+    def shifted(xs: Column, other: Column, s: Column, at: Column, i: Column) -> Column:
+        stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), s["n"], i, F.array_join(other.cast("array<string>"), ",")).cast("binary"), 512)
+        return bound(stream, lambda stream: F.transform(
+            xs, lambda x, k: (x + F.conv(F.substr(stream, (k % 42) * 3 + 1, F.lit(3)), 16, 10).cast("long"))
+            % F.element_at(s["r"], at + k + 1)))
 
     def step(s: Column, i: Column) -> Column:
-        return F.when(i % 2 == 0, F.struct(shifted(s["a"], s["b"], F.lit(0), i).alias("a"), s["b"].alias("b"))) \
-                .otherwise(F.struct(s["a"].alias("a"), shifted(s["b"], s["a"], h, i).alias("b")))
+        rest = s["r"].alias("r"), s["n"].alias("n")
+        return F.when(i % 2 == 0, F.struct(shifted(s["a"], s["b"], s, F.lit(0), i).alias("a"), s["b"].alias("b"), *rest)) \
+                .otherwise(F.struct(s["a"].alias("a"), shifted(s["b"], s["a"], s, F.size(s["a"]), i).alias("b"), *rest))
 
-    start = F.struct(F.slice(values, F.lit(1), h).alias("a"), F.slice(values, h + 1, n - h).alias("b"))
+    start = F.struct(F.slice(values, F.lit(1), h).alias("a"), F.slice(values, h + 1, n - h).alias("b"), radix.alias("r"), n.alias("n"))
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: F.concat(s["a"], s["b"]))
 
 
@@ -161,7 +184,7 @@ def _iban(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    head = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(\-])", 0)
+    head = F.regexp_extract(m, r"^(?:\+\d{1,3}|00[1-9]\d{0,2})(?=[ \u00A0.(/\-])", 0)
     return F.concat(head, permute_string(F.substr(m, F.length(head) + 1, F.length(m)), "phone", key))
 
 
@@ -171,9 +194,12 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _secret(m: Column, key: str) -> Column:
-    value = F.regexp_extract(m, r"[A-Za-z0-9]+$", 0)
-    hexa = F.when(value.rlike("^[0-9A-Fa-f]+$"), F.lit(6)).otherwise(F.lit(26))
-    return F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(value)), permute_string(value, "secret", key, hexa))
+    value = F.regexp_extract(m, f"^(?:{_NAMED})?({_SECRET}+)$", 1)
+    hexa = F.when(value.rlike("[A-Za-z0-9]") & ~value.rlike("[G-Zg-z]"), F.lit(6)).otherwise(F.lit(26))
+    # in blocks, so that the work grows with the length and not with its square
+    blocks = F.regexp_extract_all(value, F.lit(f".{{1,{SECRET_BLOCK}}}"), F.lit(0))
+    new = F.array_join(bound(hexa, lambda hexa: F.transform(blocks, lambda b: permute_string(b, "secret", key, hexa))), "")
+    return F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(value)), new)
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -234,10 +260,10 @@ def pseudonym(m: Column, key: str = DEFAULT_KEY) -> Column:
 
 #: A whole candidate, without the surroundings (they were checked in the text).
 _FULL_PLAIN = {
-    "secret": r"^(?:(?i:token|secret|password|passwd|api_?key|key)\s*[=:]|[0-9A-Fa-f]{32,}$)",
+    "secret": rf"^(?:{_NAMED}|[0-9A-Fa-f]{{32,}}$)",
     "email": "@", "iban": r"^[A-Z]{2}\d{2}", "date": r"^(?:\d{4}([\-/.])\d{2}\1\d{2}|\d{2}([\-/.])\d{2}\2\d{4})$",
     "ip": r"^(?:\d{1,3}\.){3}\d{1,3}$", "ssn": r"^\d{3}-\d{2}-\d{4}$",
-    "phone": r"^(?:\+|\(|\d{3}[\-.]\d{3}[\-.]\d{4}$)", "card": r"^\d",
+    "phone": rf"^(?:\+|\(|00[1-9]\d{{0,2}}{_GAP}|\d{{3}}[\-. ]\d{{3}}[\-. ]\d{{4}}$)", "card": r"^\d",
 }
 
 
