@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontam, htmltext, langid, lm, ngram_join, packing, pii, rules, sharding, suffix
+from . import (collocations, decontam, htmltext, langid, licences, lm, ngram_join, packing, pii, rules, sharding, suffix,
+               whitening)
 from .common import table
 
 QUERIES = {
@@ -16,8 +17,13 @@ QUERIES = {
     "op8_pseudonyms": pii.op8,
     "op9_jaccard_join": ngram_join.op9,
     "op10_sparse_suffix_array": suffix.op10,
+    "op11_license_set_join": licences.op11,
+    "op12_stripes_collocations": collocations.op12,
+    "op13_lanczos_whitening": whitening.op13,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontam.OP2_SQL,
+    "op11_license_set_join": licences.OP11_SQL,
+    "op12_stripes_collocations": collocations.OP12_SQL,
 }
