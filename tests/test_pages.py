@@ -128,7 +128,7 @@ def test_bad_pages_do_not_end_a_run(spark):
             ("b", 0, '{"data":{"id":1}}'), ("b", 1, None), ("b", 2, body([{"id": 7}]))]
     df = pages_df(spark, rows)
     assert ids(cursor_chain(parse_pages(df))) == [("a", p, 0) for p in (0, 3, 4, 6)]     # b stops at its empty page 1
-    assert sorted((r.run_id, r.page_no) for r in bad_pages(df).collect()) == [("a", 1), ("a", 2), ("a", 5), ("b", 0)]
+    assert sorted((r.run_id, r.page_no) for r in bad_pages(parse_pages(df)).collect()) == [("a", 1), ("a", 2), ("a", 5), ("b", 0)]
 
 
 def test_one_parse_and_no_exchange_of_payloads_on_the_run(spark):

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import json_str, json_ts, json_value, parse
 from ..functions.labels import TAG_CLASSIFIED, append_tag, close_payload
+from .running import first_rows
 
 WAITING = "waiting_on_customer"
 SLACK = "slack"
@@ -46,9 +47,10 @@ def stale_from(pool: DataFrame, messages: DataFrame, as_of: dt.datetime, limit:
     out = (pool.join(last, "issue_id")
            .where(F.col("last_message_time") < cutoff)
            .select("issue_id", "last_message_time"))
-    if ordered or limit:
-        out = out.orderBy(F.col("last_message_time").asc(), F.col("issue_id").asc())
-    return out.limit(limit) if limit else out
+    order = [F.col("last_message_time").asc(), F.col("issue_id").asc()]
+    if limit:
+        out = first_rows(out, order, limit)
+    return out.orderBy(*order) if ordered else out
 
 
 def stale_candidates(issues: DataFrame, messages: DataFrame, as_of: dt.datetime,

@@ -57,6 +57,14 @@ def dedup_landed(df: DataFrame, keys, position=LANDED_COLS) -> DataFrame:
     return dedup(df, keys, order)
 
 
+def dedup_flushed(df: DataFrame, keys) -> DataFrame:
+    """Records flushed in numbered batches (``flush_no``, see ``running``): a
+    later run beats an earlier one, in a run a later flush, inside a flush the
+    first record."""
+    order = [F.col(c).desc_nulls_last() for c in ("run_id", "flush_no")]
+    return dedup(df, keys, order + [F.col(c).asc_nulls_last() for c in ("issue_id", "page_no", "pos") if c in df.columns])
+
+
 def dedup_counts(df: DataFrame, keys) -> DataFrame:
     """Duplicate accounting (A6): original, null-key, kept and removed rows in
     one aggregate (the distinct count is planned as a partial aggregate on

@@ -5,7 +5,7 @@ Counters are aggregates over per-row outcome tables - no driver-side loops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COUNTER_COLS = ("total_processed", "total_errors", "total_batches", "rows_kept")
@@ -40,7 +40,31 @@ def with_overall(results: DataFrame) -> DataFrame:
                     *COUNTER_COLS, (F.col("total_errors") == 0).alias("success"))
 
 
+#: The run log holds every command's counters; a command leaves others' NULL.
+RUN_LOG = ("command string, object_type string, table_name string, total_processed bigint, total_errors bigint, "
+           "total_batches bigint, rows_kept bigint, total_classified bigint, total_updated bigint, total_analyzed bigint, "
+           "total_closed bigint, rows_before bigint, rows_after bigint, success boolean, error string, run_at timestamp")
+
+
 def append_run_log(df: DataFrame, path: str, command: str) -> None:
-    """Append counters to the run-log table with the run time."""
-    (df.withColumn("command", F.lit(command)).withColumn("run_at", F.current_timestamp())
-       .write.mode("append").parquet(path))
+    """Append a command's counters to the run-log table with the run time."""
+    df = df.withColumn("command", F.lit(command)).withColumn("run_at", F.current_timestamp())
+    columns = [c.split() for c in RUN_LOG.split(", ")]
+    df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in columns]).write.mode("append").parquet(path)
+
+
+def log_failure(spark: SparkSession, path: str, command: str, error: Exception) -> None:
+    """A command that failed as a whole."""
+    text = str(error).splitlines()[0][:500] if str(error) else type(error).__name__
+    append_run_log(spark.createDataFrame([(1, False, text)], "total_errors bigint, success boolean, error string"), path, command)
+
+
+def log_run(out: dict, path: str, command: str) -> None:
+    """I10 of a command whose outputs are still to be computed: its counters
+    are computed (its decisions stay cached for the outputs) and logged; if
+    that fails, the failure is logged and raised."""
+    try:
+        append_run_log(out["counters"], path, command)
+    except Exception as e:
+        log_failure(out["counters"].sparkSession, path, command, e)
+        raise

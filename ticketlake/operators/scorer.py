@@ -9,6 +9,8 @@ provided:
   with a partial aggregate, and the best label per field is picked.
 * ``score_with`` - any user function over pandas batches via
   ``mapInPandas`` (Arrow batches; a failure in a batch gives NULL responses).
+* ``score_logged`` - the same over a response log: what was answered once is
+  not asked again, and a failed run is resumed.
 """
 
 from __future__ import annotations
@@ -16,10 +18,12 @@ from __future__ import annotations
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import CATEGORIES, RESOLUTIONS
+from ..session import scratch_path
 
 # Token rule: maximal runs of Unicode letters/digits, lower-cased.
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
@@ -90,8 +94,49 @@ def score_with(reqs: DataFrame, fn: Callable[[pd.DataFrame], pd.Series]) -> Data
     return reqs.select(*cols).mapInPandas(run, "issue_id string, response string, error string")
 
 
+RESPONSE_LOG = "digest string, response string, scored_at timestamp"
+
+
+def request_digest(*texts) -> Column:
+    """What a request asks, as 64 hex digits: equal requests have one answer."""
+    return F.sha2(F.to_json(F.struct(*texts)).cast("binary"), 256)
+
+
+def answered(spark: SparkSession, log_path: str) -> DataFrame:
+    """(digest, response) of the response log, one row for each request."""
+    try:
+        log = spark.read.schema(RESPONSE_LOG).parquet(log_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = spark.createDataFrame([], RESPONSE_LOG)
+    return log.groupBy("digest").agg(F.min("response").alias("response"))
+
+
+def score_logged(reqs: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], log_path: str, slices: int = 16) -> DataFrame:
+    """``issue_id, response`` of all requests, asked at most once each.
+
+    The response log is keyed by what is asked, not by who asks: requests are
+    reduced to their distinct digests, those in the log are not asked again,
+    and the rest is scored in ``slices`` (by digest, so a run that comes after
+    cuts them alike). Each slice is committed to the log when it is done; a run
+    that fails midway loses one slice, and the next asks what is missing. A
+    request whose call raises is not logged and is asked again next time.
+    """
+    spark = reqs.sparkSession
+    keyed = reqs.select("issue_id", "system", "user", request_digest("system", "user").alias("digest"))
+    todo = (keyed.join(answered(spark, log_path), "digest", "left_anti")
+            .dropDuplicates(["digest"]).withColumn("slice", F.pmod(F.xxhash64("digest"), F.lit(slices)).cast("int")))
+    path = scratch_path(spark, "requests")
+    todo.select(F.col("digest").alias("issue_id"), "system", "user", "slice").write.partitionBy("slice").parquet(path)
+    left = spark.read.schema("issue_id string, system string, user string, slice int").parquet(path)
+    for r in left.select("slice").distinct().orderBy("slice").collect():          # a row for each slice
+        got = score_with(left.where(F.col("slice") == r["slice"]), fn)
+        got.where(F.col("error").isNull() & F.col("response").isNotNull()) \
+           .select(F.col("issue_id").alias("digest"), "response", F.current_timestamp().alias("scored_at")).write.mode("append").parquet(log_path)
+    return keyed.select("issue_id", "digest").join(answered(spark, log_path), "digest", "left").select("issue_id", "response")
+
+
 def replay(reqs: DataFrame, landed: DataFrame) -> DataFrame:
     """Responses landed by an external scorer, matched to the requests."""
     return reqs.select("issue_id").join(landed.select("issue_id", "response"), "issue_id", "left")
-
-

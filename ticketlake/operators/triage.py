@@ -16,6 +16,7 @@ from ..functions.jsonx import json_str, json_ts, json_type, json_value, parse
 from ..functions.labels import (FIELDS, accept_error_staged, accepted_staged, gate_staged,
                                response_features, update_payload)
 from ..functions.prompts import system_for, user_text
+from .running import first_rows
 
 CLOSED = "closed"
 
@@ -25,9 +26,8 @@ def unclassified(issues: DataFrame, fields=FIELDS, created_start: str | None = N
                  ordered: bool = True, with_tags: bool = False) -> DataFrame:
     """P8 + L1: closed issues with a NULL label among ``fields`` (no fields ->
     none), optional inclusive created_at bounds, newest first (issue id
-    breaks ties), optional record cap (top-n, not a global sort).
-    ``ordered=False`` skips the global sort when the set only feeds joins (a
-    cap always sorts); ``with_tags`` carries the issue's tags along, so the
+    breaks ties), optional record cap (a rank cut, see ``running``).
+    ``ordered=False`` skips the global sort when the set only feeds joins; ``with_tags`` carries the issue's tags along, so the
     decision step needs no second read of the issues table."""
     d = F.col("data")
     conds = [json_value(d, f"$.custom_fields.{f}.value").isNull() for f in fields if f in FIELDS]
@@ -42,9 +42,10 @@ def unclassified(issues: DataFrame, fields=FIELDS, created_start: str | None = N
     if with_tags:
         cols.append(F.try_variant_get(d, "$.tags", "array<string>").alias("tags"))
     out = issues.where(pred).select(*cols)
-    if ordered or limit:
-        out = out.orderBy(F.col("created_at").desc_nulls_last(), F.col("issue_id").asc())
-    return out.limit(limit) if limit else out
+    order = [F.col("created_at").desc_nulls_last(), F.col("issue_id").asc()]
+    if limit:
+        out = first_rows(out, order, limit)
+    return out.orderBy(*order) if ordered else out
 
 
 def requests(targets: DataFrame, conversations: DataFrame, fields: Column | None = None,

@@ -103,6 +103,11 @@ SELECT CAST(o_orderkey AS VARCHAR) AS issue_id, {ISSUE_STATE} AS state,
 FROM orders WHERE o_orderkey IN (1, 2)
 """)
 
+oracle("keyed_lookup", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS issue_id, CASE WHEN o_orderkey % 2 = 0 THEN 'closed' ELSE {ISSUE_STATE} END AS state
+FROM orders WHERE o_orderkey IN (1, 2)
+""")
+
 oracle("record_cap", """
 SELECT row_number() OVER (ORDER BY o_orderkey) AS rank, CAST(o_orderkey AS VARCHAR) AS issue_id
 FROM (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 500) t
@@ -252,7 +257,11 @@ WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:0
 """)
 
 # ------------------------------------------------------------------ text + threads
-from .functions.text import ENTITIES, TAG_PATTERN, WHITESPACE_RUN  # noqa: E402
+# What a tag is, the entities in the order they are decoded, and
+# Unicode white space, written out here apart from the code under test.
+_TAG = "<[^>]+>"
+_ENTITIES = [("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")]
+_SPACES = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 def _q(s: str) -> str:
@@ -261,10 +270,10 @@ def _q(s: str) -> str:
 
 def sql_strip(expr: str) -> str:
     """J8 in DuckDB: same tag pattern, same entity order, same whitespace class."""
-    t = f"regexp_replace(coalesce({expr}, ''), {_q(TAG_PATTERN)}, '', 'g')"
-    for ent, rep in ENTITIES:
+    t = f"regexp_replace(coalesce({expr}, ''), {_q(_TAG)}, '', 'g')"
+    for ent, rep in _ENTITIES:
         t = f"replace({t}, {_q(ent)}, {_q(rep)})"
-    t = f"regexp_replace({t}, {_q(WHITESPACE_RUN)}, ' ', 'g')"
+    t = f"regexp_replace({t}, {_q(_SPACES)}, ' ', 'g')"
     return f"trim({t}, ' ')"
 
 
@@ -355,19 +364,27 @@ FROM ({_CHAT}) c LEFT JOIN ({_TEAM_OF}) t ON t.email = c.author
 """)
 
 # ------------------------------------------------------------------ triage
-from .functions.labels import CATEGORIES, RESOLUTIONS  # noqa: E402
 from .functions.prompts import system_text  # noqa: E402
 
+# The label keys, written out here apart from the code under test.
+_RESOLUTIONS = ("bug_fix feature_request referred_to_public_resource referred_with_internal_knowledge customer_love no_action").split()
+_CATEGORIES = (
+    "admin_authentication_access admin_billing_refunds admin_data_deletion admin_general_account_management "
+    "admin_security_privacy_and_compliance langchain_oss_python anggraph_platform langgraph_studio langsmith_administration "
+    "langsmith_annotations langsmith_automation_rules langsmith_dashboards langsmith_datasets_experiments langsmith_evaluation "
+    "langsmith_observability langsmith_playground langsmith_pricing langsmith_prompt_hub langsmith_sdk langsmith_insights "
+    "langgraph_oss_js langchain_oss_js other_partnerships other_sales other_spam other_marketing_promotional").split()
+
 
-def _list(rows) -> str:
-    return "[" + ", ".join(_q(r[0]) for r in rows) + "]"
+def _list(labels) -> str:
+    return "[" + ", ".join(map(_q, labels)) + "]"
 
 
 K = "o_orderkey"
 RES_LABEL = (f"CASE WHEN {K} % 3 = 0 THEN NULL WHEN {K} % 7 = 4 THEN '' WHEN {K} % 13 = 0 THEN 'bug_fixed' "
-             f"ELSE {_list(RESOLUTIONS)}[{K} % 6 + 1] END")
+             f"ELSE {_list(_RESOLUTIONS)}[{K} % 6 + 1] END")
 CAT_LABEL = (f"CASE WHEN {K} % 5 = 0 THEN NULL WHEN {K} % 17 = 0 THEN 'langgraph_platform' "
-             f"ELSE {_list(CATEGORIES)}[{K} % 26 + 1] END")
+             f"ELSE {_list(_CATEGORIES)}[{K} % 26 + 1] END")
 TAGS = (f"CASE {K} % 7 WHEN 0 THEN ['vip', 'auto-classified'] WHEN 1 THEN NULL WHEN 2 THEN []::VARCHAR[] "
         f"WHEN 3 THEN ['vip', 'vip', 'auto-closed'] ELSE ['p' || substr(o_orderpriority, 1, 1)] END")
 
@@ -394,8 +411,7 @@ SELECT issue_id, is_closed, missing, missing <> '' AS needs_classification FROM
   FROM orders) t
 """)
 
-_TAX_VALUES = ", ".join([f"('resolution', {_q(r[0])})" for r in RESOLUTIONS] +
-                        [f"('category', {_q(c[0])})" for c in CATEGORIES])
+_TAX_VALUES = ", ".join([f"('resolution', {_q(r)})" for r in _RESOLUTIONS] + [f"('category', {_q(c)})" for c in _CATEGORIES])
 oracle("taxonomy_check", f"""
 WITH l AS (SELECT 'resolution' AS field, {RES_LABEL} AS label FROM orders
            UNION ALL SELECT 'category', {CAT_LABEL} FROM orders),
@@ -418,14 +434,14 @@ FROM orders
 """)
 
 
-def _chat_thread(head: int, tail: int) -> str:
+def _chat_thread(head: int, tail: int, body: str = "text") -> str:
     line = _line("ts", "author", "body", "team")
     return f"""
-SELECT issue_id, conv_id, string_agg({line}, chr(10) ORDER BY rn) AS conversation FROM (
+SELECT issue_id, conv_id, count(*) AS n_lines, string_agg({line}, chr(10) ORDER BY rn) AS conversation FROM (
   SELECT c.*, coalesce(t.team_name, 'Customer') AS team,
          row_number() OVER (PARTITION BY issue_id ORDER BY ts, message_id) AS rn,
          count(*) OVER (PARTITION BY issue_id) AS n
-  FROM ({_CHAT}) c LEFT JOIN ({_TEAM_OF}) t ON t.email = c.author) j
+  FROM ({_CHAT.replace("text AS body", f"{body} AS body")}) c LEFT JOIN ({_TEAM_OF}) t ON t.email = c.author) j
 WHERE rn <= {head} OR rn > n - {tail}
 GROUP BY issue_id, conv_id
 """
@@ -598,7 +614,7 @@ _PLANTED = """p AS (
   UNION ALL SELECT c_custkey, 'r0', c_custkey // 100 + 1, 100, 'b' FROM customer WHERE c_custkey % 100 = 0
   UNION ALL SELECT c_custkey, 'r0', c_custkey // 100, 200, 'c' FROM customer WHERE c_custkey % 100 = 7
   UNION ALL SELECT c_custkey, 'r1', c_custkey // 500, c_custkey % 500, 'd' FROM customer WHERE c_custkey % 5 = 0),
-g AS (SELECT *, k % 50 = 49 AND mark = 'a' AS no_id FROM p WHERE NOT (run = 'r0' AND page % 6 = 3))"""
+g AS (SELECT *, k % 50 = 49 AND mark = 'a' AS no_id FROM p WHERE NOT (run = 'r0' AND page % 6 = 1))"""
 oracle("replicate_write", f"""
 WITH {_PLANTED}
 SELECT CAST(k AS VARCHAR) AS account_id, run || '-' || CAST(page AS VARCHAR) || mark AS name
@@ -607,13 +623,59 @@ FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY run DESC, page DESC,
 oracle("replicate_counters", f"""
 WITH {_PLANTED}
 SELECT 'accounts' AS object_type, 'accounts' AS table_name, CAST(count_if(NOT no_id) AS BIGINT) AS total_processed,
-       CAST(count_if(no_id) + (SELECT count(DISTINCT page) FROM p WHERE run = 'r0' AND page % 6 = 3) AS BIGINT) AS total_errors,
+       CAST(count_if(no_id) + (SELECT count(DISTINCT page) FROM p WHERE run = 'r0' AND page % 6 = 1) AS BIGINT) AS total_errors,
        CAST(count(DISTINCT CASE WHEN NOT no_id THEN run || CAST(page AS VARCHAR) END) AS BIGINT) AS total_batches,
        CAST(count(DISTINCT CASE WHEN NOT no_id THEN k END) AS BIGINT) AS rows_kept FROM g
 """)
 oracle("bad_pages", f"""
 WITH {_PLANTED}
-SELECT DISTINCT 'accounts' AS object_type, run AS run_id, CAST(page AS BIGINT) AS page_no FROM p WHERE run = 'r0' AND page % 6 = 3
+SELECT DISTINCT 'accounts' AS object_type, run AS run_id, CAST(page AS BIGINT) AS page_no FROM p WHERE run = 'r0' AND page % 6 = 1
+""")
+_RUN_SIZES = "SELECT run, count(*) AS n, count(DISTINCT k) AS keys FROM g WHERE NOT no_id GROUP BY run"
+oracle("flush_counters", f"""
+WITH {_PLANTED},
+r AS ({_RUN_SIZES}),
+sizes(flush_size) AS (VALUES (40), (250), (1000), (100))
+SELECT CAST(flush_size AS BIGINT) AS flush_size, 'accounts' AS object_type, 'accounts' AS table_name,
+       CAST((SELECT sum(n) FROM r) AS BIGINT) AS total_processed,
+       CAST((SELECT count_if(no_id) FROM g) + (SELECT count(DISTINCT page) FROM p WHERE run = 'r0' AND page % 6 = 1) AS BIGINT) AS total_errors,
+       CAST((SELECT sum((n + flush_size - 1) // flush_size) FROM r) AS BIGINT) AS total_batches,
+       CAST((SELECT count(DISTINCT k) FROM g WHERE NOT no_id) AS BIGINT) AS rows_kept
+FROM sizes
+""")
+oracle("replicate_flushed", f"""
+WITH {_PLANTED},
+f AS (SELECT *, (row_number() OVER (PARTITION BY run ORDER BY page, pos) - 1) // 250 AS flush FROM g WHERE NOT no_id)
+SELECT CAST(k AS VARCHAR) AS account_id, run || '-' || CAST(page AS VARCHAR) || mark AS name
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY run DESC, flush DESC, page, pos) AS rn FROM f) t WHERE rn = 1
+""")
+oracle("replicate_all", ORACLES["replicate_report"])
+oracle("run_log", f"""
+WITH t AS (SELECT {K} AS k FROM orders WHERE o_orderstatus = 'F' AND ({K} % 3 = 0 OR {K} % 5 = 0)),
+c AS (SELECT k, k IN (SELECT l_orderkey FROM lineitem) AS has,
+             k IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber % 2 = 0 OR l_suppkey % 10 = 9) AS hit FROM t),
+u AS (SELECT count(*) AS n FROM supplier)
+SELECT 'replicate all' AS command, o AS object_type, n AS total_processed, CAST(0 AS BIGINT) AS total_errors,
+       CAST(NULL AS BIGINT) AS total_classified, CAST(NULL AS BIGINT) AS rows_before, CAST(NULL AS BIGINT) AS rows_after,
+       true AS success, false AS failed FROM u, (VALUES ('users'), ('all')) v(o)
+UNION ALL
+SELECT 'classify', NULL, count(*), CAST(count_if(NOT has) AS BIGINT), CAST(count_if(hit) AS BIGINT), NULL, NULL, count_if(NOT has) = 0, false FROM c
+UNION ALL
+SELECT 'truncate', NULL, NULL, NULL, NULL, n, 0, NULL, false FROM u
+""")
+oracle("replicate_chunked", f"""
+WITH m AS (SELECT {K} AS k, o_orderdate + to_days(CAST({K} % 30 AS INTEGER)) AS at, {_BAD_ID} AS bad FROM orders),
+c AS (SELECT *, least(date_diff('day', TIMESTAMP '1996-01-01', at) // 240, 5) AS chunk_no FROM m
+      WHERE at BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-06-15')
+SELECT CAST(chunk_no AS BIGINT) AS chunk_no, CAST(CASE WHEN chunk_no = 1 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+       count(*) AS total_processed, CAST(CASE WHEN chunk_no = 1 THEN 1 ELSE 0 END AS BIGINT) AS failed, count(*) AS in_table
+FROM c WHERE NOT bad GROUP BY chunk_no
+""")
+_EDITED = "CASE WHEN conv_id % 3 = 0 AND turn = 0 THEN 'edited ' || text ELSE text END"
+oracle("incremental_conversations", f"""
+SELECT issue_id, n_lines, conversation,
+       conv_id IN (SELECT conv_id FROM conversations WHERE conv_id % 3 = 0 AND turn = 0) AS rebuilt
+FROM ({_chat_thread(3, 6, _EDITED)}) x
 """)
 oracle("reject_rows", f"""
 WITH {_PLANTED}
@@ -657,8 +719,8 @@ FROM documents
 """)
 
 # ------------------------------------------------------------------ scorer
-_KW = sorted({("resolution", r[0], w) for r in RESOLUTIONS for w in r[0].split("_")} |
-             {("category", c[0], w) for c in CATEGORIES for w in c[0].split("_")})
+_KW = sorted({("resolution", r, w) for r in _RESOLUTIONS for w in r.split("_")} |
+             {("category", c, w) for c in _CATEGORIES for w in c.split("_")})
 _KW_VALUES = ", ".join(f"({_q(f)}, {_q(lab)}, {_q(w)})" for f, lab, w in _KW)
 oracle("keyword_scores", f"""
 WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
@@ -673,3 +735,28 @@ SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS name,
             ELSE c_mktsegment END AS segment
 FROM customer
 """)
+oracle("stream_chain_cut", """
+SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_name AS name FROM customer
+WHERE NOT (c_nationkey % 3 = 0 AND c_custkey % 6 > 2
+           AND c_nationkey IN (SELECT c_nationkey FROM customer WHERE c_custkey % 6 = 2))
+""")
+
+# ------------------------------------------------------------------ classify by keywords
+_SAID = ("text || CASE length(text) % 5 WHEN 0 THEN ' billing refunds, Billing!' "
+         "WHEN 1 THEN ' bug fix bug fix bug fix bug fix bug fix bug fix bug fix bug fix' WHEN 2 THEN ' spam' ELSE '' END")
+_VALUE = "CASE label WHEN 'bug_fix' THEN 'big_fix' WHEN 'langgraph_platform' THEN 'langgraph_langgraph_platform' ELSE label END"
+oracle("classify_keywords", f"""
+WITH x AS ({_chat_thread(3, 6, _SAID)}),
+w AS (SELECT issue_id, unnest(regexp_split_to_array(lower(conversation), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM x),
+k(field, label, word) AS (VALUES {_KW_VALUES}),
+h AS (SELECT issue_id, field, label, count(*) AS hits FROM w JOIN k ON k.word = w.word GROUP BY ALL),
+b AS (SELECT issue_id, field, label, round(hits / sum(hits) OVER (PARTITION BY issue_id, field), 4) AS conf,
+             row_number() OVER (PARTITION BY issue_id, field ORDER BY hits DESC, label) AS rn FROM h),
+f AS (SELECT issue_id, min(conf) AS low, string_agg(field || '=' || {_VALUE}, ';' ORDER BY field DESC) AS fields FROM b WHERE rn = 1 GROUP BY 1)
+SELECT x.issue_id, CASE WHEN low >= 0.8 THEN 'updated' ELSE 'skipped' END AS outcome, CASE WHEN low >= 0.8 THEN fields END AS fields
+FROM x LEFT JOIN f USING (issue_id)
+""")
+oracle("score_resumed", """
+SELECT CAST(doc_id AS VARCHAR) AS issue_id, CASE WHEN n % 17 = 0 THEN '2:' ELSE '1:' END || CAST(n AS VARCHAR) AS response
+FROM (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS n FROM documents) t
+""")

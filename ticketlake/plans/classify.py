@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import FIELDS
 from ..operators import scorer, triage
 from ..operators.keysets import restrict_to
+from ..operators.runlog import log_run
 from ..operators.threads import triage_conversations
 
 
@@ -17,14 +18,15 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
              responder: Callable[[DataFrame], DataFrame] | None = None,
              fields=FIELDS, targets: DataFrame | None = None, created_start: str | None = None,
              created_end: str | None = None, max_records: int | None = None, debug: bool = False,
-             created_at: Column | None = None) -> dict:
+             created_at: Column | None = None, log_path: str | None = None) -> dict:
     """Returns ``{"decisions", "outbox", "counters", "requests"}`` DataFrames
     and ``"persisted"``, the cached intermediates (``plans.release`` them
     once the outputs are written).
 
     ``responder(requests) -> (issue_id, response)``; default: keyword scorer.
     ``targets`` (issue_id[, fields]) replaces the unclassified selection (the
-    single-issue form and the closing flow).
+    single-issue form and the closing flow). With ``log_path`` the run's
+    counters are computed now and go to the run log (I10).
     """
     snapshot = issues
     persisted = []
@@ -48,6 +50,9 @@ def classify(issues: DataFrame, messages: DataFrame, teams: DataFrame,
     # computed once (executor loss -> recomputed from lineage). Persisting also
     # keeps a filter on its outputs from being inlined into the parse chain.
     dec = triage.decisions(reqs, resp, snapshot).persist()
-    return {"requests": reqs, "decisions": dec,
-            "outbox": triage.update_outbox(dec, created_at), "counters": triage.counters(dec),
-            "persisted": persisted + [dec]}
+    out = {"requests": reqs, "decisions": dec,
+           "outbox": triage.update_outbox(dec, created_at), "counters": triage.counters(dec),
+           "persisted": persisted + [dec]}
+    if log_path:
+        log_run(out, log_path, "classify")
+    return out

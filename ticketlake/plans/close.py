@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.prompts import QUESTION_SYSTEM, question_user_text
 from ..operators import closing
 from ..operators.keysets import restrict_to
+from ..operators.runlog import log_run
 from ..operators.threads import closing_conversations
 from .classify import classify
 
@@ -28,7 +29,7 @@ def question_requests(candidates: DataFrame, convs: DataFrame) -> DataFrame:
 def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams: DataFrame,
           as_of: dt.datetime, question_responder: Callable[[DataFrame], DataFrame],
           label_responder: Callable[[DataFrame], DataFrame] | None = None,
-          max_records: int | None = None, created_at: Column | None = None) -> dict:
+          max_records: int | None = None, created_at: Column | None = None, log_path: str | None = None) -> dict:
     """Candidates come from the warehouse table; their current state (closed?
     labels? tags?) from ``current``, the service's latest snapshot.
 
@@ -53,6 +54,9 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     qreq = question_requests(cand, convs)
     dec = closing.closing_decisions(cand, cur_rows, convs, question_responder(qreq), cls["decisions"]).persist()
     persisted = [cand, cur, cand_msgs, dec] + cls["persisted"]
-    return {"candidates": cand.orderBy("last_message_time", "issue_id"), "decisions": dec,
-            "classify_outbox": cls["outbox"], "outbox": closing.close_outbox(dec, created_at),
-            "counters": closing.close_counters(dec), "persisted": persisted}
+    out = {"candidates": cand.orderBy("last_message_time", "issue_id"), "decisions": dec,
+           "classify_outbox": cls["outbox"], "outbox": closing.close_outbox(dec, created_at),
+           "counters": closing.close_counters(dec), "persisted": persisted}
+    if log_path:
+        log_run(out, log_path, "close")
+    return out

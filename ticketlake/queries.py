@@ -203,6 +203,22 @@ def q_point_lookup(spark, d):
                       json_value(u, "$.created_at").alias("created_at"))
 
 
+@query("keyed_lookup")
+def q_keyed_lookup(spark, d):
+    """S10 on a keyed table of two versions: three keys (in the base only, in
+    both, in none), each from the files of one bucket."""
+    from functools import reduce
+    from .operators.merge import KeyedTable
+    from .session import scratch_path
+    from .functions.jsonx import json_value
+    f = fx.warehouse(spark, d, "issue_records")
+    t = KeyedTable(spark, scratch_path(spark, "lookup"), "issues")
+    t.upsert(_issue_rows(f, F.col("record")))
+    t.upsert(_issue_rows(f.where(F.col("key") % 2 == 0), _state_set(F.col("record"), "closed")))
+    found = reduce(DataFrame.unionByName, [t.lookup(k) for k in ("1", "2", "no such key")])
+    return found.select("issue_id", json_value("data", "$.state").alias("state"))
+
+
 @query("record_cap")
 def q_record_cap(spark, d):
     """The first 500 records in landing order (the cap is the feature)."""
@@ -315,7 +331,7 @@ def q_filter_shaped(spark, d):
                      extra={"filter": {"field": "bucket", "operator": "equals", "values": ["low"]}})
 
 
-CHUNK_START, CHUNK_END = dt.datetime(1996, 1, 1), dt.datetime(1999, 6, 15)
+CHUNK_START, CHUNK_END = fx.CHUNK_START, fx.CHUNK_END
 
 
 @query("chunk_30d")
@@ -794,6 +810,19 @@ def _payload_cols(outbox: DataFrame, schema: str) -> DataFrame:
     return outbox.select("issue_id", "kind", F.from_json("payload", schema).alias("p"))
 
 
+@query("classify_keywords")
+def q_classify_keywords(spark, d):
+    """E4+F1: a classify run whose labels come from the conversations: closed
+    chat issues scored by the keywords in their (truncated) text, parsed,
+    gated, and turned into updates."""
+    from .plans.classify import classify
+    run = classify(fx.warehouse(spark, d, "chat_issues"), fx.warehouse(spark, d, "keyword_messages"), _teams(spark, d),
+                   created_at=F.to_timestamp(F.lit("2024-06-02 00:00:00")))
+    dec = _output(spark, run, "decisions")
+    fields = F.array_join(F.transform("custom_fields", lambda x: F.concat(x["slug"], F.lit("="), x["value"])), ";")
+    return dec.select("issue_id", "outcome", fields.alias("fields"))
+
+
 @query("update_outbox")
 def q_update_outbox(spark, d):
     """J19+I8: classification outbox rows, payload read back into columns."""
@@ -964,6 +993,122 @@ def q_replicate_counters(spark, d):
     return _replicated(spark, d)["counters"]
 
 
+@query("flush_counters")
+def q_flush_counters(spark, d):
+    """I5+A8: the planted account pages written in flushes of fewer records
+    than a page holds, of a page's, of more, and page by page."""
+    from functools import reduce
+    from .operators.merge import KeyedTable
+    from .plans.replicate import flush_size, replicate_object
+    from .session import scratch_path
+    pages = fx.warehouse(spark, d, "replicate_pages")
+    out = []
+    for size in (flush_size(40), flush_size(batch_size=250), flush_size(5000), flush_size(save_each_page=True)):
+        t = KeyedTable(spark, scratch_path(spark, f"flush-{size}"), "accounts")
+        out.append(replicate_object(spark, pages, "accounts", t, flush=size).select(F.lit(size).cast("long").alias("flush_size"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("replicate_flushed")
+def q_replicate_flushed(spark, d):
+    """I5+I4: which record of a key stays depends on the flush it was written
+    in: flushes of 250 records across pages, later flush wins, inside a flush
+    the first."""
+    from .functions.jsonx import json_value
+    from .operators.merge import KeyedTable
+    from .plans.replicate import replicate_object
+    from .session import scratch_path
+    t = KeyedTable(spark, scratch_path(spark, "flushed"), "accounts")
+    replicate_object(spark, fx.warehouse(spark, d, "replicate_pages"), "accounts", t, flush=250)
+    return t.read().select("account_id", json_value("data", "$.name").alias("name"))
+
+
+@query("replicate_all")
+def q_replicate_all(spark, d):
+    """E3 with its writes: every object type into its keyed table, three at a
+    time; counters and the overall row, as the run log has them."""
+    from .operators.merge import KeyedTable
+    from .plans.replicate import replicate_all
+    from .schema import REPLICATION_ORDER
+    from .session import scratch_path
+    tables = {t: KeyedTable(spark, scratch_path(spark, f"all-{t}"), t) for t in REPLICATION_ORDER}
+    log = scratch_path(spark, "run-log")
+    replicate_all(spark, {t: fx.warehouse(spark, d, f"pages_{t}") for t in REPLICATION_ORDER}, tables, log_path=log, at_once=3)
+    return spark.read.parquet(log).select("object_type", "table_name", "total_processed", "total_errors", "total_batches", "rows_kept", "success")
+
+
+@query("run_log")
+def q_run_log(spark, d):
+    """What replicate, classify and truncate write to the run log."""
+    from .operators.merge import KeyedTable
+    from .plans import release
+    from .plans.classify import classify
+    from .plans.replicate import replicate_all
+    from .plans.truncate import truncate
+    from .session import scratch_path
+    log = scratch_path(spark, "run-log")
+    users = KeyedTable(spark, scratch_path(spark, "log-users"), "users")
+    replicate_all(spark, {"users": fx.warehouse(spark, d, "pages_users")}, {"users": users}, log_path=log)
+    release(classify(_issues(spark, d), fx.warehouse(spark, d, "li_messages"), _teams(spark, d), log_path=log))
+    truncate(users, "users", log_path=log)
+    return spark.read.parquet(log).select("command", "object_type", "total_processed", "total_errors", "total_classified", "rows_before",
+                                          "rows_after", "success", F.col("error").isNotNull().alias("failed"))
+
+
+@query("replicate_chunked")
+def q_replicate_chunked(spark, d):
+    """P3+E1+I10: issues in chunks of 240 days, each with its own landing
+    folder. The source fails once for the second chunk: the others are
+    written, and a second run of the command does that chunk alone."""
+    from .operators.merge import KeyedTable
+    from .plans.replicate import replicate_chunked
+    from .session import scratch_path
+    landed = fx.warehouse(spark, d, "pages_issue_chunks")
+    table, log = KeyedTable(spark, scratch_path(spark, "chunked"), "issues"), scratch_path(spark, "chunk-log")
+    down = {1}
+
+    def fetch(chunk_no: int) -> DataFrame:
+        if chunk_no in down:
+            down.discard(chunk_no)
+            raise ConnectionError("source down")
+        return landed.where(F.col("chunk_no") == chunk_no).drop("chunk_no")
+
+    for _ in range(2):
+        out = replicate_chunked(spark, fetch, table, CHUNK_START, CHUNK_END, log, "issues", days=fx.CHUNK_DAYS)
+    done = out.groupBy("chunk_no").agg(F.count(F.lit(1)).cast("long").alias("attempts"), F.max("total_processed").alias("total_processed"),
+                                       F.count(F.when(F.col("status") == "failed", 1)).cast("long").alias("failed"))
+    kept = table.read().select(_chunk_of("data").alias("chunk_no")).groupBy("chunk_no").agg(F.count(F.lit(1)).cast("long").alias("in_table"))
+    return done.join(kept, "chunk_no")
+
+
+def _chunk_of(data: str) -> Column:
+    from .functions.jsonx import json_ts
+    from .operators.filters import chunk_index
+    return chunk_index(json_ts(data, "$.modified_at"), CHUNK_START, CHUNK_END, fx.CHUNK_DAYS)
+
+
+@query("incremental_conversations")
+def q_incremental_conversations(spark, d):
+    """ST2+E6: conversations of all issues, then a second load of messages (a
+    changed first message for every third issue) and an incremental run that
+    rebuilds only what it touched."""
+    from .operators.merge import KeyedTable
+    from .plans.incremental import conversation_table, refresh_conversations
+    from .session import scratch_path
+    m = fx.warehouse(spark, d, "chat_messages").withColumns({
+        "updated_at": F.current_timestamp(), "page_no": F.lit(0).cast("long"), "pos": F.lit(0).cast("long")})
+    messages = KeyedTable(spark, scratch_path(spark, "inc-messages"), "messages")
+    target = conversation_table(spark, scratch_path(spark, "inc-conversations"))
+    messages.upsert(m)
+    refresh_conversations(messages, _teams(spark, d), target)
+    first = m.where((F.col("issue_id").cast("long") % 3 == 0) & (F.col("message_id") == "0"))
+    changed = F.parse_json(F.regexp_replace(F.to_json("data"), '"message_html":"', '"message_html":"edited '))
+    messages.upsert(first.withColumn("data", changed))
+    rebuilt = refresh_conversations(messages, _teams(spark, d), target).withColumn("rebuilt", F.lit(True))
+    return target.read().join(rebuilt, "issue_id", "left").select("issue_id", "n_lines", "conversation",
+                                                                  F.coalesce("rebuilt", F.lit(False)).alias("rebuilt"))
+
+
 @query("bad_pages")
 def q_bad_pages(spark, d):
     """Pages that do not parse, as the write stored them."""
@@ -1069,6 +1214,30 @@ def q_batch_scores(spark, d):
     return score_with(reqs, _count_words)
 
 
+@query("score_resumed")
+def q_score_resumed(spark, d):
+    """F1 resumable: every document's text is asked; the scorer fails for some
+    requests, and a second run asks only those (answers name their run)."""
+    from .operators.scorer import score_logged
+    from .session import scratch_path
+    reqs = T(spark, d, "documents").select(F.col("doc_id").cast("string").alias("issue_id"), F.lit("count").alias("system"),
+                                           F.coalesce("text", F.lit("")).alias("user"))
+    log = scratch_path(spark, "responses")
+    score_logged(reqs, _count_or_fail, log, slices=3)
+    return score_logged(reqs, _count_again, log, slices=3)
+
+
+def _count_or_fail(batch):
+    words = batch["user"].map(lambda t: len(t.split()))
+    if (words % 17 == 0).any():
+        raise RuntimeError("scorer down")
+    return "1:" + words.astype(str)
+
+
+def _count_again(batch):
+    return "2:" + batch["user"].map(lambda t: str(len(t.split())))
+
+
 @query("keyword_scores")
 def q_keyword_scores(spark, d):
     """F1 default scorer: taxonomy keyword hits per document and label over
@@ -1109,3 +1278,28 @@ def q_stream_upsert(spark, d):
     t = table.read()
     return t.select("account_id", json_value("data", "$.name").alias("name"),
                     json_value("data", "$.segment").alias("segment"))
+
+
+@query("stream_chain_cut")
+def q_stream_chain_cut(spark, d):
+    """ST1+S2: a run per nation, one page file a trigger's share; the page
+    that ends every third run lands last, after a restart, and one more page
+    behind it later still. The table reads as the chain says."""
+    from .functions.jsonx import json_value
+    from .operators.merge import KeyedTable
+    from .session import scratch_path
+    from .sources.pages import write_landed
+    from .streaming.pages_stream import stream_upsert
+    cust = T(spark, d, "customer")
+    k, n = F.col("key"), F.col("nation")
+    recs = fx.account_records(cust).join(cust.select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("nation")), "key")
+    page = (k % 6).cast("long")
+    plain = _pages(recs, n.cast("string"), page, k, F.struct(F.lit(True).alias("has_next_page"), F.lit("c").alias("cursor")))
+    stop = _pages(recs, n.cast("string"), page, k, F.struct(F.lit(False).alias("has_next_page"), F.lit("c").alias("cursor")))
+    last = (F.col("run_id").cast("int") % 3 == 0) & (F.col("page_no") == 2)
+    root, ck = scratch_path(spark, "chain-landing"), scratch_path(spark, "chain-ckpt")
+    table = KeyedTable(spark, scratch_path(spark, "chain"), "accounts", landing=True)
+    for part, pages in (("a", plain.where(~last & (F.col("page_no") < 5))), ("b", stop.where(last)), ("c", plain.where(F.col("page_no") == 5))):
+        write_landed(pages, f"{root}/{part}")
+        stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=60).awaitTermination()
+    return table.read().select("account_id", json_value("data", "$.name").alias("name"))

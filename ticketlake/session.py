@@ -50,11 +50,15 @@ def get_spark(master: str | None = None, app: str = "ticketlake",
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, read from the
-    session. Where it is unset (tests, the bench) a folder is made and set; a
-    cluster names its own."""
+    session. Where it is unset, a cluster's warehouse folder serves, which all
+    executors see; a session of one process (tests, the bench) gets a folder
+    of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="ticketlake-ckpt-")
+        if spark.sparkContext.master.startswith("local["):
+            d = tempfile.mkdtemp(prefix="ticketlake-ckpt-")
+        else:
+            d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_ticketlake"
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

@@ -16,11 +16,14 @@ oracles. All builders are narrow projections over one scan: no shuffles.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import to_text_ts
+from ..functions.jsonx import json_ts, to_text_ts
 from ..functions.labels import CATEGORIES, RESOLUTIONS
+from ..operators.filters import chunk_index
 
 # Planted state/source mapping and e-mail domains of the fixtures.
 ORDER_STATE = {"F": "closed", "O": "waiting_on_customer", "P": "on_hold"}
@@ -326,11 +329,40 @@ def landed_pages(spark: SparkSession, d: str, object_type: str) -> DataFrame:
     return page_envelopes(recs, F.lit("r0"), (k / 100).cast("long"), k, "record", pag)
 
 
+def chat_issues(conversations: DataFrame) -> DataFrame:
+    """One closed issue without labels for each conversation."""
+    c = conversations.select("conv_id").distinct()
+    rec = _json(_s("conv_id").alias("id"), F.lit("closed").alias("state"), F.lit("2024-03-01T00:00:00Z").alias("created_at"),
+                F.array(F.lit("chat")).alias("tags"))
+    return c.select(_s("conv_id").alias("issue_id"), F.parse_json(rec).alias("data"))
+
+
+def keyword_messages(conversations: DataFrame) -> DataFrame:
+    """Chat messages that end with label words, chosen by the text's length."""
+    v = F.length("text") % 5
+    said = (F.when(v == 0, " billing refunds, Billing!").when(v == 1, " bug fix" * 8).when(v == 2, " spam").otherwise(""))
+    return chat_messages(conversations.withColumn("text", F.concat("text", said)))
+
+
+#: Issues in chunks of time: first and last instant, days of a chunk.
+CHUNK_START, CHUNK_END, CHUNK_DAYS = dt.datetime(1996, 1, 1), dt.datetime(1999, 6, 15), 240
+
+
+def issue_chunk_pages(records: DataFrame) -> DataFrame:
+    """Issue pages (100 keys each) landed chunk by chunk of ``modified_at``:
+    (chunk_no, run_id, page_no, body)."""
+    own = records.withColumn("chunk_no", chunk_index(json_ts(F.parse_json("record"), "$.modified_at"), CHUNK_START, CHUNK_END, CHUNK_DAYS))
+    run = F.concat(F.lit("chunk"), _s("chunk_no"))
+    pag = F.struct(F.lit(True).alias("has_next_page"), F.lit("c").alias("cursor"))
+    pages = page_envelopes(own.where("chunk_no IS NOT NULL"), run, F.floor(F.col("key") / 100).cast("long"), F.col("key"), "record", pag)
+    return pages.withColumn("chunk_no", F.substring("run_id", 6, 10).cast("long"))
+
+
 def replicate_pages(spark: SparkSession, d: str) -> DataFrame:
     """Account pages with everything that replication must survive, planted by
     key (k, page k div 100): in run r0 the first key of a page comes again on
     the next page, key % 100 = 7 twice on its page, ids are empty where
-    key % 50 = 49, and pages with page % 6 = 3 are cut in the middle; run r1
+    key % 50 = 49, and pages with page % 6 = 1 are cut in the middle; run r1
     lands every fifth key again, in pages of 500 keys."""
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
     k = F.col("k")
@@ -345,7 +377,7 @@ def replicate_pages(spark: SparkSession, d: str) -> DataFrame:
     recs = every.select("run", "page", "pos", rec.alias("record"))
     pag = F.struct(F.lit(True).alias("has_next_page"), F.lit("c").alias("cursor"))
     pages = page_envelopes(recs, F.col("run"), F.col("page"), F.col("pos"), "record", pag)
-    cut = (F.col("run_id") == "r0") & (F.col("page_no") % 6 == 3)
+    cut = (F.col("run_id") == "r0") & (F.col("page_no") % 6 == 1)
     return pages.withColumn("body", F.when(cut, F.substr("body", F.lit(1), F.length("body") - 30)).otherwise(F.col("body")))
 
 
@@ -370,6 +402,12 @@ def _build(spark: SparkSession, d: str, name: str) -> DataFrame:
         return teams_table(t("nation"), t("region"), t("supplier"))
     if name == "flat_issues":
         return flat_issues(t("orders"), t("lineitem"))
+    if name == "chat_issues":
+        return chat_issues(t("conversations"))
+    if name == "keyword_messages":
+        return keyword_messages(t("conversations"))
+    if name == "pages_issue_chunks":
+        return issue_chunk_pages(bad_id_records(warehouse(spark, d, "issue_records")))
     if name == "replicate_pages":
         return replicate_pages(spark, d)
     if name.startswith("pages_"):

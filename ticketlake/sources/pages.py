@@ -13,10 +13,14 @@ lands in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import unwrap
+from ..operators.running import running_total
 from ..schema import PAGE_SCHEMA
 
 
@@ -32,60 +36,77 @@ _CORRUPT = "_corrupt"
 
 def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     """Envelope -> data (array<variant>), has_next_page, cursor, offset,
-    n_items, bad. Missing or NULL ``data`` gives no items; ``bad`` marks a body
-    that is no page (malformed, cut, or of another shape). The body is parsed
-    once: a one-element explode keeps the parsed struct from being inlined
-    into every field."""
+    n_items, bad, bad_body. Missing or NULL ``data`` gives no items; ``bad``
+    marks a body that is no page (malformed, cut, or of another shape), which
+    is then kept as landed in ``bad_body``. The body is parsed once: a
+    one-element explode keeps the parsed struct from being inlined into every
+    field."""
     keep = [c for c in pages.columns if c != body]
     parsed = F.from_json(F.col(body), f"{PAGE_SCHEMA}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
-    one = pages.select(*keep, F.explode(F.array(F.struct(parsed.alias("p"), F.col(body).isNotNull().alias("has")))).alias("e"))
+    one = pages.select(*keep, F.explode(F.array(F.struct(parsed.alias("p"), F.col(body).alias("body")))).alias("e"))
     p = F.col("e.p")
-    bad = F.col("e.has") & (p.isNull() | p[_CORRUPT].isNotNull())
+    bad = F.col("e.body").isNotNull() & (p.isNull() | p[_CORRUPT].isNotNull())
     data = F.when(~bad, p["data"])
     return one.select(
         *keep, data.alias("data"),
         p["pagination"]["has_next_page"].alias("has_next_page"),
         p["pagination"]["cursor"].alias("cursor"),
         p["pagination"]["offset"].alias("offset"),
-        F.coalesce(F.size(data), F.lit(0)).cast("long").alias("n_items"), bad.alias("bad"))
+        F.coalesce(F.size(data), F.lit(0)).cast("long").alias("n_items"), bad.alias("bad"),
+        F.when(bad, F.col("e.body")).alias("bad_body"))
 
 
-def bad_pages(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Pages whose body is no page, as landed (for the bad-page table)."""
-    keep = [c for c in pages.columns if c != body]
-    p = F.from_json(F.col(body), f"{PAGE_SCHEMA}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
-    return pages.where(F.col(body).isNotNull() & (p.isNull() | p[_CORRUPT].isNotNull())).select(*keep, body)
+def bad_pages(parsed: DataFrame) -> DataFrame:
+    """Parsed pages whose body is no page, as landed (for the bad-page table)."""
+    return parsed.where("bad").select(*[c for c in ("issue_id", "run_id", "page_no") if c in parsed.columns], F.col("bad_body").alias("body"))
+
+
+def _continues(pagination: str) -> Column:
+    """Whether a page continues its chain. S2 (cursor): it has data,
+    ``has_next_page`` is true and it carries a non-empty cursor; S3 (offset):
+    it has data and ``has_next_page``. A bad page never ends a run: what
+    follows it is kept."""
+    cont = (F.col("n_items") > 0) & F.coalesce(F.col("has_next_page"), F.lit(False))
+    if pagination == "cursor":
+        cont = cont & (F.coalesce(F.col("cursor"), F.lit("")) != "")
+    return cont | F.col("bad")
 
 
-def _cut(pages: DataFrame, cont: Column, run: str, page: str) -> DataFrame:
+def chain_stops(pages: DataFrame, pagination: str, run: str = "run_id", page: str = "page_no") -> DataFrame:
+    """(run, stop_page, seen_pages) of parsed pages: the first page that ends
+    the run's chain, NULL while none has, and the pages seen. Minimum and count:
+    the same query on a stream keeps them per run in Spark's state store."""
+    stop = F.when(~_continues(pagination), F.col(page))
+    return pages.groupBy(run).agg(F.min(stop).alias("stop_page"), F.count(F.lit(1)).alias("seen_pages"))
+
+
+def _cut(pages: DataFrame, pagination: str, run: str, page: str, stops: DataFrame | None = None) -> DataFrame:
     """Pages up to the first non-continuing page of each run (that page's
-    own rows still count when it has any); later pages are ignored. A bad page
-    never ends a run: what follows it is kept.
+    own rows still count when it has any); later pages are ignored.
 
-    Stops are a min aggregate over (run, page, two flags); the pages behind a
-    stop are listed as (run, page) and anti-joined. Payloads are therefore
+    Stops are a min aggregate over narrow rows, or are given; the pages behind
+    a stop are listed as (run, page) and anti-joined. Payloads are therefore
     never exchanged on the run: the list is usually empty or small and gets
     broadcast, and a shuffled anti join spreads a hot run over its pages."""
-    flags = pages.select(run, page, (cont | F.col("bad")).alias("_c"), (F.col("n_items") > 0).alias("_has"))
-    stop = flags.where(~F.col("_c")).groupBy(run).agg(F.min(page).alias("_stop"))
-    behind = (flags.join(stop, run)
-              .where((F.col(page) > F.col("_stop")) | ((F.col(page) == F.col("_stop")) & ~F.col("_has")))
+    if stops is None:
+        stops = chain_stops(pages.select(run, page, "n_items", "has_next_page", "cursor", "bad"), pagination, run, page)
+    stops = stops.where(F.col("stop_page").isNotNull()).select(run, "stop_page")
+    flags = pages.select(run, page, (F.col("n_items") > 0).alias("_has"))
+    behind = (flags.join(stops, run)
+              .where((F.col(page) > F.col("stop_page")) | ((F.col(page) == F.col("stop_page")) & ~F.col("_has")))
               .select(run, page))
     return pages.join(behind, [run, page], "left_anti")
 
 
-def cursor_chain(pages: DataFrame, run: str = "run_id", page: str = "page_no") -> DataFrame:
-    """A page continues the chain when it has data, ``has_next_page`` is
-    true and it carries a non-empty cursor."""
-    cont = ((F.col("n_items") > 0) & F.coalesce(F.col("has_next_page"), F.lit(False))
-            & (F.coalesce(F.col("cursor"), F.lit("")) != ""))
-    return _cut(pages, cont, run, page)
+def cursor_chain(pages: DataFrame, run: str = "run_id", page: str = "page_no", stops: DataFrame | None = None) -> DataFrame:
+    """The pages of each run's cursor chain. ``stops``: known chain ends
+    (run, stop_page), instead of those that ``pages`` show."""
+    return _cut(pages, "cursor", run, page, stops)
 
 
-def offset_chain(pages: DataFrame, run: str = "run_id", page: str = "page_no") -> DataFrame:
-    """S3: a page continues the chain when it has data and ``has_next_page``."""
-    cont = (F.col("n_items") > 0) & F.coalesce(F.col("has_next_page"), F.lit(False))
-    return _cut(pages, cont, run, page)
+def offset_chain(pages: DataFrame, run: str = "run_id", page: str = "page_no", stops: DataFrame | None = None) -> DataFrame:
+    """S3: the pages of each run's offset chain."""
+    return _cut(pages, "offset", run, page, stops)
 
 
 def offset_gaps(pages: DataFrame, run: str = "run_id", page: str = "page_no") -> DataFrame:
@@ -117,11 +138,22 @@ def unwrap_body(body: Column) -> Column:
 
 
 def cap_records(items: DataFrame, n: int | None, order=("run_id", "page_no", "pos")) -> DataFrame:
-    """First ``n`` records in landing order (0/None = unlimited). A top-n
-    (TakeOrderedAndProject), not a global sort."""
+    """First ``n`` records in landing order (0/None = unlimited). The cap
+    is a place: the page on which the n-th record lies (from a running total
+    of the pages' counts) and its position there. What is kept is a filter on
+    the landing position; no record is sorted or moved. Records that landed at
+    one position are kept or left out together."""
     if not n:
         return items
-    return items.orderBy(*order).limit(n)
+    *pages, pos = order
+    counted = items.groupBy(*pages).agg(F.count(F.lit(1)).alias("_n"))
+    edge = running_total(counted, [], pages, "_n").where((F.col("before") < n) & (F.col("before") + F.col("_n") >= n)).first()
+    if edge is None:
+        return items
+    here = reduce(and_, [F.col(c).eqNullSafe(F.lit(edge[c])) for c in pages])
+    last = (items.where(here).select(pos).orderBy(pos).limit(n - edge["before"]).agg(F.max(pos).alias("p")).first())["p"]
+    place, cut = F.struct(*pages), F.struct(*[F.lit(edge[c]).cast(items.schema[c].dataType).alias(c) for c in pages])
+    return items.where((place < cut) | (here & (F.col(pos) <= last)))
 
 
 def read_ndjson(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -8,9 +8,16 @@ parallel job, so the merge is order-aware: the table keeps each row's landing
 position and the row landed last wins (a later page beats an earlier one, as
 a later flush does in the batch path). A replayed micro-batch after a failure
 therefore writes the same result (idempotent). Rejected records and bad pages
-of a micro-batch are appended to their tables where paths are given. The
-cursor/offset chain cut applies within each micro-batch; the lander stops at a
-chain's end, so no pages beyond a stop page are expected in the landing folder.
+of a micro-batch are appended to their tables where paths are given.
+
+A run's chain may end in one trigger and its later pages come in another, or
+have come before. The stream therefore keeps a state for each run (the first
+stop page and the pages seen; a streaming minimum and count in Spark's state
+store, under the checkpoint). A trigger gets the state of the runs that it
+touches together with its pages: pages behind a known stop are not written,
+and the stops are committed with the rows as cuts, which take effect on rows
+written before. Whatever the order of arrival, the table reads as the batch
+path would have written it.
 """
 
 from __future__ import annotations
@@ -19,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import KeyedTable
-from ..plans.replicate import items_from_pages, prepare, store_bad_pages, store_rejects
+from ..plans.replicate import chained, items_of, prepare, store_bad_pages, store_rejects
+from ..schema import spec
+from ..sources.pages import chain_stops, parse_pages
 
 PAGE_FILE = r"page_no=(\d+)"
 RUN_DIR = r"run_id=([^/]+)"
@@ -36,6 +45,20 @@ def page_stream(spark: SparkSession, root: str, max_files_per_trigger: int = 100
                       F.col("value").alias("body"))
 
 
+def with_chain_state(pages: DataFrame, object_type: str) -> DataFrame:
+    """Streaming pages (run_id, page_no, body, state) and, for every run that
+    a trigger touches, a row with its state so far (and no body)."""
+    s = spec(object_type)
+    none = F.lit(None)
+    state = F.struct(none.cast("long").alias("stop_page"), none.cast("long").alias("seen_pages"))
+    own = pages.select("run_id", "page_no", "body", F.when(F.lit(False), state).alias("state"))
+    if s.pagination == "none":
+        return own
+    runs = chain_stops(parse_pages(pages).drop("data", "bad_body"), s.pagination)
+    return own.unionByName(runs.select("run_id", none.cast("long").alias("page_no"), none.cast("string").alias("body"),
+                                       F.struct("stop_page", "seen_pages").alias("state")))
+
+
 def stream_upsert(spark: SparkSession, root: str, object_type: str, table: KeyedTable,
                   checkpoint: str, max_files_per_trigger: int = 100, available_now: bool = True,
                   rejects_path: str | None = None, bad_pages_path: str | None = None):
@@ -45,15 +68,22 @@ def stream_upsert(spark: SparkSession, root: str, object_type: str, table: Keyed
     table.create()
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        items = items_from_pages(batch, object_type)
-        valid, rejects = prepare(items, object_type, stamp=F.current_timestamp())
-        table.upsert_landed(valid)
-        if rejects_path:
-            store_rejects(rejects, object_type, rejects_path)
-        if bad_pages_path:
-            store_bad_pages(batch, object_type, bad_pages_path)
-
-    w = (page_stream(spark, root, max_files_per_trigger).writeStream
-         .foreachBatch(merge_batch).option("checkpointLocation", checkpoint))
+        batch = batch.persist()                      # also keeps the state from being computed again
+        stops = batch.where("state.stop_page IS NOT NULL").select("run_id", "state.stop_page")
+        parsed = parse_pages(batch.where("state IS NULL").drop("state")).persist()
+        try:
+            items = items_of(chained(parsed, object_type, stops), object_type)
+            valid, rejects = prepare(items, object_type, stamp=F.current_timestamp())
+            table.upsert_landed(valid, cuts=None if spec(object_type).pagination == "none" else stops)
+            if rejects_path:
+                store_rejects(rejects, object_type, rejects_path)
+            if bad_pages_path:
+                store_bad_pages(parsed, object_type, bad_pages_path)
+        finally:
+            parsed.unpersist()
+            batch.unpersist()
+
+    pages = with_chain_state(page_stream(spark, root, max_files_per_trigger), object_type)
+    w = pages.writeStream.outputMode("update").foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
