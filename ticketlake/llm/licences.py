@@ -26,7 +26,9 @@ again before the only shuffle, which carries no text.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ from .common import table
 #: A word, after lower-casing A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PLACES = "array<struct<start:int,label:string>>"
+#: One character of a word before lower-casing, and one between words.
+ANY_WORD, GAP = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Share of a template's words, in hundredths, that a block must hold.
 CONTAINMENT = 90
@@ -81,16 +85,32 @@ def _words() -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
+def _word_count() -> Column:
+    """Words of the text without taking them apart: each becomes one letter."""
+    marks = F.regexp_replace(F.coalesce("text", F.lit("")), f"{GAP}*+{ANY_WORD}+{GAP}*+", "w")
+    return F.when(F.startswith(marks, F.lit("w")), F.length(marks)).otherwise(0).cast("long")
+
+
 def _texts(values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
+def _may_hold(words: list[str]) -> Column:
+    """Whether the text can hold one of these words: a search for their
+    letters, far cheaper than taking the text apart."""
+    return reduce(or_, [F.contains(F.col("low"), F.lit(w)) for w in words], F.lit(False))
+
+
 def word_order(docs: DataFrame, templates) -> list[str]:
     """The global order of the templates' words: by the number of documents
     that hold them, rare first, then by the word. One aggregate over all
     documents, with a row for each word."""
     known = sorted({w for _, notice in templates for w in notice.split()})
-    held = docs.select(F.explode(F.array_intersect(_words(), _texts(known))).alias("word"))
+    if not known:
+        return []
+    # only the words' order comes from this: how other letters are lower-cased does not matter
+    words = F.split(F.lower("text"), GAP.replace("\\x40\\x5B-", "") + "+")
+    held = docs.select(F.explode(F.array_intersect(words, _texts(known))).alias("word"))
     count = {r["word"]: r["n"] for r in held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(known, key=lambda w: (count.get(w, 0), w))
 
@@ -134,14 +154,20 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, containment: int
     docs = docs.select("doc_id", "text")
     order = word_order(docs, templates)
     ordered = in_order(templates, order, containment)
-    known, leads = _texts(order), _texts(sorted({w for t in ordered for w in t.prefix}))
+    known, leads = _texts(order), _texts({w for t in ordered for w in t.prefix})
     half = max([len(notice.split()) for _, notice in templates], default=1)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _words().alias("words"))
+    # a text that can hold neither a phrase nor a template's leading word is counted, not taken apart
+    said = "|".join(f"{GAP}+".join(p.split()) for p, _ in phrases)
+    lead_words = sorted({w for t in ordered for w in t.prefix})
+    may = _may_hold(lead_words) | (F.col("low").rlike(said) if said else F.lit(False))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _word_count().alias("n_words"), F.lower("text").alias("low"))
+    rows = rows.select("doc_id", "n_words", F.when(may, _words()).otherwise(_texts([])).alias("words"))
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - half - 1, F.lit(0)), F.lit(half)),
                       lambda s: F.struct(s.alias("at"), F.slice("words", s + 1, 2 * half).alias("block")))
     blocks = F.filter(cut, lambda b: F.arrays_overlap(b["block"], leads))
-    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.concat(F.array().cast(_PLACES), *[_places_of(p, label) for p, label in phrases]).alias("places"),
+    rows = rows.select("doc_id", "n_words",
+                       F.concat(F.array().cast(_PLACES), *[_places_of(p, label) for p, label in phrases]).alias("places"),
                        F.when(F.arrays_overlap("words", leads), blocks).alias("cut"))
     # a number for each row: rows of a text meet again in the task they come from
     rows = rows.withColumn("row", F.monotonically_increasing_id())
