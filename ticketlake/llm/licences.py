@@ -9,7 +9,8 @@ least ``containment``; nothing is sampled or approximated.
 * The words of templates are ordered by their frequency over all documents,
   rare first. A block that reaches ``need`` words of a template holds one of
   the template's first ``size - need + 1`` words (prefix filter). Only these
-  words enter the join, and texts without any are not even cut into blocks.
+  words enter the join; texts that do not even hold ``need`` words of any
+  template are not cut into blocks.
 * A block with fewer template words than ``need`` is no candidate (length
   filter).
 * A candidate that first meets at place i of the template and j of the block,
@@ -33,11 +34,14 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 #: A word, after lower-casing A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PLACES = "array<struct<start:int,label:string>>"
+#: What stands between words of a lower-cased text.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+_PLACES = "array<struct<start:int,label:string>>"
 #: One character of a word before lower-casing, and one between words.
 ANY_WORD, GAP = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,34 +89,34 @@ def _words() -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
-def _word_count() -> Column:
-    """Words of the text without taking them apart: each becomes one letter."""
-    marks = F.regexp_replace(F.coalesce("text", F.lit("")), f"{GAP}*+{ANY_WORD}+{GAP}*+", "w")
-    return F.when(F.startswith(marks, F.lit("w")), F.length(marks)).otherwise(0).cast("long")
-
-
 def _texts(values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def _may_hold(words: list[str]) -> Column:
-    """Whether the text can hold one of these words: a search for their
-    letters, far cheaper than taking the text apart."""
-    return reduce(or_, [F.contains(F.col("low"), F.lit(w)) for w in words], F.lit(False))
-
-
-def word_order(docs: DataFrame, templates) -> list[str]:
+def _read(docs: DataFrame, phrases, sets: list[Template]) -> DataFrame:
+    """``row, doc_id, n_words, present, text`` of every row, stored: the words
+    of templates and phrases that the text holds, and the text itself where
+    these can make up a template or a phrase. One pass over all texts."""
+    known = _texts(sorted({w for t in sets for w in t.words} | {w for p, _ in phrases for w in p.split()}))
+    # lower() also changes other letters; that parts no word and can only add to what is present
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       F.split(F.lower(F.coalesce("text", F.lit(""))), GAP + "+").alias("w"))
+    ends = F.when(F.get("w", F.lit(0)) == "", 1).otherwise(0) + F.when(F.element_at("w", -1) == "", 1).otherwise(0)
+    rows = rows.select("doc_id", "text", F.greatest(F.size("w") - ends, F.lit(0)).cast("long").alias("n_words"),
+                       F.array_intersect("w", known).alias("present"))
+    shared = lambda words: F.size(F.array_intersect("present", _texts(words)))
+    can = [shared(t.words) >= t.need for t in sets] + [shared(p.split()) == len(set(p.split())) for p, _ in phrases]
+    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", "present",
+                              F.when(reduce(or_, can, F.lit(False)), F.col("text")).alias("text")), "licence-rows")
+
+
+def word_order(rows: DataFrame, templates) -> list[str]:
     """The global order of the templates' words: by the number of documents
-    that hold them, rare first, then by the word. One aggregate over all
-    documents, with a row for each word."""
-    known = sorted({w for _, notice in templates for w in notice.split()})
-    if not known:
-        return []
-    # only the words' order comes from this: how other letters are lower-cased does not matter
-    words = F.split(F.lower("text"), GAP.replace("\\x40\\x5B-", "") + "+")
-    held = docs.select(F.explode(F.array_intersect(words, _texts(known))).alias("word"))
-    count = {r["word"]: r["n"] for r in held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return sorted(known, key=lambda w: (count.get(w, 0), w))
+    that hold them (``present``), rare first, then by the word. An aggregate
+    with a row for each word."""
+    held = rows.select(F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    count = {r["word"]: r["n"] for r in held.collect()}
+    return sorted({w for _, notice in templates for w in notice.split()}, key=lambda w: (count.get(w, 0), w))
 
 
 def in_order(templates, order: list[str], containment: int) -> list[Template]:
@@ -151,26 +155,20 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, containment: int
 
     ``score`` is the largest containment found, 1 where a phrase stands, else 0.
     """
-    docs = docs.select("doc_id", "text")
-    order = word_order(docs, templates)
+    rows = _read(docs, phrases, in_order(templates, sorted({w for _, n in templates for w in n.split()}), containment))
+    order = word_order(rows, templates)
     ordered = in_order(templates, order, containment)
     known, leads = _texts(order), _texts({w for t in ordered for w in t.prefix})
     half = max([len(notice.split()) for _, notice in templates], default=1)
 
-    # a text that can hold neither a phrase nor a template's leading word is counted, not taken apart
-    said = "|".join(f"{GAP}+".join(p.split()) for p, _ in phrases)
-    lead_words = sorted({w for t in ordered for w in t.prefix})
-    may = _may_hold(lead_words) | (F.col("low").rlike(said) if said else F.lit(False))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _word_count().alias("n_words"), F.lower("text").alias("low"))
-    rows = rows.select("doc_id", "n_words", F.when(may, _words()).otherwise(_texts([])).alias("words"))
+    rows = rows.select("row", "doc_id", "n_words", F.when(F.col("text").isNotNull(), _words()).otherwise(_texts([])).alias("words"))
     cut = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - half - 1, F.lit(0)), F.lit(half)),
                       lambda s: F.struct(s.alias("at"), F.slice("words", s + 1, 2 * half).alias("block")))
     blocks = F.filter(cut, lambda b: F.arrays_overlap(b["block"], leads))
-    rows = rows.select("doc_id", "n_words",
+    rows = rows.select("row", "doc_id", "n_words",
                        F.concat(F.array().cast(_PLACES), *[_places_of(p, label) for p, label in phrases]).alias("places"),
                        F.when(F.arrays_overlap("words", leads), blocks).alias("cut"))
-    # a number for each row: rows of a text meet again in the task they come from
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    # rows of a text come from one task, so they are one again before the shuffle
     each = rows.select("row", "doc_id", "n_words", "places", F.explode_outer("cut").alias("b")) \
                .select("row", "doc_id", "n_words", "places", "b.at", F.least(F.col("b.at") + 2 * half, F.col("n_words")).alias("end"),
                        F.array_intersect("b.block", known).alias("own"))
