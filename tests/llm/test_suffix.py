@@ -25,7 +25,7 @@ def brute(docs, length=50):
     return Counter(out)
 
 
-@pytest.mark.parametrize("range_size", [suffix.RANGE, 0])
+@pytest.mark.parametrize("range_size", [suffix.RANGE, 5, 0])
 def test_against_brute_force(spark, range_size):
     r = random.Random(4)
     passage = [words(n, 500 + n) for n in (49, 50, 51, 80, 200)]
@@ -43,6 +43,15 @@ def test_against_brute_force(spark, range_size):
         assert bool(x.n_repeat_words) == bool(x.spans)
 
 
+def test_a_frequent_gram_and_a_very_long_text(spark):
+    """One sentence in every text, with other words around it: its k-grams have more entries than meet in a task."""
+    hot = words(12, 900)
+    docs = [(i, f"{words(45, i)} {hot} {words(45, 1000 + i % 20)}") for i in range(60)]
+    docs += [(100, words(30_000, 7) + f" {hot} " + words(45, 1003)), (101, words(45, 1003))]
+    got = suffix.repeated_passages(documents(spark, docs), range_size=8).collect()
+    assert Counter((str(x.doc_id), x.n_words, x.n_repeat_words) for x in got) == brute(docs)
+
+
 def test_empty(spark):
     assert suffix.repeated_passages(empty(spark)).count() == 0
 

@@ -16,13 +16,23 @@ of at least ``a`` words. Tested for every ``a``, this finds every repeated
 window, not only those with the direct neighbour; longer passages are their
 union.
 
-Entries meet by k-gram. A k-gram with more entries than RANGE is not sorted in
-one task: its windows are compared by hash in a distributed aggregate.
+Entries meet by k-gram. Where a k-gram has more entries than RANGE, they meet
+by more of their context instead: the windows are halved by where they begin,
+and a half that begins ``lo`` to ``hi`` words before the suffix lies in the
+``lo`` words before it and the ``length - hi`` behind, which must be equal. An
+entry goes on once for either half; groups that fit are sorted and compared as
+ever, those that do not are halved again. At a single beginning the equal
+context is the whole window, and what is left is a count.
+
+Contexts are stored once, one for each distinct entry; the suffixes' table
+holds their digests.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +44,9 @@ from pyspark.sql import functions as F
 from .common import doc_bytes, stored, table
 from .ngram_join import _HASHES
 
-#: Words of a passage, words of a k-gram, entries of one k-gram sorted at once.
-LENGTH, GRAM, RANGE = 50, 8, 1 << 10
+#: Words of a passage, words of a k-gram, entries that meet in one task (a
+#: context has about 400 bytes).
+LENGTH, GRAM, RANGE = 50, 8, 1 << 15
 #: Bits of the set of shared k-grams that workers hold (a superset).
 BITMAP = 26
 
@@ -99,13 +110,31 @@ def shared_grams(docs: DataFrame, length: int) -> np.ndarray:
     return out
 
 
-def suffixes(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
-    """Per row of ``docs``: ``row, doc_id, n_words`` and ``kept``: k-gram,
-    position, words before (at most length - GRAM) and after (at most length),
-    and the context: 32-bit word hashes, nearest first on both sides, padded."""
+def _selected(h: np.ndarray, bits: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(k-grams, positions) of the suffixes of a text that are looked at."""
+    g = grams(h)
+    at = minimisers(g, length)
+    if len(at):
+        p = _place(g[at])
+        at = at[(bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return g[at], at
+
+
+def _contexts(h: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """The words after (``length``) and before (``length - GRAM``) every
+    position, as 32-bit hashes, nearest first on both sides, padded."""
     before = length - GRAM
+    short = np.concatenate([np.zeros(before, np.uint32), (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.zeros(length, np.uint32)])
+    right = short[(at + before)[:, None] + np.arange(length)]
+    left = short[(at + before)[:, None] - 1 - np.arange(before)]
+    return np.concatenate([right, left], axis=1)
+
+
+def suffixes(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
+    """Per row of ``docs``: ``row, doc_id, n_words`` and ``kept``: position and
+    entry (digest of the context) of every suffix."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
-    item = pa.struct([("g", pa.int64()), ("pos", pa.int32()), ("before", pa.int32()), ("after", pa.int32()), ("context", pa.binary())])
+    item = pa.struct([("pos", pa.int32()), ("entry", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -113,27 +142,42 @@ def suffixes(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
             rows, words, kept = [], [], []
             for x in batch.column(1):
                 h = word_hashes(x.as_py())
-                g = grams(h)
-                at = minimisers(g, length)
-                if len(at):
-                    p = _place(g[at])
-                    at = at[(sent.value[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-                own = []
-                if len(at):
-                    short = np.concatenate([np.zeros(before, np.uint32), (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1),
-                                            np.zeros(length, np.uint32)])
-                    right = short[(at + before)[:, None] + np.arange(length)]
-                    left = short[(at + before)[:, None] - 1 - np.arange(before)]
-                    context = np.concatenate([right, left], axis=1)
-                    own = [{"g": int(v), "pos": int(i), "before": min(int(i), before), "after": min(len(h) - int(i), length),
-                            "context": c.tobytes()} for v, i, c in zip(g[at].view(np.int64), at, context, strict=True)]
-                rows.append(row), words.append(len(h)), kept.append(own)
+                _, at = _selected(h, sent.value, length)
+                kept.append([{"pos": int(i), "entry": xxhash.xxh3_128_digest(c.tobytes())}
+                             for i, c in zip(at, _contexts(h, at, length), strict=True)])
+                rows.append(row), words.append(len(h))
                 row += 1
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), batch.column(0), pa.array(words, pa.int64()),
                                               pa.array(kept, pa.list_(item))], names=["row", "doc_id", "n_words", "kept"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_bytes().alias("b")).mapInArrow(
-        run, "row long, doc_id long, n_words long, kept array<struct<g: long, pos: int, before: int, after: int, context: binary>>")
+        run, "row long, doc_id long, n_words long, kept array<struct<pos: int, entry: binary>>")
+
+
+def contexts(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
+    """``entry, g, context`` of all suffixes, an entry once for each Arrow
+    batch. Words before and after a suffix show in the context: padding is 0."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[bytes, tuple[int, bytes]] = {}
+            for x in batch.column(0):
+                h = word_hashes(x.as_py())
+                g, at = _selected(h, sent.value, length)
+                for k, c in zip(g.view(np.int64).tolist(), _contexts(h, at, length), strict=True):
+                    own = c.tobytes()
+                    seen.setdefault(xxhash.xxh3_128_digest(own), (k, own))
+                if len(seen) >= 20_000:
+                    yield batch_of(seen)
+                    seen = {}
+            yield batch_of(seen)
+
+    def batch_of(seen: dict[bytes, tuple[int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array([g for g, _ in seen.values()], pa.int64()),
+                                           pa.array([c for _, c in seen.values()], pa.binary())], names=["entry", "g", "context"])
+
+    return docs.select(doc_bytes().alias("b")).mapInArrow(run, "entry binary, g long, context binary")
 
 
 def _stretches(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,16 +189,18 @@ def _stretches(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
-def repeated_windows(context: np.ndarray, before: np.ndarray, after: np.ndarray, low: np.ndarray, high: np.ndarray, length: int):
-    """For entries (context, words before and after, smallest and largest row
-    that has them): (bit ``a`` set if the window that begins ``a`` words before
-    the suffix occurs in two rows, smallest row of these windows)."""
+def repeated_windows(context: np.ndarray, low: np.ndarray, high: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int):
+    """For entries (context, smallest and largest row that has them): (bit
+    ``a`` set if the window that begins ``a`` words before the suffix occurs in
+    two rows, smallest row of these windows). Only beginnings from ``lo`` to
+    ``hi`` are looked at."""
     n = len(context)
+    after, before = (context[:, :length] != 0).sum(axis=1), (context[:, length:] != 0).sum(axis=1)
     mask, first = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max)
     order_r, common_r = _stretches(context[:, :length])
     order_l, common_l = _stretches(context[:, length:])
-    for a in range(length - GRAM + 1):
-        ok = np.flatnonzero((before >= a) & (after >= length - a))
+    for a in range(int(lo.min()), int(hi.max()) + 1) if n else ():
+        ok = np.flatnonzero((before >= a) & (after >= length - a) & (lo <= a) & (a <= hi))
         if not len(ok):
             continue
         label_r, label_l = np.empty(n, np.int64), np.empty(n, np.int64)
@@ -163,13 +209,13 @@ def repeated_windows(context: np.ndarray, before: np.ndarray, after: np.ndarray,
         key = label_r[ok] * n + label_l[ok]
         order = np.argsort(key, kind="stable")
         starts = np.flatnonzero(np.diff(key[order], prepend=-1))
-        lo = np.minimum.reduceat(low[ok][order], starts)
-        hi = np.maximum.reduceat(high[ok][order], starts)
+        least = np.minimum.reduceat(low[ok][order], starts)
+        most = np.maximum.reduceat(high[ok][order], starts)
         size = np.diff(np.append(starts, len(order)))
-        twice = np.repeat(lo < hi, size)
+        twice = np.repeat(least < most, size)
         hit = ok[order][twice]
         mask[hit] |= 1 << a
-        first[hit] = np.minimum(first[hit], np.repeat(lo, size)[twice])
+        first[hit] = np.minimum(first[hit], np.repeat(least, size)[twice])
     return mask, first
 
 
@@ -177,14 +223,14 @@ _ENTRY = "entry binary, mask long, first long"
 
 
 def _sorted_matches(entries: DataFrame, length: int) -> DataFrame:
-    """``entry, mask, first`` of entries that meet by k-gram in tasks."""
+    """``entry, mask, first`` of entries that meet by ``key`` in tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush(t: pa.Table) -> pa.RecordBatch:
             col = lambda k: t.column(k).to_numpy()
             context = np.frombuffer(b"".join(t.column("context").to_pylist()), np.uint32).reshape(t.num_rows, -1)
-            mask, first = repeated_windows(context, col("before"), col("after"), col("low"), col("high"), length)
+            mask, first = repeated_windows(context, col("low"), col("high"), col("lo"), col("hi"), length)
             at = np.flatnonzero(mask)
             return pa.RecordBatch.from_arrays([t.column("entry").combine_chunks().take(pa.array(at)), pa.array(mask[at]), pa.array(first[at])],
                                               names=["entry", "mask", "first"])
@@ -196,43 +242,53 @@ def _sorted_matches(entries: DataFrame, length: int) -> DataFrame:
             if sum(b.num_rows for b in held) < 20_000:
                 continue
             t = pa.Table.from_batches(held)
-            g = t.column("g").to_numpy()
-            cut = int(np.searchsorted(g, g[-1], side="left"))          # the last k-gram may go on
+            key = t.column("key").to_pylist()
+            cut = bisect_left(key, key[-1])                            # the last group may go on
             held = t.slice(cut).to_batches()
             if cut:
                 yield flush(t.slice(0, cut))
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    return (entries.select("entry", "g", "before", "after", "context", "low", "high").repartition("g").sortWithinPartitions("g")
-            .mapInArrow(run, _ENTRY))
-
-
-def _hashed_matches(entries: DataFrame, length: int) -> DataFrame:
-    """The same for entries of very frequent k-grams: their windows meet by
-    hash, and a window's rows are combined before the shuffle."""
-    before = length - GRAM
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for i in range(batch.num_rows):
-                entry, b, a_, context, lo, hi = (batch.column(c)[i].as_py() for c in range(6))
-                x = np.frombuffer(context, np.uint32)
-                run_ = np.concatenate([x[length:][::-1], x[:length]])
-                for a in range(max(0, length - a_), b + 1):
-                    d = xxhash.xxh3_128_digest(run_[before - a:before - a + length].tobytes())
-                    for col, v in zip(out, (entry, a, d, lo, hi), strict=True):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary()),
-                                              pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())],
-                                             names=["entry", "a", "window", "low", "high"])
-
-    windows = entries.select("entry", "before", "after", "context", "low", "high").mapInArrow(
-        run, "entry binary, a int, window binary, low long, high long")
-    twice = windows.groupBy("window").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo < hi").select("window", "lo")
-    return (windows.join(twice, "window").groupBy("entry")
-            .agg(F.bit_or(F.expr("shiftleft(1L, a)")).alias("mask"), F.min("lo").alias("first")))
+    return entries.select("entry", "key", "context", "low", "high", "lo", "hi").repartition("key").sortWithinPartitions("key").mapInArrow(run, _ENTRY)
+
+
+def _halved(entries: DataFrame, length: int) -> DataFrame:
+    """Entries once for either half of their beginnings, with the key that the
+    half's windows must share; only where the context reaches that far."""
+    mid = F.shiftright(F.col("lo") + F.col("hi"), 1)
+    half = F.explode(F.array(F.struct(F.col("lo").alias("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("hi").alias("hi"))))
+    out = entries.withColumn("half", half).drop("lo", "hi", "key").select("*", "half.lo", "half.hi").drop("half")
+    right = F.substring("context", F.lit(1), 4 * (length - F.col("hi")))
+    left = F.substring("context", F.lit(4 * length + 1), 4 * F.col("lo"))
+    # the last word of either part is there: contexts are padded with zeros behind the text's ends
+    there = lambda part: (F.length(part) == 0) | (F.hex(F.substring(part, F.length(part) - 3, F.lit(4))) != "00000000")
+    key = F.md5(F.concat(F.col("lo").cast("string").cast("binary"), right, F.lit("/").cast("binary"), left))
+    return out.where(there(right) & there(left)).withColumn("key", key)
+
+
+def _equal_windows(entries: DataFrame) -> DataFrame:
+    """Entries whose key is one whole window: those of windows in two rows."""
+    twice = entries.groupBy("key").agg(F.min("low").alias("first"), F.max("high").alias("last")).where("first < last").select("key", "first")
+    return entries.join(twice, "key").select("entry", F.expr("shiftleft(1L, lo)").alias("mask"), "first")
+
+
+def matches(entries: DataFrame, length: int, range_size: int = RANGE) -> DataFrame:
+    """``entry, mask, first`` of all entries (entry, g, context, low, high)
+    with repeated windows; an entry may have several rows."""
+    todo = entries.select("entry", "context", "low", "high", F.lit(0).alias("lo"), F.lit(length - GRAM).alias("hi"),
+                          F.col("g").cast("string").alias("key"))
+    found = []
+    while True:
+        many = stored(todo.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > range_size).select("key"), "hot-keys")
+        if many.isEmpty():
+            found.append(_sorted_matches(todo, length))
+            break
+        found.append(_sorted_matches(todo.join(many, "key", "left_anti"), length))
+        todo = stored(_halved(todo.join(many, "key", "left_semi"), length), "hot-entries")
+        found.append(_equal_windows(todo.where("lo = hi")))
+        todo = todo.where("lo < hi")
+    return reduce(DataFrame.unionByName, found)
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, range_size: int = RANGE) -> DataFrame:
@@ -244,20 +300,20 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, range_size: int = R
     Words are compared after lower-casing A-Z. NULL and empty texts and texts
     under ``length`` words have no passages. Repeated rows (also of one doc_id)
     are different rows, so their words repeat. A passage that repeats only
-    inside one row does not count. Extra columns are not read; an empty table
-    gives no rows.
+    inside one row does not count. Texts are read whole; a very long text's
+    suffixes are one row of the suffixes' table (20 bytes a suffix, about one
+    in twenty words). Rows that tie as the first of a passage are all named.
+    Extra columns are not read; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    rows = stored(suffixes(docs, shared_grams(docs, length), length), "suffixes")
-    each = rows.select("row", F.explode("kept").alias("s")).select("row", "s.*") \
-               .withColumn("entry", F.unhex(F.md5(F.concat("context", F.concat_ws(",", "before", "after").cast("binary")))))
-    entries = stored(each.groupBy("entry", "g").agg(
-        F.first("before").alias("before"), F.first("after").alias("after"), F.first("context").alias("context"),
-        F.min("row").alias("low"), F.max("row").alias("high")), "suffix-entries")
-    many = entries.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > range_size).select("g")
-    found = _sorted_matches(entries.join(many, "g", "left_anti"), length).unionByName(
-        _hashed_matches(entries.join(many, "g", "left_semi"), length))
-    hits = each.select("row", "pos", "entry").join(found, "entry").groupBy("row").agg(
+    bits = shared_grams(docs, length)
+    rows = stored(suffixes(docs, bits, length), "suffixes")
+    each = rows.select("row", F.explode("kept").alias("s")).select("row", "s.*")
+    held = each.groupBy("entry").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+    once = contexts(docs, bits, length).groupBy("entry").agg(F.first("g").alias("g"), F.first("context").alias("context"))
+    entries = stored(once.join(held, "entry"), "suffix-entries")
+    found = matches(entries, length, range_size).groupBy("entry").agg(F.bit_or("mask").alias("mask"), F.min("first").alias("first"))
+    hits = each.join(found, "entry").groupBy("row").agg(
         F.collect_list(F.struct("pos", "mask")).alias("hits"), F.collect_set("first").alias("firsts"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
