@@ -30,6 +30,28 @@ def test_prose_one_element_below_the_article(tag):
     assert htmltext.main_blocks(f"<main><div>Beside</div><article>{body}</article></main>") == want
 
 
+@pytest.mark.parametrize("inside, kept", [
+    ('<h2 id="sharing-data">Data</h2>', ["Data"]), ('<section id="discussion"><p>We discuss.</p></section>', ["We discuss."]),
+    ('<p>We <span class="share">share</span> it.</p>', ["We share it."]), ('<div id="sharing-data"><p>In full.</p></div>', ["In full."]),
+    ('<ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>', ["One", "Two", "Three"]),
+    ('<header><h2>Title</h2></header>', ["Title"]), ('<p class="notice">A notice given in the text.</p>', ["A notice given in the text."]),
+    (f'<article class="comment"><p>{P}</p></article>', []), (f'<article hidden><p>{P}</p></article>', []),
+    (f'<article class="comment-7 odd"><p>{P}</p></article>', []), (f'<div id="comments"><p>{P}</p></div>', []),
+    (f'<div id="related-links"><p>{P}</p></div>', []), (f'<div class="share-box"><p>{P}</p></div>', []), (f'<form><p>{P}</p></form>', []),
+])
+def test_inside_an_article(inside, kept):
+    page = f"<body><nav>Home</nav><article class='post comments-open'><p>{P}</p>{inside}<p>{P} End.</p></article><footer>F</footer>"
+    assert htmltext.main_blocks(page) == [P, *kept, f"{P} End."]
+
+
+def test_an_article_without_the_element():
+    body = f"<h1>T</h1><div>{f'<p>{P}</p>' * 20}</div><h2>More</h2><ul><li>one</li><li>two</li></ul><blockquote>Quote.</blockquote><div>Last section</div>"
+    want = ["T", *[P] * 20, "More", "one", "two", "Quote."]
+    side = f"<div class='sidebar'><p>{P}</p></div><ul><li><a href=a>Home</a><li><a href=b>About</a><li><a href=c>More</a></ul>"
+    assert htmltext.main_blocks(f"<body>{side}<div>{body}</div><footer>F</footer></body>") == [*want, "Last section"]
+    assert htmltext.main_blocks(f"<body>{side}{body}<footer>F</footer></body>") == want        # straight in the body: a bare div is beside it
+
+
 def test_very_deep_nesting():
     deep = "<div>" * 5000 + f"<p>{P}</p>" + "</div>" * 5000
     assert htmltext.main_text(deep) == P

@@ -51,17 +51,27 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+#: Words that an id may hold beside these and still mark a container.
+FILLERS = frozenset("area block box bar buttons container form inner links list outer panel section thread wrap wrapper".split())
+#: Elements that are left out by their class or id; inside an article only
+#: these, and there an id must consist of such words.
+CONTAINERS = frozenset("div section ul ol dl table header center details figure".split())
+_REPLY = re.compile(r"(comment|reply)(?![a-z])(?!s?[-_](open|closed|count))")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "marks", "role", "hidden", "points", "chars", "linked", "links", "depth")
+    __slots__ = ("tag", "parent", "children", "marks", "named", "reply", "role", "hidden", "points", "chars", "linked", "links", "depth")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
-        self.marks, self.role, self.hidden = frozenset(), "", False
+        self.marks, self.named, self.reply, self.role, self.hidden = frozenset(), frozenset(), False, "", False
         self.points, self.chars, self.linked, self.links = 0.0, 0, 0, 0
         self.depth = parent.depth + 1 if parent else 0
         if attributes:
             a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-            self.marks = frozenset(w.lower() for w in _WORD.findall(f"{a.get('class', '')} {a.get('id', '')}"))
+            self.marks, self.named = (frozenset(w.lower() for w in _WORD.findall(a.get(k, ""))) for k in ("class", "id"))
+            self.reply = any(_REPLY.match(c) for c in a.get("class", "").lower().split())
             self.role = a.get("role", "").lower()
             self.hidden = ("hidden" in a or a.get("aria-hidden", "").lower() == "true"
                            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "").lower()) is not None)
@@ -114,23 +124,37 @@ def _inside(n: Node, tags: frozenset) -> bool:
     return False
 
 
-def _has(n: Node, tag: str) -> bool:
-    return any(isinstance(c, Node) and (c.tag == tag or _has(c, tag)) for c in n.children)
+def _has(n: Node, tags: frozenset) -> bool:
+    return any(isinstance(c, Node) and (c.tag in tags or _has(c, tags)) for c in n.children)
 
 
-_MAIN = frozenset(("article", "main"))
+_MAIN, _ARTICLE = frozenset(("article", "main")), frozenset(("article",))
 
 
 def dropped(n: Node) -> bool:
-    """Whether an element is no main text by tag, role, class or style."""
-    if n.tag in ("html", "body", "article", "main", "#root"):
+    """Whether an element is no main text by tag, role, class, id or style.
+    Words of a class or id speak about containers, never about headings,
+    paragraphs and what stands in a line. Inside an article a section may be
+    called by its subject, so there an id must say nothing else."""
+    if n.tag in ("html", "body", "#root"):
         return False
-    if n.tag in DROPPED or n.hidden or n.role in NOT_CONTENT_ROLES:
+    if n.hidden:
+        return True
+    if n.tag in _MAIN:
+        return n.reply                            # a reader's comment is an article of its own
+    if n.tag in DROPPED or n.role in NOT_CONTENT_ROLES:
         return True
-    heading = n.tag == "header" or "header" in n.marks
-    if heading and _inside(n, _MAIN) and _has(n, "h1"):
+    inside = _inside(n, _MAIN)
+    if inside and (n.tag == "header" or "header" in n.marks | n.named) and _has(n, _HEADINGS):
         return False                              # the article's own heading
-    return n.tag == "header" or bool(n.marks & NOT_CONTENT)
+    if n.tag == "header":
+        return True
+    if n.tag not in CONTAINERS:
+        return not inside and n.tag not in _HEADINGS and n.tag in BLOCKS and bool((n.marks | n.named) & NOT_CONTENT)
+    if not inside:
+        return bool((n.marks | n.named) & NOT_CONTENT)
+    told = n.named & NOT_CONTENT and n.named <= NOT_CONTENT | FILLERS and n.named != {"discussion"}
+    return bool(n.marks & NOT_CONTENT or told)
 
 
 def prune(n: Node) -> None:
@@ -142,8 +166,9 @@ def prune(n: Node) -> None:
             kept.append(c)
         elif not dropped(c):
             prune(c)
-            if c.tag in ("ul", "ol", "div", "section", "table") and c.links >= 3 and c.linked > 0.6 * c.chars:
-                continue                          # a list of links
+            if (c.tag in ("ul", "ol", "div", "section", "table") and c.links >= 3 and c.linked > 0.6 * c.chars
+                    and not _inside(c, _ARTICLE)):
+                continue                          # a list of links; an article's own stay
             kept.append(c)
             n.chars, n.linked, n.links = n.chars + c.chars, n.linked + c.linked, n.links + c.links
     n.children = kept
@@ -197,18 +222,40 @@ def score(root: Node) -> list[Node]:
             found[id(n)] = n
             n, level = n.parent, level + 1
     for n in found.values():
-        prior = 1.5 if n.tag in _MAIN else 1.2 if n.marks & CONTENT else 1.0
+        prior = 1.5 if n.tag in _MAIN else 1.2 if (n.marks | n.named) & CONTENT else 1.0
         n.points *= prior * (1 - density(n))
     return list(found.values())
 
 
 def _whole(n: Node) -> Node:
-    """The outermost article around ``n``, else the nearest main, else ``n``."""
+    """The outermost article around ``n``, else the nearest main, else the
+    containers around it that have a heading of their own beside it."""
     around = [n]
     while around[-1].parent:
         around.append(around[-1].parent)
     articles = [e for e in around if e.tag == "article"]
-    return articles[-1] if articles else next((e for e in around if e.tag == "main"), n)
+    if articles:
+        return articles[-1]
+    if main := next((e for e in around if e.tag == "main"), None):
+        return main
+    for e in around[1:]:
+        if e.tag in ("body", "html", "#root") or not any(isinstance(c, Node) and c.tag in _HEADINGS for c in e.children):
+            break
+        n = e
+    return n
+
+
+def _beside(s: Node, after: bool, least: float) -> bool:
+    """Whether a sibling of the best container belongs to it: it scores well,
+    or it is text by its kind and not made of links. Headings other than the
+    title count only behind the container."""
+    if s.points >= least and s.tag != "body" or s.tag == "h1":
+        return True
+    if s.tag == "p":
+        return not s.links or density(s) < 0.25
+    if s.tag in _HEADINGS:
+        return after
+    return s.tag in ("ul", "ol", "dl", "blockquote", "pre", "table", "figure") and density(s) < 0.25
 
 
 def main_blocks(page: str) -> list[str]:
@@ -218,20 +265,16 @@ def main_blocks(page: str) -> list[str]:
     found = score(root)
     if not found:
         return [t for _, t in blocks(root)]
-    best = max(found, key=lambda n: n.points)
+    best = max(found, key=lambda n: n.points)     # of equal ones the first found
     least = max(10.0, 0.2 * best.points)
     best = _whole(best)                           # an article is kept whole; points only judge what is beside it
-    out = []
-    for s in best.parent.children if best.tag not in ("body", "html") else [best]:
-        if isinstance(s, str):
-            continue
-        own = blocks(s)
-        if s is best or s.tag == "h1" or s.points >= least and s.tag != "body":
-            out += own
-        elif s.tag == "p":
-            text = " ".join(t for _, t in own)
-            if len(text) > 80 and density(s) < 0.25 or text and not s.links and re.search(r"[.!?]$", text):
-                out += own
+    if best.tag in ("body", "html"):
+        return [t for _, t in blocks(best)]
+    out, after = [], False
+    for s in best.parent.children:
+        if not isinstance(s, str) and (s is best or _beside(s, after, least)):
+            out += blocks(s)
+        after = after or s is best
     return [t for _, t in out]
 
 
@@ -244,7 +287,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     NULL or empty html, and html without text, give an empty text. Whole pages
     are read; broken markup (unclosed or cut tags) is read as far as it goes.
-    Repeated rows get equal texts. Extra columns are not read.
+    Repeated rows get equal texts; of containers that score alike the first
+    found is the best. Extra columns are not read; an empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
