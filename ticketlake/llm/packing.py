@@ -41,8 +41,9 @@ CAPACITY, END_ID = 4096, 1
 #: configurations of large lengths leave capacity / SLACK for small ones, or
 #: less where there are few small ones.
 SMALL, GROUPS, SLACK = 4, 40, 10
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 150_000
+#: Words whose ids a worker remembers in each of two generations: when the
+#: younger is full, the words that were not used since it began are forgotten.
+CACHE_WORDS = 300_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -50,8 +51,8 @@ _TOKENIZERS: dict[str, tuple] = {}
 
 
 def word_ids(path: str):
-    """(tokenizer, ids of each word seen, which ids end a word), once per
-    worker and file. The tokenizer drops white space and joins nothing across
+    """(tokenizer, [ids of the words used lately, of those before], which ids
+    end a word), once per worker and file. The tokenizer drops white space and joins nothing across
     it, so a text's ids are the ids of its words one after the other."""
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,7 +61,7 @@ def word_ids(path: str):
         vocabulary = tokenizer.get_vocab()
         last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        _TOKENIZERS[path] = (tokenizer, {}, last)
+        _TOKENIZERS[path] = (tokenizer, [{}, {}], last)
     return _TOKENIZERS[path]
 
 
@@ -106,14 +107,17 @@ def _encode_words(tokenizer, last: np.ndarray, words: list[bytes]) -> Iterator[t
 
 def encode(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
     """For each text its ids and the end id as little-endian 32-bit numbers."""
-    tokenizer, known, last = word_ids(path)
-    if len(known) > CACHE_WORDS:
-        known.clear()
+    tokenizer, generations, last = word_ids(path)
+    if len(generations[0]) > CACHE_WORDS:
+        generations[:] = {}, generations[0]
+    known, before = generations
     split = [split_words(b) for b in texts]
     new: set[bytes] = set()
     for words in split:
         new.update(words)
     new.difference_update(known)
+    known.update((w, before[w]) for w in new.intersection(before))
+    new.difference_update(known)
     known.update(_encode_words(tokenizer, last, list(new)))
     end = np.array([end_id], dtype="<u4").tobytes()
     return [b"".join(map(known.__getitem__, words)) + end for words in split]

@@ -114,7 +114,7 @@ def numbered(rows: DataFrame, shard: str, by: list[str], buckets: int = SLOT_BUC
     starts = sizes.select(shard, "__b", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
     inside = Window.partitionBy(shard, "__b").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     placed = (told.withColumn("__in", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-              .join(F.broadcast(starts), [shard, "__b"])
+              .join(starts, [shard, "__b"])            # the rows lie by these columns already
               .withColumn("__first", F.col("__start") + F.col("__in")))
     copies = F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__n") - 1))
     return placed.select(*rows.columns, copies.alias("slot"))
