@@ -140,16 +140,163 @@ def test_compaction_and_vacuum_keep_the_rows(spark):
 
 
 def test_failed_write_is_not_read(spark):
-    import os
     path = scratch_path(spark, "failed")
     t = KeyedTable(spark, path, "issues")
     t.upsert(_versioned(spark, range(3), 1))
-    os.makedirs(f"{path}/v-00000001-00000001")                      # no _SUCCESS: never committed
+    t._store(t.prepare(_versioned(spark, range(9), 7)), 4)           # a writer that died before its commit
+    assert _v(t) == {"i0": 1, "i1": 1, "i2": 1}
+    (open(f"{path}/_log/0000000001.json", "w")).close()             # and one that died inside it
     assert _v(t) == {"i0": 1, "i1": 1, "i2": 1}
     t.upsert(_versioned(spark, range(2, 4), 2))
     assert _v(t) == {"i0": 1, "i1": 1, "i2": 2, "i3": 2}
 
 
+def test_interleaved_writers_lose_no_row(spark, monkeypatch):
+    """Both writers know the same newest version; the second takes the next number."""
+    from ticketlake.operators.commits import CommitLog
+    path = scratch_path(spark, "two")
+    a, b = KeyedTable(spark, path, "issues"), KeyedTable(spark, path, "issues")
+    a.upsert(_versioned(spark, range(4), 1))
+    known = a.log.numbers()
+    add = CommitLog.add
+    monkeypatch.setattr(CommitLog, "add", lambda self, *args, **kw: add(self, *args, **{**kw, "numbers": known}))
+    a.upsert(_versioned(spark, range(2, 6), 2))
+    b.upsert(_versioned(spark, range(5, 8), 3))
+    assert [v.n for v in a.versions()] == [0, 1, 2]
+    assert _v(b) == {"i0": 1, "i1": 1, "i2": 2, "i3": 2, "i4": 2, "i5": 3, "i6": 3, "i7": 3}
+
+
+def test_writers_at_once_lose_no_row(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    path = scratch_path(spark, "many")
+    KeyedTable(spark, path, "issues").create()
+    with ThreadPoolExecutor(4) as threads:
+        list(threads.map(lambda k: KeyedTable(spark, path, "issues").upsert(_versioned(spark, range(10 * k, 10 * k + 10), k)), range(4)))
+    assert _v(KeyedTable(spark, path, "issues")) == {f"i{k}": k // 10 for k in range(40)}
+
+
+def test_upsert_during_compaction_stays_above_it(spark):
+    t = KeyedTable(spark, scratch_path(spark, "during"), "issues")
+    for v in range(3):
+        t.upsert(_versioned(spark, range(5), v))
+    folded = t.versions()
+    late = KeyedTable(spark, t.path, "issues")
+    store = t._store
+
+    def slow(rows, buckets):
+        folder = store(rows, buckets)
+        late.upsert(_versioned(spark, range(2), 9))                  # commits while the fold is being written
+        return folder
+    t._store = slow
+    assert t.compact(max_deltas=0)
+    t._store = store
+    assert _v(t) == {"i0": 9, "i1": 9, "i2": 2, "i3": 2, "i4": 2} and len(t.versions()) == 2 < len(folded)
+    late.truncate()
+    assert t.read().count() == 0 and late.log.active()[0].folder is None
+    late.upsert(_versioned(spark, range(1), 4))
+    assert _v(t) == {"i0": 4}
+
+
+def _final_plan(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+
+
+def test_read_moves_no_payload_of_the_base(spark):
+    t = KeyedTable(spark, scratch_path(spark, "plan"), "issues")
+    t.upsert(_versioned(spark, range(300), 1))
+    for v in (2, 3):
+        t.upsert(_versioned(spark, range(290, 310), v))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in off}
+    try:
+        for k, x in off.items():
+            spark.conf.set(k, x)
+        df = t.read()
+        df.collect()
+        root = df._jdf.queryExecution().executedPlan()
+        plan = root.toString()
+    finally:
+        for k, x in before.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+    import re
+    plan = plan.split("Initial Plan")[0]
+    moved = [line for line in plan.split("\n") if re.search(r"\bExchange (hash|range|Single)", line)]
+    for line in moved:                       # what is below an exchange: keys, no payload
+        at = plan.index(line)
+        below = plan[at:].split("\n", 2)[1]
+        assert "data#" not in below, below
+    assert "Bucketed: true" in plan and _v(t) == {f"i{k}": 3 if k >= 290 else 1 for k in range(310)}
+
+
+def test_lookup_opens_one_bucket(spark):
+    t = KeyedTable(spark, scratch_path(spark, "lookup"), "issues", buckets=16)
+    t.upsert(_versioned(spark, range(400), 1))
+    t.upsert(_versioned(spark, range(100, 120), 2))
+    for key, want in (("i5", 1), ("i110", 2), ("nothing", None)):
+        df = t.lookup(key)
+        files = df.inputFiles()
+        assert len(files) <= 2 and len({f.rsplit("_", 1)[1].split(".")[0] for f in files}) <= 1
+        got = [r.v for r in df.select(F.try_variant_get("data", "$.v", "int").alias("v")).collect()]
+        assert got == ([] if want is None else [want])
+    two = KeyedTable(spark, scratch_path(spark, "lookup2"), keys=["k1", "k2"], buckets=8,
+                     schema=spark.createDataFrame([], "k1 string, k2 string, v string, updated_at timestamp").schema)
+    two.upsert(rows(spark, [(f"a{i}", f"b{j}", f"{i}-{j}", "2024-01-01", 1, 0, i * 10 + j) for i in range(5) for j in range(5)]))
+    assert [r.v for r in two.lookup("a3", "b4").collect()] == ["3-4"]
+
+
+def test_typed_columns_skip_row_groups(spark):
+    """A filter on a typed column is pushed to the files and reads fewer rows than the table holds."""
+    from ticketlake.functions.jsonx import text_of, time_of
+    states = ["closed", "new", "on_hold"]
+    data = [(str(k), f'{{"id": "{k}", "state": "{states[k % 3]}", "modified_at": "2024-01-{k % 28 + 1:02d}T00:00:00Z"}}', 0, k) for k in range(3000)]
+    data.append(("odd", '{"id": "odd", "state": {"a": 1}, "modified_at": "no time"}', 0, 3000))
+    t = KeyedTable(spark, scratch_path(spark, "typed"), "issues", buckets=1)
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "8192")
+    try:
+        t.upsert(_issue_rows(spark, data))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    issues = t.read(typed=True)
+    df = issues.where((text_of(issues, "state") == "new") & (time_of(issues, "modified_at") < F.lit("2024-01-03").cast("timestamp"))).select("issue_id")
+    assert {r.issue_id for r in df.collect()} == {str(k) for k in range(3000) if k % 3 == 1 and k % 28 < 2}
+    plan = df._jdf.queryExecution().executedPlan()
+    assert "EqualTo(_t_state,new)" in plan.toString() and "LessThan(_t_modified_at" in plan.toString()
+
+    def scans(node):
+        kids = node.children()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            return scans(node.executedPlan())
+        return [node] * node.nodeName().startswith("Scan parquet") + [x for i in range(kids.size()) for x in scans(kids.apply(i))]
+    read = sum(s.metrics().apply("numOutputRows").value() for s in scans(plan))
+    assert read < 1500
+    assert t.read().columns == ["issue_id", "data", "updated_at"] and t.read().count() == 3001
+
+
+def test_random_histories_equal_a_dict(spark):
+    import random
+    r = random.Random(5)
+    for landing in (False, True):
+        t = KeyedTable(spark, scratch_path(spark, "history"), "accounts", landing=landing)
+        model, seen = {}, {}
+        for step in range(7):
+            ids = r.sample(range(30), 12)
+            page = r.randrange(20) if landing else step
+            rows_ = [(f"r{page % 2}", page, i, f"a{k}", f'{{"v": {step * 100 + i}}}') for i, k in enumerate(ids)]
+            df = spark.createDataFrame(rows_, "run_id string, page_no long, pos long, account_id string, j string").select(
+                "account_id", F.parse_json("j").alias("data"), F.current_timestamp().alias("updated_at"), "run_id", "page_no", "pos")
+            t.upsert_landed(df) if landing else t.upsert(df)
+            for i, k in enumerate(ids):
+                place = (f"r{page % 2}", page, -i, step) if landing else (step,)
+                if place > seen.get(k, ()):
+                    seen[k], model[f"a{k}"] = place, step * 100 + i
+            if step == 4:
+                t.compact(max_deltas=1)
+        got = {x.account_id: x.v for x in t.read().select("account_id", F.try_variant_get("data", "$.v", "int").alias("v")).collect()}
+        assert got == model
+
+
 def test_restrict_to_has_no_count_and_no_single_partition(spark):
     from ticketlake.operators.keysets import restrict_to
     msgs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "issue_id string, n int")

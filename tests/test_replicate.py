@@ -130,3 +130,98 @@ def test_replicate_all_logs_failures(spark):
     replicate_all(spark, {"accounts": pages, "users": pages}, tables, log_path=log)
     got = {r.object_type: r for r in spark.read.parquet(log).collect()}
     assert got["accounts"].error is None and got["users"].error and got["users"].total_errors == 1
+
+
+def test_sinks_exist_when_nothing_is_rejected(spark):
+    paths = {k: scratch_path(spark, k) for k in ("rejects", "bad")}
+    t = KeyedTable(spark, scratch_path(spark, "clean"), "accounts")
+    replicate_object(spark, _pages(spark, [[{"id": "x"}]]), "accounts", t, rejects_path=paths["rejects"], bad_pages_path=paths["bad"])
+    assert all(spark.read.parquet(p).count() == 0 for p in paths.values())
+
+
+def test_a_page_is_parsed_once(spark):
+    from ticketlake.sources.pages import parse_pages
+    pages = _pages(spark, [[{"id": "x"}], [{"id": "y"}]])
+    parsed = parse_pages(pages).persist()
+    from ticketlake.plans.replicate import chained, items_of
+    plan = items_of(chained(parsed, "accounts"), "accounts")._jdf.queryExecution().executedPlan().toString()
+    outside = [line for line in plan.split("\n") if "from_json" in line]
+    assert "InMemoryTableScan" in plan and len(outside) <= plan.count("InMemoryRelation") * 2
+    parsed.unpersist()
+
+
+def test_objects_at_once_equal_one_by_one(spark):
+    def run(at_once):
+        tables = {t: KeyedTable(spark, scratch_path(spark, t), t) for t in ("accounts", "issues", "messages", "users")}
+        tables["users"].path += "/\0bad"
+        pages = {t: _pages(spark, [[{"id": f"{t}{p}{i}"} for i in range(3)] for p in range(3)]) for t in ("accounts", "issues", "users")}
+        pages["messages"] = spark.createDataFrame([("r0", "issues00", 0, json.dumps({"data": [{"id": "m"}]}))],
+                                                  "run_id string, issue_id string, page_no long, body string")
+        # the messages command reads what the issues command wrote
+        ids = tables["issues"].create().read().select("issue_id") if at_once == 1 else None
+        res = replicate_all(spark, pages, tables, at_once=at_once)
+        return {r.object_type: (r.total_processed, r.total_errors, r.rows_kept, r.error is None) for r in res.collect()}, ids
+    one, _ = run(1)
+    many, _ = run(3)
+    assert one == many and one["users"] == (0, 1, 0, False) and one["messages"] == (1, 0, 1, True)
+
+
+def test_failing_chunk_leaves_the_others_and_is_done_alone(spark):
+    import datetime as dt
+    from ticketlake.plans.replicate import replicate_chunked
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 4, 1)
+    days = {f"i{k}": start + dt.timedelta(days=k) for k in range(0, 92, 7)}
+    days["edge"], days["last"], days["out"] = start + dt.timedelta(days=30), end, end + dt.timedelta(seconds=1)
+    recs = [{"id": k, "modified_at": t.strftime("%Y-%m-%dT%H:%M:%SZ")} for k, t in days.items()]
+    table, log = KeyedTable(spark, scratch_path(spark, "chunked"), "issues"), scratch_path(spark, "chunks")
+    asked, broken = [], {2}
+
+    def fetch(n):
+        asked.append(n)
+        if n in broken:
+            raise ConnectionError("no answer")
+        return _pages(spark, [recs])
+
+    first = {r.chunk_no: r.status for r in replicate_chunked(spark, fetch, table, start, end, log, "job").collect()}
+    assert first == {0: "done", 1: "done", 2: "failed", 3: "done"} and asked == [0, 1, 2, 3]
+    assert "i63" not in {r.issue_id for r in table.read().collect()}
+    broken.clear()
+    again = [(r.chunk_no, r.status, r.error) for r in replicate_chunked(spark, fetch, table, start, end, log, "job").collect()]
+    assert asked == [0, 1, 2, 3, 2] and (2, "done", None) in again and (2, "failed", "no answer") in again
+    assert {r.issue_id for r in table.read().collect()} == set(days) - {"out"}
+    replicate_chunked(spark, fetch, table, start, end, log, "other job").collect()
+    assert asked[5:] == [0, 1, 2, 3]
+
+
+def test_flushes_against_a_loop(spark):
+    """The reference loop: records in order into batches of n, each merged (first of a batch wins, later batch wins)."""
+    import random
+    r = random.Random(2)
+    pages = [[{"id": f"a{r.randrange(12)}" if r.random() > 0.1 else "", "v": 10 * p + i} for i in range(r.randrange(1, 6))] for p in range(9)]
+    for size in (1, 3, 4, 100):
+        t = KeyedTable(spark, scratch_path(spark, "flush"), "accounts")
+        got = replicate_object(spark, _pages(spark, pages), "accounts", t, flush=size).first()
+        good = [x for page in pages for x in page if x["id"]]
+        want = {}
+        for i in range(0, len(good), size):
+            batch = {}
+            for x in good[i:i + size]:
+                batch.setdefault(x["id"], x["v"])
+            want.update(batch)
+        assert {x.account_id: x.v for x in t.read().select("account_id", F.try_variant_get("data", "$.v", "int").alias("v")).collect()} == want
+        assert (got.total_processed, got.total_batches) == (len(good), -(-len(good) // size))
+
+
+def test_flush_sizes():
+    from ticketlake.plans.replicate import flush_size
+    assert [flush_size(40), flush_size(1000), flush_size(9999), flush_size(save_each_page=True), flush_size(5, True)] == [40, 1000, 1000, 100, 100]
+
+
+def test_failed_commands_are_logged(spark):
+    import pytest
+    from ticketlake.plans.truncate import truncate
+    log = scratch_path(spark, "log")
+    with pytest.raises(FileNotFoundError):
+        truncate(KeyedTable(spark, scratch_path(spark, "none"), "users"), log_path=log)
+    row = spark.read.parquet(log).first()
+    assert row.command == "truncate" and row.success is False and "table not found" in row.error

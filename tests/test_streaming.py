@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ticketlake.operators.merge import KeyedTable
@@ -36,6 +37,65 @@ def test_stream_equals_batch_and_restarts(spark):
         "account_id", F.try_variant_get("data", "$.v", "int").alias("v")).collect()} == expected     # batch = stream
 
 
+def _chain(spark, order, triggers=1):
+    """Pages 0-5 of run r0, page 2 ends the chain, and of r1, which goes on; landed and streamed in ``order``."""
+    def body(run, p):
+        return json.dumps({"data": [{"id": f"{run}-{p}-{i}"} for i in range(2)] + [{"id": "both", "v": f"{run}{p}"}],
+                           "pagination": {"has_next_page": not (run == "r0" and p == 2), "cursor": "c"}})
+    pages = [(run, p, body(run, p)) for run in ("r0", "r1") for p in range(6) if (run, p) != ("r1", 5)]
+    df = spark.createDataFrame(pages, "run_id string, page_no long, body string")
+    root, ck = scratch_path(spark, "land"), scratch_path(spark, "ck")
+    table = KeyedTable(spark, scratch_path(spark, "chain"), "accounts", landing=True)
+    for n, part in enumerate(order):
+        write_landed(df.where(F.concat("run_id", F.col("page_no").cast("string")).isin(part)), f"{root}/{n}")
+        stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=triggers).awaitTermination()
+    rows = lambda d: {r.account_id: r.v for r in d.select("account_id", F.try_variant_get("data", "$.v", "string").alias("v")).collect()}
+    batch, _ = replicate_rows(items_from_pages(df, "accounts"), "accounts")
+    return rows(table.read()), rows(batch), table
+
+
+@pytest.mark.parametrize("order", [
+    [["r00", "r01", "r03", "r04", "r05", "r10", "r11", "r12"], ["r02"], ["r13", "r14"]],           # the stop lands last
+    [["r02", "r14"], ["r05", "r04"], ["r13", "r12", "r11", "r10"], ["r03", "r01", "r00"]],         # and first
+])
+def test_stop_page_in_any_trigger(spark, order):
+    streamed, batch, table = _chain(spark, order, triggers=3)
+    assert streamed == batch and not any(k.startswith(("r0-3", "r0-4", "r0-5")) for k in streamed)
+    table.compact(max_deltas=0)                                # cuts outlive the versions they came with
+    assert {r.account_id for r in table.read().collect()} == set(batch)
+    assert table.lookup("r0-4-1").count() == 0 and table.lookup("r0-2-1").count() == 1
+
+
+def test_incremental_conversations_equal_a_full_run(spark):
+    import random
+    from ticketlake.operators.threads import triage_conversations
+    from ticketlake.plans.incremental import conversation_table, mark_of, refresh_conversations
+    r = random.Random(3)
+    teams = spark.createDataFrame([("t", '{"name": "A", "users": [{"id": "u", "email": "a@x"}]}')], "team_id string, j string") \
+                 .select("team_id", F.parse_json("j").alias("data"))
+    messages = KeyedTable(spark, scratch_path(spark, "m"), "messages")
+    target = conversation_table(spark, scratch_path(spark, "c"))
+
+    def write(step, issues):
+        data = [(f"i{i}", f"m{r.randrange(14)}", json.dumps({"timestamp": f"2024-01-{r.randrange(1, 28):02d}", "message_html": f"s{step}-{n}",
+                                                             "author": {"user": {"email": "a@x"}}}), 0, n) for n, i in enumerate(issues)]
+        df = spark.createDataFrame(data, "issue_id string, message_id string, j string, page_no long, pos long")
+        messages.upsert(df.select("issue_id", "message_id", F.parse_json("j").alias("data"), F.current_timestamp().alias("updated_at"), "page_no", "pos"))
+
+    write(0, [i % 20 for i in range(120)])
+    assert refresh_conversations(messages, teams, target).count() == 20
+    for step in (1, 2):
+        touched = r.sample(range(25), 4)
+        write(step, touched * 2)
+        stamps = {x.issue_id: x.updated_at for x in target.read().collect()}
+        assert {x.issue_id for x in refresh_conversations(messages, teams, target).collect()} == {f"i{i}" for i in touched}
+        after = {x.issue_id: x.updated_at for x in target.read().collect()}
+        assert all((after[k] == t) == (int(k[1:]) not in touched) for k, t in stamps.items())
+        full = {(x.issue_id, x.n_lines, x.conversation) for x in triage_conversations(messages.read(), teams).collect()}
+        assert {(x.issue_id, x.n_lines, x.conversation) for x in target.read().collect()} == full
+    assert refresh_conversations(messages, teams, target).count() == 0 and mark_of(target, "messages") == 2
+
+
 def test_incremental_cut(spark):
     target = spark.createDataFrame([("2024-01-05 00:00:00",)], "t string").select(F.col("t").cast("timestamp").alias("updated_at"))
     src = spark.createDataFrame([(1, "2024-01-04 00:00:00"), (2, "2024-01-06 00:00:00")], "id int, t string") \

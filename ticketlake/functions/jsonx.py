@@ -8,7 +8,7 @@ array all come back as NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Output timestamp formats (RFC 3339, UTC, 'Z' suffix).
@@ -57,6 +57,29 @@ def json_ts(v: Column | str, path: str, strict: bool = True) -> Column:
     return s.cast("timestamp") if strict else F.try_to_timestamp(s)
 
 
+def typed_name(member: str) -> str:
+    """Column of a stored table that holds a member of the record as itself."""
+    return f"_t_{member}"
+
+
+def typed_copy(v: Column | str, member: str, kind: str) -> Column:
+    """A member as stored beside the record. A time that does not parse is
+    NULL, so a record is stored whatever it holds."""
+    return json_ts(v, f"$.{member}", strict=False) if kind == "timestamp" else json_str(v, f"$.{member}").cast(kind)
+
+
+def text_of(rows: DataFrame, member: str, data: str = "data") -> Column:
+    """Text of a top-level member: the stored column where the table was read
+    with its typed columns (a plain comparison reaches the files' statistics),
+    else extracted from the record."""
+    return F.col(typed_name(member)) if typed_name(member) in rows.columns else json_str(data, f"$.{member}")
+
+
+def time_of(rows: DataFrame, member: str, data: str = "data") -> Column:
+    """A top-level member as TIMESTAMP, in the same way."""
+    return F.col(typed_name(member)) if typed_name(member) in rows.columns else json_ts(data, f"$.{member}")
+
+
 def to_text_ts(ts: Column | str, micros: bool = False) -> Column:
     """TIMESTAMP -> RFC 3339 text with a 'Z' suffix."""
     return F.date_format(_c(ts), TS_FORMAT_MICROS if micros else TS_FORMAT)

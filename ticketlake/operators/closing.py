@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import json_str, json_ts, json_value, parse
+from ..functions.jsonx import json_str, json_value, parse, text_of, time_of
 from ..functions.labels import TAG_CLASSIFIED, append_tag, close_payload
 from .running import first_rows
 
@@ -26,16 +26,14 @@ STALE_AFTER = dt.timedelta(weeks=1)
 def last_message_times(messages: DataFrame) -> DataFrame:
     """A1: MAX(message timestamp) per issue. Hash aggregate with a partial
     (map-side) step, so a hot issue is combined before the shuffle."""
-    return (messages.select("issue_id", json_ts(F.col("data"), "$.timestamp").alias("ts"))
+    return (messages.select("issue_id", time_of(messages, "timestamp").alias("ts"))
             .groupBy("issue_id").agg(F.max("ts").alias("last_message_time")))
 
 
 def waiting_pool(issues: DataFrame) -> DataFrame:
     """Ids of Slack issues waiting on the customer (both predicates reach
-    the parquet scan as VARIANT field filters)."""
-    d = F.col("data")
-    return issues.where((json_str(d, "$.state") == WAITING) & (json_str(d, "$.source") == SLACK)) \
-                 .select("issue_id")
+    the parquet scan, on typed columns or as VARIANT field filters)."""
+    return issues.where((text_of(issues, "state") == WAITING) & (text_of(issues, "source") == SLACK)).select("issue_id")
 
 
 def stale_from(pool: DataFrame, messages: DataFrame, as_of: dt.datetime, limit: int | None = None,

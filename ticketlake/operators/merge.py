@@ -5,8 +5,9 @@ A table is a log of versions (see ``commits``). An upsert writes its
 deduplicated rows as one new version and touches nothing else, so its cost
 follows the batch, not the table. Several writers may upsert at a time.
 
-The rows of a version lie in buckets by key (Spark's own bucketing), sorted by
-key. A read of base and deltas therefore never shuffles the base: the deltas
+The rows of a version lie in buckets by key (Spark's own bucketing). Some members
+of the record are kept as plain columns beside it (state, times), by which the
+files of issues are sorted: a filter on them skips row groups. A read of base and deltas therefore never shuffles the base: the deltas
 (a bounded share of the base, see below) are reduced to their newest row per
 key, and the base keeps the rows whose key they do not have. That join needs
 the deltas' keys in the base's buckets and reads the base where it lies. A
@@ -37,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.jsonx import typed_copy, typed_name
 from ..schema import spec, table_schema
 from .commits import Commit, CommitLog, Files
 from .dedup import LANDED_COLS, dedup, dedup_batches, dedup_first, dedup_flushed, dedup_landed, dedup_latest
@@ -67,12 +69,14 @@ class KeyedTable:
         self.spark, self.path, self.landing = spark, path.rstrip("/"), landing
         if object_type:
             s = spec(object_type)
-            self.keys, self.schema = list(s.keys), table_schema(object_type)
+            self.keys, self.schema, self.typed, cluster = list(s.keys), table_schema(object_type), list(s.typed), list(s.cluster)
         else:
-            self.keys, self.schema = list(keys), schema
+            self.keys, self.schema, self.typed, cluster = list(keys), schema, [], []
         if landing:
             self.schema = T.StructType(self.schema.fields + [T.StructField(c, t, True) for c, _, t in LANDED])
         self.columns = [f.name for f in self.schema.fields]
+        self.physical = T.StructType(self.schema.fields + [T.StructField(typed_name(m), T._parse_datatype_string(t), True) for m, t in self.typed])
+        self.sorted_by = [typed_name(m) for m in cluster] + self.keys
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.files = Files(spark)
 
@@ -99,7 +103,8 @@ class KeyedTable:
     def _store(self, rows: DataFrame, buckets: int) -> str:
         """``rows`` in a new folder, in buckets. Nothing refers to it yet."""
         folder = f"rows-{uuid.uuid4().hex}"
-        (rows.select(*self.columns).write.format("parquet").bucketBy(buckets, *self.keys).sortBy(*self.keys)
+        rows = rows.select(*self.columns, *[typed_copy("data", m, t).alias(typed_name(m)) for m, t in self.typed])
+        (rows.write.format("parquet").bucketBy(buckets, *self.keys).sortBy(*self.sorted_by)
          .option("path", f"{self.path}/{folder}").saveAsTable(self._name(folder)))
         return folder
 
@@ -107,14 +112,14 @@ class KeyedTable:
         """A version's rows, known to Spark by their buckets. The session's
         catalog holds the folder's description only, never the data."""
         if v.folder is None:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], self.physical)
         name = self._name(v.folder)
         if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
-            keys = ", ".join(f"`{k}`" for k in self.keys)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.physical.fields)
+            keys, order = (", ".join(f"`{c}`" for c in cs) for cs in (self.keys, self.sorted_by))
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({order}) "
                            f"INTO {v.buckets} BUCKETS LOCATION '{self.path}/{v.folder}'")
-        return self.spark.table(name).select(*self.columns)
+        return self.spark.table(name).select(*self.physical.names)
 
     # I2 ------------------------------------------------------------------
     def exists(self) -> bool:
@@ -136,7 +141,7 @@ class KeyedTable:
     def _newest(self, versions: list[Commit]) -> DataFrame:
         """One row per key of these versions, without the rows behind cuts."""
         if not versions:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], self.physical)
         base, deltas = self._scan(versions[0]), versions[1:]
         if deltas:
             rows = reduce(DataFrame.unionByName, [self._scan(v).withColumn("_v", F.lit(v.hi).cast("long")) for v in deltas])
@@ -151,7 +156,7 @@ class KeyedTable:
                 rows = rows.withColumn("_d", place).join(mine, self.keys, "left").where("_b IS NULL OR _b <= _d").drop("_b", "_d")
             else:
                 kept = base.join(rows.select(*self.keys), self.keys, "left_anti")
-            base = kept.select(*self.columns).unionByName(rows.select(*self.columns))
+            base = kept.select(*self.physical.names).unionByName(rows.select(*self.physical.names))
         cuts = self._cuts(versions)
         if cuts is not None:
             behind = (F.col("landed_run") == F.col("run_id")) & (F.col("landed_page") > F.col("stop_page"))
@@ -163,11 +168,13 @@ class KeyedTable:
         paths = [f"{self.path}/{v.cuts}" for v in versions if v.cuts]
         return self.spark.read.schema(CUTS).parquet(*paths).groupBy("run_id").agg(F.min("stop_page").alias("stop_page")) if paths else None
 
-    def read(self) -> DataFrame:
-        """The table with its registry schema."""
+    def read(self, typed: bool = False) -> DataFrame:
+        """The table with its registry schema; ``typed``: with the plain
+        copies of some members too (``jsonx.text_of``, ``time_of``)."""
         if not self.exists():
             raise FileNotFoundError(f"table not found: {self.path}")
-        return self._newest(self.versions())
+        rows = self._newest(self.versions())
+        return rows if typed else rows.select(*self.columns)
 
     def bucket_files(self, v: Commit, bucket: int) -> list[str]:
         """The files of one bucket of a version (Spark writes the bucket's
@@ -205,7 +212,7 @@ class KeyedTable:
         versions is read whole, so ``after`` is best kept close."""
         versions = self.versions()
         newer = [self._scan(v) for v in versions if v.hi > after]
-        rows = reduce(DataFrame.unionByName, newer) if newer else self.spark.createDataFrame([], self.schema)
+        rows = reduce(DataFrame.unionByName, newer) if newer else self.spark.createDataFrame([], self.physical)
         return rows, versions[-1].hi if versions else -1
 
     # I3/I4 ---------------------------------------------------------------

@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import json_str, json_ts, json_type, json_value, parse
+from ..functions.jsonx import json_type, json_value, parse, text_of, time_of
 from ..functions.labels import (FIELDS, accept_error_staged, accepted_staged, gate_staged,
                                response_features, update_payload)
 from ..functions.prompts import system_for, user_text
@@ -32,8 +32,8 @@ def unclassified(issues: DataFrame, fields=FIELDS, created_start: str | None = N
     d = F.col("data")
     conds = [json_value(d, f"$.custom_fields.{f}.value").isNull() for f in fields if f in FIELDS]
     missing = reduce(or_, conds) if conds else F.lit(False)
-    created = json_ts(d, "$.created_at")
-    pred = (json_str(d, "$.state") == CLOSED) & missing
+    created = time_of(issues, "created_at")
+    pred = (text_of(issues, "state") == CLOSED) & missing
     if created_start:
         pred = pred & (created >= F.lit(created_start).cast("timestamp"))
     if created_end:

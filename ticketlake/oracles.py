@@ -403,6 +403,14 @@ SELECT row_number() OVER (ORDER BY o_orderdate DESC, issue_id) AS rank, issue_id
   ORDER BY o_orderdate DESC, issue_id LIMIT 250) t
 """)
 
+oracle("typed_filters", f"""
+WITH i AS (SELECT {K} AS k, CASE WHEN {K} % 10 = 0 THEN 'on_hold' ELSE {ISSUE_STATE} END AS state, o_orderpriority AS p,
+                  o_orderdate + to_days(CAST({K} % 30 AS INTEGER)) AS modified FROM orders)
+SELECT 'unclassified' AS kind, CAST(k AS VARCHAR) AS issue_id FROM i WHERE state = 'closed' AND (k % 3 = 0 OR k % 5 = 0)
+UNION ALL SELECT 'waiting', CAST(k AS VARCHAR) FROM i WHERE state = 'waiting_on_customer' AND p = '1-URGENT'
+UNION ALL SELECT 'modified', CAST(k AS VARCHAR) FROM i WHERE modified BETWEEN TIMESTAMP '1996-02-01' AND TIMESTAMP '1996-08-01'
+""")
+
 oracle("missing_fields", f"""
 SELECT issue_id, is_closed, missing, missing <> '' AS needs_classification FROM (
   SELECT CAST({K} AS VARCHAR) AS issue_id, o_orderstatus = 'F' AS is_closed,

@@ -224,7 +224,7 @@ def replicate_all(spark: SparkSession, pages_by_type: dict, tables: dict, log_pa
                 spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
     with ThreadPoolExecutor(max(1, at_once)) as threads:               # in order: issues begin before messages
-        done = list(threads.map(inheritable_thread_target(one), wanted)) if at_once > 1 else [one(t) for t in wanted]
+        done = list(threads.map(inheritable_thread_target(spark)(one), wanted)) if at_once > 1 else [one(t) for t in wanted]
     res = with_overall(reduce(DataFrame.unionByName, [c for c, _ in done]))
     text = F.lit(None).cast("string")
     for t, (_, e) in zip(wanted, done, strict=True):

@@ -627,6 +627,26 @@ def q_unclassified(spark, d):
                     to_text_ts("created_at").alias("created_at"))
 
 
+@query("typed_filters")
+def q_typed_filters(spark, d):
+    """S11+P1+P8+P9: a keyed table of two versions read with its typed
+    columns: unclassified issues, the waiting pool, and a modified_at range,
+    all by plain columns that reach the files' statistics."""
+    from .operators.filters import issue_predicate, table_field
+    from .operators.merge import KeyedTable
+    from .operators.triage import unclassified
+    from .session import scratch_path
+    f = fx.warehouse(spark, d, "issue_records")
+    t = KeyedTable(spark, scratch_path(spark, "typed"), "issues")
+    t.upsert(_issue_rows(f, F.col("record")))
+    t.upsert(_issue_rows(f.where(F.col("key") % 10 == 0), _state_set(F.col("record"), "on_hold")))
+    issues = t.read(typed=True)
+    window = issue_predicate(table_field(issues), modified_start=dt.datetime(1996, 2, 1), modified_end=dt.datetime(1996, 8, 1))
+    told = lambda df, kind: df.select(F.lit(kind).alias("kind"), "issue_id")
+    return told(unclassified(issues, ordered=False), "unclassified").unionByName(told(closing.waiting_pool(issues), "waiting")) \
+        .unionByName(told(issues.where(window), "modified"))
+
+
 @query("missing_fields")
 def q_missing_fields(spark, d):
     """P11+P12: closed flag and falsy label fields per issue."""

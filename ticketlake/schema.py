@@ -18,6 +18,8 @@ class ObjectSpec:
     keys: tuple          # primary key columns
     pagination: str      # "cursor", "offset" or "none" (messages: one call per issue)
     extra: tuple = ()    # optional non-key columns lifted from the record
+    typed: tuple = ()    # (member, type): kept as plain columns beside the record, for filters
+    cluster: tuple = ()  # members by which stored files are sorted, before the keys
 
     @property
     def id_col(self) -> str:
@@ -28,8 +30,10 @@ class ObjectSpec:
 # Object registry (type, table, keys, pagination), in replication order.
 OBJECTS = {
     "accounts": ObjectSpec("accounts", "accounts", ("account_id",), "cursor"),
-    "issues": ObjectSpec("issues", "issues", ("issue_id",), "cursor"),
-    "messages": ObjectSpec("messages", "messages", ("issue_id", "message_id"), "none"),
+    "issues": ObjectSpec("issues", "issues", ("issue_id",), "cursor", (),
+                         (("state", "string"), ("source", "string"), ("created_at", "timestamp"), ("modified_at", "timestamp")),
+                         ("state", "modified_at")),
+    "messages": ObjectSpec("messages", "messages", ("issue_id", "message_id"), "none", (), (("timestamp", "timestamp"),)),
     "contacts": ObjectSpec("contacts", "contacts", ("contact_id",), "offset", ("account_id",)),
     "users": ObjectSpec("users", "users", ("user_id",), "offset"),
     "teams": ObjectSpec("teams", "teams", ("team_id",), "offset"),
