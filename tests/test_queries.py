@@ -14,7 +14,9 @@ from ticketlake.sources.fixtures import TABLES
 NAMES = sorted(QUERIES)
 # Queries that write tables while they are built.
 WRITERS = ("stream_upsert", "truncate_audit", "upsert_merge", "upsert_batches", "replicate_write", "replicate_counters", "bad_pages",
-           "reject_rows", "replicate_issues_filtered", "replicate_messages_selected", "ndjson_reload")
+           "reject_rows", "replicate_issues_filtered", "replicate_messages_selected", "ndjson_reload", "keyed_lookup", "flush_counters", "replicate_flushed",
+           "replicate_all", "run_log", "replicate_chunked", "incremental_conversations", "typed_filters", "classify_keywords", "score_resumed",
+           "stream_chain_cut")
 
 
 @pytest.fixture(scope="module")

@@ -18,12 +18,12 @@ from __future__ import annotations
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import CATEGORIES, RESOLUTIONS
 from ..session import scratch_path
+from .commits import Files
 
 # Token rule: maximal runs of Unicode letters/digits, lower-cased.
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
@@ -104,12 +104,7 @@ def request_digest(*texts) -> Column:
 
 def answered(spark: SparkSession, log_path: str) -> DataFrame:
     """(digest, response) of the response log, one row for each request."""
-    try:
-        log = spark.read.schema(RESPONSE_LOG).parquet(log_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        log = spark.createDataFrame([], RESPONSE_LOG)
+    log = spark.read.schema(RESPONSE_LOG).parquet(log_path) if Files(spark).exists(log_path) else spark.createDataFrame([], RESPONSE_LOG)
     return log.groupBy("digest").agg(F.min("response").alias("response"))
 
 

@@ -14,11 +14,11 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import json_str, json_ts
+from ..operators.commits import Files
 from ..operators.dedup import dedup_landed
 from ..operators.filters import CHUNK_DAYS, chunk_index, chunks, issue_predicate, json_field
 from ..operators.merge import KeyedTable
@@ -242,12 +242,9 @@ CHUNK_LOG = ("job string, chunk_no long, chunk_start timestamp, chunk_end timest
 
 def finished_chunks(spark: SparkSession, log_path: str, job: str) -> set[int]:
     """The chunks that some run of ``job`` has finished (a row for each chunk)."""
-    try:
-        log = spark.read.schema(CHUNK_LOG).parquet(log_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not Files(spark).exists(log_path):
         return set()
+    log = spark.read.schema(CHUNK_LOG).parquet(log_path)
     return {r["chunk_no"] for r in log.where((F.col("job") == job) & (F.col("status") == "done")).select("chunk_no").distinct().collect()}
 
 
