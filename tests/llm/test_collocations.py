@@ -77,8 +77,8 @@ def test_sql(spark):
 
 def test_products_beyond_64_bits(spark):
     big = 9 * 10**12
-    cells = spark.createDataFrame([("en", 1, "x", 0, "y", big), ("en", 1, "x", -1, "", big + 1), ("en", 1, "y", -1, "", big + 2)],
-                                  "lang string, k int, prefix string, segment int, next string, f long")
+    cells = spark.createDataFrame([("en", 1, "x", "y", big), ("en", 0, "", "x", big + 1), ("en", 0, "", "y", big + 2)],
+                                  "lang string, k int, prefix string, next string, f long")
     r = c.scored(cells).first()
     assert (r.a, r.l, r.r, r.score) == (big, big + 1, big + 2, 2000000 * big // (2 * big + 3))
 
@@ -94,5 +94,5 @@ def test_edges(spark):
 def test_stripes_are_merged_where_they_arrive(spark):
     """One exchange, of stripes: cells are summed in the task that reads them."""
     rows = c.stripes(frame(spark, corpus()), c._Chunk.words_stripes)
-    plan = c.merged(rows, 30)._jdf.queryExecution().executedPlan().toString()
+    plan = c.merged(rows)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Window" not in plan

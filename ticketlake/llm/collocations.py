@@ -1,18 +1,17 @@
 """Phrase collocations by the stripes pattern.
 
 A stripe belongs to a prefix of 0 to 3 words: an associative counter of the
-words that follow the prefix inside a piece, and the prefix's own total. Tasks
-build the stripes of some million words at a time; stripes of a prefix are
-merged elementwise. One structure gives everything asked for: cells are the
-extensions (the candidates), totals the frequencies of all parts of a
-candidate, and the largest cell that holds a phrase, as prefix or as suffix,
-tells whether a longer candidate subsumes it.
-
-Three passes over the texts. The first makes the stripe of the empty prefix
-(words), the second those of one word, the third those of two and three. A
-phrase is as frequent as its least frequent part at most, so a pass only
-counts what stands in a set of bits (8 MB, a superset) of the frequent words
-or word pairs of the pass before. Rare phrases never leave the tasks' memory.
+words that follow the prefix inside a piece. Tasks build the stripes of some
+million words at a time; stripes of a prefix are merged elementwise. One
+structure gives everything asked for: cells are the extensions (the
+candidates), a prefix's total is its own cell in the stripe of its shorter
+prefix, and the largest cell that holds a phrase, as prefix or as suffix, tells
+whether a longer candidate subsumes it.
+
+One pass over the texts for each length of prefix. A phrase is as frequent as
+its least frequent part at most, so a pass only counts phrases of which both
+shorter parts stand in a set of bits (8 MB, a superset) of the frequent ones
+of the pass before. Other phrases never leave the tasks' memory.
 
 A frequent prefix has many next words: a stripe travels and is merged in
 segments, by the hash of the next word. No stripe is ever whole in one task.
@@ -21,6 +20,7 @@ segments, by the hash of the next word. No stripe is ever whole in one task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,10 @@ from .common import doc_bytes, stored, table
 #: hundredths) of a longer one that subsumes it, rows of a language.
 LONGEST, LEAST, SUBSUMED, TOP = 4, 30, 80, 2000
 #: Words for which a task builds stripes at once.
-HELD = 1 << 21
+HELD = 1 << 22
 #: Segments of the stripe of a prefix of 0, 1, 2, 3 words.
-SEGMENTS = (4096, 32, 16, 16)
-#: Bits of the set of frequent words or pairs (a superset).
+SEGMENTS = (4096, 16, 4, 1)
+#: Bits of the set of frequent phrases of a length (a superset).
 BITMAP = 26
 #: Score bins of the histogram that bounds what is ranked.
 SCORE, BINS = 2_000_000, 1000
@@ -91,34 +91,21 @@ class _Chunk:
         self.hashes = _word_hashes(self.lang, list(self.ids))
         self.words = pa.array(list(self.ids), pa.binary()).cast(pa.string())
 
-    def _rows(self, k: int, prefixes: pa.Array, code: np.ndarray, count: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Stripes of ``prefixes`` (with their totals) from cells: ``code`` is
-        prefix * words + place of the next word in the order of ``_places``."""
-        v = len(self.words)
-        owner, nxt = code // v, self.by_segment[code % v]
+    def _rows(self, k: int, prefixes: pa.Array, owner: np.ndarray, place: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Stripes of ``prefixes`` from cells sorted by prefix and place of
+        the next word in the order of ``_places``."""
+        nxt = self.by_segment[place]
         seg = self.segment[nxt]
-        starts = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (seg[1:] != seg[:-1])])) if len(code) else np.zeros(0, np.int64)
-        ends = np.append(starts[1:], len(code))
-        n = len(starts)
-        for i in range(0, n, 1 << 15):                                     # stripes' segments
-            s, e = starts[i:i + (1 << 15)], ends[i:i + (1 << 15)]
-            offsets = pa.array(np.append(s, e[-1]) - s[0], pa.int32())
-            cells = slice(s[0], e[-1])
-            yield self._batch(k, prefixes.take(pa.array(owner[s])), seg[s],
-                              pa.ListArray.from_arrays(offsets, self.words.take(pa.array(nxt[cells]))),
-                              pa.ListArray.from_arrays(offsets, pa.array(count[cells], pa.int64())))
-        for i in range(0, len(prefixes), 1 << 16):                         # totals
-            own = total[i:i + (1 << 16)]
-            offsets = pa.array(np.arange(len(own) + 1), pa.int32())
-            yield self._batch(k, prefixes.slice(i, len(own)), np.full(len(own), -1),
-                              pa.ListArray.from_arrays(offsets, pa.array([""] * len(own), pa.string())),
-                              pa.ListArray.from_arrays(offsets, pa.array(own, pa.int64())))
-
-    def _batch(self, k: int, prefix: pa.Array, segment: np.ndarray, nxt: pa.Array, n: pa.Array) -> pa.RecordBatch:
-        rows = len(prefix)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([self.lang] * rows, pa.string()), pa.array(np.full(rows, k), pa.int32()), prefix,
-             pa.array(segment, pa.int32()), nxt, n], names=["lang", "k", "prefix", "segment", "next", "n"])
+        starts = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (seg[1:] != seg[:-1])])) if len(owner) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(owner))
+        for i in range(0, len(starts), 1 << 16):
+            s, e = starts[i:i + (1 << 16)], ends[i:i + (1 << 16)]
+            offsets, cells = pa.array(np.append(s, e[-1]) - s[0], pa.int32()), slice(s[0], e[-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([self.lang] * len(s), pa.string()), pa.array(np.full(len(s), k), pa.int32()), prefixes.take(pa.array(owner[s])),
+                 pa.array(seg[s], pa.int32()), pa.ListArray.from_arrays(offsets, self.words.take(pa.array(nxt[cells]))),
+                 pa.ListArray.from_arrays(offsets, pa.array(count[cells], pa.int64()))],
+                names=["lang", "k", "prefix", "segment", "next", "n"])
 
     def _places(self, k: int) -> np.ndarray:
         """Place of every word in an order by segment."""
@@ -129,51 +116,42 @@ class _Chunk:
         return place
 
     def words_stripes(self) -> Iterator[pa.RecordBatch]:
+        """The empty prefix."""
         place = self._places(0)
         counts = np.bincount(self.at, minlength=len(self.words))
         counts[0] = 0
         seen = np.sort(place[np.flatnonzero(counts)])
-        yield from self._rows(0, pa.array([""], pa.string()), seen, counts[self.by_segment[seen]], np.array([counts.sum()]))
-
-    def pair_stripes(self, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Prefixes of one frequent word."""
-        good = _in_bits(bits, self.hashes)
-        good[0] = False
-        place = self._places(1)
-        which = np.flatnonzero(good)
-        dense = np.cumsum(good) - 1
-        i = np.flatnonzero(good[self.at[:-1]] & good[self.at[1:]])
-        code, count = np.unique(dense[self.at[i]] * len(self.words) + place[self.at[i + 1]], return_counts=True)
-        total = np.bincount(self.at, minlength=len(self.words))[which]
-        yield from self._rows(1, self.words.take(pa.array(which)), code, count, total)
-
-    def longer_stripes(self, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Prefixes of two and three words whose pairs are all frequent."""
+        yield from self._rows(0, pa.array([""], pa.string()), np.zeros(len(seen), np.int64), seen, counts[self.by_segment[seen]])
+
+    def longer_stripes(self, k: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Prefixes of ``k`` words: what follows them so that the first ``k``
+        and the last ``k`` words both stand in ``bits``."""
         at, v = self.at.astype(np.int64), len(self.words)
-        # known pairs, then the dense number of each position's pair (-1: none)
-        pair = np.full(len(at), -1, np.int64)
-        inside = np.flatnonzero((at[:-1] != 0) & (at[1:] != 0))
-        ok = inside[_in_bits(bits, _pair_hashes(self.hashes[at[inside]], self.hashes[at[inside + 1]]))]
-        code, dense, total = np.unique(at[ok] * v + at[ok + 1], return_inverse=True, return_counts=True)
-        pair[ok] = dense
-        names = pc.binary_join_element_wise(self.words.take(pa.array(code // v)), self.words.take(pa.array(code % v)), " ")
-        i = ok[pair[ok + 1] >= 0]
-        place = self._places(2)
-        code, triple_of, count = np.unique(pair[i] * v + place[at[i + 2]], return_inverse=True, return_counts=True)
-        yield from self._rows(2, names, code, count, total)
-        triple = np.full(len(at), -1, np.int64)
-        triple[i] = triple_of
-        last = self.words.take(pa.array(self.by_segment[code % v]))
-        names, total = pc.binary_join_element_wise(names.take(pa.array(code // v)), last, " "), count
-        i = i[triple[i + 1] >= 0]
-        place = self._places(3)
-        code, count = np.unique(triple[i] * v + place[at[i + 3]], return_counts=True)
-        yield from self._rows(3, names, code, count, total)
+        known = np.flatnonzero(at[:len(at) - k + 1] != 0)
+        h = self.hashes[at[known]]
+        for j in range(1, k):
+            inside = at[known + j] != 0
+            known, h = known[inside], h[inside]
+            h = _pair_hashes(h, self.hashes[at[known + j]])
+        known = known[_in_bits(bits, h)]
+        dense = at[known]                                                  # numbers of the phrases at these places
+        first = known
+        for j in range(k):
+            code = dense * v + at[known + j] if j else dense
+            _, first, dense = np.unique(code, return_index=True, return_inverse=True)
+        names = self.words.take(pa.array(at[known[first]]))
+        for j in range(1, k):
+            names = pc.binary_join_element_wise(names, self.words.take(pa.array(at[known[first] + j])), " ")
+        phrase = np.full(len(at) + 1, -1, np.int64)
+        phrase[known] = dense
+        i = known[phrase[known + 1] >= 0]
+        code, count = np.unique(phrase[i] * v + self._places(k)[at[i + k]], return_counts=True)
+        yield from self._rows(k, names, code // v, code % v, count)
 
 
 def stripes(docs: DataFrame, build, held: int = HELD) -> DataFrame:
     """Rows (lang, k, prefix, segment, next, n): stripes of prefixes of ``k``
-    words, in segments; segment -1 holds the prefix's total (next: empty)."""
+    words, in segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks: dict[str, _Chunk] = {}
         size = 0
@@ -200,26 +178,27 @@ def stripes(docs: DataFrame, build, held: int = HELD) -> DataFrame:
     return docs.select(lang.alias("lang"), doc_bytes().alias("b")).mapInArrow(run, _STRIPES)
 
 
-def merged(rows: DataFrame, least: int) -> DataFrame:
-    """Cells (lang, k, prefix, segment, next, f) of elementwise merged stripes
-    with at least ``least`` occurrences; of the empty prefix the total always."""
-    cells = (rows.repartition("lang", "k", "prefix", "segment")
-             .select("lang", "k", "prefix", "segment", F.explode(F.arrays_zip("next", "n")).alias("c"))
-             .groupBy("lang", "k", "prefix", "segment", F.col("c.next").alias("next")).agg(F.sum("c.n").alias("f")))
-    return cells.where((F.col("f") >= least) | ((F.col("k") == 0) & (F.col("segment") < 0)))
+def merged(rows: DataFrame) -> DataFrame:
+    """Cells (lang, k, prefix, segment, next, f) of elementwise merged stripes.
+    Stripes go to the task that merges them; cells are not shuffled again."""
+    return (rows.repartition("lang", "k", "prefix", "segment")
+            .select("lang", "k", "prefix", "segment", F.explode(F.arrays_zip("next", "n")).alias("c"))
+            .groupBy("lang", "k", "prefix", "segment", F.col("c.next").alias("next")).agg(F.sum("c.n").alias("f")))
 
 
 def frequent_bits(cells: DataFrame, bitmap: int = BITMAP) -> np.ndarray:
-    """2^bitmap bits (8 MB), set for the cells' words (k = 0) or pairs (k = 1)."""
+    """2^bitmap bits (8 MB), set for the phrases (prefix and next) of cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = []
-            for lang, k, prefix, nxt in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                h = _word_hashes(lang, [w.encode() for w in ((prefix, nxt) if k else (nxt,))])
-                place.append(int((_pair_hashes(h[:1], h[1:]) if k else h)[0]) & ((1 << bitmap) - 1))
+            for lang, prefix, nxt in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                h = _word_hashes(lang, [w.encode() for w in (*prefix.split(" "), nxt) if w])
+                for j in range(1, len(h)):
+                    h[:1] = _pair_hashes(h[:1], h[j:j + 1])
+                place.append(int(h[0]) & ((1 << bitmap) - 1))
             yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64())], names=["p"])
 
-    own = cells.where("segment >= 0").select("lang", "k", "prefix", "next").mapInArrow(run, "p long")
+    own = cells.select("lang", "prefix", "next").mapInArrow(run, "p long")
     words = (own.groupBy(F.shiftright("p", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("bits")).toPandas())
     out = np.zeros(1 << (bitmap - 6), dtype=np.int64)
@@ -228,14 +207,17 @@ def frequent_bits(cells: DataFrame, bitmap: int = BITMAP) -> np.ndarray:
 
 
 def all_stripes(docs: DataFrame, least: int = LEAST, held: int = HELD, bitmap: int = BITMAP) -> tuple[DataFrame, DataFrame]:
-    """(cells of the empty prefix, cells of prefixes of one to three words)."""
-    spark = docs.sparkSession
-    words = stored(merged(stripes(docs, _Chunk.words_stripes, held), least), "stripes-0")
-    good = spark.sparkContext.broadcast(frequent_bits(words, bitmap))
-    pairs = stored(merged(stripes(docs, lambda c: c.pair_stripes(good.value), held), least), "stripes-1")
-    known = spark.sparkContext.broadcast(frequent_bits(pairs, bitmap))
-    longer = stored(merged(stripes(docs, lambda c: c.longer_stripes(known.value), held), least), "stripes-2")
-    return words, pairs.unionByName(longer)
+    """(frequent cells (lang, k, prefix, next, f) of all prefixes, words of
+    each language)."""
+    words = stored(merged(stripes(docs, _Chunk.words_stripes, held)), "stripes-0")
+    n = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    frequent = F.col("f") >= least
+    levels = [words.where(frequent)]
+    for k in range(1, LONGEST):
+        bits = docs.sparkSession.sparkContext.broadcast(frequent_bits(levels[-1], bitmap))
+        rows = stripes(docs, lambda chunk, k=k, bits=bits: chunk.longer_stripes(k, bits.value), held)
+        levels.append(stored(merged(rows).where(frequent), f"stripes-{k}"))
+    return reduce(DataFrame.unionByName, levels).select("lang", "k", "prefix", "next", "f"), n
 
 
 def _exact(n: Column) -> Column:
@@ -244,8 +226,9 @@ def _exact(n: Column) -> Column:
 
 def scored(cells: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, score) of all candidates, by their lowest cut."""
-    total = cells.where("segment < 0").select("lang", F.col("prefix").alias("part"), F.col("f").alias("total"))
-    found = cells.where("segment >= 0").select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("f").alias("a"))
+    phrases = cells.select("lang", "k", F.when(F.col("k") == 0, F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next")).alias("phrase"), "f")
+    total = phrases.where(F.col("k") < LONGEST - 1).select("lang", F.col("phrase").alias("part"), F.col("f").alias("total"))
+    found = phrases.where("k >= 1").select("lang", "phrase", F.col("f").alias("a"))
     w = F.split("phrase", " ")
     cut = found.withColumn("cut", F.explode(F.sequence(F.lit(1), F.size(w) - 1)))
     cut = cut.select("lang", "phrase", "a", "cut", F.array_join(F.slice(w, 1, F.col("cut")), " ").alias("first"),
@@ -260,7 +243,7 @@ def scored(cells: DataFrame) -> DataFrame:
 def subsumption(cells: DataFrame) -> DataFrame:
     """(lang, phrase, longest): the most frequent candidate one word longer
     that has the phrase in it. (One two words longer is no more frequent.)"""
-    longer = cells.where("segment >= 0 AND k >= 2")
+    longer = cells.where("k >= 2")
     tail = F.concat_ws(" ", F.expr("substring_index(prefix, ' ', 1 - k)"), "next")
     return (longer.select("lang", F.col("prefix").alias("phrase"), "f").union(longer.select("lang", tail.alias("phrase"), "f"))
             .groupBy("lang", "phrase").agg(F.max("f").alias("longest")))
@@ -276,8 +259,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, held: int
     the phrase's bytes, so no two rows tie. Extra columns are not read. An
     empty table, or one without a frequent phrase, gives no rows.
     """
-    words, cells = all_stripes(docs, least, held, bitmap)
-    n = words.where("segment < 0").select("lang", F.col("f").alias("n"))
+    cells, n = all_stripes(docs, least, held, bitmap)
     kept = scored(cells).join(subsumption(cells), ["lang", "phrase"], "left") \
                         .where(F.col("longest").isNull() | (_exact(F.col("longest")) * 100 < _exact(F.col("a")) * SUBSUMED))
     kept = stored(kept.drop("longest"), "collocations")
