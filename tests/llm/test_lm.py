@@ -57,6 +57,19 @@ def test_state_is_carried_over_windows():
         assert np.allclose(lm.score_texts(net, texts, lanes, window), [alone(x) for x in texts], atol=1e-3)
 
 
+def test_one_very_long_text_costs_its_own_length():
+    import tracemalloc
+    net = small_net()
+    texts = [np.zeros(400_000, np.int32)] + [np.ones(3, np.int32)] * 255
+    dealt = lm.Lanes(texts, 256)
+    assert sum(x.nbytes for x in dealt.symbols) < 2_000_000
+    tracemalloc.start()
+    got = lm.score_texts(net, [t[:20_000] for t in texts])
+    assert tracemalloc.get_traced_memory()[1] < 30_000_000
+    tracemalloc.stop()
+    assert np.allclose(got[1:], got[1]) and np.isfinite(got).all()
+
+
 def test_gradients_by_differences():
     net = small_net()
     h = np.random.default_rng(1).normal(0, 1, (6, 5)).astype(np.float32)

@@ -7,12 +7,12 @@ stored files, not a recomputation of everything before.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 
 #: Bytes of an Arrow batch: a worker holds few texts at a time, and the JVM
 #: few bytes outside its heap.
@@ -33,13 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``. Where it is
-    unset (a test session in one process) a folder is made and set."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="ticketlake-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
+    """The folder all executors share: ``spark.checkpoint.dir``; where it is
+    unset, a cluster's warehouse folder serves (see ``session``)."""
+    return checkpoint_dir(spark)
 
 
 def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:

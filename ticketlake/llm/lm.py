@@ -170,26 +170,38 @@ class Network:
         return out, back, grads
 
 
-def lanes(texts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+class Lanes:
     """Texts dealt to ``n`` lanes, the longest first and each to the shortest
-    lane: (lane x step) symbols, -1 where a lane has ended, and the text's
-    index there."""
-    n = max(1, min(n, len(texts)))
-    heap = [(0, k) for k in range(n)]
-    dealt: list[list[int]] = [[] for _ in range(n)]
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
-        length, k = heapq.heappop(heap)
-        dealt[k].append(i)
-        heapq.heappush(heap, (length + len(texts[i]), k))
-    steps = max(x for x, _ in heap)
-    symbols, owner = np.full((n, steps), -1, dtype=np.int32), np.full((n, steps), -1, dtype=np.int32)
-    for k, own in enumerate(dealt):
-        at = 0
-        for i in own:
-            symbols[k, at:at + len(texts[i])] = texts[i]
-            owner[k, at:at + len(texts[i])] = i
-            at += len(texts[i])
-    return symbols, owner
+    lane; longer lanes come first. A lane holds its own symbols only, so one
+    very long text beside short ones costs its length and no more."""
+
+    def __init__(self, texts: list[np.ndarray], n: int):
+        n = max(1, min(n, len(texts)))
+        heap = [(0, k) for k in range(n)]
+        dealt: list[list[int]] = [[] for _ in range(n)]
+        for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+            length, k = heapq.heappop(heap)
+            dealt[k].append(i)
+            heapq.heappush(heap, (length + len(texts[i]), k))
+        dealt.sort(key=lambda own: -sum(len(texts[i]) for i in own))
+        self.symbols = [np.concatenate([texts[i] for i in own]) for own in dealt]
+        self.ends = [np.cumsum([len(texts[i]) for i in own]) for own in dealt]
+        self.texts = [np.array(own, dtype=np.int32) for own in dealt]
+        self.length = np.array([len(x) for x in self.symbols])
+        self.steps = int(self.length.max())
+
+    def window(self, t0: int, t1: int) -> tuple[np.ndarray, np.ndarray]:
+        """(lane x step) symbols, -1 where a lane has ended, and the index of
+        the text there; steps ``t0 - 1`` to ``t1 - 1``, the first for what
+        came before (index -1 at the beginning)."""
+        shape = (len(self.symbols), t1 - t0 + 1)
+        symbols, owner = np.full(shape, -1, dtype=np.int32), np.full(shape, -1, dtype=np.int32)
+        for k in range(int(np.searchsorted(-self.length, -t0, side="right"))):      # lanes that reach the step before
+            at = np.arange(max(t0 - 1, 0), min(t1, len(self.symbols[k])))
+            where = at - (t0 - 1)
+            symbols[k, where] = self.symbols[k][at[0]:at[-1] + 1] if len(at) else 0
+            owner[k, where] = self.texts[k][np.searchsorted(self.ends[k], at, side="right")]
+        return symbols, owner
 
 
 def score_texts(net: Network, texts: list[np.ndarray], n_lanes: int = SCORE_LANES, window: int = SCORE_STEPS) -> np.ndarray:
@@ -197,22 +209,21 @@ def score_texts(net: Network, texts: list[np.ndarray], n_lanes: int = SCORE_LANE
     out = np.zeros(len(texts))
     if not texts:
         return out
-    symbols, owner = lanes(texts, n_lanes)
-    order = np.argsort(-(symbols >= 0).sum(axis=1), kind="stable")         # open lanes stay in front
-    symbols, owner = symbols[order], owner[order]
-    length = (symbols >= 0).sum(axis=1)
-    h = np.zeros((len(symbols), net.width), np.float32)
-    for t0 in range(0, symbols.shape[1], window):
+    dealt = Lanes(texts, n_lanes)
+    h = np.zeros((len(dealt.symbols), net.width), np.float32)
+    for t0 in range(0, dealt.steps, window):
+        t1 = min(t0 + window, dealt.steps)
+        symbols, owner = dealt.window(t0, t1)
         states, sym, own = [], [], []
-        for t in range(t0, min(t0 + window, symbols.shape[1])):
-            n = int(np.searchsorted(-length, -t, side="left"))             # lanes longer than t
+        for t in range(t0, t1):
+            n, c = int(np.searchsorted(-dealt.length, -t, side="left")), t - t0 + 1     # lanes longer than t
             if not n:
                 break
-            s = symbols[:n, t]
-            begins = owner[:n, t] != (owner[:n, t - 1] if t else -1)
+            s = symbols[:n, c]
+            begins = owner[:n, c] != owner[:n, c - 1]
             h = h[:n]
             h[begins] = 0
-            states.append(h), sym.append(s), own.append(owner[:n, t])
+            states.append(h), sym.append(s), own.append(owner[:n, c])
             h, _ = net.step(h, s)
         if states:
             lp = net.output(np.concatenate(states), np.concatenate(sym))
@@ -225,9 +236,9 @@ def train_texts(net: Network, texts: list[np.ndarray], rate: float = RATE, n_lan
     rows that a window touches). Returns the symbols seen."""
     if not texts:
         return 0
-    symbols, owner = lanes(texts, n_lanes)
+    dealt = Lanes(texts, n_lanes)
     d, p, past = net.width, net.p, net.past
-    carried = np.zeros((len(symbols), d), np.float32)
+    carried = np.zeros((len(dealt.symbols), d), np.float32)
     seen = 0
 
     def update(k: str, g, rows=None) -> None:
@@ -239,26 +250,28 @@ def train_texts(net: Network, texts: list[np.ndarray], rate: float = RATE, n_lan
             scale = rate / np.sqrt(past[k][rows])
             p[k][rows] -= (scale[:, None] if g.ndim > 1 else scale) * g
 
-    for t0 in range(0, symbols.shape[1], window):
-        t1 = min(t0 + window, symbols.shape[1])
+    for t0 in range(0, dealt.steps, window):
+        t1 = min(t0 + window, dealt.steps)
+        symbols, owner = dealt.window(t0, t1)
         states, gates, masks, h = [], [], [], carried
-        for t in range(t0, t1):
-            begins = owner[:, t] != (owner[:, t - 1] if t else -1)
+        for t in range(1, t1 - t0 + 1):
+            begins = owner[:, t] != owner[:, t - 1]
             h = np.where(begins[:, None], 0, h).astype(np.float32)
             states.append(h), masks.append(~begins)
             new, g = net.step(h, np.maximum(symbols[:, t], 0))
             gates.append(g)
             h = new
         carried = h
-        live = symbols[:, t0:t1].T >= 0
+        symbols = symbols[:, 1:].T
+        live = symbols >= 0
         all_h = np.stack(states)
-        _, back, grads = net.output(all_h[live], symbols[:, t0:t1].T[live].astype(np.int64), gradient=True)
+        _, back, grads = net.output(all_h[live], symbols[live].astype(np.int64), gradient=True)
         n = int(live.sum())
         seen += n
         from_out = np.zeros_like(all_h)
         from_out[live] = back
         g_u = np.zeros_like(p["u"])
-        g_x, dh = np.zeros((t1 - t0, len(symbols), 3 * d), np.float32), np.zeros_like(carried)
+        g_x, dh = np.zeros((t1 - t0, len(carried), 3 * d), np.float32), np.zeros_like(carried)
         for k in range(t1 - t0 - 1, -1, -1):
             z, r, c, u = gates[k]
             prev = states[k]
@@ -272,7 +285,7 @@ def train_texts(net: Network, texts: list[np.ndarray], rate: float = RATE, n_lan
             g_uh = np.concatenate([dz, dr, dc * r], axis=1)
             g_u += prev.T @ g_uh
             dh = (dh * z + g_uh @ p["u"].T + from_out[k]) * masks[k][:, None]
-        flat, inverse = np.unique(symbols[:, t0:t1].T[live], return_inverse=True)
+        flat, inverse = np.unique(symbols[live], return_inverse=True)
         rows = np.zeros((len(flat), 3 * d), np.float32)
         np.add.at(rows, inverse, g_x[live])
         inv = np.float32(1 / max(n, 1)) * 8
@@ -416,6 +429,7 @@ def score_documents(docs: DataFrame, train: DataFrame, **settings) -> DataFrame:
     vocabulary).
 
     NULL text counts as empty: one end token. Tokens are compared as bytes.
+    Texts are scored whole; a very long one costs memory by its own length.
     Repeated rows get equal scores up to rounding (lanes differ). Extra columns are not
     read. Without training documents every token has probability 1 in the
     base, and the untrained network's in the score.
