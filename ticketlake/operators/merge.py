@@ -116,9 +116,10 @@ class KeyedTable:
         name = self._name(v.folder)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.physical.fields)
+            place = f"{self.path}/{v.folder}".replace("\\", "\\\\").replace("'", "\\'")
             keys, order = (", ".join(f"`{c}`" for c in cs) for cs in (self.keys, self.sorted_by))
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({order}) "
-                           f"INTO {v.buckets} BUCKETS LOCATION '{self.path}/{v.folder}'")
+                           f"INTO {v.buckets} BUCKETS LOCATION '{place}'")
         return self.spark.table(name).select(*self.physical.names)
 
     # I2 ------------------------------------------------------------------
