@@ -24,8 +24,8 @@ entry goes on once for either half; groups that fit are sorted and compared as
 ever, those that do not are halved again. At a single beginning the equal
 context is the whole window, and what is left is a count.
 
-Contexts are stored once, one for each distinct entry; the suffixes' table
-holds their digests.
+Suffixes are stored with the digests of their contexts, contexts once for many
+suffixes.
 """
 
 from __future__ import annotations
@@ -131,53 +131,45 @@ def _contexts(h: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 
 def suffixes(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
-    """Per row of ``docs``: ``row, doc_id, n_words`` and ``kept``: position and
-    entry (digest of the context) of every suffix."""
+    """Two kinds of rows from one pass. For each row of ``docs``: ``row,
+    doc_id, n_words`` and ``kept``, position and entry (digest of the context)
+    of every suffix. For each entry, once in some thousand: ``entry, g,
+    context``. The columns of the other kind are NULL."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
     item = pa.struct([("pos", pa.int32()), ("entry", pa.binary())])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("kept", pa.list_(item)),
+                        ("entry", pa.binary()), ("g", pa.int64()), ("context", pa.binary())])
+
+    def of(*columns) -> pa.RecordBatch:
+        size = max(len(c) for c in columns if c is not None)
+        return pa.RecordBatch.from_arrays([pa.nulls(size, f.type) if c is None else pa.array(c, f.type)
+                                           for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
+        row, seen = TaskContext.get().partitionId() << 40, {}
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             rows, words, kept = [], [], []
             for x in batch.column(1):
                 h = word_hashes(x.as_py())
-                _, at = _selected(h, sent.value, length)
-                kept.append([{"pos": int(i), "entry": xxhash.xxh3_128_digest(c.tobytes())}
-                             for i, c in zip(at, _contexts(h, at, length), strict=True)])
-                rows.append(row), words.append(len(h))
+                g, at = _selected(h, sent.value, length)
+                own = []
+                for k, i, c in zip(g.view(np.int64).tolist(), at.tolist(), _contexts(h, at, length) if len(at) else (), strict=True):
+                    c = c.tobytes()
+                    entry = xxhash.xxh3_128_digest(c)
+                    own.append({"pos": i, "entry": entry})
+                    if entry not in seen:
+                        seen[entry] = (k, c)
+                rows.append(row), words.append(len(h)), kept.append(own)
                 row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), batch.column(0), pa.array(words, pa.int64()),
-                                              pa.array(kept, pa.list_(item))], names=["row", "doc_id", "n_words", "kept"])
+            yield of(rows, batch.column(0).to_pylist(), words, kept, None, None, None)
+            if len(seen) >= 20_000:
+                yield of(None, None, None, None, list(seen), [k for k, _ in seen.values()], [c for _, c in seen.values()])
+                seen = {}
+        if seen:
+            yield of(None, None, None, None, list(seen), [k for k, _ in seen.values()], [c for _, c in seen.values()])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_bytes().alias("b")).mapInArrow(
-        run, "row long, doc_id long, n_words long, kept array<struct<pos: int, entry: binary>>")
-
-
-def contexts(docs: DataFrame, bits: np.ndarray, length: int) -> DataFrame:
-    """``entry, g, context`` of all suffixes, an entry once for each Arrow
-    batch. Words before and after a suffix show in the context: padding is 0."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[bytes, tuple[int, bytes]] = {}
-            for x in batch.column(0):
-                h = word_hashes(x.as_py())
-                g, at = _selected(h, sent.value, length)
-                for k, c in zip(g.view(np.int64).tolist(), _contexts(h, at, length), strict=True):
-                    own = c.tobytes()
-                    seen.setdefault(xxhash.xxh3_128_digest(own), (k, own))
-                if len(seen) >= 20_000:
-                    yield batch_of(seen)
-                    seen = {}
-            yield batch_of(seen)
-
-    def batch_of(seen: dict[bytes, tuple[int, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array([g for g, _ in seen.values()], pa.int64()),
-                                           pa.array([c for _, c in seen.values()], pa.binary())], names=["entry", "g", "context"])
-
-    return docs.select(doc_bytes().alias("b")).mapInArrow(run, "entry binary, g long, context binary")
+        run, "row long, doc_id long, n_words long, kept array<struct<pos: int, entry: binary>>, entry binary, g long, context binary")
 
 
 def _stretches(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -306,11 +298,11 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, range_size: int = R
     Extra columns are not read; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    bits = shared_grams(docs, length)
-    rows = stored(suffixes(docs, bits, length), "suffixes")
+    both = stored(suffixes(docs, shared_grams(docs, length), length), "suffixes")
+    rows = both.where("row IS NOT NULL").select("row", "doc_id", "n_words", "kept")
     each = rows.select("row", F.explode("kept").alias("s")).select("row", "s.*")
     held = each.groupBy("entry").agg(F.min("row").alias("low"), F.max("row").alias("high"))
-    once = contexts(docs, bits, length).groupBy("entry").agg(F.first("g").alias("g"), F.first("context").alias("context"))
+    once = both.where("entry IS NOT NULL").groupBy("entry").agg(F.first("g").alias("g"), F.first("context").alias("context"))
     entries = stored(once.join(held, "entry"), "suffix-entries")
     found = matches(entries, length, range_size).groupBy("entry").agg(F.bit_or("mask").alias("mask"), F.min("first").alias("first"))
     hits = each.join(found, "entry").groupBy("row").agg(
