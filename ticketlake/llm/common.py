@@ -38,13 +38,23 @@ def shared_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark)
 
 
+#: Spark's setting to delete a query's shuffle files when it has ended.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` written as Parquet under the shared folder (a folder for each value
-    of the column ``by``) and read back."""
+    of the column ``by``) and read back. What was shuffled for it is deleted
+    when it is written, not when the driver happens to collect its garbage."""
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path, partitionBy=by)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path, partitionBy=by)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
