@@ -214,7 +214,7 @@ def test_flushes_against_a_loop(spark):
 
 def test_flush_sizes():
     from ticketlake.plans.replicate import flush_size
-    assert [flush_size(40), flush_size(1000), flush_size(9999), flush_size(save_each_page=True), flush_size(5, True)] == [40, 1000, 1000, 100, 100]
+    assert [flush_size(), flush_size(40), flush_size(9999), flush_size(save_each_page=True), flush_size(5, True)] == [500, 40, 500, 100, 100]
 
 
 def test_failed_commands_are_logged(spark):

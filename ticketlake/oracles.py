@@ -643,7 +643,7 @@ _RUN_SIZES = "SELECT run, count(*) AS n, count(DISTINCT k) AS keys FROM g WHERE
 oracle("flush_counters", f"""
 WITH {_PLANTED},
 r AS ({_RUN_SIZES}),
-sizes(flush_size) AS (VALUES (40), (250), (1000), (100))
+sizes(flush_size) AS (VALUES (40), (250), (500), (100))
 SELECT CAST(flush_size AS BIGINT) AS flush_size, 'accounts' AS object_type, 'accounts' AS table_name,
        CAST((SELECT sum(n) FROM r) AS BIGINT) AS total_processed,
        CAST((SELECT count_if(no_id) FROM g) + (SELECT count(DISTINCT page) FROM p WHERE run = 'r0' AND page % 6 = 1) AS BIGINT) AS total_errors,

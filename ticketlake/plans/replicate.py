@@ -127,11 +127,11 @@ def store_bad_pages(parsed: DataFrame, object_type: str, path: str) -> None:
        .write.mode("append").parquet(path)
 
 
-#: Records of an API page, and of a write to the warehouse.
-API_BATCH, WAREHOUSE_BATCH = 100, 1000
+#: Records of an API page, of a batch, and of a write to the warehouse.
+API_BATCH, BATCH, WAREHOUSE_BATCH = 100, 1000, 500
 
 
-def flush_size(batch_size: int = WAREHOUSE_BATCH, save_each_page: bool = False, api_batch: int = API_BATCH,
+def flush_size(batch_size: int = BATCH, save_each_page: bool = False, api_batch: int = API_BATCH,
                warehouse_batch: int = WAREHOUSE_BATCH) -> int:
     """Records of a flush. A smaller ``batch_size`` holds, a larger one
     does not; ``save_each_page`` flushes as many as an API page holds."""
