@@ -44,7 +44,7 @@ BITMAP = 26
 SCORE, BINS = 2_000_000, 1000
 
 _BREAKS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
-_STRIPES = "lang string, k int, prefix string, segment int, next string, n string"
+_STRIPES = "lang string, prefix string, segment int, cells string"
 
 
 def words_of(b: bytes) -> list[bytes]:
@@ -91,7 +91,7 @@ class _Chunk:
         self.hashes = _word_hashes(self.lang, list(self.ids))
         self.words = pa.array(list(self.ids), pa.binary()).cast(pa.string())
 
-    def _rows(self, k: int, prefixes: pa.Array, owner: np.ndarray, place: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def _rows(self, prefixes: pa.Array, owner: np.ndarray, place: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Stripes of ``prefixes`` from cells sorted by prefix and place of
         the next word in the order of ``_places``."""
         nxt = self.by_segment[place]
@@ -103,9 +103,9 @@ class _Chunk:
             offsets, cells = pa.array(np.append(s, e[-1]) - s[0], pa.int32()), slice(s[0], e[-1])
             words, n = self.words.take(pa.array(nxt[cells])), pc.cast(pa.array(count[cells], pa.int64()), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([self.lang] * len(s), pa.string()), pa.array(np.full(len(s), k), pa.int32()), prefixes.take(pa.array(owner[s])),
-                 pa.array(seg[s], pa.int32()), *(pc.binary_join(pa.ListArray.from_arrays(offsets, x), " ") for x in (words, n))],
-                names=["lang", "k", "prefix", "segment", "next", "n"])
+                [pa.array([self.lang] * len(s), pa.string()), prefixes.take(pa.array(owner[s])), pa.array(seg[s], pa.int32()),
+                 pc.binary_join_element_wise(*(pc.binary_join(pa.ListArray.from_arrays(offsets, x), " ") for x in (words, n)), "\n")],
+                names=["lang", "prefix", "segment", "cells"])
 
     def _places(self, k: int) -> np.ndarray:
         """Place of every word in an order by segment."""
@@ -121,7 +121,7 @@ class _Chunk:
         counts = np.bincount(self.at, minlength=len(self.words))
         counts[0] = 0
         seen = np.sort(place[np.flatnonzero(counts)])
-        yield from self._rows(0, pa.array([""], pa.string()), np.zeros(len(seen), np.int64), seen, counts[self.by_segment[seen]])
+        yield from self._rows(pa.array([""], pa.string()), np.zeros(len(seen), np.int64), seen, counts[self.by_segment[seen]])
 
     def longer_stripes(self, k: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Prefixes of ``k`` words: what follows them so that the first ``k``
@@ -146,13 +146,13 @@ class _Chunk:
         phrase[known] = dense
         i = known[phrase[known + 1] >= 0]
         code, count = np.unique(phrase[i] * v + self._places(k)[at[i + k]], return_counts=True)
-        yield from self._rows(k, names, code // v, code % v, count)
+        yield from self._rows(names, code // v, code % v, count)
 
 
 def stripes(docs: DataFrame, build, held: int = HELD) -> DataFrame:
-    """Rows (lang, k, prefix, segment, next, n): stripes of prefixes of ``k``
-    words, in segments; the next words and their numbers, joined by spaces
-    (words hold none), take a third of the room that arrays would."""
+    """Rows (lang, prefix, segment, cells): stripes in segments. A text takes a
+    third of the room that arrays would: the next words, joined by spaces, a
+    line end, and their numbers alike (words hold neither)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks: dict[str, _Chunk] = {}
         size = 0
@@ -180,12 +180,13 @@ def stripes(docs: DataFrame, build, held: int = HELD) -> DataFrame:
 
 
 def merged(rows: DataFrame) -> DataFrame:
-    """Cells (lang, k, prefix, segment, next, f) of elementwise merged stripes.
+    """Cells (lang, prefix, segment, next, f) of elementwise merged stripes.
     Stripes go to the task that merges them; cells are not shuffled again."""
-    return (rows.repartition("lang", "k", "prefix", "segment")
-            .select("lang", "k", "prefix", "segment", F.split("next", " ").alias("next"), F.split("n", " ").alias("n"))
-            .select("lang", "k", "prefix", "segment", F.explode(F.arrays_zip("next", "n")).alias("c"))
-            .groupBy("lang", "k", "prefix", "segment", F.col("c.next").alias("next")).agg(F.sum(F.col("c.n").cast("long")).alias("f")))
+    cells = F.split("cells", "\n")
+    return (rows.repartition("lang", "prefix", "segment")
+            .select("lang", "prefix", "segment", F.split(cells[0], " ").alias("next"), F.split(cells[1], " ").alias("n"))
+            .select("lang", "prefix", "segment", F.explode(F.arrays_zip("next", "n")).alias("c"))
+            .groupBy("lang", "prefix", "segment", F.col("c.next").alias("next")).agg(F.sum(F.col("c.n").cast("long")).alias("f")))
 
 
 def frequent_bits(cells: DataFrame, bitmap: int = BITMAP) -> np.ndarray:
@@ -214,11 +215,11 @@ def all_stripes(docs: DataFrame, least: int = LEAST, held: int = HELD, bitmap: i
     words = stored(merged(stripes(docs, _Chunk.words_stripes, held)), "stripes-0")
     n = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = F.col("f") >= least
-    levels = [words.where(frequent)]
+    levels = [words.where(frequent).withColumn("k", F.lit(0))]
     for k in range(1, LONGEST):
         bits = docs.sparkSession.sparkContext.broadcast(frequent_bits(levels[-1], bitmap))
         rows = stripes(docs, lambda chunk, k=k, bits=bits: chunk.longer_stripes(k, bits.value), held)
-        levels.append(stored(merged(rows).where(frequent), f"stripes-{k}"))
+        levels.append(stored(merged(rows).where(frequent), f"stripes-{k}").withColumn("k", F.lit(k)))
     return reduce(DataFrame.unionByName, levels).select("lang", "k", "prefix", "next", "f"), n
 
 
