@@ -103,3 +103,23 @@ def test_incremental_cut(spark):
     assert [r.id for r in incremental_cut(src, F.col("t"), target).collect()] == [2]
     empty = target.where("false")
     assert incremental_cut(src, F.col("t"), empty).count() == 2
+
+
+def test_trigger_has_tasks_by_its_files_not_by_the_session(spark):
+    """A trigger of few files keeps state and writes buckets in few partitions, whatever the session's setting."""
+    pages = [("r0", p, json.dumps({"data": [{"id": f"a{p}-{i}"} for i in range(20)],
+                                   "pagination": {"has_next_page": True, "cursor": "c"}})) for p in range(4)]
+    root, ck = scratch_path(spark, "land"), scratch_path(spark, "ck")
+    write_landed(spark.createDataFrame(pages, "run_id string, page_no long, body string"), root)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        table = KeyedTable(spark, scratch_path(spark, "acc"), "accounts", landing=True)
+        q = stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=2)
+        q.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [s["numShufflePartitions"] for p in q.recentProgress for s in p["stateOperators"]][:1] == [1]
+    assert [v.buckets for v in table.versions()] == [1, 1]
+    assert table.read().count() == 80

@@ -239,17 +239,20 @@ class KeyedTable:
         return [F.col("landed_run").desc_nulls_last(), F.col("landed_page").desc_nulls_last(),
                 F.col("landed_pos").asc_nulls_last()]
 
-    def upsert_landed(self, rows: DataFrame, batch_ts: Column | None = None, cuts: DataFrame | None = None) -> dict:
+    def upsert_landed(self, rows: DataFrame, batch_ts: Column | None = None, cuts: DataFrame | None = None,
+                      buckets: int | None = None) -> dict:
         """Upsert of a stream table: the batch's rows with their landing
         positions become a version; which row wins is settled on read.
-        ``cuts`` (run_id, stop_page) are committed with the rows."""
+        ``cuts`` (run_id, stop_page) are committed with the rows. ``buckets``:
+        of this version, where a small batch needs fewer than the table has."""
         if not self.landing:
             raise ValueError("upsert_landed needs a table created with landing=True")
         for c, src_col, t in LANDED:
             rows = rows.withColumn(c, F.col(src_col).cast(t))
-        return self.upsert(rows, keep="landed", batch_ts=batch_ts, cuts=cuts)
+        return self.upsert(rows, keep="landed", batch_ts=batch_ts, cuts=cuts, buckets=buckets)
 
-    def upsert(self, rows: DataFrame, keep: str = "first", batch_ts: Column | None = None, cuts: DataFrame | None = None) -> dict:
+    def upsert(self, rows: DataFrame, keep: str = "first", batch_ts: Column | None = None, cuts: DataFrame | None = None,
+               buckets: int | None = None) -> dict:
         """Stamp, dedup, append as a new version. Returns ``{"rows_in",
         "rows_kept"}`` from Observations. The target is not read."""
         self.create()
@@ -257,7 +260,7 @@ class KeyedTable:
             rows = rows.withColumn("updated_at", batch_ts)
         obs_in, obs_out = Observation("rows_in"), Observation("rows_kept")
         src = self.prepare(rows.observe(obs_in, F.count(F.lit(1)).alias("n")), keep)
-        buckets = self._stored_buckets()
+        buckets = min(self._stored_buckets(), buckets or self._stored_buckets())
         folder = self._store(src.select(*self.columns).observe(obs_out, F.count(F.lit(1)).alias("n")), buckets)
         self.log.add(None, None, folder, buckets, self._store_cuts(cuts))
         self.compact()

@@ -30,8 +30,11 @@ from ..plans.replicate import chained, items_of, prepare, store_bad_pages, store
 from ..schema import spec
 from ..sources.pages import chain_stops, parse_pages
 
+#: Landed files of a trigger for each task and shuffle partition of the stream.
+FILES_A_TASK = 16
 PAGE_FILE = r"page_no=(\d+)"
 RUN_DIR = r"run_id=([^/]+)"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def page_stream(spark: SparkSession, root: str, max_files_per_trigger: int = 100) -> DataFrame:
@@ -74,7 +77,8 @@ def stream_upsert(spark: SparkSession, root: str, object_type: str, table: Keyed
         try:
             items = items_of(chained(parsed, object_type, stops), object_type)
             valid, rejects = prepare(items, object_type, stamp=F.current_timestamp())
-            table.upsert_landed(valid, cuts=None if spec(object_type).pagination == "none" else stops)
+            table.upsert_landed(valid, cuts=None if spec(object_type).pagination == "none" else stops,
+                                buckets=int(batch.sparkSession.conf.get(PARTITIONS)))
             if rejects_path:
                 store_rejects(rejects, object_type, rejects_path)
             if bad_pages_path:
@@ -86,4 +90,10 @@ def stream_upsert(spark: SparkSession, root: str, object_type: str, table: Keyed
     pages = with_chain_state(page_stream(spark, root, max_files_per_trigger), object_type)
     w = pages.writeStream.outputMode("update").foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    # the stream takes its settings at its start; a restart keeps its checkpoint's partitions
+    session = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(min(int(session), -(-max_files_per_trigger // FILES_A_TASK))))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(PARTITIONS, session)
