@@ -21,10 +21,26 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",     # a repeated key: the last value holds
 }
+#: Shuffles begin with at least so many partitions; adaptive execution joins small ones.
+INITIAL_PARTITIONS = 1024
+
+
+def initial_partitions(shuffle_partitions: int) -> int:
+    """A multiple of the session's shuffle partitions, so that a shuffle by key
+    stays aligned with tables in that many buckets."""
+    return shuffle_partitions * -(-INITIAL_PARTITIONS // shuffle_partitions)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the library depends on (idempotent)."""
+    """Apply the session settings the library depends on (idempotent).
+
+    ``spark.sql.shuffle.partitions`` fits one size of input; with larger ones a
+    task's share outgrows its memory and spills. Adaptive execution therefore
+    begins with more partitions, unless the user has chosen their number, and
+    gives a task as many as make up its advisory size."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(initial, None) is None:
+        spark.conf.set(initial, str(initial_partitions(int(spark.conf.get("spark.sql.shuffle.partitions")))))
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
