@@ -111,3 +111,11 @@ def test_release_unpersists_command_intermediates(spark, sf):
     assert run["persisted"] and all(df.is_cached for df in run["persisted"])
     release(run)
     assert not any(df.is_cached for df in run["persisted"])
+
+
+def test_snapshot_is_asked_for_the_candidates_alone(spark, sf):
+    """JN7: the snapshot of the ids asked for, whatever else the service holds."""
+    from ticketlake import queries
+    asked = spark.createDataFrame([("1",), ("7",), ("nobody",)], "issue_id string")
+    rows = queries._current_snapshot(spark, sf, asked).collect()
+    assert sorted(r.issue_id for r in rows) == ["1", "7"]
