@@ -304,3 +304,36 @@ def test_restrict_to_has_no_count_and_no_single_partition(spark):
     out = restrict_to(msgs, ids)
     assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.n for r in out.collect()) == [1, 2, 4]
+
+
+def test_restrict_to_sifts_rows_before_they_are_shuffled(spark):
+    """The semi join lies behind the fixed-size bitmap; rows are those of the plain semi join (NULL keys never,
+    repeated rows and ids as they are, ids of another type by their value)."""
+    from ticketlake.operators.keysets import restrict_to
+    msgs = spark.createDataFrame([("a", 1), ("a", 1), ("b", 3), (None, 4), ("7", 5)], "issue_id string, n int")
+    ids = spark.createDataFrame([("a",), ("a",), (None,), ("7",), ("z",)], "issue_id string")
+    out = restrict_to(msgs, ids)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("getbit")                # the root is printed first
+    assert out.columns == msgs.columns
+    assert sorted(r.n for r in out.collect()) == [1, 1, 5]
+    assert restrict_to(msgs, ids.limit(0)).count() == 0
+    assert [r.n for r in restrict_to(msgs.where("n = 5"), spark.createDataFrame([(7,)], "issue_id int")).collect()] == [5]
+
+
+def test_shuffles_begin_with_many_partitions(spark):
+    """Whatever the session's shuffle partitions, a task's share does not grow with the input; a user's number holds."""
+    from ticketlake.session import configure, initial_partitions
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert [initial_partitions(n) for n in (4, 24, 200, 2000)] == [1024, 1032, 1200, 2000]
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        configure(spark)
+        plan = spark.range(10).groupBy((F.col("id") % 3).alias("k")).count()._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(" in plan and ", 1024)" in plan
+        spark.conf.set(name, "16")
+        configure(spark)
+        assert spark.conf.get(name) == "16"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -26,12 +26,13 @@ def question_requests(candidates: DataFrame, convs: DataFrame) -> DataFrame:
                     question_user_text(F.col("conversation"), F.col("issue_id")).alias("user"))
 
 
-def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams: DataFrame,
+def close(warehouse: DataFrame, current: DataFrame | Callable[[DataFrame], DataFrame], messages: DataFrame, teams: DataFrame,
           as_of: dt.datetime, question_responder: Callable[[DataFrame], DataFrame],
           label_responder: Callable[[DataFrame], DataFrame] | None = None,
           max_records: int | None = None, created_at: Column | None = None, log_path: str | None = None) -> dict:
     """Candidates come from the warehouse table; their current state (closed?
-    labels? tags?) from ``current``, the service's latest snapshot.
+    labels? tags?) from ``current``, the service's latest snapshot, or a
+    function that gives the snapshot of the issues it is asked for.
 
     Messages are read twice: partial maxima of one narrow field over all of
     them, then the candidates' own messages by a semi join. The snapshot is
@@ -43,7 +44,7 @@ def close(warehouse: DataFrame, current: DataFrame, messages: DataFrame, teams:
     """
     cand = closing.stale_candidates(warehouse, messages, as_of, max_records, ordered=False).persist()
     ids = cand.select("issue_id")
-    cur = closing.current_state(ids, current).persist()
+    cur = closing.current_state(ids, current(ids) if callable(current) else restrict_to(current, ids)).persist()
     cand_msgs = restrict_to(messages, ids).persist()
     need = cur.where(~closing.is_closed(F.col("current"))) \
               .select("issue_id", closing.missing_fields(F.col("current")).alias("fields")) \

@@ -19,6 +19,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",   # small partitions of a cached result are joined too
     "spark.sql.variant.allowDuplicateKeys": "true",     # a repeated key: the last value holds
 }
 #: Shuffles begin with at least so many partitions; adaptive execution joins small ones.
