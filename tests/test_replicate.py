@@ -150,6 +150,24 @@ def test_a_page_is_parsed_once(spark):
     parsed.unpersist()
 
 
+def test_rows_come_from_splits_of_a_scratch_table(spark):
+    from ticketlake.operators.commits import Files
+    from ticketlake.session import checkpoint_dir
+
+    class Seen(KeyedTable):
+        def upsert(self, rows, **kw):
+            self.plan = rows._jdf.queryExecution().executedPlan().toString()
+            return super().upsert(rows, **kw)
+
+    table = Seen(spark, scratch_path(spark, "seen"), "accounts")
+    bad = spark.createDataFrame([("r0", 5, "not json")], "run_id string, page_no long, body string")
+    pages = _pages(spark, [[{"id": "x"}, {"id": ""}], [{"id": "y"}], [{"id": "x"}]]).unionByName(bad).withColumn("more", F.lit(None))
+    got = _counters(replicate_object(spark, pages, "accounts", table))
+    assert got["accounts"] == (3, 2, 3, 2)
+    assert "InMemoryTableScan" not in table.plan and "from_json" not in table.plan
+    assert not [n for n in Files(spark).names(f"{checkpoint_dir(spark)}/ticketlake") if n.startswith("parsed-")]
+
+
 def test_objects_at_once_equal_one_by_one(spark):
     def run(at_once):
         tables = {t: KeyedTable(spark, scratch_path(spark, t), t) for t in ("accounts", "issues", "messages", "users")}

@@ -26,6 +26,7 @@ from ..operators.keysets import restrict_to
 from ..operators.runlog import append_run_log, counters_from_rows, with_overall
 from ..operators.running import flush_numbers, flushes
 from ..schema import REPLICATION_ORDER, spec
+from ..session import scratch_path
 from ..sources.objects import split_rejects, to_rows
 from ..sources.pages import bad_pages, cap_records, cursor_chain, explode_items, offset_chain, parse_pages
 
@@ -144,6 +145,15 @@ def flushed(valid: DataFrame, object_type: str, size: int) -> DataFrame:
     return flush_numbers(valid, size, run, [c for c in ("issue_id", "page_no") if c in batch_columns(object_type, valid)])
 
 
+def stored_pages(pages: DataFrame, path: str) -> DataFrame:
+    """Parsed pages, written to ``path`` and read back: their place and what the
+    envelope holds."""
+    place = [c for c in ("issue_id", "run_id", "page_no") if c in pages.columns]
+    parsed = parse_pages(pages.select(*place, "body"))
+    parsed.write.parquet(path, compression="zstd")
+    return pages.sparkSession.read.schema(parsed.schema).parquet(path)
+
+
 def replicate_object(spark: SparkSession, pages: DataFrame, object_type: str, table: KeyedTable,
                      max_records: int | None = None, strict: bool = False, issue_filter: dict | None = None,
                      issue_ids: DataFrame | None = None, account_id: str | None = None,
@@ -158,13 +168,16 @@ def replicate_object(spark: SparkSession, pages: DataFrame, object_type: str, ta
     page on read and take no ``flush``.
 
     Rejected records and bad pages are counted as errors and stored where a
-    path is given; nothing else of their run is lost. Pages are parsed once.
+    path is given; nothing else of their run is lost. Pages are parsed once,
+    into a scratch table: a task reads a split of it, whose size is fixed, while
+    a cached partition would hold the items of all pages of one input split.
     """
     s = spec(object_type)
     if flush and table.landing:
         raise ValueError("a stream table has landed pages as batches")
-    parsed = parse_pages(pages).persist()
+    scratch = scratch_path(spark, f"parsed-{object_type}")
     try:
+        parsed = stored_pages(pages, scratch)
         items = select_items(items_of(chained(parsed, object_type), object_type), object_type, issue_filter, issue_ids, account_id)
         if item_filter is not None:
             items = items.where(item_filter)
@@ -187,7 +200,7 @@ def replicate_object(spark: SparkSession, pages: DataFrame, object_type: str, ta
         if bad_pages_path:
             store_bad_pages(parsed, object_type, bad_pages_path)
     finally:
-        parsed.unpersist()
+        Files(spark).delete(scratch)
     return spark.createDataFrame(
         [(object_type, s.table, int(stats["rows_in"]), int(n["rejected"] + n_bad), int(n_batches), int(stats["rows_kept"]))], COUNTERS)
 
