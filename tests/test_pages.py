@@ -122,6 +122,15 @@ def test_response_pages_by_message_number(spark):
     assert all([int(x) for x in pages["hot", p]] == sorted(int(x) for x in pages["hot", p]) for p in range(3))
 
 
+def test_records_are_dealt_to_pages_before_they_are_collected(spark):
+    from ticketlake.sources.fixtures import response_pages
+    df = spark.createDataFrame([("a", 1, "{}"), ("a", 2, "{}")], "issue_id string, number long, record string")
+    plan = response_pages(df, "issue_id", "number", F.col("number"))._jdf.queryExecution().executedPlan().toString()
+    # printed from the top: the only exchange lies below the first collecting step, which would spill on the map side
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.rindex("Exchange hashpartitioning") > plan.rindex("partial_collect_list")
+
+
 def test_bad_pages_do_not_end_a_run(spark):
     rows = [("a", 0, body([{"id": 1}])), ("a", 1, "not json"), ("a", 2, '{"data":[{"id":2}'), ("a", 3, body([{"id": 3, "x": 1}])),
             ("a", 4, '{"data":[{"id":4,"id":5}],"pagination":{"has_next_page":true,"cursor":"c"}}'), ("a", 5, ""), ("a", 6, body([{"id": 6}])),

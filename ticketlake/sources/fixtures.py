@@ -261,10 +261,11 @@ def response_pages(records: DataFrame, group: str, order: str, number: Column, r
     """``(group, page_no, data)``: each group's records as JSON array texts in
     ``order``, a page for every PAGE_MESSAGES message numbers (a rule on the
     message alone, whatever the group's size). A page is bounded, so no group
-    is collected whole."""
+    is collected whole. Records are dealt to pages before they are collected:
+    collecting on the map side would sort and spill them without shrinking them."""
     g = (records.select(group, F.floor(number / F.lit(PAGE_MESSAGES)).cast("long").alias("page_no"),
                         F.struct(F.col(order).alias("o"), F.col(record).alias("r")).alias("e"))
-         .groupBy(group, "page_no").agg(F.array_sort(F.collect_list("e")).alias("rs")))
+         .repartition(group, "page_no").groupBy(group, "page_no").agg(F.array_sort(F.collect_list("e")).alias("rs")))
     data = F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]"))
     return g.select(group, "page_no", data.alias("data"))
 
