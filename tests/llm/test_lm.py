@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from ticketlake.llm import lm
 
@@ -107,6 +108,41 @@ def test_training_lowers_the_loss_of_held_out_texts():
     assert lm.score_texts(net, held).sum() > 0.8 * before
 
 
+def test_a_training_window_takes_many_symbols(monkeypatch):
+    r = random.Random(9)
+    net, calls, output = small_net(), [], lm.Network.output
+    monkeypatch.setattr(lm.Network, "output", lambda *a, **k: calls.append(1) or output(*a, **k))
+    texts = [np.array([r.randrange(9) for _ in range(300)], np.uint16) for _ in range(400)]
+    assert lm.train_texts(net, texts) == 120_000
+    assert len(calls) <= 30                               # each window costs the same again for all classes
+
+
+def test_sums_by_symbol():
+    r = np.random.default_rng(4)
+    symbol, rows = np.concatenate([np.zeros(90, int), r.integers(0, 40, 200), [70_000]]), r.normal(0, 1, (291, 6))
+    got, sums = lm.sums_by_symbol(symbol, rows)
+    assert sorted(got) == sorted(set(symbol.tolist()))
+    for s, v in zip(got, sums, strict=True):
+        assert np.allclose(v, rows[symbol == s].sum(axis=0))
+
+
+def test_split_texts_as_bytes_do():
+    r = random.Random(8)
+    odd = [bytes(r.choice(b"\t\n\x0b\x0c\r\x1c\x1d\x1f  AZaz\x85\xa0\xc3\x84\xff") for _ in range(r.randrange(25))) for _ in range(500)]
+    for texts in (odd, [b"", b" ", b" x "], []):
+        words, n = lm.split_texts(pa.array([b"cut off", *texts], pa.binary()).slice(1))
+        assert words.to_pylist() == [w for t in texts for w in t.lower().split()]
+        assert n.tolist() == [len(t.split()) for t in texts]
+
+
+def test_tokens_that_no_worker_holds(spark):
+    docs = documents(spark, [(1, " a b"), (2, None), (3, "a c c")])
+    got = lm.score_documents(docs, documents(spark, [(1, "a b"), (2, "")]), held=0).collect()
+    want = {1: math.log10(2 / 8) * 2 + math.log10(3 / 8), 2: math.log10(3 / 8), 3: math.log10(2 / 8) + 2 * math.log10(1 / 8) + math.log10(3 / 8)}
+    assert {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got} == {
+        1: (3, 3, 4, round(want[1], 6)), 2: (1, 1, 4, round(want[2], 6)), 3: (4, 2, 4, round(want[3], 6))}
+
+
 def test_average(spark):
     rows = [(0, 1.0, np.array([1, 2], np.float32).tobytes()), (0, 3.0, np.array([5, 2], np.float32).tobytes()), (1, 2.0, np.array([9], np.float32).tobytes())]
     assert lm.average(spark.createDataFrame(rows, "chunk int, weight double, values binary")).tolist() == [4.0, 2.0, 9.0]

@@ -23,11 +23,11 @@ is the log-likelihood of the complete document.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,57 +35,64 @@ from pyspark.sql import functions as F
 from .common import doc_bytes, most_frequent, stored, table
 
 #: Network vocabulary, state width, classes; tokens with counts that workers hold.
-VOCABULARY, WIDTH, CLASSES, HELD = 8191, 24, 64, 200_000
+VOCABULARY, WIDTH, CLASSES, HELD = 8191, 24, 64, 400_000
 #: One training document in SHARE trains the network (1: all of them); lanes and
 #: steps of a training window; step size; lanes and steps of a scoring window.
-SHARE, LANES, STEPS, RATE = 1, 32, 16, 0.08
+SHARE, LANES, STEPS, RATE = 1, 192, 64, 0.2
+#: A window's gradients are sums over its symbols, divided by this and then cut off at CLIP.
+PER_SYMBOLS, CLIP = 64, 8
 #: Copies trained side by side, and about the tokens of each in a round.
 COPIES, ROUND_TOKENS = 12, 1 << 20
 SCORE_LANES, SCORE_STEPS = 256, 64
+#: Sizes up to which exponentials of float32 numbers are summed as they are.
+SAFE = 60
+#: Steps of lanes laid out at once; rows of the class layer at once; rows of a
+#: symbol up to which symbols are summed side by side.
+BLOCK_STEPS, ROWS_AT_ONCE, SIDE_BY_SIDE = 512, 2048, 16
 #: Tokens of the documents that are put into lanes together.
 TOKENS_AT_ONCE = 1 << 21
-#: Floats of a row of the distributed average; tokens a worker counts at once.
-CHUNK, COUNT_AT_ONCE = 4096, 400_000
+#: Floats of a row of the distributed average; words a worker counts at once.
+CHUNK, COUNT_AT_ONCE = 4096, 1 << 22
 
-#: The end token, and a byte that no token holds.
-END, SEPARATOR = b"", b"\n"
+#: The end token.
+END = b""
 
 
-def tokens(b: bytes) -> list[bytes]:
-    """Lower-cased (A-Z) words, then one end."""
-    return [*b.lower().split(), END]
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased (A-Z) words of all ``texts`` (bytes, none NULL) one after
+    the other, and how many each text has. The end that follows each text is not among them."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    flat = parts.flatten().view(pa.binary())
+    word = pc.greater(pc.binary_length(flat), 0)          # white space at either end leaves empty parts
+    until = np.concatenate([[0], np.cumsum(word.to_numpy(zero_copy_only=False))])
+    offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+    return flat.filter(word), np.diff(until[offsets])
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
     """``token, c`` over all texts of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held, n_texts, n_words = [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                             names=["token", "n"])
-            seen.clear()
-            return out
+            found = pc.value_counts(pa.chunked_array(held, pa.binary()))
+            n = np.append(found.field("counts").to_numpy(), n_texts)
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([found.field("values"), pa.array([END], pa.binary())]), pa.array(n, pa.int64())],
+                                              names=["token", "n"])
 
         for batch in batches:
-            for x in batch.column(0):
-                seen.update(tokens(x.as_py()))
-                if len(seen) >= COUNT_AT_ONCE:
-                    yield flush()
-        if seen:
+            held.append(split_texts(batch.column(0))[0])
+            n_texts, n_words = n_texts + batch.num_rows, n_words + len(held[-1])
+            if n_words >= COUNT_AT_ONCE:
+                yield flush()
+                held, n_texts, n_words = [], 0, 0
+        if n_texts:
             yield flush()
 
     return docs.select(doc_bytes().alias("b")).mapInArrow(run, "token binary, n long") \
                .groupBy("token").agg(F.sum("n").alias("c"))
 
 
-class Places(dict):
-    """token -> rank; -1 for others."""
-
-    def __missing__(self, token: bytes) -> int:
-        return -1
-
-
 class Network:
     """Symbols: 0 is "rare", then the vocabulary by descending count."""
 
@@ -119,55 +126,111 @@ class Network:
                 part[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
                 at += v.size
 
-    def step(self, h: np.ndarray, symbol: np.ndarray):
-        """One step of all lanes: (new state, gates for the way back)."""
+    def inputs(self, symbols: np.ndarray) -> np.ndarray:
+        """What the symbols (step x lane) add to the gates, (step x 3 width x lane)."""
+        return np.ascontiguousarray(self.p["x"][symbols].transpose(0, 2, 1))
+
+    def advance(self, h: np.ndarray, x: np.ndarray):
+        """One step of all lanes, which are columns: (new state, gates for the way back)."""
         d = self.width
-        x, u = self.p["x"][symbol], h @ self.p["u"]
-        zr = 1 / (1 + np.exp(-(x[:, :2 * d] + u[:, :2 * d])))
-        z, r = zr[:, :d], zr[:, d:]
-        c = np.tanh(x[:, 2 * d:] + r * u[:, 2 * d:])
-        return c + z * (h - c), (z, r, c, u[:, 2 * d:])
+        u = self.p["u"].T @ h
+        zr = x[:2 * d] + u[:2 * d]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, r, u = zr[:d], zr[d:], u[2 * d:]
+        c = r * u
+        c += x[2 * d:]
+        np.tanh(c, out=c)
+        new = h - c
+        new *= z
+        new += c
+        return new, (z, r, c, u)
+
+    def step(self, h: np.ndarray, symbol: np.ndarray):
+        """``advance`` with a row for each lane."""
+        new, gates = self.advance(h.T, self.inputs(symbol[None])[0])
+        return new.T, gates
 
     def output(self, h: np.ndarray, symbol: np.ndarray, gradient: bool = False):
         """ln P(symbol | state) for each row; with ``gradient`` also the state's
-        gradient and those of the output layers."""
+        gradient and those of the output layers. Rows are taken in the order of
+        their symbols, so a class's rows are neighbours; in a product they are
+        the columns, so sums over classes or symbols run along memory."""
         p, n = self.p, len(symbol)
-        cls = self.cls[symbol]
-        a = h @ p["wc"] + p["bc"]
-        a -= a.max(axis=1, keepdims=True)
-        e = np.exp(a)
-        s = e.sum(axis=1)
-        out = a[np.arange(n), cls] - np.log(s)
+        order = _in_order(symbol)
+        symbol, h = symbol[order], h[order]
+        cls, lp = self.cls[symbol], np.zeros(n, h.dtype)
         if gradient:
-            e /= s[:, None]
-            e[np.arange(n), cls] -= 1
-            back = e @ p["wc"].T
-            grads = {"wc": h.T @ e, "bc": e.sum(axis=0)}
-            rows, gw, gb = [], [], []
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(len(self.first) + 1))
-        for k in np.flatnonzero(np.diff(bounds)):
-            lo, hi = self.first[k], self.last[k]
-            if hi - lo == 1:
-                continue
-            at = order[bounds[k]:bounds[k + 1]]
-            a = h[at] @ p["w"][lo:hi].T + p["b"][lo:hi]
-            a -= a.max(axis=1, keepdims=True)
-            e = np.exp(a)
-            s = e.sum(axis=1)
-            own = symbol[at] - lo
-            out[at] += a[np.arange(len(at)), own] - np.log(s)
+            back = np.empty_like(h)
+            grads = {k: np.zeros_like(p[k]) for k in ("wc", "bc", "w", "b")}
+        for i in range(0, n, ROWS_AT_ONCE):
+            part, own = h[i:i + ROWS_AT_ONCE], cls[i:i + ROWS_AT_ONCE]
+            lp[i:i + ROWS_AT_ONCE], e = _log_softmax(p["wc"].T @ part.T + p["bc"][:, None], own, gradient)
+            if gradient:
+                np.matmul(e.T, p["wc"].T, out=back[i:i + ROWS_AT_ONCE])
+                grads["wc"] += (e @ part).T
+                grads["bc"] += e.sum(axis=1)
+        bounds = np.searchsorted(cls, np.arange(len(self.first) + 1))
+        for k in np.flatnonzero((np.diff(bounds) > 0) & (self.last - self.first > 1)).tolist():
+            lo, hi, at = self.first[k], self.last[k], slice(bounds[k], bounds[k + 1])
+            w, part = p["w"][lo:hi], h[at]
+            inside, e = _log_softmax(w @ part.T + p["b"][lo:hi, None], symbol[at] - lo, gradient)
+            lp[at] += inside
             if gradient:
-                e /= s[:, None]
-                e[np.arange(len(at)), own] -= 1
-                back[at] += e @ p["w"][lo:hi]
-                rows.append(np.arange(lo, hi)), gw.append(e.T @ h[at]), gb.append(e.sum(axis=0))
+                back[at] += e.T @ w
+                np.matmul(e, part, out=grads["w"][lo:hi])
+                grads["b"][lo:hi] = e @ np.ones(e.shape[1], e.dtype)
+        out = np.empty_like(lp)
+        out[order] = lp
         if not gradient:
             return out
-        rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        grads["w"] = (rows, np.concatenate(gw) if gw else np.zeros((0, self.width), np.float32))
-        grads["b"] = (rows, np.concatenate(gb) if gb else np.zeros(0, np.float32))
-        return out, back, grads
+        unsorted = np.empty_like(back)
+        unsorted[order] = back
+        return out, unsorted, grads
+
+
+def _in_order(symbol: np.ndarray) -> np.ndarray:
+    """Rows by symbol; two-byte numbers are sorted by radix."""
+    small = len(symbol) and symbol.max() < 1 << 16
+    return np.argsort(symbol.astype(np.uint16) if small else symbol, kind="stable")
+
+
+def _log_softmax(a: np.ndarray, own: np.ndarray, gradient: bool):
+    """ln softmax of each column of ``a`` (overwritten) at its row ``own``, and
+    the gradient of minus its sum (``gradient``; else of no use)."""
+    columns = np.arange(a.shape[1])
+    if a.size and (a.max() > SAFE or a.min() < -SAFE):
+        a -= a.max(axis=0)
+    out = a[own, columns]
+    np.exp(a, out=a)
+    s = np.ones(len(a), a.dtype) @ a                      # faster than a sum of short rows
+    out -= np.log(s)
+    if gradient:
+        a *= 1 / s
+        a[own, columns] -= 1
+    return out, a
+
+
+def sums_by_symbol(symbol: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct symbols, sums of their rows): few rows of many symbols are
+    added side by side, many rows of few symbols each by themselves."""
+    order = _in_order(symbol)
+    symbol, rows = symbol[order], rows[order]
+    first = np.flatnonzero(np.diff(symbol, prepend=-1))
+    size = np.diff(first, append=len(symbol))
+    by_size = np.argsort(-size, kind="stable")
+    first, size = first[by_size], size[by_size]
+    out = rows[first]
+    many = int(np.searchsorted(-size, -SIDE_BY_SIDE, side="left"))
+    for i in range(many):
+        out[i] = rows[first[i]:first[i] + size[i]].sum(axis=0)
+    for k in range(1, SIDE_BY_SIDE):
+        n = int(np.searchsorted(-size, -k, side="left"))             # symbols with more than k rows
+        if n > many:
+            out[many:n] += rows[first[many:n] + k]
+    return symbol[first], out
 
 
 class Lanes:
@@ -190,18 +253,31 @@ class Lanes:
         self.length = np.array([len(x) for x in self.symbols])
         self.steps = int(self.length.max())
 
-    def window(self, t0: int, t1: int) -> tuple[np.ndarray, np.ndarray]:
-        """(lane x step) symbols, -1 where a lane has ended, and the index of
-        the text there; steps ``t0 - 1`` to ``t1 - 1``, the first for what
-        came before (index -1 at the beginning)."""
-        shape = (len(self.symbols), t1 - t0 + 1)
-        symbols, owner = np.full(shape, -1, dtype=np.int32), np.full(shape, -1, dtype=np.int32)
-        for k in range(int(np.searchsorted(-self.length, -t0, side="right"))):      # lanes that reach the step before
-            at = np.arange(max(t0 - 1, 0), min(t1, len(self.symbols[k])))
-            where = at - (t0 - 1)
-            symbols[k, where] = self.symbols[k][at[0]:at[-1] + 1] if len(at) else 0
-            owner[k, where] = self.texts[k][np.searchsorted(self.ends[k], at, side="right")]
-        return symbols, owner
+    def block(self, t0: int, t1: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(step x lane) symbols of the lanes that reach step ``t0``, -1 where a
+        lane has ended; the index of the text there; where a text begins."""
+        n = int(np.searchsorted(-self.length, -t0, side="left"))
+        symbols, owner = np.full((n, t1 - t0), -1, dtype=np.int32), np.full((n, t1 - t0), -1, dtype=np.int32)
+        begins = np.zeros((n, t1 - t0), dtype=bool)
+        begins[:, :1] = t0 == 0
+        for k in range(n):
+            t2, ends = min(t1, len(self.symbols[k])), self.ends[k]
+            symbols[k, :t2 - t0] = self.symbols[k][t0:t2]
+            owner[k, :t2 - t0] = self.texts[k][np.searchsorted(ends, np.arange(t0, t2), side="right")]
+            starts = ends[np.searchsorted(ends, t0):np.searchsorted(ends, t2)]
+            begins[k, starts - t0] = True
+        return np.ascontiguousarray(symbols.T), np.ascontiguousarray(owner.T), np.ascontiguousarray(begins.T)
+
+    def windows(self, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``block`` after block of ``steps``, without the lanes that have
+        ended; several are laid out at once."""
+        at_once = steps * max(1, BLOCK_STEPS // steps)
+        for t0 in range(0, self.steps, at_once):
+            t1 = min(t0 + at_once, self.steps)
+            parts = self.block(t0, t1)
+            for t in range(t0, t1, steps):
+                n = int(np.searchsorted(-self.length, -t, side="left"))
+                yield tuple(x[t - t0:t - t0 + steps, :n] for x in parts)
 
 
 def score_texts(net: Network, texts: list[np.ndarray], n_lanes: int = SCORE_LANES, window: int = SCORE_STEPS) -> np.ndarray:
@@ -210,91 +286,91 @@ def score_texts(net: Network, texts: list[np.ndarray], n_lanes: int = SCORE_LANE
     if not texts:
         return out
     dealt = Lanes(texts, n_lanes)
-    h = np.zeros((len(dealt.symbols), net.width), np.float32)
-    for t0 in range(0, dealt.steps, window):
-        t1 = min(t0 + window, dealt.steps)
-        symbols, owner = dealt.window(t0, t1)
-        states, sym, own = [], [], []
-        for t in range(t0, t1):
-            n, c = int(np.searchsorted(-dealt.length, -t, side="left")), t - t0 + 1     # lanes longer than t
-            if not n:
-                break
-            s = symbols[:n, c]
-            begins = owner[:n, c] != owner[:n, c - 1]
-            h = h[:n]
-            h[begins] = 0
-            states.append(h), sym.append(s), own.append(owner[:n, c])
-            h, _ = net.step(h, s)
-        if states:
-            lp = net.output(np.concatenate(states), np.concatenate(sym))
-            out += np.bincount(np.concatenate(own), weights=lp, minlength=len(texts))
+    h = np.zeros((net.width, len(dealt.symbols)), np.float32)
+    for symbols, owner, begins in dealt.windows(window):
+        h, live = h[:, :symbols.shape[1]], symbols >= 0
+        x, keep = net.inputs(np.maximum(symbols, 0)), (~begins).astype(np.float32)
+        states = np.empty((*symbols.shape, net.width), np.float32)
+        for t in range(len(symbols)):
+            h = h * keep[t]
+            states[t] = h.T
+            h, _ = net.advance(h, x[t])
+        lp = net.output(states[live], symbols[live])
+        out += np.bincount(owner[live], weights=lp, minlength=len(texts))
     return out
 
 
+def _lane_rows(a: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """``a`` (step x value x lane) as a row for each live step of a lane."""
+    rows = np.ascontiguousarray(a.transpose(0, 2, 1)).reshape(-1, a.shape[1])
+    return rows if live.all() else rows[live.ravel()]
+
+
 def train_texts(net: Network, texts: list[np.ndarray], rate: float = RATE, n_lanes: int = LANES, window: int = STEPS) -> int:
-    """One pass of truncated backpropagation over ``texts`` (Adagrad, only the
-    rows that a window touches). Returns the symbols seen."""
+    """One pass of truncated backpropagation over ``texts`` (Adagrad; a row of
+    ``x`` moves when a window has its symbol). Returns the symbols seen."""
     if not texts:
         return 0
     dealt = Lanes(texts, n_lanes)
     d, p, past = net.width, net.p, net.past
-    carried = np.zeros((len(dealt.symbols), d), np.float32)
+    h = np.zeros((d, len(dealt.symbols)), np.float32)
     seen = 0
 
-    def update(k: str, g, rows=None) -> None:
-        if rows is None:
-            past[k] += g * g
-            p[k] -= rate * g / np.sqrt(past[k])
-        elif len(rows):
-            past[k][rows] += (g * g).mean(axis=1) if g.ndim > 1 else g * g
-            scale = rate / np.sqrt(past[k][rows])
-            p[k][rows] -= (scale[:, None] if g.ndim > 1 else scale) * g
-
-    for t0 in range(0, dealt.steps, window):
-        t1 = min(t0 + window, dealt.steps)
-        symbols, owner = dealt.window(t0, t1)
-        states, gates, masks, h = [], [], [], carried
-        for t in range(1, t1 - t0 + 1):
-            begins = owner[:, t] != owner[:, t - 1]
-            h = np.where(begins[:, None], 0, h).astype(np.float32)
-            states.append(h), masks.append(~begins)
-            new, g = net.step(h, np.maximum(symbols[:, t], 0))
-            gates.append(g)
-            h = new
-        carried = h
-        symbols = symbols[:, 1:].T
+    def update(k: str, g: np.ndarray, rows=slice(None), slower: float = 1.0) -> None:
+        np.clip(g, -CLIP, CLIP, out=g)
+        past[k][rows] += g * g if past[k].ndim == g.ndim else np.einsum("ij,ij->i", g, g) / np.float32(g.shape[1])
+        scale = np.float32(rate * slower) / np.sqrt(past[k][rows])
+        g *= scale if scale.ndim == g.ndim else scale[:, None]
+        p[k][rows] -= g
+
+    for symbols, _, begins in dealt.windows(window):
+        steps, n = symbols.shape
         live = symbols >= 0
-        all_h = np.stack(states)
-        _, back, grads = net.output(all_h[live], symbols[live].astype(np.int64), gradient=True)
-        n = int(live.sum())
-        seen += n
-        from_out = np.zeros_like(all_h)
+        x, keep = net.inputs(np.maximum(symbols, 0)), (~begins).astype(np.float32)
+        states, gates, h = np.empty((steps, d, n), np.float32), [], h[:, :n]
+        for t in range(steps):
+            np.multiply(h, keep[t], out=states[t])
+            h, g = net.advance(states[t], x[t])
+            gates.append(g)
+        own = symbols[live]
+        _, back, grads = net.output(_lane_rows(states, live), own, gradient=True)
+        seen += len(own)
+        from_out = np.zeros((steps, n, d), np.float32)
         from_out[live] = back
-        g_u = np.zeros_like(p["u"])
-        g_x, dh = np.zeros((t1 - t0, len(carried), 3 * d), np.float32), np.zeros_like(carried)
-        for k in range(t1 - t0 - 1, -1, -1):
-            z, r, c, u = gates[k]
-            prev = states[k]
-            on = live[k][:, None]
-            dh = dh * on
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (prev - c) * z * (1 - z)
-            dr = dc * u * r * (1 - r)
-            g = np.concatenate([dz, dr, dc], axis=1)
-            g_x[k] = g
-            g_uh = np.concatenate([dz, dr, dc * r], axis=1)
-            g_u += prev.T @ g_uh
-            dh = (dh * z + g_uh @ p["u"].T + from_out[k]) * masks[k][:, None]
-        flat, inverse = np.unique(symbols[live], return_inverse=True)
-        rows = np.zeros((len(flat), 3 * d), np.float32)
-        np.add.at(rows, inverse, g_x[live])
-        inv = np.float32(1 / max(n, 1)) * 8
-        update("x", np.clip(rows * inv, -1, 1), flat)
-        update("u", np.clip(g_u * inv, -1, 1))
-        update("wc", np.clip(grads["wc"] * inv, -1, 1))
-        update("bc", np.clip(grads["bc"] * inv, -1, 1) * np.float32(0.1))
-        update("w", np.clip(grads["w"][1] * inv, -1, 1), grads["w"][0])
-        update("b", np.clip(grads["b"][1] * inv, -1, 1) * np.float32(0.1), grads["b"][0])
+        from_out = np.ascontiguousarray(from_out.transpose(0, 2, 1))
+        g_x, g_u = np.empty((steps, 3 * d, n), np.float32), np.zeros((3 * d, d), np.float32)
+        dh = np.zeros((d, n), np.float32)                 # stays zero where a lane has ended
+        for t in range(steps - 1, -1, -1):
+            z, r, c, u = gates[t]
+            prev, g = states[t], g_x[t]
+            dz, dr, dc = g[:d], g[d:2 * d], g[2 * d:]
+            np.subtract(1, z, out=dr)
+            np.multiply(dh, dr, out=dc)
+            np.subtract(prev, c, out=dz)
+            dz *= z
+            dz *= dc
+            dc *= 1 - c * c
+            np.subtract(1, r, out=dr)
+            dr *= r
+            dr *= u
+            dr *= dc
+            r *= dc                                       # the gates are of no further use
+            z *= dh
+            z += p["u"][:, :2 * d] @ g[:2 * d]
+            z += p["u"][:, 2 * d:] @ r
+            z += from_out[t]
+            z *= keep[t]
+            g_u[:2 * d] += g[:2 * d] @ prev.T
+            g_u[2 * d:] += r @ prev.T
+            dh = z
+        inv = np.float32(1 / PER_SYMBOLS)
+        touched, rows = sums_by_symbol(own, _lane_rows(g_x, live))
+        update("x", rows * inv, touched)
+        update("u", g_u.T * inv)
+        update("wc", grads["wc"] * inv)
+        update("bc", grads["bc"] * inv, slower=0.1)
+        update("w", grads["w"] * inv)
+        update("b", grads["b"] * inv, slower=0.1)
     return seen
 
 
@@ -330,7 +406,7 @@ class Scorer:
     """What workers need: the tokens with counts they hold, and the network."""
 
     def __init__(self, held: list[tuple[bytes, int]], total: int, distinct: int, vocabulary: int = VOCABULARY):
-        self.tokens = SEPARATOR.join(t for t, _ in held)              # one string: small to keep and to send
+        self.tokens = pa.array([t for t, _ in held], pa.binary())
         c = np.array([n for _, n in held], dtype=np.int64)
         self.log_c = np.log10(c + 1.0)
         self.vocabulary = min(vocabulary, len(held))
@@ -339,20 +415,15 @@ class Scorer:
         self.network = Network(c[:self.vocabulary], self.rare_total)
         self.kind = np.uint16 if self.vocabulary < 1 << 16 else np.int32   # of a stored symbol
         self.learned = 0                                              # tokens that trained the network
-        self._places = None
-
-    def __getstate__(self):
-        return {**self.__dict__, "_places": None}
-
-    @property
-    def places(self) -> Places:
-        if self._places is None:
-            names = self.tokens.split(SEPARATOR) if len(self.log_c) else []
-            self._places = Places(zip(names, range(len(names)), strict=True))
-        return self._places
 
-    def ranks(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
+    def ranks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Ranks of all tokens of ``texts``, ends included (-1: not held), the
+        number of each text's tokens, and the tokens that are not held."""
+        words, n = split_texts(texts)
+        words = pa.concat_arrays([words, pa.array([END], pa.binary())])
+        at = np.insert(np.arange(len(words) - 1), np.cumsum(n), len(words) - 1)
+        rank = pc.fill_null(pc.index_in(words, value_set=self.tokens), -1).to_numpy()[at]
+        return rank, n + 1, words.take(pa.array(at[rank < 0]))
 
     def symbols(self, ranks: np.ndarray) -> np.ndarray:
         return np.where((ranks >= 0) & (ranks < self.vocabulary), ranks + 1, 0).astype(np.int32)
@@ -364,8 +435,11 @@ def training_symbols(docs: DataFrame, scorer, rounds: int, copies: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = scorer.value
         for batch in batches:
-            got = [own.symbols(own.ranks(tokens(x.as_py()))).astype(own.kind).tobytes() for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary()), batch.column(1), batch.column(2)], names=["symbols", "copy", "round"])
+            rank, n, _ = own.ranks(batch.column(0))
+            raw = own.symbols(rank).astype(own.kind)
+            offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32) * raw.itemsize
+            got = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])
+            yield pa.RecordBatch.from_arrays([got, batch.column(1), batch.column(2)], names=["symbols", "copy", "round"])
 
     place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(rounds * copies))
     dealt = docs.select(doc_bytes().alias("b"), place.alias("place")).select(
@@ -442,32 +516,30 @@ def score_documents(docs: DataFrame, train: DataFrame, **settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, row = sent.value, TaskContext.get().partitionId() << 40
-        cols: dict[str, list] = {k: [] for k in kinds}
-        texts, held_tokens = [], 0
+        parts, texts, held_tokens = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            cols["net"] = (score_texts(own.network, texts) / np.log(10)).tolist()
-            return pa.RecordBatch.from_arrays([pa.array(cols[k], t) for k, t in kinds.items()], names=list(kinds))
+            cols = {k: pa.concat_arrays([part[k] for part in parts]) for k in kinds if k != "net"}
+            cols["net"] = pa.array(score_texts(own.network, texts) / np.log(10))
+            return pa.RecordBatch.from_arrays([cols[k] for k in kinds], names=list(kinds))
 
         for batch in batches:
-            for doc_id, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = tokens(x.as_py())
-                rank = own.ranks(words)
-                held = rank[rank >= 0]
-                symbols = own.symbols(rank)
-                texts.append(symbols)
-                held_tokens += len(words)
-                logs = own.log_c[held]
-                for k, v in (("row", row), ("doc_id", doc_id), ("n_tokens", len(words)), ("n_known", len(held)),
-                             ("n_rare", int((symbols == 0).sum())), ("base", float(logs.sum())),
-                             ("rare", float(logs[held >= own.vocabulary].sum())),
-                             ("others", [words[i] for i in np.flatnonzero(rank < 0)])):
-                    cols[k].append(v)
-                row += 1
-                if held_tokens >= TOKENS_AT_ONCE:
-                    yield flush()
-                    cols = {k: [] for k in kinds}
-                    texts, held_tokens = [], 0
+            rank, n, others = own.ranks(batch.column(1))
+            symbols, of = own.symbols(rank), np.repeat(np.arange(len(n)), n)
+            texts += np.split(symbols, np.cumsum(n)[:-1])
+            each = lambda chosen, weights=None: np.bincount(
+                of[chosen], weights=None if weights is None else weights[chosen], minlength=len(n))
+            logs = np.append(own.log_c, 0.0)[rank]                    # rank -1: 0
+            unknown = each(rank < 0)
+            until = np.concatenate([[0], np.cumsum(unknown)]).astype(np.int32)
+            cols = {"row": row + np.arange(len(n)), "n_tokens": n, "n_known": n - unknown, "n_rare": each(symbols == 0),
+                    "base": each(slice(None), logs), "rare": each(rank >= own.vocabulary, logs)}
+            parts.append({"doc_id": batch.column(0), "others": pa.ListArray.from_arrays(until, others)}
+                         | {k: pa.array(v, kinds[k]) for k, v in cols.items()})
+            row, held_tokens = row + len(n), held_tokens + len(rank)
+            if held_tokens >= TOKENS_AT_ONCE:
+                yield flush()
+                parts, texts, held_tokens = [], [], 0
         if texts:
             yield flush()
 
