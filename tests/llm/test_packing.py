@@ -42,6 +42,24 @@ def test_edges_against_the_tokenizer(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def test_a_batch_does_not_walk_through_the_remembered_words():
+    class Remembered(dict):
+        def __iter__(self):
+            raise AssertionError("walked through")
+
+    tokenizer, generations, _ = packing.word_ids(PATH)
+    kept = generations[:]
+    texts = [b"Some new words, and some w\xc3\xb6rds known", b"", b"words once known"]
+    want = [np.array([*tokenizer.encode(x.decode(), add_special_tokens=False).ids, 1], dtype="<u4").tobytes() for x in texts]
+    try:
+        ids = lambda w: np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        generations[:] = Remembered({w: ids(w) for w in (b"known", b"some")}), Remembered({w: ids(w) for w in (b"once", b"words")})
+        assert packing.encode(texts, PATH) == want
+        assert dict.keys(generations[0]) >= {b"once", b"words", b"new"}
+    finally:
+        generations[:] = kept
+
+
 def test_few_sequences(spark):
     r = random.Random(2)
     lengths = [min(4096, int(r.lognormvariate(6.2, 1.0)) + 1) for _ in range(3000)]

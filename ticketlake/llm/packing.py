@@ -112,13 +112,10 @@ def encode(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
         generations[:] = {}, generations[0]
     known, before = generations
     split = [split_words(b) for b in texts]
-    new: set[bytes] = set()
-    for words in split:
-        new.update(words)
-    new.difference_update(known)
-    known.update((w, before[w]) for w in new.intersection(before))
-    new.difference_update(known)
-    known.update(_encode_words(tokenizer, last, list(new)))
+    # words are looked up one by one: set operations with a dict would walk through all it holds
+    new = [w for w in set().union(*split) if w not in known]
+    known.update((w, before[w]) for w in new if w in before)
+    known.update(_encode_words(tokenizer, last, [w for w in new if w not in before]))
     end = np.array([end_id], dtype="<u4").tobytes()
     return [b"".join(map(known.__getitem__, words)) + end for words in split]
 
