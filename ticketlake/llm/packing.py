@@ -43,7 +43,7 @@ CAPACITY, END_ID = 4096, 1
 SMALL, GROUPS, SLACK = 4, 40, 10
 #: Words whose ids a worker remembers in each of two generations: when the
 #: younger is full, the words that were not used since it began are forgotten.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
