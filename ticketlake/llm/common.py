@@ -8,7 +8,9 @@ stored files, not a recomputation of everything before.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,24 @@ def shared_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark)
 
 
+#: Operators whose workers remember something from task to task: how it is forgotten.
+_FORGET: dict[str, Callable[[], None]] = {}
+
+
+def remembers(operator: str, forget: Callable[[], None]) -> None:
+    """Tells how what a worker remembers for ``operator`` is forgotten."""
+    _FORGET[operator] = forget
+
+
+def works_for(operator: str) -> None:
+    """A task begins in this worker. Workers outlive queries: what they remember
+    for other operators goes, so one worker holds that of one operator at most."""
+    for other, forget in _FORGET.items():
+        if other != operator:
+            forget()
+    pa.default_memory_pool().release_unused()
+
+
 #: Spark's setting to delete a query's shuffle files when it has ended.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

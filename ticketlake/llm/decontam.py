@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, stored, table
+from .common import doc_bytes, stored, table, works_for
 
 #: Words of a window, tokens of an index shard, bytes of test text in a block.
 WINDOW, SHARD_TOKENS, BLOCK_BYTES = 10, 1 << 17, 8 << 20
@@ -62,6 +62,7 @@ def build_index(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
                         ("terms", pa.binary()), ("counts", pa.binary()), ("postings", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("decontam")
         shard = TaskContext.get().partitionId() << 32
         ids, sizes, words = [], [], []
 
@@ -210,6 +211,7 @@ def phrase_hits(index: DataFrame, block: dict) -> DataFrame:
                         ("items", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("decontam")
         for batch in batches:
             for shard, opened in _open(batch):
                 rows = [{"shard": shard, "place": d, "hits": h, "items": i}
@@ -228,6 +230,7 @@ def near_matches(index: DataFrame, queries: dict[str, list[str]], slop: int) ->
     schema = pa.schema([("query", pa.string()), ("doc_id", pa.int64()), ("position", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("decontam")
         for batch in batches:
             for _, opened in _open(batch):
                 rows = []

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, most_frequent, stored, table
+from .common import doc_bytes, most_frequent, remembers, stored, table, works_for
 
 #: Words of a shingle; similarity in hundredths.
 WORDS, SIMILAR = 5, 80
@@ -55,6 +55,7 @@ class WordHashes(dict):
 
 
 _HASHES = WordHashes()
+remembers("ngram_join", _HASHES.clear)
 
 
 def shingles(b: bytes, words: int = WORDS) -> np.ndarray:
@@ -84,6 +85,7 @@ def _sets(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], words: int, sim
     sent = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("ngram_join")
         known, counts = sent.value
         for batch in batches:
             n, digest, lead = [], [], []
@@ -108,6 +110,7 @@ def frequent_columns(docs: DataFrame, words: int, sample: int = SAMPLE, most: in
     sample holds twice or more, ``most`` at most. Only the order of columns
     depends on it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("ngram_join")
         for batch in batches:
             found = [shingles(x.as_py(), words) for x in batch.column(0)]
             flat = np.concatenate([*found, np.zeros(0, np.uint64)])
@@ -182,6 +185,7 @@ def _column_pairs(similar: int):
             step += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("ngram_join")
         held = None
         for batch in batches:
             t = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in batch.schema.names}
@@ -233,6 +237,7 @@ def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: in
     sent = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("ngram_join")
         bits = sent.value
         for batch in batches:
             digest, sets = [], []
@@ -252,6 +257,7 @@ def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: in
 def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("ngram_join")
         for batch in batches:
             a, b = [], []
             for i in range(batch.num_rows):

@@ -33,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, stored, table
+from .common import doc_bytes, remembers, stored, table, works_for
 from .sharding import numbered
 
 CAPACITY, END_ID = 4096, 1
@@ -65,6 +65,14 @@ def word_ids(path: str):
     return _TOKENIZERS[path]
 
 
+def forget_words() -> None:
+    """The tokenizers stay, the words that they were asked for go."""
+    for _, generations, _ in _TOKENIZERS.values():
+        generations[:] = {}, {}
+
+
+remembers("packing", forget_words)
+
 #: Words encoded as one text.
 WORDS_AT_ONCE = 2000
 _POINT = re.compile(rb"([a-z])([,.])(?=[ \n])")
@@ -127,6 +135,7 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFram
     step = capacity * 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("packing")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -290,6 +299,7 @@ def _lookup(rows: DataFrame, key: str, plan: dict[int, list], names: list[str])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + "".join(f", {n} long" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("packing")
         for batch in batches:
             size = batch.column(key).to_numpy(zero_copy_only=False)
             rank = batch.column("slot").to_numpy(zero_copy_only=False)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, hash_sample, stored, table
+from .common import doc_bytes, hash_sample, stored, table, works_for
 
 SYMBOLS = b"#*$%&|<>"
 #: Trees, and rows from which one tree is grown.
@@ -76,6 +76,7 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
     names = ["doc_id", *[k for k, _ in STAT_FIELDS]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("rules")
         for batch in batches:
             stats = [text_statistics(x.as_py()) for x in batch.column(1)]
             cols = list(zip(*stats, strict=True)) if stats else [[] for _ in STAT_FIELDS]
@@ -182,6 +183,7 @@ def with_scores(stats: DataFrame, trees, subsample: int) -> DataFrame:
     schema = "doc_id long, " + ", ".join(f"{k} {t}" for k, t in STAT_FIELDS) + ", anomaly double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("rules")
         for batch in batches:
             cols = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
             score = forest_scores(forest.value, features(cols), subsample)
@@ -236,6 +238,7 @@ def keep_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFram
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        works_for("rules")
         for batch in batches:
             stats = [text_statistics((x.as_py() or "").encode()) for x in batch.column(at)]
             cols = {k: np.array(v, dtype=np.int64) for k, v in zip(names, zip(*stats, strict=True), strict=True)} if stats else {}
