@@ -63,3 +63,22 @@ def test_every_window_has_a_minimiser():
         own = g[s:s + 43]
         assert any(s <= p < s + 43 and g[p] == own.min() for p in at)
     assert set(at) == {s + int(i) for s in range(500 - 43 + 1) for i in np.flatnonzero(g[s:s + 43] == g[s:s + 43].min())}
+
+
+def test_the_driver_gets_the_bitmap_in_words_of_64_bits(spark, monkeypatch):
+    """As many rows as the bitmap has words at most, however many k-grams are shared; the same bits."""
+    monkeypatch.setattr(suffix, "BITMAP", 10)
+    frame, got = type(spark.range(0)), []
+    for name, size in (("toPandas", len), ("collect", len), ("toArrow", lambda t: t.num_rows)):
+        def told(self, *a, _f=getattr(frame, name), _size=size, **k):
+            out = _f(self, *a, **k)
+            got.append(_size(out))
+            return out
+        monkeypatch.setattr(frame, name, told)
+    texts = [words(4000, 1), words(4000, 1), words(3000, 2)]
+    bits = suffix.shared_grams(documents(spark, list(enumerate(texts))), suffix.LENGTH)
+    g = suffix.grams(suffix.word_hashes(texts[0].encode()))
+    want = np.zeros(1 << 10, np.uint8)
+    want[suffix._place(np.unique(g[suffix.minimisers(g)])).astype(np.int64)] = 1
+    assert (np.unpackbits(bits, bitorder="little") == want).all() and want.sum() > 100
+    assert 0 < sum(got) <= 1 << (10 - 6)

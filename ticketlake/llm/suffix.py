@@ -102,12 +102,13 @@ def shared_grams(docs: DataFrame, length: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["g"])
 
     found = docs.select(doc_bytes().alias("b")).mapInArrow(run, "g long").groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # 64 bits to a row: as many rows as the bitmap has words, whatever the input, and no Python object for any of them
     p = F.col("g").bitwiseAND((1 << BITMAP) - 1)
-    words = (found.select(F.shiftright(p, 3).alias("w"), F.expr(f"1 << CAST(g & 7 AS INT)").alias("bit"))
-             .groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas())
-    out = np.zeros(1 << (BITMAP - 3), dtype=np.uint8)
-    out[words["w"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.uint8)
-    return out
+    words = (found.select(F.shiftright(p, 6).alias("w"), F.expr("shiftleft(1L, CAST(g & 63 AS INT))").alias("bit"))
+             .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow())
+    out = np.zeros(1 << (BITMAP - 6), dtype="<i8")
+    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint8)
 
 
 def _selected(h: np.ndarray, bits: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
