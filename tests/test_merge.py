@@ -321,6 +321,21 @@ def test_restrict_to_sifts_rows_before_they_are_shuffled(spark):
     assert [r.n for r in restrict_to(msgs.where("n = 5"), spark.createDataFrame([(7,)], "issue_id int")).collect()] == [5]
 
 
+def test_ids_read_from_records_are_never_broadcast(spark):
+    """Beside a record (2 KB a row, as Spark takes it) any id set looks tiny; only the fixed-size bitmap is broadcast."""
+    import re
+
+    from ticketlake.operators.keysets import restrict_to
+    msgs = spark.createDataFrame([("a", 1), ("b", 3)], "issue_id string, n int")
+    path = scratch_path(spark, "records")
+    spark.createDataFrame([("a", '{"id": "a"}')], "issue_id string, j string").select("issue_id", F.parse_json("j").alias("data")).write.parquet(path)
+    ids = spark.read.parquet(path).select(F.try_variant_get("data", "$.id", "string").alias("issue_id"))
+    for other in (ids, ids.select(F.xxhash64("issue_id").alias("issue_id"))):
+        plan = restrict_to(msgs, other)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"BroadcastHashJoin .*LeftSemi", plan), plan
+    assert [r.n for r in restrict_to(msgs, ids).collect()] == [1]
+
+
 def test_shuffles_begin_with_many_partitions(spark):
     """Whatever the session's shuffle partitions, a task's share does not grow with the input; a user's number holds."""
     from ticketlake.session import configure, initial_partitions

@@ -33,6 +33,57 @@ def test_classification_truth_table(spark):
     assert (c.total_processed, c.total_classified, c.total_updated, c.total_errors, c.success) == (7, 2, 2, 2, False)
 
 
+def _stored_classify(spark, log_path=None):
+    """A classify run over stored records: 2 and 3 have messages, 2 comes twice, 4 is labelled."""
+    from ticketlake.plans.classify import classify
+    from ticketlake.session import scratch_path
+    iss = [(i, json.dumps({"id": i, "state": "closed", "created_at": "2024-01-02T00:00:00Z", "tags": ["t"], "custom_fields": f}))
+           for i, f in (("1", {}), ("2", {}), ("2", {}), ("3", {}), ("4", {"resolution": {"value": "x"}, "category": {"value": "y"}}))]
+    said = [(i, json.dumps({"id": "m", "timestamp": "2024-01-01T00:00:00Z", "message_html": "hi", "author": {"user": {"email": "a@x"}}})) for i in "234"]
+    teams = [("t", '{"name": "A", "users": [{"id": "u", "email": "a@x"}]}')]
+    stored = []
+    for rows, key in ((iss, "issue_id"), (said, "issue_id"), (teams, "team_id")):
+        path = scratch_path(spark, "stored")
+        spark.createDataFrame(rows, f"{key} string, j string").select(key, F.parse_json("j").alias("data")).write.parquet(path)
+        stored.append(spark.read.parquet(path))
+    answer = F.when(F.col("issue_id") == "2", '{"resolution": "no_action", "confidence": 0.9}')
+    return classify(*stored, responder=lambda r: r.select("issue_id", answer.alias("response")).distinct(), log_path=log_path)
+
+
+def test_no_issue_of_a_classify_run_is_broadcast(spark):
+    """Targets, responses and tags meet by shuffles: sizes estimated beside records are no reason to send them through the driver."""
+    import re
+
+    from ticketlake.plans import release
+    run = _stored_classify(spark)
+    plan = run["decisions"]._jdf.queryExecution().withCachedData().toString()
+    assert not re.search(r"BroadcastHashJoin \[issue_id", plan), plan
+    assert sorted((r.issue_id, r.outcome) for r in run["decisions"].collect()) == [("1", "no_conversation")] + [("2", "updated")] * 4 + [("3", "skipped")]
+    release(run)
+
+
+def test_the_outbox_of_a_classify_run_has_no_broadcast_of_issues(spark):
+    import re
+
+    from ticketlake.plans import release
+    run = _stored_classify(spark)
+    assert not re.search(r"BroadcastHashJoin \[issue_id", run["outbox"]._jdf.queryExecution().withCachedData().toString())
+    assert [(r.issue_id, json.loads(r.payload)["tags"]) for r in run["outbox"].collect()] == [("2", ["t", "auto-classified"])] * 4
+    release(run)
+
+
+def test_the_log_of_a_classify_run_is_computed_without_a_broadcast_of_issues(spark):
+    import re
+
+    from ticketlake.plans import release
+    from ticketlake.session import scratch_path
+    log = scratch_path(spark, "log")
+    run = _stored_classify(spark, log)
+    assert not re.search(r"BroadcastHashJoin \[issue_id", run["counters"]._jdf.queryExecution().withCachedData().toString())
+    assert [(r.command, r.total_processed, r.total_classified, r.total_errors) for r in spark.read.parquet(log).collect()] == [("classify", 6, 4, 1)]
+    release(run)
+
+
 def test_unclassified_selection(spark):
     iss = _snapshot(spark, [
         ("1", '{"id": "1", "state": "closed", "created_at": "2024-01-02T00:00:00Z", "custom_fields": {}}'),

@@ -16,6 +16,7 @@ from ..functions.jsonx import json_type, json_value, parse, text_of, time_of
 from ..functions.labels import (FIELDS, accept_error_staged, accepted_staged, gate_staged,
                                response_features, update_payload)
 from ..functions.prompts import system_for, user_text
+from .keysets import BY_SHUFFLE
 from .running import first_rows
 
 CLOSED = "closed"
@@ -56,7 +57,7 @@ def requests(targets: DataFrame, conversations: DataFrame, fields: Column | None
     t = targets.select("issue_id", f.alias("fields")) if "fields" not in targets.columns \
         else targets.select("issue_id", "fields")
     c = conversations.select("issue_id", "conversation")
-    j = t.join(c, "issue_id", "left").withColumn("conversation", F.coalesce("conversation", F.lit("")))
+    j = t.join(c.hint(BY_SHUFFLE), "issue_id", "left").withColumn("conversation", F.coalesce("conversation", F.lit("")))
     return j.select("issue_id", "fields", "conversation",
                     system_for(F.col("fields"), debug).alias("system"),
                     user_text(F.col("conversation")).alias("user"))
@@ -77,13 +78,14 @@ def decisions(reqs: DataFrame, responses: DataFrame, snapshot: DataFrame) -> Dat
     (issue_id, data) - or (issue_id, tags) - whose tags the payload keeps.
     The response is parsed once
     and its members staged as columns, so every rule below is plain column
-    logic (small generated code, no repeated parsing).
+    logic (small generated code, no repeated parsing). Responses and snapshot
+    have a row for each issue and are never broadcast (see ``keysets``).
     """
     r = responses.select("issue_id", F.col("response"))
     tags = F.col("tags") if "tags" in snapshot.columns \
         else F.try_variant_get(F.col("data"), "$.tags", "array<string>").alias("tags")
     s = snapshot.select("issue_id", tags)
-    j = reqs.select("issue_id", "conversation").join(r, "issue_id", "left").join(s, "issue_id", "left")
+    j = reqs.select("issue_id", "conversation").join(r.hint(BY_SHUFFLE), "issue_id", "left").join(s.hint(BY_SHUFFLE), "issue_id", "left")
     j = j.select("issue_id", "conversation", "tags", parse_response(F.col("response")).alias("_v"))
     j = j.select("issue_id", "conversation", "tags", F.col("_v").isNull().alias("_none"),
                  *response_features(F.col("_v")))
