@@ -297,6 +297,26 @@ def test_random_histories_equal_a_dict(spark):
         assert got == model
 
 
+def test_a_long_log_is_listed_once(spark, monkeypatch):
+    """A commit costs the same however many came before; another writer's commits are seen."""
+    from ticketlake.operators.commits import CommitLog, Files
+    path = scratch_path(spark, "log")
+    own, other = CommitLog(Files(spark), path), CommitLog(Files(spark), path)
+    own.add(None, None, "a", 1)
+    lists, texts = [], []
+    names, text = Files.names, Files.text
+    monkeypatch.setattr(Files, "names", lambda self, p: lists.append(p) or names(self, p))
+    monkeypatch.setattr(Files, "text", lambda self, p: texts.append(p) or text(self, p))
+    assert own.add(None, None, "b", 1).n == 1
+    del lists[:]
+    assert [other.add(None, None, f, 1).n for f in "cd"] == [2, 3]
+    assert own.add(None, None, "e", 1).n == 4
+    assert [c.folder for c in own.active()] == [c.folder for c in own.active()] == list("abcde")
+    own.add(0, 4, "base", 1)
+    assert [c.folder for c in own.active()] == [c.folder for c in other.active()] == ["base"]
+    assert lists == [path] and len(texts) == len(set(texts)) + 1     # the base is read by both logs
+
+
 def test_restrict_to_has_no_count_and_no_single_partition(spark):
     from ticketlake.operators.keysets import restrict_to
     msgs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "issue_id string, n int")

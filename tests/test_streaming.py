@@ -123,3 +123,20 @@ def test_trigger_has_tasks_by_its_files_not_by_the_session(spark):
     assert [s["numShufflePartitions"] for p in q.recentProgress for s in p["stateOperators"]][:1] == [1]
     assert [v.buckets for v in table.versions()] == [1, 1]
     assert table.read().count() == 80
+
+
+def test_many_tasks_land_pages_and_a_trigger_without_an_ended_run_commits_no_cuts(spark):
+    """A page is a file, which takes its time however small it is."""
+    pages = [("r0", p, json.dumps({"data": [{"id": f"a{p}"}], "pagination": {"has_next_page": True, "cursor": "c"}})) for p in range(40)]
+    root, ck = scratch_path(spark, "land"), scratch_path(spark, "ck")
+    write_landed(spark.createDataFrame(pages, "run_id string, page_no long, body string").coalesce(1), root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.regexp_extract("path", "part-([0-9]+)", 1).alias("task"))
+    assert files.count() == 40 and files.distinct().count() == spark.sparkContext.defaultParallelism
+    table = KeyedTable(spark, scratch_path(spark, "acc"), "accounts", landing=True)
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(listing)
+    q = stream_upsert(spark, root, "accounts", table, ck, max_files_per_trigger=40)
+    q.awaitTermination()
+    assert spark.conf.get(listing) == before
+    assert [v.cuts for v in table.versions()] == [None]
+    assert table.read().count() == 40

@@ -79,12 +79,9 @@ class KeyedTable:
         self.sorted_by = [typed_name(m) for m in cluster] + self.keys
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.files = Files(spark)
+        self.log = CommitLog(self.files, f"{self.path}/_log")
 
     # layout ----------------------------------------------------------------
-    @property
-    def log(self) -> CommitLog:
-        return CommitLog(self.files, f"{self.path}/_log")
-
     def _meta(self) -> dict | None:
         path = f"{self.path}/_table.json"
         return json.loads(self.files.text(path)) if self.files.exists(path) else None

@@ -167,5 +167,8 @@ def parse_ndjson(lines: DataFrame, col: str, schema) -> DataFrame:
 
 
 def write_landed(pages: DataFrame, root: str, run: str = "run_id") -> None:
-    """Land page bodies as ``<root>/<run>=…/page_no=…/`` text files."""
-    pages.select(run, "page_no", "body").write.mode("overwrite").partitionBy(run, "page_no").text(root)
+    """Land page bodies as ``<root>/<run>=…/page_no=…/`` text files. A file
+    takes its time however small it is, so the tasks follow the cores and not
+    the bytes, of which adaptive execution would make one task."""
+    tasks = pages.sparkSession.sparkContext.defaultParallelism
+    pages.select(run, "page_no", "body").repartition(tasks).write.mode("overwrite").partitionBy(run, "page_no").text(root)

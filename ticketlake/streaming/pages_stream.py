@@ -15,8 +15,8 @@ have come before. The stream therefore keeps a state for each run (the first
 stop page and the pages seen; a streaming minimum and count in Spark's state
 store, under the checkpoint). A trigger gets the state of the runs that it
 touches together with its pages: pages behind a known stop are not written,
-and the stops are committed with the rows as cuts, which take effect on rows
-written before. Whatever the order of arrival, the table reads as the batch
+and the stops, where there are any, are committed with the rows as cuts, which
+take effect on rows written before. Whatever the order of arrival, the table reads as the batch
 path would have written it.
 """
 
@@ -35,6 +35,8 @@ FILES_A_TASK = 16
 PAGE_FILE = r"page_no=(\d+)"
 RUN_DIR = r"run_id=([^/]+)"
 PARTITIONS = "spark.sql.shuffle.partitions"
+#: Tasks at most in which Spark lists the landed folders when a stream is made (its default: one for each).
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def page_stream(spark: SparkSession, root: str, max_files_per_trigger: int = 100) -> DataFrame:
@@ -72,13 +74,19 @@ def stream_upsert(spark: SparkSession, root: str, object_type: str, table: Keyed
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()                      # also keeps the state from being computed again
-        stops = batch.where("state.stop_page IS NOT NULL").select("run_id", "state.stop_page")
-        parsed = parse_pages(batch.where("state IS NULL").drop("state")).persist()
+        stops = None
+        if spec(object_type).pagination != "none":
+            ended = batch.where("state.stop_page IS NOT NULL").select("run_id", "state.stop_page")
+            # most triggers touch no run that has ended: then there is nothing to cut or to commit
+            if ended.agg(F.count(F.lit(1)).alias("n")).first()["n"]:
+                stops = ended
+        parsed = parse_pages(batch.where("state IS NULL").drop("state"))
+        if stops is not None or rejects_path or bad_pages_path:
+            parsed = parsed.persist()                # read again by each
         try:
-            items = items_of(chained(parsed, object_type, stops), object_type)
+            items = items_of(parsed if stops is None else chained(parsed, object_type, stops), object_type)
             valid, rejects = prepare(items, object_type, stamp=F.current_timestamp())
-            table.upsert_landed(valid, cuts=None if spec(object_type).pagination == "none" else stops,
-                                buckets=int(batch.sparkSession.conf.get(PARTITIONS)))
+            table.upsert_landed(valid, cuts=stops, buckets=int(batch.sparkSession.conf.get(PARTITIONS)))
             if rejects_path:
                 store_rejects(rejects, object_type, rejects_path)
             if bad_pages_path:
@@ -87,13 +95,16 @@ def stream_upsert(spark: SparkSession, root: str, object_type: str, table: Keyed
             parsed.unpersist()
             batch.unpersist()
 
-    pages = with_chain_state(page_stream(spark, root, max_files_per_trigger), object_type)
-    w = pages.writeStream.outputMode("update").foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     # the stream takes its settings at its start; a restart keeps its checkpoint's partitions
-    session = spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, str(min(int(session), -(-max_files_per_trigger // FILES_A_TASK))))
+    own = {PARTITIONS: -(-max_files_per_trigger // FILES_A_TASK), LISTING: spark.sparkContext.defaultParallelism}
+    session = {k: spark.conf.get(k) for k in own}
+    for k, most in own.items():
+        spark.conf.set(k, str(min(int(session[k]), most)))
     try:
+        pages = with_chain_state(page_stream(spark, root, max_files_per_trigger), object_type)
+        w = pages.writeStream.outputMode("update").foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
         return w.start()
     finally:
-        spark.conf.set(PARTITIONS, session)
+        for k, v in session.items():
+            spark.conf.set(k, v)
